@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def round_half_up(c: Column | str, digits: int, precision: int = 18, scale: int = 6) -> Column:
+def round_half_up(c: Column | str, digits: int, precision: int = 38, scale: int = 6) -> Column:
     """Round half away from zero on the decimal text of a double.
 
     ``round(double)`` rounds the exact binary value (39.895 -> 39.89), while

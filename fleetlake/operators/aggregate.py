@@ -97,20 +97,20 @@ def live_summary(positions: DataFrame) -> DataFrame:
     """A5: pings and mean speed (1 decimal) per route and band."""
     return positions.groupBy("ruta", "nivel_congestion").agg(
         F.count(F.lit(1)).alias("pings"),
-        round_half_up(F.avg("velocidad_kmh"), 1).alias("velocidad_promedio"))
+        round_half_up(F.avg("velocidad_kmh"), 1).alias("vel_promedio"))
 
 
 def totals(positions: DataFrame, bus: str = "bus_id") -> DataFrame:
     """Pings and distinct buses."""
-    return positions.agg(F.count(F.lit(1)).alias("total_pings"),
-                         F.countDistinct(bus).alias("buses_unicos"))
+    return positions.agg(F.count(F.lit(1)).alias("pings"),
+                         F.countDistinct(bus).alias("buses"))
 
 
 def band_summary(positions: DataFrame) -> DataFrame:
     """Pings and mean speed (1 decimal) per band."""
     return positions.groupBy("nivel_congestion").agg(
         F.count(F.lit(1)).alias("pings"),
-        round_half_up(F.avg("velocidad_kmh"), 1).alias("velocidad_promedio"))
+        round_half_up(F.avg("velocidad_kmh"), 1).alias("vel"))
 
 
 def ingest_counters(outcomes: DataFrame, outcome: str = "outcome") -> DataFrame:

@@ -42,9 +42,9 @@ def replicate(counted: DataFrame, lo: int, n_col: str = "n", index: str = "rn",
     parts = counted.where(n >= lo).select(
         "*", F.explode(F.sequence(F.lit(0), F.floor((n - lo) / chunk).cast("int"))).alias("_chunk"))
     parts = parts.repartition(_partitions(counted), *keep, "_chunk")
-    start = F.lit(lo) + F.col("_chunk") * chunk
-    stop = F.least(n, start + (chunk - 1))
-    return parts.select(*keep, F.explode(F.sequence(start, stop)).cast("long").alias(index))
+    start = (F.lit(lo) + F.col("_chunk") * chunk).cast("long")
+    stop = F.least(n.cast("long"), start + (chunk - 1))
+    return parts.select(*keep, F.explode(F.sequence(start, stop)).alias(index))
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

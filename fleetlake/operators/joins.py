@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      persist: bool = False) -> DataFrame:
     """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``.
 
     The check is a real count (``limit(max_rows + 1)``, so it stops early on
@@ -18,7 +20,13 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     file sizes is not trusted for a derived dimension. Without the hint the
     planner falls back to a shuffle join, and AQE may still pick a broadcast
     from runtime statistics.
+
+    ``persist=True`` is for a small *derived* dimension (an aggregate): it is
+    cached before the count so the join reads the counted result instead of
+    recomputing it.
     """
+    if persist:
+        dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
     n = dim.limit(max_rows + 1).count()
     return F.broadcast(dim) if n <= max_rows else dim
 

@@ -103,10 +103,9 @@ def rule_counts(df: DataFrame, rules: list[tuple[str, str, Column]],
     aggs = [F.coalesce(F.sum(F.when(cond, w)), F.lit(0)).cast("long").alias(f"r{i}")
             for i, (_, _, cond) in enumerate(rules)]
     row = df.agg(*aggs)
-    stack = ", ".join(f"{i + 1}L, '{name}', '{reason}', r{i}"
-                      for i, (name, reason, _) in enumerate(rules))
-    return row.selectExpr(
-        f"stack({len(rules)}, {stack}) AS (orden, regla, razon, registros_invalidos)")
+    args = [x for i, (name, reason, _) in enumerate(rules)
+            for x in (F.lit(i + 1).cast("long"), F.lit(name), F.lit(reason), F.col(f"r{i}"))]
+    return row.select(F.stack(F.lit(len(rules)), *args)).toDF("orden", "regla", "razon", "registros_invalidos")
 
 
 def local_validation_report(pings: DataFrame, bounds: Bounds = DEFAULT_BOUNDS) -> DataFrame:

@@ -101,7 +101,7 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def payment_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderpriority").alias("payment_method_id"),
-                    F.col("o_orderpriority").alias("method_name"))
+                    F.col("o_orderpriority").alias("method_name")).distinct()
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:

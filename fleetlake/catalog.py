@@ -612,3 +612,32 @@ def r1(spark, sf):
 @register("r2_dedup_batch_twin")
 def r2_twin(spark, sf):
     return _positions(spark, sf)
+
+
+# ------------------------------------------------------- 2.11 streaming runs
+
+def _stream_events(spark, sf):
+    """The ping events as a file stream over the events table (the same
+    mapping as the batch fixture: every event plus a copy of every 100th)."""
+    schema = td.read_table(spark, sf, "events").schema
+
+    def src():
+        return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+    e = src()
+    copies = src().where(F.col("event_id") % 100 == 0)
+    return live.events_from_pings(td._ping_projection(e).unionByName(td._ping_projection(copies)))
+
+
+@register("r2_stream_dedup")
+def r2_stream(spark, sf):
+    import uuid
+
+    from .session import scratch_path
+    from .streaming import ingest
+    positions, _ = ingest.positions_stream(_stream_events(spark, sf), impute_temperature(_weather(spark, sf)))
+    out = scratch_path(spark, f"r2_{uuid.uuid4().hex}")
+    q = (positions.writeStream.format("parquet").option("path", out + "/data")
+         .option("checkpointLocation", out + "/_ckpt").trigger(availableNow=True).start())
+    ingest.run_available(q)
+    return spark.read.parquet(out + "/data").drop("viaje_id")

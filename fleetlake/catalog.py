@@ -641,3 +641,53 @@ def r2_stream(spark, sf):
          .option("checkpointLocation", out + "/_ckpt").trigger(availableNow=True).start())
     ingest.run_available(q)
     return spark.read.parquet(out + "/data").drop("viaje_id")
+
+
+@register("r4_stream_rejections")
+def r4_stream(spark, sf):
+    """The rejected-event side output of the stream (file sink)."""
+    import uuid
+
+    from .session import scratch_path
+    from .streaming import ingest
+    _, rejected = ingest.positions_stream(_stream_events(spark, sf))
+    out = scratch_path(spark, f"r4_{uuid.uuid4().hex}")
+    q = (rejected.writeStream.format("parquet").option("path", out + "/data")
+         .option("checkpointLocation", out + "/_ckpt").trigger(availableNow=True).start())
+    ingest.run_available(q)
+    return spark.read.parquet(out + "/data")
+
+
+@register("k7_lake_sink")
+def k7(spark, sf):
+    """K7: accepted positions written by the stream as NDJSON partitioned by
+    ingest day, read back."""
+    import uuid
+
+    from .session import scratch_path
+    from .streaming import ingest
+    positions, _ = ingest.positions_stream(_stream_events(spark, sf), impute_temperature(_weather(spark, sf)))
+    out = scratch_path(spark, f"k7_{uuid.uuid4().hex}")
+    ingest.run_available(ingest.start_lake_sink(positions, out + "/lake", name=None,
+                                                trigger={"availableNow": True}, checkpoint=out + "/_ckpt"))
+    return spark.read.json(out + "/lake").drop("viaje_id")
+
+
+# ------------------------------------------------------------ more operators
+
+@register("p15_minute_bucket")
+def p15(spark, sf):
+    from .functions.text import minute_bucket
+    return (_pings(spark, sf).groupBy(F.col(C.BUS).alias("bus_id"), minute_bucket(C.TS).alias("minuto"))
+            .agg(F.count(F.lit(1)).alias("pings")))
+
+
+@register("l3_activity_log")
+def l3(spark, sf):
+    return audit.activity_log_from_outcomes(_outcomes(spark, sf))
+
+
+@register("s10_raw_manifest")
+def s10(spark, sf):
+    from .sources.files import ingest_raw
+    return ingest_raw(spark, [f"{sf}/*.parquet"]).drop("modificado")

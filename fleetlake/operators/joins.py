@@ -31,6 +31,22 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return F.broadcast(dim) if n <= max_rows else dim
 
 
+def bounded_broadcasts(dims: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:
+    """:func:`bounded_broadcast` for several dimensions with one Spark job:
+    the per-dimension ``limit(max_rows + 1)`` counts are the branches of one
+    union, collected as a few small rows."""
+    if not dims:
+        return []
+    spark = dims[0].sparkSession
+    counts = None
+    for i, d in enumerate(dims):
+        c = d.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+        counts = c if counts is None else counts.unionByName(c)
+    n = {r["i"]: r["n"] for r in counts.collect()}
+    del spark
+    return [F.broadcast(d) if n[i] <= max_rows else d for i, d in enumerate(dims)]
+
+
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
                    max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Fact-to-dimension join with a size-checked broadcast of the dimension."""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_up
-from .joins import join_dimension, orphans
+from .joins import bounded_broadcasts, join_dimension, orphans
 
 DIM_MAX_ROWS = 2_000_000
 
@@ -48,10 +48,15 @@ def wide_mart(fact: DataFrame, users: DataFrame, regions: DataFrame, items: Data
     r = regions.select("region_id", "region_name")
     i = items.select("skin_id", "skin_name", "weapon", "rarity", "collection")
     m = methods.select("payment_method_id", F.col("method_name").alias("payment_method"))
-    ur = join_dimension(u, r, "region_id", "inner", max_rows)
-    j = join_dimension(fact, ur, "user_id", "inner", max_rows)
-    j = join_dimension(j, i, "skin_id", "inner", max_rows)
-    j = join_dimension(j, m, "payment_method_id", "inner", max_rows)
+    # one job checks every dimension; users join their region first (the
+    # snowflake arm), so the user side carries the region name
+    u_b, r_b, i_b, m_b = bounded_broadcasts([u, r, i, m], max_rows)
+    ur = u_b.join(r_b, "region_id", "inner")
+    if u_b is u:                 # users too large to broadcast: keep the shuffle join
+        ur = u.join(r_b, "region_id", "inner")
+    else:
+        ur = F.broadcast(ur)
+    j = fact.join(ur, "user_id", "inner").join(i_b, "skin_id", "inner").join(m_b, "payment_method_id", "inner")
     return j.select("transaction_id", "username", "region_name", "rank", "skin_name", "weapon", "rarity",
                     "collection", "payment_method", "purchase_date", "final_price_vp", "discount_percent",
                     "bundle_purchase")

@@ -14,11 +14,19 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import join_dimension
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
+    """The parquet table as a DataFrame, memoised per session and path (a
+    DataFrame is an immutable plan, so reuse is safe; it saves the file
+    listing and footer read of every call). ``refresh=True`` re-lists."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    if refresh or key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return _TABLES[key]
 
 
 def _route(event_type: Column, event_id: Column) -> Column:
@@ -83,15 +91,19 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales regions = nation x region; ``avg_player_spending`` is the mean
-    account balance of the region's users (a per-nation aggregate)."""
+    account balance of the region's users (a per-nation aggregate).
+
+    No broadcast hints here: nation and region are base tables whose file
+    size the planner knows (static auto-broadcast threshold), the spending
+    aggregate is sized by AQE at run time, and the finished dimension is
+    size-checked where it is joined to a fact."""
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
     spend = (read_table(spark, sf_dir, "customer")
              .groupBy(F.col("c_nationkey").alias("n_nationkey"))
              .agg(F.avg("c_acctbal").alias("avg_player_spending")))
-    geo = join_dimension(n, r.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey",
-                         "left", max_rows=10_000)
-    out = join_dimension(geo, spend, "n_nationkey", "left", max_rows=10_000)
+    out = n.join(r.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey", "left") \
+        .join(spend, "n_nationkey", "left")
     return out.select(F.col("n_nationkey").cast("long").alias("region_id"),
                       F.col("n_name").alias("region_name"),
                       F.col("r_name").alias("super_region"),

@@ -87,14 +87,17 @@ def _ckpt(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", name)
 
 
-def start_lake_sink(positions: DataFrame, path: str, name: str = "positions_lake",
-                    trigger: dict | None = None) -> StreamingQuery:
+def start_lake_sink(positions: DataFrame, path: str, name: str | None = "positions_lake",
+                    trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """K7: NDJSON lake files partitioned by ingest day (yyyyMMdd), written
     by the file sink (exactly-once through its commit log)."""
     spark = positions.sparkSession
     out = positions.withColumn("day", F.date_format("ingest_timestamp", "yyyyMMdd"))
     w = (out.writeStream.format("json").partitionBy("day").option("path", path)
-         .option("checkpointLocation", _ckpt(spark, name)).queryName(name).outputMode("append"))
+         .option("checkpointLocation", checkpoint or _ckpt(spark, name or os.path.basename(path)))
+         .outputMode("append"))
+    if name:
+        w = w.queryName(name)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 

@@ -39,7 +39,9 @@ def enrich_weather(pings: DataFrame, weather: DataFrame, date_col: str = "Fecha"
                    max_rows: int = WEATHER_MAX_ROWS) -> DataFrame:
     """J1 + P13: pings LEFT JOIN weather on the date; the join key is dropped
     and the weather columns renamed. Days without weather keep NULLs; a
-    duplicated weather date would fan out, as in SQL."""
+    duplicated weather date would fan out, as in SQL. The weather frame is
+    usually derived (imputed), so it is cached by its size check and the
+    join reads the checked rows."""
     w = weather.select(F.col("fecha").alias(date_col), F.col("condicion").alias(condition),
                        F.col("temperatura_promedio").alias(temperature))
-    return join_dimension(pings, w, date_col, "left", max_rows)
+    return join_dimension(pings, w, date_col, "left", max_rows, persist=True)

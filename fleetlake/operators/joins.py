@@ -48,9 +48,10 @@ def bounded_broadcasts(dims: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Fact-to-dimension join with a size-checked broadcast of the dimension."""
-    return fact.join(bounded_broadcast(dim, max_rows), on, how)
+                   max_rows: int = DEFAULT_BROADCAST_ROWS, persist: bool = False) -> DataFrame:
+    """Fact-to-dimension join with a size-checked broadcast of the dimension
+    (``persist=True`` for a derived dimension, see :func:`bounded_broadcast`)."""
+    return fact.join(bounded_broadcast(dim, max_rows, persist), on, how)
 
 
 def orphans(child: DataFrame, parent: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

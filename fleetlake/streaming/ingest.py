@@ -76,13 +76,58 @@ def dedup_stream(valid: DataFrame, ts: str = "ts", delay: str = "2 minutes") ->
 
 
 def positions_stream(events: DataFrame, weather: DataFrame | None = None, ts: str = "ts",
-                     delay: str = "2 minutes") -> tuple[DataFrame, DataFrame]:
-    """(positions, rejected) streams from raw events."""
+                     delay: str = "2 minutes", observe: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(positions, rejected) streams from raw events.
+
+    With ``observe`` the positions query reports per micro-batch the number
+    of valid events (``validos``) and of accepted ones (``aceptados``) as
+    observed metrics (A8/R6); duplicates = validos - aceptados, see
+    :func:`batch_counters`.
+    """
     valid, rejected = split_stream(events, ts)
+    if observe:
+        valid = valid.observe("validos", F.count(F.lit(1)).alias("validos"))
     accepted = dedup_stream(valid, ts, delay)
+    if observe:
+        accepted = accepted.observe("aceptados", F.count(F.lit(1)).alias("aceptados"))
     return enrich_positions(accepted, weather, ts), rejected
 
 
+def batch_counters(query: StreamingQuery) -> list[dict]:
+    """Per micro-batch counters from the query's observed metrics:
+    valid, accepted and dropped-as-duplicate events."""
+    def field(p, name):
+        return p.get(name) if isinstance(p, dict) else getattr(p, name, None)
+
+    def metric(m, name):
+        r = m.get(name)
+        if r is None:
+            return 0
+        return r.get(name, 0) if isinstance(r, dict) else r[name]
+
+    out = []
+    for p in query.recentProgress:
+        m = field(p, "observedMetrics") or {}
+        v, a = metric(m, "validos"), metric(m, "aceptados")
+        out.append({"batch_id": field(p, "batchId"), "validos": v, "aceptados": a, "duplicados": v - a})
+    return out
+
+
+def start_logged(spark: SparkSession, start, log_path: str, name: str = "ingest") -> StreamingQuery:
+    """Start a streaming query with a start row in the activity log;
+    :func:`stop_logged` writes the stop row."""
+    from ..operators.audit import log_event
+    q = start()
+    log_event(spark, "stream_start", f"{name} id={q.id}", "OK", path=log_path)
+    return q
+
+
+def stop_logged(spark: SparkSession, query: StreamingQuery, log_path: str, name: str = "ingest") -> None:
+    from ..operators.audit import log_event
+    query.stop()
+    log_event(spark, "stream_stop", f"{name} id={query.id}", "OK", path=log_path)
+
+
 def _ckpt(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", name)
 

@@ -94,12 +94,14 @@ def dedup_batch(valid: DataFrame, ts: str = "ts") -> tuple[DataFrame, DataFrame]
 
 
 def enrich_positions(accepted: DataFrame, weather: DataFrame | None = None, ts: str = "ts",
-                     trip_id: str = "hash") -> DataFrame:
+                     trip_id: str = "hash", default_weather: tuple[str, float] | None = None) -> DataFrame:
     """Add hour, weekday, band, weather and a trip id; shape the live table.
 
     ``weather`` (fecha, condicion, temperatura_promedio) is joined on the
     event date (stream-static join); ``trip_id="hash"`` derives a replayable
     id from (bus, time), ``"uuid"`` draws a random one as the original does.
+    ``default_weather=(condition, temperature)`` fills positions without a
+    weather row with constants (P18, the original's fixed demo weather).
     """
     t = F.col(ts)
     out = accepted.select("*", F.hour(t).cast("long").alias("hora"), weekday_name(t).alias("dia_semana"),
@@ -112,6 +114,10 @@ def enrich_positions(accepted: DataFrame, weather: DataFrame | None = None, ts:
     else:
         out = out.withColumn("clima_condicion", F.lit(None).cast("string")) \
                  .withColumn("clima_temperatura", F.lit(None).cast("double"))
+    if default_weather is not None:
+        cond, temp = default_weather
+        out = out.withColumn("clima_condicion", F.coalesce(F.col("clima_condicion"), F.lit(cond))) \
+                 .withColumn("clima_temperatura", F.coalesce(F.col("clima_temperatura"), F.lit(float(temp))))
     vid = (F.sha2(F.concat_ws("|", F.col("bus_id"), t.cast("string")), 256) if trip_id == "hash"
            else F.expr("uuid()"))
     return out.select(vid.alias("viaje_id"), "bus_id", "ruta", "ruta_raw", "velocidad_kmh", "latitud",

@@ -31,3 +31,35 @@ def test_fanout_sinks_and_concurrent_batch(spark, tmpdir_path):
     assert glob.glob(os.path.join(base, "lake", "batch_id=*", "day=20240105"))
     rejected = spark.read.parquet(os.path.join(base, "rejected")).collect()
     assert [r.description for r in rejected] == ["validacion: velocidad fuera de rango (999.0)"]
+
+
+def test_observed_counters_and_start_stop_log(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        for i in range(6):   # two buses, three pings each in the same minute
+            f.write(json.dumps({"bus_id": f"BUS_{i % 2}", "ruta": "210", "velocidad_kmh": "20",
+                                "latitud": "-33.45", "longitud": "-70.66",
+                                "ts": f"2024-01-05 10:00:{i:02d}"}) + "\n")
+    pos, _ = ingest.positions_stream(ingest.read_ping_events(spark, src))
+    log = os.path.join(tmpdir_path, "log")
+    out = os.path.join(tmpdir_path, "out")
+    q = ingest.start_logged(spark, lambda: pos.writeStream.format("parquet").option("path", out)
+                            .option("checkpointLocation", os.path.join(tmpdir_path, "ck"))
+                            .trigger(availableNow=True).start(), log)
+    q.awaitTermination(120)
+    c = [x for x in ingest.batch_counters(q) if x["validos"]]
+    assert c and c[0]["validos"] == 6 and c[0]["aceptados"] == 2 and c[0]["duplicados"] == 4
+    ingest.stop_logged(spark, q, log)
+    types = sorted(r.event_type for r in spark.read.parquet(log).collect())
+    assert types == ["stream_start", "stream_stop"]
+
+
+def test_default_weather_fallback(spark):
+    from fleetlake.streaming import live
+    ev = spark.createDataFrame([("BUS_1", "210", 20.0, -33.45, -70.66)],
+                               "bus_id string, ruta string, velocidad_kmh double, latitud double, longitud double") \
+        .selectExpr("*", "timestamp'2024-01-05 10:00:00' AS ts")
+    pos = live.enrich_positions(live.normalise_events(ev).drop("reason"), None,
+                                default_weather=("Despejado", 14.0)).first()
+    assert pos.clima_condicion == "Despejado" and pos.clima_temperatura == 14.0

@@ -691,3 +691,17 @@ def l3(spark, sf):
 def s10(spark, sf):
     from .sources.files import ingest_raw
     return ingest_raw(spark, [f"{sf}/*.parquet"]).drop("modificado")
+
+
+# ------------------------------------------------------------ manual path
+
+@register("j1_enriched_manual")
+def j1_manual(spark, sf):
+    from .plans import manual
+    return manual.enriched(_pings(spark, sf), _weather(spark, sf))
+
+
+@register("a1_route_hour_manual")
+def a1_manual(spark, sf):
+    from .plans import manual
+    return manual.route_hour(manual.enriched(_pings(spark, sf), _weather(spark, sf)))

@@ -705,3 +705,20 @@ def j1_manual(spark, sf):
 def a1_manual(spark, sf):
     from .plans import manual
     return manual.route_hour(manual.enriched(_pings(spark, sf), _weather(spark, sf)))
+
+
+@register("r1_stream_outcomes")
+def r1_stream(spark, sf):
+    """R1 as a stream with every event's outcome, duplicates included."""
+    import uuid
+
+    from .session import scratch_path
+    from .streaming import ingest
+    valid, rejected = ingest.outcomes_stream(_stream_events(spark, sf))
+    out = scratch_path(spark, f"r1_{uuid.uuid4().hex}")
+    for name, df in (("valid", valid), ("rejected", rejected)):
+        q = (df.writeStream.format("parquet").option("path", f"{out}/{name}")
+             .option("checkpointLocation", f"{out}/_ckpt_{name}").trigger(availableNow=True).start())
+        ingest.run_available(q)
+    res = spark.read.parquet(f"{out}/valid").unionByName(spark.read.parquet(f"{out}/rejected"))
+    return res.withColumn("ts", F.col("ts").cast("timestamp_ntz"))

@@ -215,3 +215,60 @@ def run_concurrently(spark: SparkSession, start_stream, batch_job, timeout_s: in
     finally:
         run_available(q, timeout_s)
     return result
+
+
+# ------------------------------------------------ duplicates as outcome rows
+
+OUTCOME_SCHEMA = ("bus_id string, ruta string, ruta_raw string, velocidad_kmh double, latitud double, "
+                  "longitud double, ts timestamp, outcome string, reason string")
+_ORDER = ["ts", "ruta", "ruta_raw", "velocidad_kmh", "latitud", "longitud"]
+
+
+def _claim_minute(key, batches, state):
+    """Per (bus, minute): the first valid event claims the key and is
+    accepted; every other event of the key, in this or a later micro-batch,
+    is a duplicate row. Rows arrive as Arrow-sized pandas chunks (never the
+    whole group at once); inside a chunk the earliest event wins. The claim
+    is dropped once the watermark passes the end of the minute."""
+    import pandas as pd
+
+    from ..config import REASON_DUPLICATE
+
+    if state.hasTimedOut:
+        state.remove()
+        return
+    claimed = state.exists
+    minute = None
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        minute = pdf["minuto"].iloc[0]
+        pdf = pdf.sort_values(_ORDER, kind="mergesort").drop(columns=["minuto"])
+        outcome = ["rechazado_duplicado"] * len(pdf)
+        reason = [REASON_DUPLICATE] * len(pdf)
+        if not claimed:
+            outcome[0], reason[0] = "aceptado", "ok"
+            claimed = True
+        yield pdf.assign(outcome=outcome, reason=reason)
+    if claimed and not state.exists:
+        state.update((True,))
+    if minute is not None:
+        end = pd.Timestamp(minute)
+        end = (end.tz_localize("UTC") if end.tzinfo is None else end.tz_convert("UTC")) + pd.Timedelta(minutes=1)
+        state.setTimeoutTimestamp(int(end.timestamp() * 1000))
+
+
+def outcomes_stream(events: DataFrame, ts: str = "ts", delay: str = "2 minutes") -> tuple[DataFrame, DataFrame]:
+    """R1/R4 with duplicates as rows: ``(valid_outcomes, rejected)`` where
+    ``valid_outcomes`` has one row per valid event with outcome ``aceptado``
+    or ``rechazado_duplicado`` (stateful, keyed by bus and minute) and
+    ``rejected`` one row per invalid event with its reason (stateless)."""
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    valid, rejected = split_stream(events, ts)
+    keyed = valid.withColumn("minuto", F.date_trunc("minute", F.col(ts))).withWatermark(ts, delay)
+    out = keyed.groupBy("bus_id", "minuto").applyInPandasWithState(
+        _claim_minute, OUTCOME_SCHEMA, "claimed boolean", "append", GroupStateTimeout.EventTimeTimeout)
+    rej = rejected.select("bus_id", "ruta", "ruta_raw", "velocidad_kmh", "latitud", "longitud", ts,
+                          F.lit("rechazado_validacion").alias("outcome"), "reason")
+    return out, rej

@@ -80,3 +80,37 @@ def test_stream_equals_batch_twin_and_restarts(spark, tmpdir_path):
     assert streamed.count() == twin.count()
     key = ["bus_id", F.date_trunc("minute", "ingest_timestamp")]
     assert streamed.groupBy(*key).count().where("count > 1").count() == 0
+
+
+def test_outcome_stream_keeps_duplicates_across_batches(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+
+    def put(name, evs):
+        with open(os.path.join(src, name), "w") as f:
+            for e in evs:
+                f.write(json.dumps(e) + "\n")
+
+    def ev(bus, sec, speed="20"):
+        return {"bus_id": bus, "ruta": "210", "velocidad_kmh": speed, "latitud": "-33.45", "longitud": "-70.66",
+                "ts": f"2024-01-05 10:00:{sec:02d}"}
+
+    put("a.json", [ev("B1", 30), ev("B1", 10), ev("B2", 5), ev("B3", 1, speed="999")])
+    out = os.path.join(tmpdir_path, "out")
+
+    def run():
+        valid, rejected = ingest.outcomes_stream(ingest.read_ping_events(spark, src))
+        for name, df in (("valid", valid), ("rejected", rejected)):
+            q = (df.writeStream.format("parquet").option("path", f"{out}/{name}")
+                 .option("checkpointLocation", f"{out}/_ck_{name}").trigger(availableNow=True).start())
+            ingest.run_available(q, 300)
+
+    run()
+    put("b.json", [ev("B2", 50)])       # same bus and minute, later batch -> duplicate row
+    run()
+    rows = spark.read.parquet(f"{out}/valid").collect()
+    got = sorted((r.bus_id, r.ts.second, r.outcome) for r in rows)
+    assert got == [("B1", 10, "aceptado"), ("B1", 30, "rechazado_duplicado"),
+                   ("B2", 5, "aceptado"), ("B2", 50, "rechazado_duplicado")]
+    rej = spark.read.parquet(f"{out}/rejected").collect()
+    assert [r.reason for r in rej] == ["velocidad fuera de rango (999.0)"]

@@ -31,6 +31,11 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # streaming state off-heap in RocksDB (bounded JVM memory for large
+        # state), committed as changelogs instead of full snapshots
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "8g")

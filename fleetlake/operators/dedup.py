@@ -61,7 +61,10 @@ def split_duplicates(df: DataFrame, keys: list[str] | None = None,
     ``n - 1`` copies of every row seen ``n > 1`` times. With ``keys`` the
     first row is the minimum of ``order_by`` (ties broken by the remaining
     columns, so the choice is deterministic); it is found with ``min_by``, a
-    partially aggregated function, and the surplus is ``df EXCEPT ALL kept``.
+    partially aggregated function, and the surplus is ``df EXCEPT ALL kept``
+    computed as a signed count per distinct row (+1 per input row, -1 per
+    kept row) re-emitted by :func:`replicate`, so a hot row's copies are
+    spread over tasks.
     """
     cols = df.columns
     if not keys:
@@ -75,7 +78,11 @@ def split_duplicates(df: DataFrame, keys: list[str] | None = None,
     firsts = (df.groupBy(*keys)
               .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), rank).alias("_first"))
               .select("_first.*"))
-    return firsts, df.exceptAll(firsts)
+    signed = (df.select(*cols, F.lit(1).alias("_w"))
+              .unionByName(firsts.select(*cols, F.lit(-1).alias("_w")))
+              .groupBy(*cols).agg(F.sum("_w").alias("_n")))
+    surplus = replicate(signed, 1, n_col="_n", index="_rep").select(*cols)
+    return firsts, surplus
 
 
 def duplicate_groups(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

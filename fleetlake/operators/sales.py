@@ -48,15 +48,12 @@ def wide_mart(fact: DataFrame, users: DataFrame, regions: DataFrame, items: Data
     r = regions.select("region_id", "region_name")
     i = items.select("skin_id", "skin_name", "weapon", "rarity", "collection")
     m = methods.select("payment_method_id", F.col("method_name").alias("payment_method"))
-    # one job checks every dimension; users join their region first (the
-    # snowflake arm), so the user side carries the region name
+    # one job checks every dimension; each checked dimension is joined to
+    # the fact on its own (the region through the user's region id, the
+    # snowflake arm), so every broadcast side is exactly a counted frame
     u_b, r_b, i_b, m_b = bounded_broadcasts([u, r, i, m], max_rows)
-    ur = u_b.join(r_b, "region_id", "inner")
-    if u_b is u:                 # users too large to broadcast: keep the shuffle join
-        ur = u.join(r_b, "region_id", "inner")
-    else:
-        ur = F.broadcast(ur)
-    j = fact.join(ur, "user_id", "inner").join(i_b, "skin_id", "inner").join(m_b, "payment_method_id", "inner")
+    j = (fact.join(u_b, "user_id", "inner").join(r_b, "region_id", "inner")
+         .join(i_b, "skin_id", "inner").join(m_b, "payment_method_id", "inner"))
     return j.select("transaction_id", "username", "region_name", "rank", "skin_name", "weapon", "rarity",
                     "collection", "payment_method", "purchase_date", "final_price_vp", "discount_percent",
                     "bundle_purchase")

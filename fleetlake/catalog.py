@@ -722,3 +722,16 @@ def r1_stream(spark, sf):
         ingest.run_available(q)
     res = spark.read.parquet(f"{out}/valid").unionByName(spark.read.parquet(f"{out}/rejected"))
     return res.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("a4_live_view_stream")
+def a4_stream(spark, sf):
+    """A4 maintained by a streaming aggregation (approximate distinct buses)."""
+    import uuid
+
+    from .session import scratch_path
+    from .streaming import ingest
+    positions, _ = ingest.positions_stream(_stream_events(spark, sf), impute_temperature(_weather(spark, sf)))
+    out = scratch_path(spark, f"a4_{uuid.uuid4().hex}")
+    ingest.run_available(ingest.start_live_view(positions, out + "/view", out + "/_ckpt"))
+    return spark.read.parquet(out + "/view")

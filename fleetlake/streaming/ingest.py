@@ -272,3 +272,26 @@ def outcomes_stream(events: DataFrame, ts: str = "ts", delay: str = "2 minutes")
     rej = rejected.select("bus_id", "ruta", "ruta_raw", "velocidad_kmh", "latitud", "longitud", ts,
                           F.lit("rechazado_validacion").alias("outcome"), "reason")
     return out, rej
+
+
+def start_live_view(positions: DataFrame, path: str, checkpoint: str | None = None,
+                    trigger: dict | None = None) -> StreamingQuery:
+    """A4 as a continuously maintained table: the streaming aggregate by
+    route, hour, band and weather in ``complete`` mode (its key space is
+    bounded by routes x 24 x bands x conditions), each micro-batch replacing
+    the table. Distinct buses are approximate (HLL++), the only distinct
+    count a stream supports."""
+    from ..functions.numeric import round_half_up
+    from ..operators.aggregate import live_view_streaming
+    spark = positions.sparkSession
+    agg = live_view_streaming(positions)
+    agg = agg.select("ruta", "hora", "nivel_congestion", "clima_condicion", "total_pings", "buses_unicos",
+                     *[round_half_up(F.col(c), 2).alias(c)
+                       for c in ("velocidad_promedio", "velocidad_min", "velocidad_max")])
+
+    def replace(df: DataFrame, batch_id: int):
+        df.write.mode("overwrite").parquet(path)
+
+    return (agg.writeStream.outputMode("complete").foreachBatch(replace)
+            .option("checkpointLocation", checkpoint or _ckpt(spark, "live_view"))
+            .trigger(**(trigger or {"availableNow": True})).start())

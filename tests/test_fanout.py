@@ -63,3 +63,17 @@ def test_default_weather_fallback(spark):
     pos = live.enrich_positions(live.normalise_events(ev).drop("reason"), None,
                                 default_weather=("Despejado", 14.0)).first()
     assert pos.clima_condicion == "Despejado" and pos.clima_temperatura == 14.0
+
+
+def test_streaming_live_view_matches_batch(spark):
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    s = {(r.ruta, r.hora, r.nivel_congestion, r.clima_condicion): r
+         for r in E.queries()["a4_live_view_stream"](spark, sf).collect()}
+    b = {(r.ruta, r.hora, r.nivel_congestion, r.clima_condicion): r
+         for r in E.queries()["a4_live_view"](spark, sf).collect()}
+    assert s.keys() == b.keys()
+    for k in b:
+        assert s[k].total_pings == b[k].total_pings
+        assert s[k].velocidad_promedio == b[k].velocidad_promedio
+        assert abs(s[k].buses_unicos - b[k].buses_unicos) <= max(1, 0.05 * b[k].buses_unicos)

@@ -31,12 +31,17 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return F.broadcast(dim) if n <= max_rows else dim
 
 
-def bounded_broadcasts(dims: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS) -> list[DataFrame]:
+def bounded_broadcasts(dims: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       persist: bool = False) -> list[DataFrame]:
     """:func:`bounded_broadcast` for several dimensions with one Spark job:
     the per-dimension ``limit(max_rows + 1)`` counts are the branches of one
-    union, collected as a few small rows."""
+    union, collected as a few small rows. ``persist=True`` caches derived
+    dimensions so the join reads what was counted; a dimension that turns
+    out too large is unpersisted again."""
     if not dims:
         return []
+    if persist:
+        dims = [d.persist(StorageLevel.MEMORY_AND_DISK) for d in dims]
     spark = dims[0].sparkSession
     counts = None
     for i, d in enumerate(dims):
@@ -44,7 +49,15 @@ def bounded_broadcasts(dims: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_
         counts = c if counts is None else counts.unionByName(c)
     n = {r["i"]: r["n"] for r in counts.collect()}
     del spark
-    return [F.broadcast(d) if n[i] <= max_rows else d for i, d in enumerate(dims)]
+    out = []
+    for i, d in enumerate(dims):
+        if n[i] <= max_rows:
+            out.append(F.broadcast(d))
+        else:
+            if persist:
+                d.unpersist()
+            out.append(d)
+    return out
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",

@@ -51,7 +51,7 @@ def wide_mart(fact: DataFrame, users: DataFrame, regions: DataFrame, items: Data
     # one job checks every dimension; each checked dimension is joined to
     # the fact on its own (the region through the user's region id, the
     # snowflake arm), so every broadcast side is exactly a counted frame
-    u_b, r_b, i_b, m_b = bounded_broadcasts([u, r, i, m], max_rows)
+    u_b, r_b, i_b, m_b = bounded_broadcasts([u, r, i, m], max_rows, persist=True)
     j = (fact.join(u_b, "user_id", "inner").join(r_b, "region_id", "inner")
          .join(i_b, "skin_id", "inner").join(m_b, "payment_method_id", "inner"))
     return j.select("transaction_id", "username", "region_name", "rank", "skin_name", "weapon", "rarity",

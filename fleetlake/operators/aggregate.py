@@ -56,16 +56,12 @@ def post_clean_stats(enriched: DataFrame) -> DataFrame:
 
 def band_distribution(enriched: DataFrame, band: str = "Nivel_Congestion") -> DataFrame:
     """A3 + P17: rows per band and their share of all rows (1 decimal),
-    most frequent first. The total is a window over the few band rows."""
+    most frequent first. The total is a one-row aggregate joined to the
+    band rows (no single-partition window)."""
     g = enriched.groupBy(F.col(band).alias("nivel_congestion")).agg(F.count(F.lit(1)).alias("registros"))
-    total = F.sum("registros").over(_all())
-    return g.select("nivel_congestion", "registros",
-                    pct_expr(F.col("registros"), total, 1).alias("porcentaje"))
-
-
-def _all():
-    from pyspark.sql import Window
-    return Window.partitionBy()
+    total = g.agg(F.sum("registros").alias("_total"))
+    return g.crossJoin(F.broadcast(total)).select(
+        "nivel_congestion", "registros", pct_expr(F.col("registros"), F.col("_total"), 1).alias("porcentaje"))
 
 
 def live_view(positions: DataFrame) -> DataFrame:

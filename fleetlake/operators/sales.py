@@ -9,7 +9,7 @@ splits when one key is skewed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_up
@@ -66,11 +66,15 @@ def sales_by_region(mart: DataFrame) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, key: str, count_name: str = "votes", digits: int = 1) -> DataFrame:
-    """W2 + P17: rows per key and their percentage of all rows. The grand
-    total is a window over the aggregated rows (one per key)."""
+    """W2 + P17: rows per key and their percentage of all rows.
+
+    ``SUM(COUNT(*)) OVER ()`` would be a window over one partition holding a
+    row per key (unbounded as keys grow); the grand total is instead a
+    one-row aggregate joined to every key row (a broadcast of one row)."""
     g = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
-    total = F.sum(count_name).over(Window.partitionBy())
-    return g.select(key, count_name, round_half_up(F.col(count_name) * 100.0 / total, digits).alias("percentage"))
+    total = g.agg(F.sum(count_name).alias("_total"))
+    return g.crossJoin(F.broadcast(total)).select(
+        key, count_name, round_half_up(F.col(count_name) * 100.0 / F.col("_total"), digits).alias("percentage"))
 
 
 def beneficiary_totals(donations: DataFrame) -> DataFrame:

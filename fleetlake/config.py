@@ -30,6 +30,9 @@ ROUTE_MAP = {
     "104": "104",
 }
 
+# The live path looks routes up on upper(trim(raw)).
+LIVE_ROUTE_MAP = {"210": "210", "210E": "210E", "502": "502", "502C": "502C", "104": "104"}
+
 # Band name -> half-open speed interval [lo, hi), in declaration order.
 BAND_TABLE = (
     ("Fluido", 30.0, 120.0),
@@ -60,6 +63,13 @@ REASON_LAT = "latitud fuera de Santiago ({})"
 REASON_LON = "longitud fuera de Santiago ({})"
 REASON_DUPLICATE = "duplicado (mismo bus, mismo minuto)"
 
+EVENT_REJECTED = "posicion_rechazada"
+EVENT_DUPLICATE = "posicion_duplicada"
+
+TEXT_DUPLICATES = "Registros duplicados detectados"
+TEXT_RANGE = "Valor fuera de rango [{}, {}] en '{}'"
+TEXT_COORDS = "Coordenadas fuera de Santiago"
+
 # Ping column names of the batch data model.
 BUS = "ID_Bus"
 ROUTE = "Ruta"

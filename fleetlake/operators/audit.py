@@ -10,6 +10,7 @@ import traceback
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..functions.numeric import round_half_up
 
 PROCESS_LOG_SCHEMA = ("proceso string, tipo string, evento string, estado string, registros_leidos long, "
@@ -92,7 +93,7 @@ def activity_log_from_outcomes(outcomes: DataFrame, ts: str = "ts") -> DataFrame
     dup = o == "rechazado_duplicado"
     minute = F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm")
     return outcomes.where(rej | dup).select(
-        F.when(rej, F.lit("posicion_rechazada")).otherwise(F.lit("posicion_duplicada")).alias("event_type"),
+        F.when(rej, F.lit(C.EVENT_REJECTED)).otherwise(F.lit(C.EVENT_DUPLICATE)).alias("event_type"),
         F.when(rej, F.concat(F.lit("validacion: "), F.col("reason")))
         .otherwise(F.concat(F.col("bus_id"), F.lit(" en "), minute)).alias("description"),
         F.when(rej, F.lit("ERROR")).otherwise(F.lit("WARN")).alias("status"),

@@ -115,10 +115,9 @@ def local_validation_report(pings: DataFrame, bounds: Bounds = DEFAULT_BOUNDS) -
     speed = bad_speed(C.SPEED, bounds, "keep")
     box = out_of_box(C.LAT, C.LON, bounds, "keep")
     rules = [
-        (C.RULE_DUPLICATES, "Registros duplicados detectados", F.col("n") > 1),
-        (C.RULE_SPEED, f"Valor fuera de rango [{int(bounds.speed_min)}, {int(bounds.speed_max)}] "
-                       f"en '{C.SPEED}'", speed),
-        (C.RULE_COORDS, "Coordenadas fuera de Santiago", ~speed & box),
+        (C.RULE_DUPLICATES, C.TEXT_DUPLICATES, F.col("n") > 1),
+        (C.RULE_SPEED, C.TEXT_RANGE.format(int(bounds.speed_min), int(bounds.speed_max), C.SPEED), speed),
+        (C.RULE_COORDS, C.TEXT_COORDS, ~speed & box),
     ]
     weight = F.when(F.col("n") > 1, F.col("n") - 1).otherwise(F.lit(0))
     dup = rule_counts(counted, rules[:1], weight)

@@ -188,7 +188,8 @@ def start_fanout(positions: DataFrame, rejected: DataFrame, base: str, trigger:
     pos_q = (positions.writeStream.foreachBatch(write_batch).queryName("positions_fanout")
              .option("checkpointLocation", _ckpt(spark, "positions_fanout"))
              .trigger(**(trigger or {"availableNow": True})).start())
-    rej = rejected.select(F.lit("posicion_rechazada").alias("event_type"),
+    from .. import config as C
+    rej = rejected.select(F.lit(C.EVENT_REJECTED).alias("event_type"),
                           F.concat(F.lit("validacion: "), F.col("reason")).alias("description"),
                           F.lit("ERROR").alias("status"), F.col("ts").alias("created_at"),
                           "bus_id", "ruta_raw")

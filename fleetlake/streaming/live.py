@@ -26,8 +26,7 @@ REJECTED_INVALID = "rechazado_validacion"
 REJECTED_DUPLICATE = "rechazado_duplicado"
 VALID = "valido"
 
-# Canonical routes of the live path: the lookup is on upper(trim(raw)).
-LIVE_ROUTES = {"210": "210", "210E": "210E", "502": "502", "502C": "502C", "104": "104"}
+LIVE_ROUTES = C.LIVE_ROUTE_MAP
 
 POSITION_COLUMNS = ("viaje_id", "bus_id", "ruta", "ruta_raw", "velocidad_kmh", "latitud", "longitud",
                     "hora", "dia_semana", "nivel_congestion", "clima_condicion", "clima_temperatura",
@@ -42,8 +41,10 @@ def _num(c: str, df: DataFrame) -> Column:
     return F.col(c).try_cast("double") if c in df.columns else F.lit(None).cast("double")
 
 
-def _fmt(x: Column) -> Column:
-    return x.cast("string")
+def _reason(template: str, x: Column) -> Column:
+    """Fill a fixed ``...({})`` reason template with the value's text."""
+    prefix, suffix = template.split("{}")
+    return F.concat(F.lit(prefix), x.cast("string"), F.lit(suffix))
 
 
 def normalise_events(events: DataFrame, ts: str = "ts") -> DataFrame:
@@ -73,12 +74,9 @@ def normalise_events(events: DataFrame, ts: str = "ts") -> DataFrame:
     reason = (F.when(F.coalesce(F.col("bus_id"), F.lit("")) == "", F.lit(C.REASON_REQUIRED))
               .when(F.coalesce(F.col("ruta_raw"), F.lit("")) == "", F.lit(C.REASON_REQUIRED))
               .when(s.isNull() | la.isNull() | lo.isNull(), F.lit(C.REASON_NUMERIC))
-              .when(outside(s, b.speed_min, b.speed_max),
-                    F.concat(F.lit("velocidad fuera de rango ("), _fmt(s), F.lit(")")))
-              .when(outside(la, b.lat_min, b.lat_max),
-                    F.concat(F.lit("latitud fuera de Santiago ("), _fmt(la), F.lit(")")))
-              .when(outside(lo, b.lon_min, b.lon_max),
-                    F.concat(F.lit("longitud fuera de Santiago ("), _fmt(lo), F.lit(")"))))
+              .when(outside(s, b.speed_min, b.speed_max), _reason(C.REASON_SPEED, s))
+              .when(outside(la, b.lat_min, b.lat_max), _reason(C.REASON_LAT, la))
+              .when(outside(lo, b.lon_min, b.lon_max), _reason(C.REASON_LON, lo)))
     return typed.withColumn("reason", reason)
 
 

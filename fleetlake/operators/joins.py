@@ -15,11 +15,12 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                       persist: bool = False) -> DataFrame:
     """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``.
 
-    The check is a real count (``limit(max_rows + 1)``, so it stops early on
-    a large side and reads no columns of a parquet scan); an estimate from
-    file sizes is not trusted for a derived dimension. Without the hint the
-    planner falls back to a shuffle join, and AQE may still pick a broadcast
-    from runtime statistics.
+    The check is a real, distributed count (a partial count per task and a
+    one-row final aggregate; a parquet scan reads no columns for it). A
+    ``limit(n).count()`` would funnel up to ``n`` rows of *every* task into
+    one task, so it is not used. An estimate from file sizes is not trusted
+    for a derived dimension. Without the hint the planner falls back to a
+    shuffle join, and AQE may still pick a broadcast from runtime statistics.
 
     ``persist=True`` is for a small *derived* dimension (an aggregate): it is
     cached before the count so the join reads the counted result instead of
@@ -27,15 +28,19 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     """
     if persist:
         dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    n = dim.count()
+    if n <= max_rows:
+        return F.broadcast(dim)
+    if persist:
+        dim.unpersist()
+    return dim
 
 
 def bounded_broadcasts(dims: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS,
                        persist: bool = False) -> list[DataFrame]:
     """:func:`bounded_broadcast` for several dimensions with one Spark job:
-    the per-dimension ``limit(max_rows + 1)`` counts are the branches of one
-    union, collected as a few small rows. ``persist=True`` caches derived
+    the per-dimension counts are the branches of one union, collected as a
+    few small rows. ``persist=True`` caches derived
     dimensions so the join reads what was counted; a dimension that turns
     out too large is unpersisted again."""
     if not dims:
@@ -45,7 +50,7 @@ def bounded_broadcasts(dims: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_
     spark = dims[0].sparkSession
     counts = None
     for i, d in enumerate(dims):
-        c = d.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+        c = d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
         counts = c if counts is None else counts.unionByName(c)
     n = {r["i"]: r["n"] for r in counts.collect()}
     del spark

@@ -94,7 +94,8 @@ def condition_means(detail: DataFrame, cond: str = "Clima_Condicion", speed: str
 def rain_impact(detail: DataFrame, cond: str = "Clima_Condicion", speed: str = C.SPEED,
                 fill_missing: bool = False) -> DataFrame:
     """Clear-day mean minus rain mean, and that difference as a percent
-    of the clear mean (0 when the clear mean is not positive).
+    of the clear mean; 0 when the clear mean is not positive or missing
+    (a missing mean is not > 0), NULL when only the rain mean is missing.
 
     A missing class gives NULL (``fill_missing=False``); with
     ``fill_missing=True`` rain defaults to the lowest and clear to the
@@ -107,7 +108,7 @@ def rain_impact(detail: DataFrame, cond: str = "Clima_Condicion", speed: str = C
         hi = F.greatest(F.col("c0"), F.col("c1"), F.col("c2"))
         clear, rain = F.coalesce(clear, hi), F.coalesce(rain, lo)
     diff = clear - rain
-    pct = F.when(clear > 0, diff / clear * 100).when(clear.isNotNull(), F.lit(0.0))
+    pct = F.when(clear > 0, diff / clear * 100).otherwise(F.lit(0.0))
     return row.select(round_half_up(clear, 4).alias("vel_despejado"), round_half_up(rain, 4).alias("vel_lluvia"),
                       round_half_up(diff, 4).alias("diferencia"), round_half_up(pct, 4).alias("porcentaje"))
 

@@ -82,7 +82,9 @@ def test_argmin_ties_and_absent_class(spark):
     cm = {r.condicion: r.velocidad_promedio for r in insights.condition_means(df).collect()}
     assert cm["Lluvia"] is None and cm["Despejado"] == 10.0
     ri = insights.rain_impact(df).first()
-    assert ri.vel_lluvia is None and ri.diferencia is None
+    assert ri.vel_lluvia is None and ri.diferencia is None and ri.porcentaje is None
+    only_rain = df.withColumn("Clima_Condicion", F.lit("Lluvia"))
+    assert insights.rain_impact(only_rain).first().porcentaje == 0.0   # clear missing: NaN > 0 is false
     ri2 = insights.rain_impact(df, fill_missing=True).first()
     assert ri2.vel_lluvia == 10.0 and ri2.vel_despejado == 10.0
     sh = {r.Ruta: r for r in insights.band_shares(df).collect()}

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..config import DEFAULT_BOUNDS, Bounds
+from ..config import DEFAULT_BOUNDS
 from ..functions.bands import band_sql
 from ..functions.numeric import round_half_even
 from ..functions.text import clean_id
@@ -160,4 +160,4 @@ def recent_positions(positions: DataFrame, n: int = 50, ts: str = "ingest_timest
 
 
 __all__ = ["normalise_events", "dedup_batch", "enrich_positions", "process_batch", "events_from_pings",
-           "recent_positions", "Bounds"]
+           "recent_positions"]

@@ -108,7 +108,9 @@ def enrich_positions(accepted: DataFrame, weather: DataFrame | None = None, ts:
     if weather is not None:
         w = weather.select(F.col("fecha").alias("_fecha"), F.col("condicion").alias("clima_condicion"),
                            F.col("temperatura_promedio").alias("clima_temperatura"))
-        out = join_dimension(out, w, "_fecha", "left", 1_000_000)
+        # persisted by the size check: a stream-static join re-runs the static
+        # side's plan in every micro-batch unless it is cached
+        out = join_dimension(out, w, "_fecha", "left", 1_000_000, persist=True)
     else:
         out = out.withColumn("clima_condicion", F.lit(None).cast("string")) \
                  .withColumn("clima_temperatura", F.lit(None).cast("double"))

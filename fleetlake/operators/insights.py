@@ -45,8 +45,13 @@ def heatmap(detail: DataFrame, route: str = "Ruta", hour: str = "Hora", speed: s
 def worst_cells(detail: DataFrame, route: str = "Ruta", hour: str = "Hora",
                 speed: str = C.SPEED) -> DataFrame:
     """A10: worst hour (lowest unweighted mean of the rounded cells of its
-    column), its mean, and worst route (lowest mean of its row)."""
-    cells = heatmap_cells(detail, route, hour, speed)
+    column), its mean, and worst route (lowest mean of its row).
+
+    The cells carry one decimal, so their means are taken in decimal
+    arithmetic: equal means are then exactly equal (a float sum depends on
+    the order of addition) and the tie goes to the smallest key."""
+    cells = heatmap_cells(detail, route, hour, speed).withColumn(
+        "velocidad", F.col("velocidad").cast("decimal(38,6)"))
     by_hour = cells.groupBy(hour).agg(F.avg("velocidad").alias("m"))
     by_route = cells.groupBy(route).agg(F.avg("velocidad").alias("m"))
     h = by_hour.agg(F.min_by(F.struct("m", hour), F.struct("m", hour)).alias("x")) \
@@ -65,8 +70,10 @@ def hour_series(detail: DataFrame, route: str = "Ruta", hour: str = "Hora",
 
 def peak_hours(detail: DataFrame, hour: str = "Hora", speed: str = C.SPEED) -> DataFrame:
     """Global mean by hour -> peak (lowest), free (highest) hour and
-    the window to avoid, [max(0, h-1), min(23, h+1)]."""
-    g = _clean(detail, hour).groupBy(hour).agg(F.avg(speed).alias("m"))
+    the window to avoid, [max(0, h-1), min(23, h+1)]. Means are decimal
+    (exact sums), so the argmin/argmax does not depend on float summation
+    order; ties go to the smallest hour."""
+    g = _clean(detail, hour).groupBy(hour).agg(F.avg(F.col(speed).cast("decimal(38,6)")).alias("m"))
     out = g.agg(F.min_by(F.col(hour), F.struct("m", hour)).alias("hora_punta"),
                 F.max_by(F.col(hour), F.struct("m", -F.col(hour))).alias("hora_libre"))
     return out.select("hora_punta", "hora_libre",

@@ -9,6 +9,7 @@ the result is a pure function of the input tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,15 +18,18 @@ from pyspark.sql import functions as F
 from . import config as C
 from .config import ImputePolicy, RouteMap
 from .functions.bands import band_sql, band_table
-from .functions.text import canonical_route, composite_key
+from .functions.numeric import round_half_up
+from .functions.text import canonical_route, composite_key, minute_bucket
 from .functions.time import with_date_parts
 from .operators import aggregate as agg
 from .operators import audit, insights, quality, sales, starschema
 from .operators.dedup import split_duplicates
 from .operators.enrich import impute_temperature, mean_temperature
-from .plans import local, warehouse
+from .plans import local, manual, warehouse
+from .session import scratch_path
 from .sources import testdata as td
-from .streaming import live
+from .sources.files import ingest_raw
+from .streaming import ingest, live
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -409,7 +413,6 @@ def a19_a(spark, sf):
 
 @register("a19_speed_by_hour")
 def a19_b(spark, sf):
-    from .functions.numeric import round_half_up
     v = agg.live_view(_positions(spark, sf))
     return v.groupBy("hora").agg(round_half_up(F.avg("velocidad_promedio"), 4).alias("velocidad_promedio"))
 
@@ -422,7 +425,6 @@ def a19_c(spark, sf):
 
 @register("a19_speed_by_condition")
 def a19_d(spark, sf):
-    from .functions.numeric import round_half_up
     v = agg.live_view(_positions(spark, sf))
     return v.groupBy("clima_condicion").agg(round_half_up(F.avg("velocidad_promedio"), 4)
                                             .alias("velocidad_promedio"))
@@ -577,7 +579,6 @@ def d7_users(spark, sf):
 
 @register("d7_dim_regions")
 def d7_regions(spark, sf):
-    from .functions.numeric import round_half_up
     r = sales.dim_regions(td.regions(spark, sf))
     return r.withColumn("avg_player_spending", round_half_up(F.col("avg_player_spending"), 4))
 
@@ -631,10 +632,6 @@ def _stream_events(spark, sf):
 
 @register("r2_stream_dedup")
 def r2_stream(spark, sf):
-    import uuid
-
-    from .session import scratch_path
-    from .streaming import ingest
     positions, _ = ingest.positions_stream(_stream_events(spark, sf), impute_temperature(_weather(spark, sf)))
     out = scratch_path(spark, f"r2_{uuid.uuid4().hex}")
     q = (positions.writeStream.format("parquet").option("path", out + "/data")
@@ -646,10 +643,6 @@ def r2_stream(spark, sf):
 @register("r4_stream_rejections")
 def r4_stream(spark, sf):
     """The rejected-event side output of the stream (file sink)."""
-    import uuid
-
-    from .session import scratch_path
-    from .streaming import ingest
     _, rejected = ingest.positions_stream(_stream_events(spark, sf))
     out = scratch_path(spark, f"r4_{uuid.uuid4().hex}")
     q = (rejected.writeStream.format("parquet").option("path", out + "/data")
@@ -662,10 +655,6 @@ def r4_stream(spark, sf):
 def k7(spark, sf):
     """K7: accepted positions written by the stream as NDJSON partitioned by
     ingest day, read back."""
-    import uuid
-
-    from .session import scratch_path
-    from .streaming import ingest
     positions, _ = ingest.positions_stream(_stream_events(spark, sf), impute_temperature(_weather(spark, sf)))
     out = scratch_path(spark, f"k7_{uuid.uuid4().hex}")
     ingest.run_available(ingest.start_lake_sink(positions, out + "/lake", name=None,
@@ -677,7 +666,6 @@ def k7(spark, sf):
 
 @register("p15_minute_bucket")
 def p15(spark, sf):
-    from .functions.text import minute_bucket
     return (_pings(spark, sf).groupBy(F.col(C.BUS).alias("bus_id"), minute_bucket(C.TS).alias("minuto"))
             .agg(F.count(F.lit(1)).alias("pings")))
 
@@ -689,7 +677,6 @@ def l3(spark, sf):
 
 @register("s10_raw_manifest")
 def s10(spark, sf):
-    from .sources.files import ingest_raw
     return ingest_raw(spark, [f"{sf}/*.parquet"]).drop("modificado")
 
 
@@ -697,23 +684,17 @@ def s10(spark, sf):
 
 @register("j1_enriched_manual")
 def j1_manual(spark, sf):
-    from .plans import manual
     return manual.enriched(_pings(spark, sf), _weather(spark, sf))
 
 
 @register("a1_route_hour_manual")
 def a1_manual(spark, sf):
-    from .plans import manual
     return manual.route_hour(manual.enriched(_pings(spark, sf), _weather(spark, sf)))
 
 
 @register("r1_stream_outcomes")
 def r1_stream(spark, sf):
     """R1 as a stream with every event's outcome, duplicates included."""
-    import uuid
-
-    from .session import scratch_path
-    from .streaming import ingest
     valid, rejected = ingest.outcomes_stream(_stream_events(spark, sf))
     out = scratch_path(spark, f"r1_{uuid.uuid4().hex}")
     for name, df in (("valid", valid), ("rejected", rejected)):
@@ -727,10 +708,6 @@ def r1_stream(spark, sf):
 @register("a4_live_view_stream")
 def a4_stream(spark, sf):
     """A4 maintained by a streaming aggregation (approximate distinct buses)."""
-    import uuid
-
-    from .session import scratch_path
-    from .streaming import ingest
     positions, _ = ingest.positions_stream(_stream_events(spark, sf), impute_temperature(_weather(spark, sf)))
     out = scratch_path(spark, f"a4_{uuid.uuid4().hex}")
     ingest.run_available(ingest.start_live_view(positions, out + "/view", out + "/_ckpt"))

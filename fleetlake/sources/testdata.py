@@ -124,14 +124,15 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_size").cast("long").alias("collection"))
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str,
+                 tables: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Line items joined to their orders (the largest join of the domain).
 
-    Both sides are keyed by order key; on a cluster store them bucketed by
-    ``l_orderkey``/``o_orderkey`` so this sort-merge join needs no exchange.
+    Both sides are keyed by order key; pass ``tables`` from
+    :func:`bucketed_order_tables` (bucketed by the order key) and this
+    sort-merge join reads co-located buckets without an exchange.
     """
-    li = read_table(spark, sf_dir, "lineitem")
-    o = read_table(spark, sf_dir, "orders")
+    li, o = tables or (read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders"))
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     return j.select(
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("transaction_id"),
@@ -143,3 +144,17 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_discount") * 100).alias("discount_percent"),
         (F.col("l_linenumber") > 1).alias("bundle_purchase"),
     )
+
+
+def bucketed_order_tables(spark: SparkSession, sf_dir: str, buckets: int, prefix: str = "fl",
+                          location: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write ``lineitem`` and ``orders`` as tables bucketed (and sorted) by
+    the order key into ``buckets`` buckets, once, and return them: joins and
+    aggregations on the order key then read co-located buckets and need no
+    exchange. ``location`` is a shared folder for the table files."""
+    from ..sinks.files import replace_table
+    li, o = f"{prefix}_lineitem_b{buckets}", f"{prefix}_orders_b{buckets}"
+    for name, table, key in ((li, "lineitem", "l_orderkey"), (o, "orders", "o_orderkey")):
+        path = os.path.join(location, name) if location else None
+        replace_table(read_table(spark, sf_dir, table), name, path=path, bucket_by=(buckets, [key]))
+    return spark.table(li), spark.table(o)

@@ -131,3 +131,23 @@ def test_oracle_small(spark, name):
     idx = [dcols.index(c) for c in cols]
     drows = sorted((tuple(norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
     assert srows == drows
+
+
+def test_bucketed_order_tables_join_without_exchange(spark, tmpdir_path):
+    import contextlib
+    import io
+
+    from fleetlake.sources import testdata as td
+    li, o = td.bucketed_order_tables(spark, SF, 4, prefix="t", location=tmpdir_path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            j.explain()
+        plan = buf.getvalue()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == td.read_table(spark, SF, "lineitem").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

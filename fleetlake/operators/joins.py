@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A dimension is broadcast only when a count proves it has at most this many
-# rows; beyond it the join stays a shuffle (sort-merge) join.
+# rows; beyond it the join stays a shuffle (sort-merge) join. With the
+# projected dimension rows used here (a few narrow columns, ~100 bytes) the
+# broadcast stays in the low hundreds of MB, far below Spark's 8 GB limit.
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
@@ -47,13 +49,11 @@ def bounded_broadcasts(dims: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_
         return []
     if persist:
         dims = [d.persist(StorageLevel.MEMORY_AND_DISK) for d in dims]
-    spark = dims[0].sparkSession
     counts = None
     for i, d in enumerate(dims):
         c = d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
         counts = c if counts is None else counts.unionByName(c)
     n = {r["i"]: r["n"] for r in counts.collect()}
-    del spark
     out = []
     for i, d in enumerate(dims):
         if n[i] <= max_rows:

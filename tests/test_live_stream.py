@@ -114,3 +114,36 @@ def test_outcome_stream_keeps_duplicates_across_batches(spark, tmpdir_path):
                    ("B2", 5, "aceptado"), ("B2", 50, "rechazado_duplicado")]
     rej = spark.read.parquet(f"{out}/rejected").collect()
     assert [r.reason for r in rej] == ["velocidad fuera de rango (999.0)"]
+
+
+def test_dedup_state_is_evicted_by_the_watermark(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+
+    def put(name, evs):
+        with open(os.path.join(src, name), "w") as f:
+            for e in evs:
+                f.write(json.dumps(e) + "\n")
+
+    def ev(bus, hh, mm):
+        return {"bus_id": bus, "ruta": "210", "velocidad_kmh": "20", "latitud": "-33.45", "longitud": "-70.66",
+                "ts": f"2024-01-05 {hh:02d}:{mm:02d}:00"}
+
+    ck = os.path.join(tmpdir_path, "ck")
+
+    def run():
+        pos, _ = ingest.positions_stream(ingest.read_ping_events(spark, src), observe=False)
+        q = (pos.writeStream.format("noop").option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+        ingest.run_available(q, 300)
+        return [p for p in q.recentProgress if p.stateOperators]
+
+    put("a.json", [ev(f"B{i}", 10, i) for i in range(20)])      # 20 keys in minutes 10:00-10:19
+    first = run()
+    # after the data batch the watermark is 10:17; the closing no-data batch
+    # evicts every key whose minute is more than the delay behind it
+    assert first[-1].stateOperators[0].numRowsTotal <= 5
+    put("b.json", [ev("B0", 12, 0)])                              # watermark moves to 11:58
+    second = run()
+    # every earlier key is now below the watermark: the state holds only the new key
+    assert second[-1].stateOperators[0].numRowsTotal <= 1

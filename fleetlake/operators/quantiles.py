@@ -27,6 +27,10 @@ from pyspark.sql import functions as F
 from .joins import bounded_broadcast
 
 GROUPS_MAX_ROWS = 1_000_000
+# Spark's exact ``percentile`` keeps a value->count map per group; it is used
+# (weighted by the frequency table) only when a count proves that no group
+# has more distinct values than this, i.e. the map stays below ~100 MB.
+PERCENTILE_MAX_DISTINCT = 2_000_000
 
 
 def value_frequencies(df: DataFrame, groups: list[str], value: str) -> DataFrame:
@@ -100,25 +104,49 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[fl
         *[F.max(F.when(F.col("_q") == i, qv)).alias(nm) for i, nm in enumerate(names)])
 
 
+def weighted_quantiles(freq: DataFrame, groups: list[str], value: str, probs: list[float],
+                       names: list[str]) -> DataFrame:
+    """Exact quantiles from a frequency table with Spark's ``percentile``
+    weighted by the counts: one aggregation; per-group memory is the number
+    of distinct values of the group."""
+    q = freq.groupBy(*groups).agg(
+        F.sum("_c").alias("n"),
+        F.percentile(F.col(value), F.array(*[F.lit(p) for p in probs]), F.col("_c")).alias("_q"))
+    return q.select(*groups, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
+
+
 def box_stats(df: DataFrame, groups: list[str], value: str, whisker: float = 1.5) -> DataFrame:
     """Per group: n, mean, q1, median, q3, IQR, whiskers (most extreme
     values within ``whisker`` IQR of the box) and the outlier count.
 
-    Quartiles come from :func:`exact_quantiles`; the mean, whiskers and
-    outliers from one more aggregation over the frequency table, with the
-    few per-group fences joined in (size-checked broadcast).
+    Quartiles are exact either way: from :func:`weighted_quantiles` when a
+    count proves every group has at most ``PERCENTILE_MAX_DISTINCT`` distinct
+    values (one aggregation), else from :func:`exact_quantiles` (distributed
+    prefix sums, no group in one task). The mean, whiskers and outliers come
+    from one more aggregation over the frequency table, with the per-group
+    fences joined in (size-checked broadcast).
     """
-    # used by three branches: computed once (MEMORY_AND_DISK, so it can
+    # used by several branches: computed once (MEMORY_AND_DISK, so it can
     # spill; lost blocks are recomputed from lineage)
     freq = value_frequencies(df, groups, value).persist(StorageLevel.MEMORY_AND_DISK)
-    ranked = ranked_frequencies(freq, groups, value)
-    q = exact_quantiles(df, groups, value, [0.25, 0.5, 0.75], ["q1", "mediana", "q3"], ranked=ranked)
+    probs, names = [0.25, 0.5, 0.75], ["q1", "mediana", "q3"]
+    # one job proves both bounds: the widest group (distinct values, the
+    # size of ``percentile``'s map) and the number of groups (the size of
+    # the fences table, one row per group)
+    row = freq.groupBy(*groups).agg(F.count(F.lit(1)).alias("_d")) \
+        .agg(F.max("_d").alias("widest"), F.count(F.lit(1)).alias("groups")).first()
+    widest, n_groups = (row["widest"] or 0), row["groups"]
+    if widest <= PERCENTILE_MAX_DISTINCT:
+        q = weighted_quantiles(freq, groups, value, probs, names)
+    else:
+        q = exact_quantiles(df, groups, value, probs, names, ranked=ranked_frequencies(freq, groups, value))
     iqr = F.col("q3") - F.col("q1")
     fences = q.select(*groups, "n", "q1", "mediana", "q3", iqr.alias("iqr"),
                       (F.col("q1") - whisker * iqr).alias("_lof"), (F.col("q3") + whisker * iqr).alias("_hif"))
-    fb = bounded_broadcast(fences, GROUPS_MAX_ROWS, persist=True)
+    fence_cols = fences.select(*groups, "_lof", "_hif")
+    fb = F.broadcast(fence_cols) if n_groups <= GROUPS_MAX_ROWS else fence_cols
     v, c = F.col(value), F.col("_c")
-    j = freq.join(fb.select(*groups, "_lof", "_hif"), groups, "inner")
+    j = freq.join(fb, groups, "inner")
     stats = j.groupBy(*groups).agg(
         (F.sum(v * c) / F.sum(c)).alias("media"),
         F.min(F.when(v >= F.col("_lof"), v)).alias("bigote_inf"),

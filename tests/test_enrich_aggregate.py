@@ -98,3 +98,17 @@ def test_band_distribution_sums_to_100(spark):
                                "Nivel_Congestion string")
     rows = aggregate.band_distribution(df).collect()
     assert abs(sum(r.porcentaje for r in rows) - 100.0) < 0.2
+
+
+def test_box_stats_distributed_path_equals_percentile_path(spark, monkeypatch):
+    from fleetlake.operators import quantiles
+    rnd = random.Random(11)
+    rows = [("hot", rnd.gauss(30, 10)) for _ in range(2000)] + [(f"g{i % 4}", rnd.gauss(50, 5)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    fast = {r.k: r for r in quantiles.box_stats(df, ["k"], "v").collect()}
+    monkeypatch.setattr(quantiles, "PERCENTILE_MAX_DISTINCT", 0)      # force the prefix-sum path
+    dist = {r.k: r for r in quantiles.box_stats(df, ["k"], "v").collect()}
+    assert fast.keys() == dist.keys()
+    for k in fast:
+        for c in ("n", "q1", "mediana", "q3", "bigote_inf", "bigote_sup", "atipicos"):
+            assert abs(fast[k][c] - dist[k][c]) < 1e-9, (k, c)

@@ -712,3 +712,18 @@ def a4_stream(spark, sf):
     out = scratch_path(spark, f"a4_{uuid.uuid4().hex}")
     ingest.run_available(ingest.start_live_view(positions, out + "/view", out + "/_ckpt"))
     return spark.read.parquet(out + "/view")
+
+
+@register("v17_first_errors")
+def v17_first(spark, sf):
+    """The first 10 quarantined events (top-k by all columns)."""
+    o = _outcomes(spark, sf)
+    tagged = o.withColumn("error", F.when(F.col("outcome") == live.REJECTED_INVALID, F.col("reason")))
+    return audit.first_errors(tagged, 10)
+
+
+@register("a5_recent_summary")
+def a5_recent(spark, sf):
+    """A5, in-memory form: the summary over the 200 most recent accepted
+    positions (the service's buffer)."""
+    return agg.live_summary(live.recent_positions(_positions(spark, sf), 200))

@@ -116,14 +116,6 @@ class RouteMap:
     mode: str = "case"
 
 
-@dataclass(frozen=True)
-class NullPolicy:
-    """``drop``: the warehouse filter (NULL fails BETWEEN); ``keep``: the
-    pandas mask (a NULL comparison is not invalid)."""
-
-    nulls: str = "drop"
-
-
 @dataclass(frozen=True)
 class ImputePolicy:
     """How null temperatures are filled: mean of the non-null values,

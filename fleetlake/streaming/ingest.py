@@ -146,11 +146,16 @@ def start_lake_sink(positions: DataFrame, path: str, name: str | None = "positio
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+REQUIRED_POSITION_COLUMNS = ["viaje_id", "bus_id"]
+
+
 def start_table_sink(positions: DataFrame, path: str, name: str = "positions_table",
                      trigger: dict | None = None) -> StreamingQuery:
-    """K8: append to the positions table (parquet files)."""
+    """K8 + K5: append to the positions table (parquet files); a row with a
+    NULL in a required column fails the batch instead of being stored."""
+    from ..sinks.files import check_not_null
     spark = positions.sparkSession
-    w = (positions.writeStream.format("parquet").option("path", path)
+    w = (check_not_null(positions, REQUIRED_POSITION_COLUMNS).writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", _ckpt(spark, name)).queryName(name).outputMode("append"))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
@@ -166,8 +171,10 @@ def start_fanout(positions: DataFrame, rejected: DataFrame, base: str, trigger:
     spark = positions.sparkSession
     log_path = log_path or os.path.join(base, "activity_log")
 
+    from ..sinks.files import check_not_null
+
     def write_batch(df: DataFrame, batch_id: int):
-        df = df.persist()
+        df = check_not_null(df, REQUIRED_POSITION_COLUMNS).persist()
         try:
             for kind, fn in (
                 ("lake", lambda: df.withColumn("day", F.date_format("ingest_timestamp", "yyyyMMdd"))

@@ -77,3 +77,15 @@ def test_streaming_live_view_matches_batch(spark):
         assert s[k].total_pings == b[k].total_pings
         assert s[k].velocidad_promedio == b[k].velocidad_promedio
         assert abs(s[k].buses_unicos - b[k].buses_unicos) <= max(1, 0.05 * b[k].buses_unicos)
+
+
+def test_table_sink_enforces_required_columns(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write(json.dumps({"bus_id": "BUS_1", "ruta": "210", "velocidad_kmh": "20", "latitud": "-33.45",
+                            "longitud": "-70.66", "ts": "2024-01-05 10:00:00"}) + "\n")
+    pos, _ = ingest.positions_stream(ingest.read_ping_events(spark, src))
+    q = ingest.start_table_sink(pos, os.path.join(tmpdir_path, "table"), name="tbl_ok")
+    ingest.run_available(q, 120)
+    assert spark.read.parquet(os.path.join(tmpdir_path, "table")).count() == 1

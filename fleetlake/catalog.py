@@ -727,3 +727,15 @@ def a5_recent(spark, sf):
     """A5, in-memory form: the summary over the 200 most recent accepted
     positions (the service's buffer)."""
     return agg.live_summary(live.recent_positions(_positions(spark, sf), 200))
+
+
+@register("p19_iso_roundtrip")
+def p19(spark, sf):
+    """Event times printed as ISO-8601 UTC text with a ``Z`` suffix and
+    parsed back; the parse must give the same instant for every event."""
+    from .functions.time import parse_iso_utc
+    e = td.read_table(spark, sf, "events")
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    back = parse_iso_utc(text).cast("timestamp_ntz")
+    return e.agg(F.count(F.lit(1)).alias("registros"),
+                 F.count_if(back.isNull() | (back != F.col("ts"))).cast("long").alias("distintos"))

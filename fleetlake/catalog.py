@@ -20,7 +20,7 @@ from .config import ImputePolicy, RouteMap
 from .functions.bands import band_sql, band_table
 from .functions.numeric import round_half_up
 from .functions.text import canonical_route, composite_key, minute_bucket
-from .functions.time import with_date_parts
+from .functions.time import parse_iso_utc, with_date_parts
 from .operators import aggregate as agg
 from .operators import audit, insights, quality, sales, starschema
 from .operators.dedup import split_duplicates
@@ -733,7 +733,6 @@ def a5_recent(spark, sf):
 def p19(spark, sf):
     """Event times printed as ISO-8601 UTC text with a ``Z`` suffix and
     parsed back; the parse must give the same instant for every event."""
-    from .functions.time import parse_iso_utc
     e = td.read_table(spark, sf, "events")
     text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
     back = parse_iso_utc(text).cast("timestamp_ntz")

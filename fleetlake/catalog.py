@@ -20,7 +20,7 @@ from .config import ImputePolicy, RouteMap
 from .functions.bands import band_sql, band_table
 from .functions.numeric import round_half_up
 from .functions.text import canonical_route, composite_key, minute_bucket
-from .functions.time import parse_iso_utc, with_date_parts
+from .functions.time import parse_iso_utc, parse_ts, with_date_parts
 from .operators import aggregate as agg
 from .operators import audit, insights, quality, sales, starschema
 from .operators.dedup import split_duplicates
@@ -738,3 +738,14 @@ def p19(spark, sf):
     back = parse_iso_utc(text).cast("timestamp_ntz")
     return e.agg(F.count(F.lit(1)).alias("registros"),
                  F.count_if(back.isNull() | (back != F.col("ts"))).cast("long").alias("distintos"))
+
+
+@register("p6_text_timestamp")
+def p6(spark, sf):
+    """Event times as 'yyyy-MM-dd HH:mm:ss' text (the CSV form) parsed
+    strictly back; every parse must equal the time truncated to seconds."""
+    e = td.read_table(spark, sf, "events")
+    back = parse_ts(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    return e.agg(F.count(F.lit(1)).alias("registros"),
+                 F.count_if(back.isNull() | (back != F.date_trunc("second", "ts").cast("timestamp_ntz")))
+                 .cast("long").alias("distintos"))

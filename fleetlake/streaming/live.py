@@ -41,10 +41,19 @@ def _num(c: str, df: DataFrame) -> Column:
     return F.col(c).try_cast("double") if c in df.columns else F.lit(None).cast("double")
 
 
+def _pytext(x: Column) -> Column:
+    """The value's text as the original service prints it: Python's
+    ``nan``/``inf``/``-inf`` instead of Spark's ``NaN``/``Infinity``."""
+    return (F.when(F.isnan(x), F.lit("nan"))
+            .when(x == float("inf"), F.lit("inf"))
+            .when(x == float("-inf"), F.lit("-inf"))
+            .otherwise(x.cast("string")))
+
+
 def _reason(template: str, x: Column) -> Column:
     """Fill a fixed ``...({})`` reason template with the value's text."""
     prefix, suffix = template.split("{}")
-    return F.concat(F.lit(prefix), x.cast("string"), F.lit(suffix))
+    return F.concat(F.lit(prefix), _pytext(x), F.lit(suffix))
 
 
 def normalise_events(events: DataFrame, ts: str = "ts") -> DataFrame:

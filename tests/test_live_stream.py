@@ -40,7 +40,7 @@ def test_event_edge_cases(spark):
     assert n["BUS_1"] == "bus_id y ruta son obligatorios"
     assert n["BUS_2"] == "velocidad_kmh, latitud y longitud deben ser numéricos"
     assert n["BUS_3"] == "velocidad_kmh, latitud y longitud deben ser numéricos"
-    assert n["BUS_4"].startswith("velocidad fuera de rango")
+    assert n["BUS_4"] == "velocidad fuera de rango (nan)"
     assert n["BUS_5"] is None           # -0.04 rounds to -0.0 and passes
     assert n["BUS_6"] == "latitud fuera de Santiago (-34.0)"
 

@@ -42,12 +42,36 @@ def _num(c: str, df: DataFrame) -> Column:
 
 
 def _pytext(x: Column) -> Column:
-    """The value's text as the original service prints it: Python's
-    ``nan``/``inf``/``-inf`` instead of Spark's ``NaN``/``Infinity``."""
+    """The value's text as the original service prints it (Python ``repr``
+    of a float): ``nan``/``inf``/``-inf``, positional notation for decimal
+    exponents -4..15 (Spark switches to ``1.0E7`` at 1e7 and below 1e-3) and
+    ``1.5e-05`` / ``1e+16`` style beyond. Spark's text already carries the
+    shortest digits; only their layout is changed."""
+    t = x.cast("string")
+    pat = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
+    sign, lead = F.regexp_extract(t, pat, 1), F.regexp_extract(t, pat, 2)
+    frac = F.regexp_replace(F.regexp_extract(t, pat, 3), "0+$", "")
+    exp = F.regexp_extract(t, pat, 4).try_cast("int")
+    digits = F.concat(lead, frac)
+    width = exp + 1
+    int_part = F.when(F.length(digits) <= width, F.rpad(digits, width, "0")) \
+        .otherwise(F.substring(digits, 1, width))
+    frac_part = F.when(F.length(digits) > width,
+                       F.regexp_replace(digits, F.concat(F.lit("^.{"), width.cast("string"), F.lit("}")),
+                                        F.lit(""))).otherwise(F.lit("0"))
+    positional = F.concat(sign, int_part, F.lit("."), frac_part)
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    mantissa = F.when(frac == "", lead).otherwise(F.concat(lead, F.lit("."), frac))
+    sci = F.concat(sign, mantissa, F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
+                   F.lpad(F.abs(exp).cast("string"), 2, "0"))
+    layout = (F.when(exp.isNull(), t)
+              .when((exp >= 0) & (exp < 16), positional)
+              .when(exp == -4, small)
+              .otherwise(sci))
     return (F.when(F.isnan(x), F.lit("nan"))
             .when(x == float("inf"), F.lit("inf"))
             .when(x == float("-inf"), F.lit("-inf"))
-            .otherwise(x.cast("string")))
+            .otherwise(layout))
 
 
 def _reason(template: str, x: Column) -> Column:

@@ -147,3 +147,11 @@ def test_dedup_state_is_evicted_by_the_watermark(spark, tmpdir_path):
     second = run()
     # every earlier key is now below the watermark: the state holds only the new key
     assert second[-1].stateOperators[0].numRowsTotal <= 1
+
+
+def test_reason_values_print_like_python_repr(spark):
+    vals = [999.0, -5.0, 120.1, 12345678.9, 1e7, 99999999.0, -1e8, 1.5e15, 1e16, 2.5e20, 0.0001, 0.00015,
+            -0.0002, 1.5e-05, 1e-07, 123.45, 0.001, float("nan"), float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r[0] for r in df.select(live._pytext(F.col("x"))).collect()]
+    assert got == [repr(v) for v in vals]

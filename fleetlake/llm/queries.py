@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing
+from . import exact, mixing, simhash
 from .runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,10 @@ def op10_exact_dedup(spark, sf):
     that the refinement never had to hash is added for the digest."""
     docs = table(spark, sf, "documents")
     return exact.exact_groups(docs, digest=True)
+
+
+@register("op6_simhash")
+def op6_simhash(spark, sf):
+    """Fingerprints and near-duplicate components of all documents: 3-word
+    shingles, at most 2 differing bits."""
+    return simhash.simhash_components(table(spark, sf, "documents"), shingle_words=3, max_bits=2)

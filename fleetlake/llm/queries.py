@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing, simhash
+from . import exact, mixing, pieces, simhash, token_counts
 from .runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,15 @@ def op6_simhash(spark, sf):
     """Fingerprints and near-duplicate components of all documents: 3-word
     shingles, at most 2 differing bits."""
     return simhash.simhash_components(table(spark, sf, "documents"), shingle_words=3, max_bits=2)
+
+
+@register("op1_sentencepiece")
+def op1_sentencepiece(spark, sf):
+    """Merge-dropout encoding (10 %) of all documents, decoded again."""
+    return pieces.encode_documents(table(spark, sf, "documents"), dropout=0.1, seed=1)
+
+
+@register("op5_token_counts")
+def op5_token_counts(spark, sf):
+    """Unigram token counts of all documents."""
+    return token_counts.token_counts(table(spark, sf, "documents"))

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing, pieces, simhash, token_counts
+from . import exact, lm, mixing, pieces, simhash, token_counts
 from .runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,9 @@ def op1_sentencepiece(spark, sf):
 def op5_token_counts(spark, sf):
     """Unigram token counts of all documents."""
     return token_counts.token_counts(table(spark, sf, "documents"))
+
+
+@register("op9_lm_scores")
+def op9_lm_scores(spark, sf):
+    """Log-bilinear model of the training documents, scores of all documents."""
+    return lm.lm_scores(table(spark, sf, "documents"))

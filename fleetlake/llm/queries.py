@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, lm, mixing, pieces, simhash, token_counts
+from . import exact, lm, mixing, near_vectors, pieces, simhash, token_counts
 from .runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,25 @@ def op5_token_counts(spark, sf):
 def op9_lm_scores(spark, sf):
     """Log-bilinear model of the training documents, scores of all documents."""
     return lm.lm_scores(table(spark, sf, "documents"))
+
+
+@register("op2_near_vectors", sql="""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+u AS (
+  SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+r(vec_id, low) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION SELECT l.a, r.low FROM l JOIN r ON l.b = r.vec_id)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = r.vec_id) AS n_links, min(low) AS component_id,
+       vec_id = min(low) AS kept
+FROM r GROUP BY vec_id
+""")
+def op2_near_vectors(spark, sf):
+    """Links at cosine 0.95 or more among all embeddings, and components."""
+    return near_vectors.near_vectors(table(spark, sf, "embeddings"), threshold=0.95)

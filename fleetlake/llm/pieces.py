@@ -37,7 +37,7 @@ DROPOUT = 0.1
 SEED = 1
 #: Segmentations that a chunk can have under one seed.
 VARIANTS = 4
-#: Chunks remembered by a Python worker (about 100 MB); then it starts anew.
+#: Chunks remembered by a Python worker (about 100 MB).
 CACHE_CHUNKS = 400_000
 #: Longer chunks are segmented one by one with a heap.
 ROW_SYMBOLS = 32
@@ -231,6 +231,7 @@ class Encoder:
         self.cut = min(1 << 32, round(dropout * (1 << 32)))
         self.seed, self.variants = seed, variants if self.cut else 1
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.room = CACHE_CHUNKS
 
     def draws(self, doc: str, n: int) -> list[int]:
         if self.variants == 1:
@@ -240,30 +241,58 @@ class Encoder:
 
     def encode(self, texts: list[str | None], docs: list[str]) -> list[np.ndarray]:
         """Piece ids of each text; ``docs`` names the document of each."""
-        if sum(map(len, self.known)) > CACHE_CHUNKS:
-            self.known = [{} for _ in range(self.variants)]
         known = self.known
-        cut_up, missing = [], set()
+        found: list[list[bytes | None]] = []
+        holes: list[tuple[list, int, str, int]] = []
         for text, doc in zip(texts, docs, strict=True):
             chunks = CHUNK.findall(" " + text) if text else []
             draws = self.draws(doc, len(chunks))
-            cut_up.append((chunks, draws))
-            missing.update([(c, v) for c, v in zip(chunks, draws, strict=True) if c not in known[v]])
-        if missing:
-            todo = list(missing)
+            ids = [known[v].get(c) for c, v in zip(chunks, draws, strict=True)]
+            found.append(ids)
+            if None in ids:
+                holes += [(ids, k, chunks[k], draws[k]) for k, x in enumerate(ids) if x is None]
+        if holes:
+            todo = list({(c, v) for _, _, c, v in holes})
             keys = [xxhash.xxh64_intdigest(c.encode("utf-8", "surrogatepass"), (self.seed * self.variants + v) & _M)
                     for c, v in todo]
-            for (c, v), ids in zip(todo, self.merges.segment([c for c, _ in todo], keys, self.cut), strict=True):
-                known[v][c] = ids
-        return [np.frombuffer(b"".join([known[v][c] for c, v in zip(*x, strict=True)]), "<i4") for x in cut_up]
+            new = dict(zip(todo, self.merges.segment([c for c, _ in todo], keys, self.cut), strict=True))
+            for ids, k, c, v in holes:
+                ids[k] = new[c, v]
+            # frequent chunks come early; a full memory stays as it is
+            for (c, v), x in new.items():
+                if self.room <= 0:
+                    break
+                known[v][c] = x
+                self.room -= 1
+        return [np.frombuffer(b"".join(x), "<i4") for x in found]
+
+
+class Decoder:
+    """Texts of piece ids, gathered from one buffer of all pieces."""
+
+    def __init__(self, model: bytes):
+        raw = load(model).raw
+        self.buffer = np.frombuffer(b"".join(raw), np.uint8)
+        self.length = np.array([len(x) for x in raw], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+
+    def raw(self, ids: np.ndarray) -> bytes:
+        """The bytes of the text, without the space that encoding puts in front."""
+        n = self.length[ids]
+        shift = np.repeat(self.start[ids] - (np.cumsum(n) - n), n)
+        out = self.buffer[np.arange(len(shift)) + shift].tobytes()
+        return out[1:] if out[:1] == b" " else out
+
+
+@lru_cache(maxsize=2)
+def _decoder(model: bytes) -> Decoder:
+    return Decoder(model)
 
 
 def decode(model: bytes, ids) -> str:
     """The text of piece ids, without the space that encoding puts in front.
     Bytes that are no UTF-8 (ids that no text has) become U+FFFD."""
-    raw = load(model).raw
-    out = b"".join([raw[i] for i in ids])
-    return (out[1:] if out[:1] == b" " else out).decode("utf-8", "replace")
+    return _decoder(model).raw(np.asarray(ids, np.int64)).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=1)
@@ -288,15 +317,13 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(model.value, dropout, seed, variants)
-        raw = load(model.value).raw
+        back = _decoder(model.value)
         for whole in batches:
             for b in _by_size(whole):
                 texts, names = b.column(2).to_pylist(), b.column(1).to_pylist()
                 ids = enc.encode(texts, ["" if n is None else n for n in names])
-                same = []
-                for t, i in zip(texts, ids, strict=True):
-                    back = b"".join([raw[k] for k in i.tolist()])[1:]
-                    same.append(back == (t or "").encode("utf-8", "surrogatepass"))
+                same = [back.raw(i) == (t or "").encode("utf-8", "surrogatepass")
+                        for t, i in zip(texts, ids, strict=True)]
                 ends = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
                 flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
                 yield pa.RecordBatch.from_arrays(

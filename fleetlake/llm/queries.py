@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, lm, mixing, near_vectors, pieces, simhash, token_counts
+from . import exact, licenses, lm, mixing, near_vectors, pieces, quality, simhash, token_counts, url_lists
 from .runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,103 @@ FROM r GROUP BY vec_id
 def op2_near_vectors(spark, sf):
     """Links at cosine 0.95 or more among all embeddings, and components."""
     return near_vectors.near_vectors(table(spark, sf, "embeddings"), threshold=0.95)
+
+
+@register("op7_quality")
+def op7_quality(spark, sf):
+    """Expected grade and tail probability of all documents."""
+    return quality.quality_table(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register("op3_url_lists", sql=r"""
+WITH c AS (
+  SELECT page_id, TIMESTAMP '2024-01-01' + to_minutes(page_id * 37 % 525600) AS fetched_at,
+         rtrim(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '.') AS h,
+         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/'),
+                     lambda x: x <> '') AS seg
+  FROM pages),
+p AS (SELECT page_id, fetched_at, nullif(h, '') AS host, h || '/' || array_to_string(seg, '/') AS path, seg FROM c),
+hosts AS (SELECT host AS pattern, count(*) AS n FROM p WHERE host IS NOT NULL GROUP BY host),
+domains AS (
+  SELECT regexp_extract(pattern, '^[^.]+\.(.+\..+)$', 1) AS pattern, sum(n)::BIGINT AS n FROM hosts
+  WHERE regexp_extract(pattern, '^[^.]+\.(.+\..+)$', 1) <> '' GROUP BY 1),
+firsts AS (
+  SELECT host || '/' || seg[1] AS pattern, count(*) AS n FROM p WHERE host IS NOT NULL AND len(seg) > 0 GROUP BY 1),
+e AS (
+  SELECT 'abuse' AS list, 'block' AS effect, 'host' AS kind, pattern, (length(pattern) * 13 + n) % 300 + first AS since_day,
+         (length(pattern) * 13 + n) % 300 + last AS until_day
+  FROM hosts, (VALUES (0, 45), (120, NULL)) x(first, last)
+  UNION ALL SELECT 'spam', 'block', 'domain', pattern, n * 7 % 200, n * 7 % 200 + 60 FROM domains
+  UNION ALL SELECT 'trusted', 'allow', 'prefix', pattern, n * 5 % 330, n * 5 % 330 + 90 FROM firsts),
+i AS (
+  SELECT *, TIMESTAMP '2024-01-01' + to_days(since_day::INT) AS since, TIMESTAMP '2024-01-01' + to_days(until_day::INT) AS until,
+         CASE kind WHEN 'prefix' THEN 3 WHEN 'host' THEN 2 ELSE 1 END AS rank, len(string_split(pattern, '.')) AS labels
+  FROM e),
+m AS (
+  SELECT p.page_id, i.list, i.effect, i.pattern, i.since, i.until,
+         row_number() OVER (PARTITION BY p.page_id ORDER BY rank DESC, CASE WHEN kind = 'domain' THEN labels END DESC,
+                            effect, list, pattern) AS place
+  FROM p JOIN i ON p.fetched_at >= i.since AND (i.until IS NULL OR p.fetched_at < i.until)
+   AND ((kind = 'host' AND p.host = i.pattern)
+     OR (kind = 'domain' AND (p.host = i.pattern OR ends_with(p.host, '.' || i.pattern)))
+     OR (kind = 'prefix' AND len(p.seg) > 0 AND p.host || '/' || p.seg[1] = i.pattern)))
+SELECT p.page_id, p.fetched_at, p.host,
+       CASE WHEN p.host IS NULL THEN 'invalid' WHEN m.effect = 'block' THEN 'blocked' ELSE 'allowed' END AS verdict,
+       m.list, m.pattern, m.since, m.until
+FROM p LEFT JOIN m ON m.page_id = p.page_id AND m.place = 1
+""")
+def op3_url_lists(spark, sf):
+    """Every page's capture judged by the list entries active at its fetch."""
+    pages = table(spark, sf, "pages")
+    return url_lists.judge(url_lists.page_captures(pages), url_lists.page_entries(pages))
+
+
+_TEMPLATES = ", ".join(f"('{name}', '{body}')" for name, body in sorted(licenses.TEMPLATES.items()))
+
+
+@register("op8_licenses", sql=rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         concat_ws('/', source, lang, 'd' || (doc_id // 64)) AS folder FROM documents),
+n AS (SELECT count(*) AS n FROM d),
+df AS (
+  SELECT term, count(*) AS df FROM (
+    SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM d) GROUP BY term),
+tt AS (
+  SELECT license, term, count(*) AS tf FROM (
+    SELECT license, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term
+    FROM (VALUES {_TEMPLATES}) t(license, body)) GROUP BY license, term),
+tw AS (
+  SELECT license, term, tf * (ln((1 + n)::DOUBLE / (1 + coalesce(df, 0))) + 1) AS w FROM tt LEFT JOIN df USING (term), n),
+tl AS (SELECT license, sqrt(sum(w * w)) AS l FROM tw GROUP BY license),
+u AS (
+  SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS unit, unnest(string_split(text, chr(10))) AS body FROM d
+  UNION ALL SELECT doc_id, -1, text FROM d),
+ut AS (
+  SELECT doc_id, unit, term, count(*) AS tf FROM (
+    SELECT doc_id, unit, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term FROM u) GROUP BY ALL),
+uw AS (SELECT doc_id, unit, term, tf * (ln((1 + n)::DOUBLE / (1 + df)) + 1) AS w FROM ut JOIN df USING (term), n),
+ul AS (SELECT doc_id, unit, sqrt(sum(w * w)) AS l FROM uw GROUP BY ALL),
+s AS (
+  SELECT doc_id, unit, license, sum(uw.w * tw.w) / (any_value(ul.l) * any_value(tl.l)) AS s
+  FROM uw JOIN tw USING (term) JOIN ul USING (doc_id, unit) JOIN tl USING (license) GROUP BY ALL),
+b AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, unit < 0 ORDER BY s DESC, license) AS place FROM s WHERE s >= 0.6),
+f AS (
+  SELECT folder, license, s, row_number() OVER (PARTITION BY folder ORDER BY s DESC, license) AS place
+  FROM b JOIN d USING (doc_id) WHERE unit < 0 AND b.place = 1),
+a AS (
+  SELECT g.folder, f.folder AS at, f.license, f.s,
+         row_number() OVER (PARTITION BY g.folder ORDER BY length(f.folder) DESC) AS place
+  FROM (SELECT DISTINCT folder FROM d) g JOIN f
+    ON f.place = 1 AND (f.folder = '' OR g.folder = f.folder OR starts_with(g.folder, f.folder || '/')))
+SELECT d.doc_id, d.folder, coalesce(h.license, a.license) AS license,
+       CASE WHEN h.license IS NOT NULL THEN 'header' WHEN a.license IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       round(coalesce(h.s, a.s), 6) AS similarity, CASE WHEN h.license IS NULL THEN a.at END AS from_folder
+FROM d LEFT JOIN b h ON h.doc_id = d.doc_id AND h.unit >= 0 AND h.place = 1
+LEFT JOIN a ON a.folder = d.folder AND a.place = 1
+""")
+def op8_licenses(spark, sf):
+    """Licences of all documents by header or nearest ancestor folder."""
+    docs = table(spark, sf, "documents")
+    return licenses.scan(docs, licenses.document_path(docs))

@@ -1,8 +1,10 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
-A document is the mean of its tokens' hashed features (the lower-cased word,
-its shape, whether it repeats the word before it), so a grade's logit is a
-mean of token weights. All grades share the weights; ordered thresholds
+A document is the mean of its words' hashed shapes, the mean of its distinct
+words' hashed spellings (a word that occurs n times counts 1 + ln n), and one
+hashed feature for every tenth of its words that repeat the word before them;
+so a grade's logit is a mean of shape weights, a mean of word weights and a sum
+of repeat weights. All grades share the weights; ordered thresholds
 separate them: P(grade <= k) = sigmoid(threshold_k - score). The result is an
 expected grade and the tail probability of being good enough.
 
@@ -14,6 +16,7 @@ whole texts always.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -32,7 +35,7 @@ BUCKETS = 1 << 18
 SAMPLE = 6000
 STEPS = 150
 RATE = 0.3
-PENALTY = 1e-4
+PENALTY = 1e-2
 SEED = 11
 #: Words remembered by a Python worker.
 CACHE_WORDS = 400_000
@@ -42,7 +45,6 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _SHAPE = bytes(ord("0") if 48 <= b < 58 else ord("A") if 65 <= b < 91 else ord("a") if 97 <= b < 123
                else ord("u") if b > 127 else b for b in range(256))
 _RUN = re.compile(rb"(.)\1+", re.S)
-REPEAT = b"repeat:"
 
 
 def _bucket(name: bytes) -> int:
@@ -54,24 +56,31 @@ def features(word: bytes) -> tuple[int, int]:
     return _bucket(b"w:" + word.translate(_LOWER)), _bucket(b"s:" + _RUN.sub(rb"\1", word.translate(_SHAPE)))
 
 
+def repeat_buckets(words: list[bytes]) -> list[int]:
+    """One bucket for every tenth of the words that repeat the word before."""
+    again = sum(map(bytes.__eq__, words, words[1:]))
+    return [_bucket(b"r:%d" % k) for k in range(1, 10 * again // len(words) + 1)]
+
+
+def word_shares(words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words, their damped shares and their shares."""
+    kinds = Counter(words)
+    n = np.fromiter(kinds.values(), np.float64, len(kinds))
+    damped = 1 + np.log(n)
+    return list(kinds), damped / damped.sum(), n / len(words)
+
+
 def text_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text and their mean counts per word."""
+    """Distinct buckets of a text and their values."""
     words = (text or "").encode("utf-8", "surrogatepass").split()
     if not words:
         return np.empty(0, np.int64), np.empty(0)
-    kinds: dict[bytes, int] = {}
-    for w in words:
-        kinds[w] = kinds.get(w, 0) + 1
-    at, n = [], []
-    for w, k in kinds.items():
-        at += features(w)
-        n += (k, k)
-    again = sum(a == b for a, b in zip(words, words[1:], strict=False))
-    if again:
-        at.append(_bucket(REPEAT))
-        n.append(again)
-    places, inverse = np.unique(np.array(at), return_inverse=True)
-    return places, np.bincount(inverse, np.array(n, float)) / len(words)
+    kinds, damped, shares = word_shares(words)
+    more = repeat_buckets(words)
+    pairs = np.array([features(w) for w in kinds])
+    at = np.concatenate((pairs[:, 0], pairs[:, 1], np.array(more, np.int64)))
+    places, inverse = np.unique(at, return_inverse=True)
+    return places, np.bincount(inverse, np.concatenate((damped, shares, np.ones(len(more)))))
 
 
 def sigmoid(x):
@@ -135,30 +144,28 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades:
 
 
 class _Words(dict):
-    """Weight of a word: its bucket's and its shape's."""
+    """Weights of a word: of its spelling and of its shape."""
 
     def __init__(self, weights: np.ndarray):
         super().__init__()
         self.w = weights
-        self.repeat = float(weights[_bucket(REPEAT)])
 
-    def __missing__(self, word: bytes) -> float:
+    def __missing__(self, word: bytes) -> tuple[float, float]:
         a, b = features(word)
-        v = float(self.w[a] + self.w[b])
+        v = float(self.w[a]), float(self.w[b])
         if len(self) < CACHE_WORDS:  # frequent words come early
             self[word] = v
         return v
 
 
 def text_score(words: _Words, text: str | None) -> float:
-    """Mean weight of a text's tokens; no words: 0."""
+    """The logit of a text; no words: 0."""
     ws = (text or "").encode("utf-8", "surrogatepass").split()
     if not ws:
         return 0.0
-    total = sum([words[w] for w in ws])
-    if words.repeat:
-        total += words.repeat * sum(map(bytes.__eq__, ws, ws[1:]))
-    return total / len(ws)
+    kinds, damped, shares = word_shares(ws)
+    own = np.array([words[w] for w in kinds])
+    return float(own[:, 0] @ damped + own[:, 1] @ shares) + sum([float(words.w[k]) for k in repeat_buckets(ws)])
 
 
 @lru_cache(maxsize=1)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import drop_written, ship, written
+from .runtime import drop_written, ship, worker_state, written
 
 #: Words with a class of their own; with the end and the rare class 1,024.
 CLASS_WORDS = 1022
@@ -343,18 +343,6 @@ def fit(texts: DataFrame, vocab: Vocabulary, shared, dimensions: int = DIMENSION
     return model
 
 
-_scorers: dict[bytes, Scorer] = {}
-
-
-def _scorer(model: Model) -> Scorer:
-    """One scorer per worker and model: normalisers stay between tasks."""
-    name = model.b.tobytes() + model.c1.tobytes()
-    if name not in _scorers:
-        _scorers.clear()
-        _scorers[name] = Scorer(model)
-    return _scorers[name]
-
-
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", class_words: int = CLASS_WORDS,
               frequent: int = FREQUENT, dimensions: int = DIMENSIONS, rounds: int = ROUNDS,
               seed: int = SEED) -> DataFrame:
@@ -378,7 +366,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", class
     model = spark.sparkContext.broadcast(fit(learn, vocab, shared, dimensions, rounds, seed))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, scorer = shared.value, _scorer(model.value)
+        v, m = shared.value, model.value
+        # normalisers stay between the tasks of a worker
+        scorer = worker_state("lm", m.b.tobytes() + m.c1.tobytes(), lambda: Scorer(m))
         log_c = np.log10(v.counts + 1.0)
         end = math.log10(v.ends + 1.0)
         for b in batches:

@@ -30,15 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import ship
+from .runtime import ship, worker_state
 from .vocabulary import CHUNK, PIECES_32K, SPACE, load, read_model
 
 DROPOUT = 0.1
 SEED = 1
 #: Segmentations that a chunk can have under one seed.
 VARIANTS = 4
-#: Chunks remembered by a Python worker (about 100 MB).
-CACHE_CHUNKS = 400_000
+#: Chunks remembered by a Python worker (about 40 MB).
+CACHE_CHUNKS = 150_000
 #: Longer chunks are segmented one by one with a heap.
 ROW_SYMBOLS = 32
 
@@ -295,11 +295,6 @@ def decode(model: bytes, ids) -> str:
     return _decoder(model).raw(np.asarray(ids, np.int64)).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=1)
-def _encoder(model: bytes, dropout: float, seed: int, variants: int) -> Encoder:
-    return Encoder(model, dropout, seed, variants)
-
-
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = PIECES_32K,
                      dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
     """One row per document: id, ``ids`` (array of piece ids), ``n_pieces`` and
@@ -316,7 +311,8 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
                        F.col(text).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(model.value, dropout, seed, variants)
+        enc = worker_state("pieces", (model.value, dropout, seed, variants),
+                           lambda: Encoder(model.value, dropout, seed, variants))
         back = _decoder(model.value)
         for whole in batches:
             for b in _by_size(whole):
@@ -352,7 +348,7 @@ def decode_documents(rows: DataFrame, ids: str = "ids", name: str = "text", path
     return rows.withColumn(name, text_of(F.col(ids)))
 
 
-def _by_size(batch: pa.RecordBatch, chars: int = 4_000_000, column: int = 2) -> Iterator[pa.RecordBatch]:
+def _by_size(batch: pa.RecordBatch, chars: int = 1_500_000, column: int = 2) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``chars`` bytes of text (one row at least)."""
     sizes = np.array([0 if v is None else v for v in pc.binary_length(batch.column(column)).to_pylist()], np.int64)
     part = np.cumsum(sizes) // chars if len(sizes) else sizes

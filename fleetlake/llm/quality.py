@@ -19,7 +19,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import ship
+from .runtime import ship, worker_state
 
 BUCKETS = 1 << 18
 #: Rated rows that the fit uses at most.
@@ -38,7 +37,7 @@ RATE = 0.3
 PENALTY = 1e-2
 SEED = 11
 #: Words remembered by a Python worker.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: Letters become a, capitals A, digits 0, other UTF-8 bytes u; marks stay.
@@ -168,11 +167,6 @@ def text_score(words: _Words, text: str | None) -> float:
     return float(own[:, 0] @ damped + own[:, 1] @ shares) + sum([float(words.w[k]) for k in repeat_buckets(ws)])
 
 
-@lru_cache(maxsize=1)
-def _words(weights: bytes) -> _Words:
-    return _Words(np.frombuffer(weights))
-
-
 def rated_sample(docs: DataFrame, ratings: DataFrame, id_col: str, text: str, grade: str, n_grades: int,
                  sample: int = SAMPLE) -> tuple[list, np.ndarray]:
     """At most ``sample`` rated rows: those whose ids hash lowest. A row rated
@@ -219,7 +213,8 @@ def with_quality(docs: DataFrame, model: Ordinal, text: str = "text", least_grad
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        words = _words(m.weights.tobytes())
+        words = worker_state("quality", m.thresholds.tobytes() + m.weights[m.weights != 0].tobytes(),
+                             lambda: _Words(m.weights))
         for b in batches:
             s = np.array([text_score(words, x.as_py()) for x in b.column(at)], np.float64)
             good = 1 - m.at_most(s)[:, least_grade - 1] if len(s) else s

@@ -39,6 +39,19 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+_kept: dict = {}
+
+
+def worker_state(owner: str, key, make):
+    """What a Python worker keeps between the tasks of one operator: one
+    object at a time, so a worker that goes on to another operator (or to
+    other parameters) gives the memory back first."""
+    if (owner, key) not in _kept:
+        _kept.clear()
+        _kept[owner, key] = make()
+    return _kept[owner, key]
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a frame as Parquet under ``spark.checkpoint.dir`` and read it
     back: lineage ends at files that every executor can read, so a lost

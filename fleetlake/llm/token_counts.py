@@ -15,7 +15,6 @@ stay exact. A worker remembers the chunks it has met.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -24,11 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import ship
+from .runtime import ship, worker_state
 from .vocabulary import CHUNK, PIECES_32K, SPACE, load, read_model
 
-#: Chunks remembered by a Python worker (about 100 MB); then it starts anew.
-CACHE_CHUNKS = 500_000
+#: Chunks remembered by a Python worker (about 50 MB).
+CACHE_CHUNKS = 250_000
 UNKNOWN_PENALTY = 10.0
 
 
@@ -76,21 +75,14 @@ class Viterbi:
     def text(self, text: str | None) -> tuple[int, float]:
         if not text:
             return 0, 0.0
+        if len(self.counts) > CACHE_CHUNKS:
+            self.counts, self.scores = {}, {}
         counts, scores = self.counts, self.scores
         # a literal U+2581 is a space to the tokenizer
         chunks = CHUNK.findall(" " + text.replace(SPACE, " "))
         for c in set(chunks).difference(counts):
             counts[c], scores[c] = self.chunk(c)
-        out = sum(map(counts.__getitem__, chunks)), sum(map(scores.__getitem__, chunks))
-        if len(counts) > CACHE_CHUNKS:
-            counts.clear()
-            scores.clear()
-        return out
-
-
-@lru_cache(maxsize=2)
-def _viterbi(model: bytes) -> Viterbi:
-    return Viterbi(model)
+        return sum(map(counts.__getitem__, chunks)), sum(map(scores.__getitem__, chunks))
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = PIECES_32K) -> DataFrame:
@@ -105,7 +97,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", pa
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _viterbi(model.value)
+        best = worker_state("viterbi", model.value, lambda: Viterbi(model.value))
         for b in batches:
             found = [best.text(x.as_py()) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays(

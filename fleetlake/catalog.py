@@ -621,13 +621,8 @@ def _stream_events(spark, sf):
     """The ping events as a file stream over the events table (the same
     mapping as the batch fixture: every event plus a copy of every 100th)."""
     schema = td.read_table(spark, sf, "events").schema
-
-    def src():
-        return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-
-    e = src()
-    copies = src().where(F.col("event_id") % 100 == 0)
-    return live.events_from_pings(td._ping_projection(e).unionByName(td._ping_projection(copies)))
+    e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return live.events_from_pings(td._ping_projection(td.with_copies(e)))
 
 
 @register("r2_stream_dedup")
@@ -695,14 +690,9 @@ def a1_manual(spark, sf):
 @register("r1_stream_outcomes")
 def r1_stream(spark, sf):
     """R1 as a stream with every event's outcome, duplicates included."""
-    valid, rejected = ingest.outcomes_stream(_stream_events(spark, sf))
     out = scratch_path(spark, f"r1_{uuid.uuid4().hex}")
-    for name, df in (("valid", valid), ("rejected", rejected)):
-        q = (df.writeStream.format("parquet").option("path", f"{out}/{name}")
-             .option("checkpointLocation", f"{out}/_ckpt_{name}").trigger(availableNow=True).start())
-        ingest.run_available(q)
-    res = spark.read.parquet(f"{out}/valid").unionByName(spark.read.parquet(f"{out}/rejected"))
-    return res.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    ingest.run_available(ingest.start_outcomes(_stream_events(spark, sf), out))
+    return spark.read.parquet(f"{out}/outcomes").drop("batch_id").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @register("a4_live_view_stream")

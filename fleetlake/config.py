@@ -61,6 +61,8 @@ REASON_NUMERIC = "velocidad_kmh, latitud y longitud deben ser numéricos"
 REASON_SPEED = "velocidad fuera de rango ({})"
 REASON_LAT = "latitud fuera de Santiago ({})"
 REASON_LON = "longitud fuera de Santiago ({})"
+STAGE_NORMALISE = "normalizacion"
+STAGE_VALIDATE = "validacion"
 REASON_DUPLICATE = "duplicado (mismo bus, mismo minuto)"
 
 EVENT_REJECTED = "posicion_rechazada"

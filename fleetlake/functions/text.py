@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .. import config as C
+
 from ..config import DEFAULT_ROUTES, RouteMap
 
 
@@ -49,3 +51,11 @@ def composite_key(*cols: Column | str) -> Column:
     library itself counts distinct rows with ``struct`` keys instead.
     """
     return F.concat(*[_col(c).cast("string") for c in cols])
+
+
+def rejection_text(reason: Column) -> Column:
+    """The activity log's text of a rejection: the stage that refused the
+    event (missing ids and numbers that do not parse fail normalisation, the
+    range checks are validation) and its reason."""
+    stage = F.when(reason.isin(C.REASON_REQUIRED, C.REASON_NUMERIC), C.STAGE_NORMALISE).otherwise(C.STAGE_VALIDATE)
+    return F.concat(stage, F.lit(": "), reason)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.numeric import round_half_up
+from ..functions.text import rejection_text
 
 PROCESS_LOG_SCHEMA = ("proceso string, tipo string, evento string, estado string, registros_leidos long, "
                       "registros_cargados long, nulos long, mensaje string, timestamp timestamp")
@@ -48,7 +49,7 @@ def stage(spark: SparkSession, name: str, path: str | None = None, table: str |
     try:
         yield
     except Exception as e:  # noqa: BLE001
-        _append(spark, row("ERROR", f"{type(e).__name__}: {e}\n{traceback.format_exc(limit=3)}"),
+        _append(spark, row("ERROR", f"{type(e).__name__}: {e}\n{traceback.format_exc()}"),
                 PROCESS_LOG_SCHEMA, path, table)
         if not continue_on_error:
             raise
@@ -85,7 +86,7 @@ def log_event(spark: SparkSession, event_type: str, description: str, status: st
 
 def activity_log_from_outcomes(outcomes: DataFrame, ts: str = "ts") -> DataFrame:
     """The activity-log rows the live path writes per event:
-    rejected -> (posicion_rechazada, validacion: <reason>, ERROR), duplicate
+    rejected -> (posicion_rechazada, <stage>: <reason>, ERROR), duplicate
     -> (posicion_duplicada, <bus> en <minute>, WARN). Accepted events are not
     logged. ``event_id`` is left to the writer."""
     o = F.col("outcome")
@@ -94,7 +95,7 @@ def activity_log_from_outcomes(outcomes: DataFrame, ts: str = "ts") -> DataFrame
     minute = F.date_format(F.col(ts), "yyyy-MM-dd'T'HH:mm")
     return outcomes.where(rej | dup).select(
         F.when(rej, F.lit(C.EVENT_REJECTED)).otherwise(F.lit(C.EVENT_DUPLICATE)).alias("event_type"),
-        F.when(rej, F.concat(F.lit("validacion: "), F.col("reason")))
+        F.when(rej, rejection_text(F.col("reason")))
         .otherwise(F.concat(F.col("bus_id"), F.lit(" en "), minute)).alias("description"),
         F.when(rej, F.lit("ERROR")).otherwise(F.lit("WARN")).alias("status"),
         F.col(ts).alias("created_at"))

@@ -1,18 +1,17 @@
 """Duplicate detection and removal.
 
-Everything here is an aggregation with map-side partial aggregation, so a
+Everything here is a hash aggregation with map-side partial aggregation, so a
 key or a row that makes up a third of the data collapses to one record per
 task before the shuffle. No operator sorts a whole duplicate group in one
-task, and surplus copies are re-emitted in chunks spread over tasks.
+task (only rows that tie for a key's first place are ranked), and surplus
+copies are re-emitted in chunks spread over tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import minute_bucket
-
 # Surplus copies of one row are emitted by tasks of at most this many rows.
 REPLICATE_CHUNK = 1_000_000
 
@@ -58,40 +57,31 @@ def split_duplicates(df: DataFrame, keys: list[str] | None = None,
 
     Without ``keys`` a duplicate is an identical row: which copy is "first"
     does not matter, so kept = one copy of each distinct row and surplus =
-    ``n - 1`` copies of every row seen ``n > 1`` times. With ``keys`` the
-    first row is the minimum of ``order_by`` (ties broken by the remaining
-    columns, so the choice is deterministic); it is found with ``min_by``, a
-    partially aggregated function, and the surplus is ``df EXCEPT ALL kept``
-    computed as a signed count per distinct row (+1 per input row, -1 per
-    kept row) re-emitted by :func:`replicate`, so a hot row's copies are
-    spread over tasks.
+    ``n - 1`` copies of every row seen ``n > 1`` times.
+
+    With ``keys`` the first row is the minimum of ``order_by`` (its first
+    column a fixed-width type; ties broken by the remaining columns, so the
+    choice is deterministic). The smallest value per key is a hash aggregate
+    and meets the rows by a join, which AQE splits where a key is hot; only
+    rows that tie for a key's smallest value are ranked against each other.
+    Surplus copies are re-emitted by :func:`replicate`, so a hot row's copies
+    are spread over tasks.
     """
     cols = df.columns
+    counted = row_counts(df, cols, "_n")
     if not keys:
-        counted = row_counts(df, cols)
-        kept = counted.select(*cols)
-        surplus = replicate(counted, 2).select(*cols)
-        return kept, surplus
-    order_by = list(order_by or [])
+        return counted.select(*cols), replicate(counted, 2, n_col="_n").select(*cols)
+    order_by = list(order_by or [c for c in cols if c not in keys][:1])
     rest = [c for c in cols if c not in keys and c not in order_by]
-    rank = F.struct(*[F.col(c) for c in order_by + rest])
-    firsts = (df.groupBy(*keys)
-              .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), rank).alias("_first"))
-              .select("_first.*"))
-    signed = (df.select(*cols, F.lit(1).alias("_w"))
-              .unionByName(firsts.select(*cols, F.lit(-1).alias("_w")))
-              .groupBy(*cols).agg(F.sum("_w").alias("_n")))
-    surplus = replicate(signed, 1, n_col="_n", index="_rep").select(*cols)
-    return firsts, surplus
-
-
-def duplicate_groups(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Distinct rows that occur more than once, with their count ``cnt``."""
-    return row_counts(df, cols, "cnt").where(F.col("cnt") > 1)
-
-
-def first_per_minute(df: DataFrame, bus: str = "bus_id", ts: str = "ts") -> DataFrame:
-    """Batch twin of the live dedup: the earliest ping per bus and minute."""
-    keyed = df.withColumn("_minute", minute_bucket(ts))
-    kept, _ = split_duplicates(keyed, [bus, "_minute"], [ts])
-    return kept.drop("_minute")
+    low = counted.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.min(order_by[0]).alias("_low"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    rows = counted.join(low, same).select(*cols, "_n", F.col(order_by[0]).eqNullSafe(F.col("_low")).alias("_tied"))
+    turn = Window.partitionBy(*keys).orderBy(*order_by[1:], *rest)
+    tied = rows.where("_tied").select(*cols, "_n", F.row_number().over(turn).alias("_turn"))
+    kept = tied.where("_turn = 1").select(*cols)
+    left = (rows.where("NOT _tied").select(*cols, "_n")
+            .unionByName(tied.select(*cols, (F.col("_n") - (F.col("_turn") == 1).cast("int")).alias("_n"))))
+    return kept, replicate(left, 1, n_col="_n", index="_rep").select(*cols)

@@ -9,10 +9,6 @@ from ..config import ImputePolicy
 from ..functions.numeric import round_half_up
 from .joins import join_dimension
 
-# The weather dimension has one row per calendar day; 1M rows is ~2,700 years.
-WEATHER_MAX_ROWS = 1_000_000
-
-
 def mean_temperature(weather: DataFrame, policy: ImputePolicy = ImputePolicy()) -> DataFrame:
     """One-row frame ``fill`` = mean of the non-null temperatures, rounded
     when the policy says so (J4's scalar subquery)."""
@@ -35,13 +31,11 @@ def impute_temperature(weather: DataFrame, policy: ImputePolicy = ImputePolicy()
 
 
 def enrich_weather(pings: DataFrame, weather: DataFrame, date_col: str = "Fecha",
-                   condition: str = "Clima_Condicion", temperature: str = "Clima_Temperatura",
-                   max_rows: int = WEATHER_MAX_ROWS) -> DataFrame:
+                   condition: str = "Clima_Condicion", temperature: str = "Clima_Temperatura") -> DataFrame:
     """J1 + P13: pings LEFT JOIN weather on the date; the join key is dropped
     and the weather columns renamed. Days without weather keep NULLs; a
-    duplicated weather date would fan out, as in SQL. The weather frame is
-    usually derived (imputed), so it is cached by its size check and the
-    join reads the checked rows."""
+    duplicated weather date would fan out, as in SQL. Weather is one row per
+    calendar day (a few hundred a year), which bounds the broadcast."""
     w = weather.select(F.col("fecha").alias(date_col), F.col("condicion").alias(condition),
                        F.col("temperatura_promedio").alias(temperature))
-    return join_dimension(pings, w, date_col, "left", max_rows, persist=True)
+    return join_dimension(pings, w, date_col, "left", bounded=True)

@@ -1,78 +1,25 @@
-"""Join helpers: size-checked dimension joins and anti joins."""
+"""Join helpers: dimension joins and anti joins.
+
+Building a frame starts no Spark job and leaves nothing in the cache. A
+dimension whose size has a bound in its meaning (one row per calendar day, per
+nation) may be broadcast with ``bounded=True``; any other is joined without a
+hint, so AQE decides from the sizes it has measured at run time and splits a
+skewed partition of the fact.
+"""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when a count proves it has at most this many
-# rows; beyond it the join stays a shuffle (sort-merge) join. With the
-# projected dimension rows used here (a few narrow columns, ~100 bytes) the
-# broadcast stays in the low hundreds of MB, far below Spark's 8 GB limit.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      persist: bool = False) -> DataFrame:
-    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``.
-
-    The check is a real, distributed count (a partial count per task and a
-    one-row final aggregate; a parquet scan reads no columns for it). A
-    ``limit(n).count()`` would funnel up to ``n`` rows of *every* task into
-    one task, so it is not used. An estimate from file sizes is not trusted
-    for a derived dimension. Without the hint the planner falls back to a
-    shuffle join, and AQE may still pick a broadcast from runtime statistics.
-
-    ``persist=True`` is for a small *derived* dimension (an aggregate): it is
-    cached before the count so the join reads the counted result instead of
-    recomputing it.
-    """
-    if persist:
-        dim = dim.persist(StorageLevel.MEMORY_AND_DISK)
-    n = dim.count()
-    if n <= max_rows:
-        return F.broadcast(dim)
-    if persist:
-        dim.unpersist()
-    return dim
-
-
-def bounded_broadcasts(dims: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS,
-                       persist: bool = False) -> list[DataFrame]:
-    """:func:`bounded_broadcast` for several dimensions with one Spark job:
-    the per-dimension counts are the branches of one union, collected as a
-    few small rows. ``persist=True`` caches derived
-    dimensions so the join reads what was counted; a dimension that turns
-    out too large is unpersisted again."""
-    if not dims:
-        return []
-    if persist:
-        dims = [d.persist(StorageLevel.MEMORY_AND_DISK) for d in dims]
-    counts = None
-    for i, d in enumerate(dims):
-        c = d.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
-        counts = c if counts is None else counts.unionByName(c)
-    n = {r["i"]: r["n"] for r in counts.collect()}
-    out = []
-    for i, d in enumerate(dims):
-        if n[i] <= max_rows:
-            out.append(F.broadcast(d))
-        else:
-            if persist:
-                d.unpersist()
-            out.append(d)
-    return out
-
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_rows: int = DEFAULT_BROADCAST_ROWS, persist: bool = False) -> DataFrame:
-    """Fact-to-dimension join with a size-checked broadcast of the dimension
-    (``persist=True`` for a derived dimension, see :func:`bounded_broadcast`)."""
-    return fact.join(bounded_broadcast(dim, max_rows, persist), on, how)
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "left", bounded: bool = False) -> DataFrame:
+    """Fact-to-dimension join; ``bounded``: the dimension's meaning bounds its
+    size whatever the fact's."""
+    return fact.join(F.broadcast(dim) if bounded else dim, on, how)
 
 
-def orphans(child: DataFrame, parent: DataFrame, on, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def orphans(child: DataFrame, parent: DataFrame, on) -> DataFrame:
     """Rows of ``child`` whose key has no match in ``parent`` (left anti)."""
     keys = [on] if isinstance(on, str) else list(on)
-    return child.join(bounded_broadcast(parent.select(*keys).distinct(), max_rows), keys, "left_anti")
+    return child.join(parent.select(*keys), keys, "left_anti")

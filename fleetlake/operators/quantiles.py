@@ -1,36 +1,27 @@
 """Exact quantiles and box statistics without collecting a group.
 
-``percentile`` keeps a value->count map per group in one task; with one
-group holding a third of the data and unbounded precision that map is
-unbounded. Here the exact quantile is found with a distributed prefix sum:
-
-1. value frequencies per group (partially aggregated: repeats collapse),
-2. range-partition the frequency rows by (group, value), so each task holds
-   a contiguous run of values,
-3. per-task totals (at most tasks x groups rows) -> start offset of every
-   task inside its group (a window over that tiny table),
-4. a running count inside each task gives every distinct value its rank
-   interval [lo, hi),
-5. the values at the interpolation ranks are picked by a join against the
-   few target ranks per group.
-
-Linear interpolation at position p*(n-1), as numpy, DuckDB
-``quantile_cont`` and Spark ``percentile``.
+``percentile`` keeps a value -> count map per group in one task, and a window
+over a group sorts it in one task. Here
+
+1. value frequencies per group (partially aggregated: repeats collapse) fall
+   into buckets of a monotone function of the value (512 to a factor of two,
+   so there are at most some two million whatever the data),
+2. running sums over a group's buckets give every bucket its rank interval,
+   which tells the few buckets that hold the wanted ranks,
+3. the values of those buckets only are ranked.
+
+One lazy plan: no job while it is built, nothing cached. Linear interpolation
+at position p*(n-1), as numpy, DuckDB ``quantile_cont`` and Spark
+``percentile``.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
-
-GROUPS_MAX_ROWS = 1_000_000
-# Spark's exact ``percentile`` keeps a value->count map per group; it is used
-# (weighted by the frequency table) only when a count proves that no group
-# has more distinct values than this, i.e. the map stays below ~100 MB.
-PERCENTILE_MAX_DISTINCT = 2_000_000
+PER_OCTAVE = 512
+_ZERO = 1 << 20
 
 
 def value_frequencies(df: DataFrame, groups: list[str], value: str) -> DataFrame:
@@ -43,140 +34,69 @@ def value_frequencies(df: DataFrame, groups: list[str], value: str) -> DataFrame
     return df.where(keep).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_c"))
 
 
-def ranked_frequencies(freq: DataFrame, groups: list[str], value: str) -> DataFrame:
-    """Frequency rows with their rank interval ``[_lo, _hi)`` (0-based) and
-    the group size ``_n``.
-
-    The offsets table has at most (groups x tasks) rows. It is joined back on
-    (group, task id), which is also the window's partitioning, so the
-    sort-merge join and the window share one exchange; a hot group is
-    spread over many task ids and never lands in one task.
-    """
-    parts = int(freq.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The task id is read by two branches (totals and ranks); persisting the
-    # range-partitioned rows pins one assignment for both.
-    ranged = (freq.repartitionByRange(parts, *groups, value).withColumn("_pid", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    per_task = ranged.groupBy(*groups, "_pid").agg(F.sum("_c").alias("_pc"))
-    w = Window.partitionBy(*groups).orderBy("_pid")
-    offsets = per_task.select(
-        *groups, "_pid",
-        F.coalesce(F.sum("_pc").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_pc").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n"))
-    joined = ranged.join(offsets, [*groups, "_pid"])
-    run = Window.partitionBy(*groups, "_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    hi = F.col("_off") + F.sum("_c").over(run)
-    return joined.select(*groups, value, "_c", "_n", (hi - F.col("_c")).alias("_lo"), hi.alias("_hi"))
+def value_bucket(v: Column) -> Column:
+    """A whole number that never falls as ``v`` rises (infinities included)."""
+    size = F.least(F.abs(v.cast("double")), F.lit(1.7e308))
+    step = F.floor(F.log2(F.when(size > 0, size)) * PER_OCTAVE) + _ZERO
+    return F.when(v > 0, step).when(v < 0, -step).otherwise(F.lit(0)).cast("long")
 
 
 def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[float],
-                    names: list[str] | None = None, ranked: DataFrame | None = None) -> DataFrame:
+                    names: list[str] | None = None, freq: DataFrame | None = None) -> DataFrame:
     """One row per group with one column per probability (linear
     interpolation), plus ``n``. Groups with no non-null value are absent.
-
-    Every ranked row knows its group size, so it computes the interpolation
-    ranks itself and keeps only the (probability, side) pairs it holds: no
-    join, and at most two rows per probability and group survive.
-    """
+    ``freq``: the frequencies where the caller has them."""
     names = names or [f"p{int(round(p * 100))}" for p in probs]
-    if ranked is None:
-        ranked = ranked_frequencies(value_frequencies(df, groups, value), groups, value)
-    cands = []
+    freq = value_frequencies(df, groups, value) if freq is None else freq
+    rows = freq.withColumn("_b", value_bucket(F.col(value)))
+    buckets = rows.groupBy(*groups, "_b").agg(F.sum("_c").alias("_bc"))
+    upto = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    all_ = Window.partitionBy(*groups)
+    spans = buckets.select(*groups, "_b", F.sum("_bc").over(upto).alias("_end"), "_bc",
+                           F.sum("_bc").over(all_).alias("_n"))
+    wanted = []
     for i, p in enumerate(probs):
         pos = F.lit(p) * (F.col("_n") - 1)
-        k0 = F.floor(pos).cast("long")
-        frac = pos - F.floor(pos)
-        for side, k in ((0, k0), (1, k0 + 1)):
-            cands.append(F.struct(F.lit(i).alias("_q"), F.lit(side).alias("_side"), k.alias("_rank"),
-                                  frac.alias("_frac")))
-    hits = (ranked.select(*groups, value, "_n", "_lo", "_hi", F.explode(F.array(*cands)).alias("_t"))
-            .where((F.col("_lo") <= F.col("_t._rank")) & (F.col("_t._rank") < F.col("_hi")))
-            .select(*groups, "_n", F.col("_t._q").alias("_q"), F.col("_t._side").alias("_side"),
-                    F.col("_t._frac").alias("_frac"), F.col(value).alias("_v")))
-    per_q = hits.groupBy(*groups, "_q").agg(
-        F.first("_frac").alias("_frac"), F.first("_n").alias("_n"),
-        F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_v0"),
-        F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_v1"))
-    qv = F.when(F.col("_frac") > 0, F.col("_v0") + F.col("_frac") * (F.col("_v1") - F.col("_v0"))) \
-        .otherwise(F.col("_v0"))
-    return per_q.groupBy(*groups).agg(
-        F.first("_n").alias("n"),
-        *[F.max(F.when(F.col("_q") == i, qv)).alias(nm) for i, nm in enumerate(names)])
-
-
-def weighted_quantiles(freq: DataFrame, groups: list[str], value: str, probs: list[float],
-                       names: list[str]) -> DataFrame:
-    """Exact quantiles from a frequency table with Spark's ``percentile``
-    weighted by the counts: one aggregation; per-group memory is the number
-    of distinct values of the group."""
-    q = freq.groupBy(*groups).agg(
-        F.sum("_c").alias("n"),
-        F.percentile(F.col(value), F.array(*[F.lit(p) for p in probs]), F.col("_c")).alias("_q"))
-    return q.select(*groups, "n", *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)])
+        k = F.floor(pos).cast("long")
+        for side in (0, 1):
+            wanted.append(F.struct(F.lit(i).alias("q"), F.lit(side).alias("side"), (k + side).alias("rank"),
+                                   (pos - k).alias("frac")))
+    inside = F.filter(F.array(*wanted), lambda t: (t["rank"] < F.col("_end")) & (t["rank"] >= F.col("_end") - F.col("_bc")))
+    targets = (spans.select(*groups, "_b", "_n", (F.col("_end") - F.col("_bc")).alias("_start"), inside.alias("_t"))
+               .where(F.size("_t") > 0))
+    near = rows.join(targets, [*groups, "_b"])
+    run = Window.partitionBy(*groups, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    hi = F.col("_start") + F.sum("_c").over(run)
+    hits = (near.select(*groups, value, "_n", "_c", "_t", hi.alias("_hi"))
+            .select(*groups, value, "_n", "_c", "_hi", F.explode("_t").alias("t"))
+            .where((F.col("t.rank") < F.col("_hi")) & (F.col("t.rank") >= F.col("_hi") - F.col("_c"))))
+    picked = []
+    for i in range(len(probs)):
+        for side in (0, 1):
+            picked.append(F.max(F.when((F.col("t.q") == i) & (F.col("t.side") == side), F.col(value))).alias(f"_v{i}{side}"))
+        picked.append(F.max(F.when(F.col("t.q") == i, F.col("t.frac"))).alias(f"_f{i}"))
+    out = hits.groupBy(*groups).agg(F.max("_n").alias("n"), *picked)
+    return out.select(*groups, "n", *[
+        F.when(F.col(f"_f{i}") > 0, F.col(f"_v{i}0") + F.col(f"_f{i}") * (F.col(f"_v{i}1") - F.col(f"_v{i}0")))
+        .otherwise(F.col(f"_v{i}0")).alias(n) for i, n in enumerate(names)])
 
 
 def box_stats(df: DataFrame, groups: list[str], value: str, whisker: float = 1.5) -> DataFrame:
     """Per group: n, mean, q1, median, q3, IQR, whiskers (most extreme
-    values within ``whisker`` IQR of the box) and the outlier count.
-
-    Quartiles are exact either way: from :func:`weighted_quantiles` when a
-    count proves every group has at most ``PERCENTILE_MAX_DISTINCT`` distinct
-    values (one aggregation), else from :func:`exact_quantiles` (distributed
-    prefix sums, no group in one task). The mean, whiskers and outliers come
-    from one more aggregation over the frequency table, with the per-group
-    fences joined in (size-checked broadcast).
-    """
-    # used by several branches: computed once (MEMORY_AND_DISK, so it can
-    # spill; lost blocks are recomputed from lineage)
-    freq = value_frequencies(df, groups, value).persist(StorageLevel.MEMORY_AND_DISK)
-    probs, names = [0.25, 0.5, 0.75], ["q1", "mediana", "q3"]
-    # one job proves both bounds: the widest group (distinct values, the
-    # size of ``percentile``'s map) and the number of groups (the size of
-    # the fences table, one row per group)
-    row = freq.groupBy(*groups).agg(F.count(F.lit(1)).alias("_d")) \
-        .agg(F.max("_d").alias("widest"), F.count(F.lit(1)).alias("groups")).first()
-    widest, n_groups = (row["widest"] or 0), row["groups"]
-    if widest <= PERCENTILE_MAX_DISTINCT:
-        q = weighted_quantiles(freq, groups, value, probs, names)
-    else:
-        q = exact_quantiles(df, groups, value, probs, names, ranked=ranked_frequencies(freq, groups, value))
+    values within ``whisker`` IQR of the box, never inside the box) and the
+    outlier count."""
+    freq = value_frequencies(df, groups, value)
+    q = exact_quantiles(df, groups, value, [0.25, 0.5, 0.75], ["q1", "mediana", "q3"], freq=freq)
     iqr = F.col("q3") - F.col("q1")
-    fences = q.select(*groups, "n", "q1", "mediana", "q3", iqr.alias("iqr"),
-                      (F.col("q1") - whisker * iqr).alias("_lof"), (F.col("q3") + whisker * iqr).alias("_hif"))
-    fence_cols = fences.select(*groups, "_lof", "_hif")
-    fb = F.broadcast(fence_cols) if n_groups <= GROUPS_MAX_ROWS else fence_cols
+    box = q.select(*groups, "n", "q1", "mediana", "q3", iqr.alias("iqr"),
+                   (F.col("q1") - whisker * iqr).alias("_lof"), (F.col("q3") + whisker * iqr).alias("_hif"))
     v, c = F.col(value), F.col("_c")
-    j = freq.join(fb, groups, "inner")
-    stats = j.groupBy(*groups).agg(
+    stats = freq.join(box.select(*groups, "_lof", "_hif"), groups, "inner").groupBy(*groups).agg(
         (F.sum(v * c) / F.sum(c)).alias("media"),
-        F.min(F.when(v >= F.col("_lof"), v)).alias("bigote_inf"),
-        F.max(F.when(v <= F.col("_hif"), v)).alias("bigote_sup"),
+        F.min(F.when(v >= F.col("_lof"), v)).alias("_low"),
+        F.max(F.when(v <= F.col("_hif"), v)).alias("_high"),
         F.coalesce(F.sum(F.when((v < F.col("_lof")) | (v > F.col("_hif")), c)), F.lit(0))
         .cast("long").alias("atipicos"))
-    return fences.drop("_lof", "_hif").join(stats, groups, "inner")
-
-
-def box_stats_percentile(df: DataFrame, groups: list[str], value: str, whisker: float = 1.5) -> DataFrame:
-    """A15 with Spark's built-in exact ``percentile`` (a value->count map per
-    group). Fewer stages; use when the number of distinct values per group
-    is known to be bounded."""
-    v = F.col(value)
-    keep = v.isNotNull() & ~F.isnan(v)
-    for g in groups:
-        keep = keep & F.col(g).isNotNull()
-    clean = df.where(keep)
-    q = clean.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(v).alias("media"),
-        F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-    q = q.select(*groups, "n", "media", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("mediana"),
-                 F.col("_q")[2].alias("q3"))
-    iqr = F.col("q3") - F.col("q1")
-    fences = q.select("*", iqr.alias("iqr"), (F.col("q1") - whisker * iqr).alias("_lof"),
-                      (F.col("q3") + whisker * iqr).alias("_hif"))
-    fb = bounded_broadcast(fences.select(*groups, "_lof", "_hif"), GROUPS_MAX_ROWS, persist=True)
-    j = clean.join(fb, groups, "inner")
-    stats = j.groupBy(*groups).agg(
-        F.min(F.when(v >= F.col("_lof"), v)).alias("bigote_inf"),
-        F.max(F.when(v <= F.col("_hif"), v)).alias("bigote_sup"),
-        F.count_if((v < F.col("_lof")) | (v > F.col("_hif"))).cast("long").alias("atipicos"))
-    return fences.drop("_lof", "_hif").join(stats, groups, "inner")
+    return box.join(stats, groups, "inner").select(
+        *groups, "n", "q1", "mediana", "q3", "iqr", "media", F.least("_low", "q1").alias("bigote_inf"),
+        F.greatest("_high", "q3").alias("bigote_sup"), "atipicos")

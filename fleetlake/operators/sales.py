@@ -1,10 +1,10 @@
 """The sales star schema: dimensions, fact, the wide mart and its reports.
 
 Join strategy of the wide mart: the fact (line items x orders) is the big
-side. Regions and payment methods are tiny and always pass the broadcast
-check. Users and items grow with the data: they are broadcast only while a
-count proves them small, else the planner uses sort-merge joins, which AQE
-splits when one key is skewed.
+side. Regions are nations, which bounds their broadcast. Users, items and
+payment methods are joined without a hint: AQE broadcasts them where their
+measured size allows and else uses sort-merge joins, which it splits when one
+key is skewed.
 """
 
 from __future__ import annotations
@@ -13,9 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_half_up
-from .joins import bounded_broadcasts, join_dimension, orphans
-
-DIM_MAX_ROWS = 2_000_000
+from .joins import join_dimension, orphans
 
 
 def dim_users(users: DataFrame) -> DataFrame:
@@ -41,19 +39,16 @@ def fact_transactions(tx: DataFrame) -> DataFrame:
 
 
 def wide_mart(fact: DataFrame, users: DataFrame, regions: DataFrame, items: DataFrame,
-              methods: DataFrame, max_rows: int = DIM_MAX_ROWS) -> DataFrame:
+              methods: DataFrame) -> DataFrame:
     """D8 + J3: fact INNER JOIN users, regions (through the user), items and
     payment methods; one row per fact row with a match in every dimension."""
     u = users.select("user_id", "username", "region_id", "rank")
-    r = regions.select("region_id", "region_name")
+    r = regions.select("region_id", "region_name").distinct()
     i = items.select("skin_id", "skin_name", "weapon", "rarity", "collection")
     m = methods.select("payment_method_id", F.col("method_name").alias("payment_method"))
-    # one job checks every dimension; each checked dimension is joined to
-    # the fact on its own (the region through the user's region id, the
-    # snowflake arm), so every broadcast side is exactly a counted frame
-    u_b, r_b, i_b, m_b = bounded_broadcasts([u, r, i, m], max_rows, persist=True)
-    j = (fact.join(u_b, "user_id", "inner").join(r_b, "region_id", "inner")
-         .join(i_b, "skin_id", "inner").join(m_b, "payment_method_id", "inner"))
+    j = join_dimension(fact, u, "user_id", "inner")
+    j = join_dimension(j, r, "region_id", "inner", bounded=True)
+    j = join_dimension(join_dimension(j, i, "skin_id", "inner"), m, "payment_method_id", "inner")
     return j.select("transaction_id", "username", "region_name", "rank", "skin_name", "weapon", "rarity",
                     "collection", "payment_method", "purchase_date", "final_price_vp", "discount_percent",
                     "bundle_purchase")
@@ -103,19 +98,20 @@ def voting_view(events: DataFrame, items: DataFrame, regions: DataFrame) -> Data
     """
     votes = events.where(F.col("event_type") == "click")
     n_items = items.agg(F.count(F.lit(1)).alias("_k"))
-    v = votes.crossJoin(F.broadcast(n_items)).select(
+    n_regions = regions.agg(F.count(F.lit(1)).alias("_r"))
+    v = votes.crossJoin(F.broadcast(n_items)).crossJoin(F.broadcast(n_regions)).select(
         F.col("event_id").alias("vote_id"),
         (F.col("user_id") % F.col("_k") + 1).alias("skin_id"),
         F.col("ts").alias("voted_at"),
-        (F.col("user_id") % 25).cast("long").alias("region_id"),
+        (F.col("user_id") % F.col("_r")).cast("long").alias("region_id"),
         F.when(F.col("event_id") % 3 == 0, F.lit("mobile")).when(F.col("event_id") % 3 == 1, F.lit("pc"))
         .otherwise(F.lit("console")).alias("device_type"),
         F.col("user_id"))
     premium = events.where(F.col("event_type") == "purchase").select("user_id").distinct() \
         .withColumn("is_premium_player", F.lit(True))
-    j = join_dimension(v, items.select("skin_id", "skin_name"), "skin_id", "inner", DIM_MAX_ROWS)
+    j = join_dimension(v, items.select("skin_id", "skin_name"), "skin_id", "inner")
     j = join_dimension(j, regions.select("region_id", F.col("region_name").alias("charity_voted")),
-                       "region_id", "left", DIM_MAX_ROWS)
+                       "region_id", "left", bounded=True)
     j = j.join(premium, "user_id", "left")
     return j.select("vote_id", "skin_name", "voted_at", "charity_voted", "device_type",
                     F.coalesce(F.col("is_premium_player"), F.lit(False)).alias("is_premium_player"))
@@ -124,10 +120,11 @@ def voting_view(events: DataFrame, items: DataFrame, regions: DataFrame) -> Data
 def donations_view(events: DataFrame, regions: DataFrame) -> DataFrame:
     """Donations: every ``purchase`` event gives its value to the
     charity of the user's region (our derivation, as above)."""
-    p = events.where(F.col("event_type") == "purchase").select(
-        (F.col("user_id") % 25).cast("long").alias("region_id"), F.col("value").alias("amount_vp"))
+    n_regions = regions.agg(F.count(F.lit(1)).alias("_r"))
+    p = events.where(F.col("event_type") == "purchase").crossJoin(F.broadcast(n_regions)).select(
+        (F.col("user_id") % F.col("_r")).cast("long").alias("region_id"), F.col("value").alias("amount_vp"))
     j = join_dimension(p, regions.select("region_id", F.col("region_name").alias("beneficiary")),
-                       "region_id", "left", DIM_MAX_ROWS)
+                       "region_id", "left", bounded=True)
     return j.select("beneficiary", "amount_vp")
 
 

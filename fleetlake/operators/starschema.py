@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.bands import band_sql
 from ..functions.time import calendar_parts, weekday_name
+from .dedup import replicate, row_counts
 from .joins import join_dimension
 
 
@@ -51,15 +52,21 @@ def dim_weather(weather: DataFrame, id_mode: str = "hash") -> DataFrame:
 
 def fact_trips(raw: DataFrame, dim_clima: DataFrame, id_mode: str = "hash") -> DataFrame:
     """D5 + J2: raw pings LEFT JOIN dim_weather on the ping date, with the
-    congestion band. A duplicated weather date fans out, as in SQL."""
+    congestion band. Every ping row has an id of its own, exact copies too. A
+    duplicated weather date fans out, as in SQL."""
     t = F.col(C.TS)
+    key = list(C.PING_COLUMNS)
+    if id_mode == "hash":
+        # equal pings are told apart by the number of their copy
+        raw = replicate(row_counts(raw, key), 1, index="_copia")
+        key = [*key, "_copia"]
     f = raw.select(
-        _surrogate(list(C.PING_COLUMNS), id_mode).alias("viaje_id"),
+        _surrogate(key, id_mode).alias("viaje_id"),
         F.upper(C.ROUTE).alias("ruta_id"), F.col(C.BUS).alias("bus_id"),
         F.to_date(t).alias("fecha_id"), C.SPEED, C.LAT, C.LON, C.TS,
         band_sql(C.SPEED).alias("nivel_congestion"))
     d = dim_clima.select(F.col("fecha").alias("fecha_id"), "clima_id")
-    j = join_dimension(f, d, "fecha_id", "left", 1_000_000)
+    j = join_dimension(f, d, "fecha_id", "left", bounded=True)
     return j.select("viaje_id", "ruta_id", "bus_id", "fecha_id", "clima_id", C.SPEED, C.LAT, C.LON, C.TS,
                     "nivel_congestion")
 

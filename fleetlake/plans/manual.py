@@ -27,7 +27,7 @@ def enriched(raw: DataFrame, weather: DataFrame) -> DataFrame:
     w = impute_temperature(weather, MANUAL_IMPUTE).select(
         "fecha", F.col("condicion").alias("clima_condicion"),
         F.col("temperatura_promedio").alias("clima_temperatura"))
-    return join_dimension(transformed(raw), w, "fecha", "left", 1_000_000, persist=True)
+    return join_dimension(transformed(raw), w, "fecha", "left", bounded=True)
 
 
 def route_hour(detail: DataFrame) -> DataFrame:

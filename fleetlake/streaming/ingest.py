@@ -1,32 +1,39 @@
 """The live ingest as Structured Streaming queries.
 
-Plan of one micro-batch: parse (all-string permissive schema, ``try_cast``)
--> normalise + validate with a reason -> split: rejected events go to the
-rejection sink; valid events pass a watermarked per-(bus, minute) dedup
-(``dropDuplicatesWithinWatermark``: state is evicted when the watermark
-passes, so it stays bounded instead of being cleared at 50,000 keys) ->
-stream-static join with the weather dimension -> positions sinks.
-
-Duplicates are dropped by Spark's state operator without a record; their
-number per batch is ``valid - accepted`` (observed metrics, A8).
+Two forms share the parsing and validation of :mod:`.live`:
+
+* :func:`start_outcomes` judges every event exactly once. Each micro-batch
+  meets a table of claims (one row per accepted bus and minute, in folders by
+  day, so a batch reads only the days it touches): the first valid event of an
+  unclaimed key is accepted, every other one is a duplicate, whenever it comes.
+  Built-in column functions only; no event is dropped, however late.
+* :func:`positions_stream` is the plain streaming frame with Spark's
+  watermarked dedup. State is evicted when the watermark passes, and events
+  behind the watermark are dropped by Spark; their number is reported by
+  :func:`batch_counters`. Use it where late events may go.
 
 Every query has its own checkpoint under ``spark.checkpoint.dir``, so a
-restart (or a lost executor) resumes from the last committed batch; sinks
-are either the file sink (exactly-once via its commit log) or
-``foreachBatch`` writes keyed by ``batch_id`` (idempotent overwrite of one
-batch partition).
+restart (or a lost executor) resumes from the last committed batch; sinks are
+either the file sink (exactly-once via its commit log) or ``foreachBatch``
+writes keyed by ``batch_id`` (idempotent overwrite of one batch's folder). A
+sink that fails stops its own query with an error, and the batch is written
+when that query is started again.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import config as C
+from ..functions.text import rejection_text
+from ..operators.audit import activity_log_from_outcomes, log_event
 from ..session import checkpoint_dir
-from .live import enrich_positions, normalise_events
+from .live import ACCEPTED, REJECTED_DUPLICATE, REJECTED_INVALID, dedup_batch, enrich_positions, normalise_events
 
 PING_EVENT_SCHEMA = ("bus_id string, ruta string, velocidad_kmh string, latitud string, longitud string, "
                      "ts string")
@@ -70,7 +77,8 @@ def split_stream(events: DataFrame, ts: str = "ts") -> tuple[DataFrame, DataFram
 
 def dedup_stream(valid: DataFrame, ts: str = "ts", delay: str = "2 minutes") -> DataFrame:
     """R2: one accepted ping per bus and minute; only valid events claim a
-    key. State per key lives until the watermark passes it."""
+    key. State per key lives until the watermark passes it; events behind the
+    watermark are dropped (and counted by Spark)."""
     keyed = valid.withColumn("minuto", F.date_trunc("minute", F.col(ts)))
     return keyed.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["bus_id", "minuto"]).drop("minuto")
 
@@ -94,8 +102,9 @@ def positions_stream(events: DataFrame, weather: DataFrame | None = None, ts: st
 
 
 def batch_counters(query: StreamingQuery) -> list[dict]:
-    """Per micro-batch counters from the query's observed metrics:
-    valid, accepted and dropped-as-duplicate events."""
+    """Per micro-batch counters from the query's progress: valid and
+    accepted events (observed metrics), late ones (dropped behind the
+    watermark, Spark's state metrics) and the rest, which are duplicates."""
     def field(p, name):
         return p.get(name) if isinstance(p, dict) else getattr(p, name, None)
 
@@ -109,21 +118,21 @@ def batch_counters(query: StreamingQuery) -> list[dict]:
     for p in query.recentProgress:
         m = field(p, "observedMetrics") or {}
         v, a = metric(m, "validos"), metric(m, "aceptados")
-        out.append({"batch_id": field(p, "batchId"), "validos": v, "aceptados": a, "duplicados": v - a})
+        late = sum(field(s, "numRowsDroppedByWatermark") or 0 for s in field(p, "stateOperators") or [])
+        out.append({"batch_id": field(p, "batchId"), "validos": v, "aceptados": a, "tardios": late,
+                    "duplicados": v - a - late})
     return out
 
 
 def start_logged(spark: SparkSession, start, log_path: str, name: str = "ingest") -> StreamingQuery:
     """Start a streaming query with a start row in the activity log;
     :func:`stop_logged` writes the stop row."""
-    from ..operators.audit import log_event
     q = start()
     log_event(spark, "stream_start", f"{name} id={q.id}", "OK", path=log_path)
     return q
 
 
 def stop_logged(spark: SparkSession, query: StreamingQuery, log_path: str, name: str = "ingest") -> None:
-    from ..operators.audit import log_event
     query.stop()
     log_event(spark, "stream_stop", f"{name} id={query.id}", "OK", path=log_path)
 
@@ -161,62 +170,75 @@ def start_table_sink(positions: DataFrame, path: str, name: str = "positions_tab
 
 
 def start_fanout(positions: DataFrame, rejected: DataFrame, base: str, trigger: dict | None = None,
-                 log_path: str | None = None) -> StreamingQuery:
-    """K9 + R4: one ``foreachBatch`` query writing each micro-batch to the
-    lake (JSON by day), the table (parquet) and, through a second query, the
-    rejected events. A failing sink writes a warning row to the activity
-    log and does not stop the other sink (per-sink try, as the original).
-    Writes go to ``batch_id=<n>`` folders with overwrite, so replaying a
-    batch after a failure replaces its own output (idempotent)."""
+                 log_path: str | None = None) -> dict[str, StreamingQuery]:
+    """K9 + R4: the accepted positions to the lake (JSON by day) and to the
+    table (parquet), the rejected events to their log: three queries with a
+    checkpoint each. A failing sink (or a NULL in a required column) writes a
+    warning row to the activity log and fails its own query only; the batch is
+    not committed and is written when that query is started again. Writes go
+    to ``batch_id=<n>`` folders with overwrite, so a repeated batch replaces
+    its own output. Returns the queries by sink."""
+    from ..sinks.files import check_not_null
     spark = positions.sparkSession
     log_path = log_path or os.path.join(base, "activity_log")
 
-    from ..sinks.files import check_not_null
+    def lake(df: DataFrame, batch_id: int):
+        (check_not_null(df, REQUIRED_POSITION_COLUMNS)
+         .withColumn("day", F.date_format("ingest_timestamp", "yyyyMMdd")).write.mode("overwrite")
+         .partitionBy("day").json(os.path.join(base, "lake", f"batch_id={batch_id}")))
+
+    def table(df: DataFrame, batch_id: int):
+        (check_not_null(df, REQUIRED_POSITION_COLUMNS).write.mode("overwrite")
+         .parquet(os.path.join(base, "table", f"batch_id={batch_id}")))
+
+    def logged(kind, write):
+        def run(df: DataFrame, batch_id: int):
+            try:
+                write(df, batch_id)
+            except Exception as e:
+                df.sparkSession.createDataFrame(
+                    [(f"{kind}-{batch_id}", "sink_error", f"{kind}: {e}", "WARN")],
+                    "event_id string, event_type string, description string, status string") \
+                    .withColumn("created_at", F.current_timestamp()).write.mode("append").parquet(log_path)
+                raise
+        return run
+
+    def start(writer, kind):
+        return (writer.option("checkpointLocation", os.path.join(base, "_checkpoints", kind))
+                .trigger(**(trigger or {"availableNow": True})).start())
 
-    def write_batch(df: DataFrame, batch_id: int):
-        df = check_not_null(df, REQUIRED_POSITION_COLUMNS).persist()
-        try:
-            for kind, fn in (
-                ("lake", lambda: df.withColumn("day", F.date_format("ingest_timestamp", "yyyyMMdd"))
-                 .write.mode("overwrite").partitionBy("day").json(os.path.join(base, "lake", f"batch_id={batch_id}"))),
-                ("table", lambda: df.write.mode("overwrite")
-                 .parquet(os.path.join(base, "table", f"batch_id={batch_id}"))),
-            ):
-                try:
-                    fn()
-                except Exception as e:  # noqa: BLE001
-                    df.sparkSession.createDataFrame(
-                        [(f"{kind}-{batch_id}", "sink_error", f"{kind}: {e}"[:1000], "WARN")],
-                        "event_id string, event_type string, description string, status string") \
-                        .withColumn("created_at", F.current_timestamp()).write.mode("append").parquet(log_path)
-        finally:
-            df.unpersist()
-
-    pos_q = (positions.writeStream.foreachBatch(write_batch).queryName("positions_fanout")
-             .option("checkpointLocation", _ckpt(spark, "positions_fanout"))
-             .trigger(**(trigger or {"availableNow": True})).start())
-    from .. import config as C
     rej = rejected.select(F.lit(C.EVENT_REJECTED).alias("event_type"),
-                          F.concat(F.lit("validacion: "), F.col("reason")).alias("description"),
+                          rejection_text(F.col("reason")).alias("description"),
                           F.lit("ERROR").alias("status"), F.col("ts").alias("created_at"),
                           "bus_id", "ruta_raw")
-    (rej.writeStream.format("parquet").option("path", os.path.join(base, "rejected"))
-     .option("checkpointLocation", _ckpt(spark, "rejected")).queryName("rejected")
-     .trigger(**(trigger or {"availableNow": True})).start())
-    return pos_q
-
-
-def run_available(query: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query to finish (or stop it at timeout)."""
-    if not query.awaitTermination(timeout_s):
-        query.stop()
-    if query.exception():
-        raise query.exception()
+    return {
+        "lake": start(positions.writeStream.foreachBatch(logged("lake", lake)), "lake"),
+        "table": start(positions.writeStream.foreachBatch(logged("table", table)), "table"),
+        "rejected": start(rej.writeStream.format("parquet").option("path", os.path.join(base, "rejected")), "rejected"),
+    }
+
+
+def run_available(query: StreamingQuery | dict[str, StreamingQuery], timeout_s: float | None = None) -> None:
+    """Wait for ``availableNow`` queries to finish, however long they take. A
+    limit that is given and reached stops the query and raises; so does a
+    query's own failure, after all of them have ended."""
+    failed = []
+    for q in query.values() if isinstance(query, dict) else [query]:
+        try:
+            ended = q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
+        except Exception as e:  # noqa: BLE001
+            failed.append(e)
+            continue
+        if timeout_s is not None and not ended:
+            q.stop()
+            failed.append(TimeoutError(f"the stream had not finished after {timeout_s} s; its output is incomplete"))
+    if failed:
+        raise failed[0]
 
 
-def run_concurrently(spark: SparkSession, start_stream, batch_job, timeout_s: int = 600):
-    """Start the streaming query, run the batch job in the same session
-    while it runs (separate output tables), then wait for the stream."""
+def run_concurrently(spark: SparkSession, start_stream, batch_job, timeout_s: float | None = None):
+    """Start the streaming query (or queries), run the batch job in the
+    same session while it runs (separate output tables), then wait for it."""
     q = start_stream()
     try:
         result = batch_job()
@@ -225,61 +247,68 @@ def run_concurrently(spark: SparkSession, start_stream, batch_job, timeout_s: in
     return result
 
 
-# ------------------------------------------------ duplicates as outcome rows
+# -------------------------------------------------- every event's outcome
 
-OUTCOME_SCHEMA = ("bus_id string, ruta string, ruta_raw string, velocidad_kmh double, latitud double, "
-                  "longitud double, ts timestamp, outcome string, reason string")
-_ORDER = ["ts", "ruta", "ruta_raw", "velocidad_kmh", "latitud", "longitud"]
-
-
-def _claim_minute(key, batches, state):
-    """Per (bus, minute): the first valid event claims the key and is
-    accepted; every other event of the key, in this or a later micro-batch,
-    is a duplicate row. Rows arrive as Arrow-sized pandas chunks (never the
-    whole group at once); inside a chunk the earliest event wins. The claim
-    is dropped once the watermark passes the end of the minute."""
-    import pandas as pd
-
-    from ..config import REASON_DUPLICATE
+def _present(spark: SparkSession, paths: list[str]) -> list[str]:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        if path.getFileSystem(conf).exists(path):
+            out.append(p)
+    return out
 
-    if state.hasTimedOut:
-        state.remove()
-        return
-    claimed = state.exists
-    minute = None
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        minute = pdf["minuto"].iloc[0]
-        pdf = pdf.sort_values(_ORDER, kind="mergesort").drop(columns=["minuto"])
-        outcome = ["rechazado_duplicado"] * len(pdf)
-        reason = [REASON_DUPLICATE] * len(pdf)
-        if not claimed:
-            outcome[0], reason[0] = "aceptado", "ok"
-            claimed = True
-        yield pdf.assign(outcome=outcome, reason=reason)
-    if claimed and not state.exists:
-        state.update((True,))
-    if minute is not None:
-        end = pd.Timestamp(minute)
-        end = (end.tz_localize("UTC") if end.tzinfo is None else end.tz_convert("UTC")) + pd.Timedelta(minutes=1)
-        state.setTimeoutTimestamp(int(end.timestamp() * 1000))
-
-
-def outcomes_stream(events: DataFrame, ts: str = "ts", delay: str = "2 minutes") -> tuple[DataFrame, DataFrame]:
-    """R1/R4 with duplicates as rows: ``(valid_outcomes, rejected)`` where
-    ``valid_outcomes`` has one row per valid event with outcome ``aceptado``
-    or ``rechazado_duplicado`` (stateful, keyed by bus and minute) and
-    ``rejected`` one row per invalid event with its reason (stateless)."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
 
-    valid, rejected = split_stream(events, ts)
-    keyed = valid.withColumn("minuto", F.date_trunc("minute", F.col(ts))).withWatermark(ts, delay)
-    out = keyed.groupBy("bus_id", "minuto").applyInPandasWithState(
-        _claim_minute, OUTCOME_SCHEMA, "claimed boolean", "append", GroupStateTimeout.EventTimeTimeout)
-    rej = rejected.select("bus_id", "ruta", "ruta_raw", "velocidad_kmh", "latitud", "longitud", ts,
-                          F.lit("rechazado_validacion").alias("outcome"), "reason")
-    return out, rej
+CLAIM_SCHEMA = "bus_id string, minuto timestamp, day string, batch_id long"
+
+
+def judge_batch(events: DataFrame, batch_id: int, base: str, ts: str = "ts",
+                weather: Callable[[SparkSession], DataFrame] | None = None) -> None:
+    """One micro-batch of :func:`start_outcomes`. Claims of this batch or a
+    later one are left out when it is repeated, so a repeat gives the same
+    rows; every folder of the batch is overwritten."""
+    spark = events.sparkSession
+    place = lambda kind: os.path.join(base, kind, f"batch_id={batch_id}")
+    # written once: the source is read once, and arrival times stay fixed
+    normalise_events(with_event_time(events, ts), ts).write.mode("overwrite").parquet(place("_events"))
+    norm = spark.read.parquet(place("_events"))
+    valid = norm.where("reason IS NULL").drop("reason")
+    day = F.date_format("ts", "yyyyMMdd")
+    days = [r.day for r in valid.select(day.alias("day")).distinct().collect()]  # the days of one micro-batch
+    claims = os.path.join(base, "claims")
+    paths = _present(spark, [os.path.join(claims, f"day={d}") for d in days])
+    known = (spark.read.schema(CLAIM_SCHEMA).option("basePath", claims).parquet(*paths) if paths
+             else spark.createDataFrame([], CLAIM_SCHEMA))
+    known = known.where(F.col("batch_id") < batch_id).select("bus_id", "minuto")
+    first, later = dedup_batch(valid)
+    accepted = first.join(known, ["bus_id", "minuto"], "left_anti")
+    again = first.join(known, ["bus_id", "minuto"], "left_semi")
+    (accepted.select("bus_id", "minuto", F.date_format("minuto", "yyyyMMdd").alias("day"), F.lit(batch_id).alias("batch_id"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(claims))
+    cols = ["bus_id", "ruta", "ruta_raw", "velocidad_kmh", "latitud", "longitud", "ts"]
+    out = (norm.where("reason IS NOT NULL").select(*cols, F.lit(REJECTED_INVALID).alias("outcome"), "reason")
+           .unionByName(later.unionByName(again, allowMissingColumns=True)
+                        .select(*cols, F.lit(REJECTED_DUPLICATE).alias("outcome"), F.lit(C.REASON_DUPLICATE).alias("reason")))
+           .unionByName(accepted.select(*cols, F.lit(ACCEPTED).alias("outcome"), F.lit("ok").alias("reason"))))
+    out.write.mode("overwrite").parquet(place("outcomes"))
+    done = spark.read.parquet(place("outcomes"))
+    activity_log_from_outcomes(done).write.mode("overwrite").parquet(place("activity_log"))
+    if weather is not None:
+        kept = done.where(F.col("outcome") == ACCEPTED).select(*cols)
+        enrich_positions(kept, weather(spark)).write.mode("overwrite").parquet(place("positions"))
+
+
+def start_outcomes(events: DataFrame, base: str, ts: str = "ts", trigger: dict | None = None,
+                   weather: Callable[[SparkSession], DataFrame] | None = None) -> StreamingQuery:
+    """Every event's outcome row under ``base/outcomes`` (accepted,
+    duplicate or rejected with its reason; exactly one per event, late events
+    included), the activity-log rows of rejections and duplicates under
+    ``base/activity_log`` and, with ``weather``, the enriched accepted
+    positions under ``base/positions``. ``weather`` is called for every
+    micro-batch, so days added while the stream runs are seen."""
+    return (events.writeStream.foreachBatch(lambda df, n: judge_batch(df, n, base, ts, weather))
+            .option("checkpointLocation", os.path.join(base, "_checkpoint"))
+            .trigger(**(trigger or {"availableNow": True})).start())
 
 
 def start_live_view(positions: DataFrame, path: str, checkpoint: str | None = None,

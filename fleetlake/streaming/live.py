@@ -41,43 +41,30 @@ def _num(c: str, df: DataFrame) -> Column:
     return F.col(c).try_cast("double") if c in df.columns else F.lit(None).cast("double")
 
 
-def _pytext(x: Column) -> Column:
-    """The value's text as the original service prints it (Python ``repr``
-    of a float): ``nan``/``inf``/``-inf``, positional notation for decimal
-    exponents -4..15 (Spark switches to ``1.0E7`` at 1e7 and below 1e-3) and
-    ``1.5e-05`` / ``1e+16`` style beyond. Spark's text already carries the
-    shortest digits; only their layout is changed."""
-    t = x.cast("string")
-    pat = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
-    sign, lead = F.regexp_extract(t, pat, 1), F.regexp_extract(t, pat, 2)
-    frac = F.regexp_replace(F.regexp_extract(t, pat, 3), "0+$", "")
-    exp = F.regexp_extract(t, pat, 4).try_cast("int")
-    digits = F.concat(lead, frac)
-    width = exp + 1
-    int_part = F.when(F.length(digits) <= width, F.rpad(digits, width, "0")) \
-        .otherwise(F.substring(digits, 1, width))
-    frac_part = F.when(F.length(digits) > width,
-                       F.regexp_replace(digits, F.concat(F.lit("^.{"), width.cast("string"), F.lit("}")),
-                                        F.lit(""))).otherwise(F.lit("0"))
-    positional = F.concat(sign, int_part, F.lit("."), frac_part)
-    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
-    mantissa = F.when(frac == "", lead).otherwise(F.concat(lead, F.lit("."), frac))
-    sci = F.concat(sign, mantissa, F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
-                   F.lpad(F.abs(exp).cast("string"), 2, "0"))
-    layout = (F.when(exp.isNull(), t)
-              .when((exp >= 0) & (exp < 16), positional)
-              .when(exp == -4, small)
-              .otherwise(sci))
-    return (F.when(F.isnan(x), F.lit("nan"))
-            .when(x == float("inf"), F.lit("inf"))
-            .when(x == float("-inf"), F.lit("-inf"))
-            .otherwise(layout))
-
-
-def _reason(template: str, x: Column) -> Column:
-    """Fill a fixed ``...({})`` reason template with the value's text."""
-    prefix, suffix = template.split("{}")
-    return F.concat(F.lit(prefix), _pytext(x), F.lit(suffix))
+def _pytext_columns(df: DataFrame, value: str, name: str = "_text") -> DataFrame:
+    """``df`` with the text of a number as the original service prints it
+    (Python ``repr`` of a float): ``nan``/``inf``/``-inf``, positional notation
+    for decimal exponents -4..15 (Spark switches to ``1.0E7`` at 1e7 and below
+    1e-3) and ``1.5e-05`` / ``1e+16`` style beyond. Spark's text already
+    carries the shortest digits; only their layout is changed, column by
+    column, so no part is computed twice."""
+    x = F.col(value)
+    plain = df.withColumn("_t", x.cast("string"))
+    sci = plain.withColumn("_at", F.instr("_t", "E"))
+    cut = sci.withColumn("_exp", F.when(F.col("_at") > 0, F.expr("substring(_t, _at + 1)").try_cast("int")))
+    cut = cut.withColumn("_sign", F.when(x < 0, "-").otherwise(""))
+    cut = cut.withColumn("_lead", F.expr("substring(_t, length(_sign) + 1, 1)"))
+    cut = cut.withColumn("_frac", F.expr("rtrim('0', substring(_t, length(_sign) + 3, _at - length(_sign) - 3))"))
+    cut = cut.withColumn("_digits", F.concat("_lead", "_frac"))
+    layout = (F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf")
+              .when(F.col("_exp").isNull(), F.col("_t"))
+              .when(F.col("_exp").between(0, 15), F.expr(
+                  "concat(_sign, rpad(substring(_digits, 1, _exp + 1), _exp + 1, '0'), '.', "
+                  "if(length(_digits) > _exp + 1, substring(_digits, _exp + 2), '0'))"))
+              .when(F.col("_exp") == -4, F.concat("_sign", F.lit("0.000"), "_digits"))
+              .otherwise(F.expr("concat(_sign, _lead, if(_frac = '', '', concat('.', _frac)), 'e', "
+                                "if(_exp < 0, '-', '+'), lpad(cast(abs(_exp) as string), 2, '0'))")))
+    return cut.withColumn(name, layout).drop("_t", "_at", "_exp", "_sign", "_lead", "_frac", "_digits")
 
 
 def normalise_events(events: DataFrame, ts: str = "ts") -> DataFrame:
@@ -104,13 +91,21 @@ def normalise_events(events: DataFrame, ts: str = "ts") -> DataFrame:
     def outside(x: Column, lo_: float, hi_: float) -> Column:
         return ~F.coalesce(x.between(lo_, hi_), F.lit(False))
 
-    reason = (F.when(F.coalesce(F.col("bus_id"), F.lit("")) == "", F.lit(C.REASON_REQUIRED))
-              .when(F.coalesce(F.col("ruta_raw"), F.lit("")) == "", F.lit(C.REASON_REQUIRED))
-              .when(s.isNull() | la.isNull() | lo.isNull(), F.lit(C.REASON_NUMERIC))
-              .when(outside(s, b.speed_min, b.speed_max), _reason(C.REASON_SPEED, s))
-              .when(outside(la, b.lat_min, b.lat_max), _reason(C.REASON_LAT, la))
-              .when(outside(lo, b.lon_min, b.lon_max), _reason(C.REASON_LON, lo)))
-    return typed.withColumn("reason", reason)
+    check = (F.when((F.coalesce(F.col("bus_id"), F.lit("")) == "") | (F.coalesce(F.col("ruta_raw"), F.lit("")) == ""), 1)
+             .when(s.isNull() | la.isNull() | lo.isNull(), 2)
+             .when(outside(s, b.speed_min, b.speed_max), 3)
+             .when(outside(la, b.lat_min, b.lat_max), 4)
+             .when(outside(lo, b.lon_min, b.lon_max), 5))
+    # the offending value is one column and is laid out once
+    judged = typed.withColumn("_check", check)
+    judged = judged.withColumn("_value", F.when(F.col("_check") == 3, s).when(F.col("_check") == 4, la)
+                               .when(F.col("_check") == 5, lo))
+    text = _pytext_columns(judged, "_value")
+    before = F.when(F.col("_check") == 1, C.REASON_REQUIRED).when(F.col("_check") == 2, C.REASON_NUMERIC)
+    for k, template in ((3, C.REASON_SPEED), (4, C.REASON_LAT), (5, C.REASON_LON)):
+        prefix, suffix = template.split("{}")
+        before = before.when(F.col("_check") == k, F.concat(F.lit(prefix), F.col("_text"), F.lit(suffix)))
+    return text.select(*typed.columns, before.alias("reason"))
 
 
 def with_minute(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -141,9 +136,9 @@ def enrich_positions(accepted: DataFrame, weather: DataFrame | None = None, ts:
     if weather is not None:
         w = weather.select(F.col("fecha").alias("_fecha"), F.col("condicion").alias("clima_condicion"),
                            F.col("temperatura_promedio").alias("clima_temperatura"))
-        # persisted by the size check: a stream-static join re-runs the static
-        # side's plan in every micro-batch unless it is cached
-        out = join_dimension(out, w, "_fecha", "left", 1_000_000, persist=True)
+        # one row per calendar day; never cached, so a stream that reads its
+        # weather per batch sees days that were added meanwhile
+        out = join_dimension(out, w, "_fecha", "left", bounded=True)
     else:
         out = out.withColumn("clima_condicion", F.lit(None).cast("string")) \
                  .withColumn("clima_temperatura", F.lit(None).cast("double"))

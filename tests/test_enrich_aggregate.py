@@ -1,13 +1,15 @@
 import datetime as dt
 import random
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from conftest import PING_DDL, ping
 from fleetlake.config import ImputePolicy
 from fleetlake.operators import aggregate, insights
 from fleetlake.operators.enrich import enrich_weather, impute_temperature
-from fleetlake.operators.quantiles import box_stats, box_stats_percentile, exact_quantiles
+from fleetlake.operators.quantiles import box_stats, exact_quantiles, value_bucket
 
 W_DDL = "fecha date, condicion string, temperatura_promedio double"
 
@@ -58,17 +60,32 @@ def test_exact_quantiles_match_percentile_with_hot_group(spark):
             assert abs(e[f"p{int(p * 100)}"] - r.q[i]) < 1e-9, (r.g, p)
 
 
-def test_box_stats_two_methods_agree(spark):
+def test_box_stats_equal_numpy(spark):
     rnd = random.Random(3)
     rows = [(c, rnd.gauss(40, 15)) for c in ("Despejado", "Nublado", "Lluvia") for _ in range(400)]
-    rows += [("Lluvia", 500.0), ("Lluvia", -300.0)]
+    rows += [("Lluvia", 500.0), ("Lluvia", -300.0)] + [("small", v) for v in (0.0, 0.0, 0.0, 10.0)]
+    rows += [("hot", rnd.gauss(30, 10)) for _ in range(2000)] + [("one", 7.5)] + [("same", -2.0)] * 9
+    rows += [("wide", v) for v in (1e-300, -1e300, 1e300, 0.0, -0.0, 3.0)]
     df = spark.createDataFrame(rows, "k string, v double")
-    a = {r.k: r for r in box_stats(df, ["k"], "v").collect()}
-    b = {r.k: r for r in box_stats_percentile(df, ["k"], "v").collect()}
-    for k in a:
-        for c in ("n", "q1", "mediana", "q3", "bigote_inf", "bigote_sup", "atipicos"):
-            assert abs(a[k][c] - b[k][c]) < 1e-9, (k, c)
-    assert a["Lluvia"].atipicos >= 2
+    got = {r.k: r for r in box_stats(df, ["k"], "v").collect()}
+    assert got.keys() == {k for k, _ in rows}
+    for k, r in got.items():
+        v = np.array([x for g, x in rows if g == k])
+        q1, q2, q3 = np.quantile(v, [0.25, 0.5, 0.75])
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        want = (len(v), q1, q2, q3, min(q1, v[v >= lo].min()), max(q3, v[v <= hi].max()), ((v < lo) | (v > hi)).sum())
+        have = (r.n, r.q1, r.mediana, r.q3, r.bigote_inf, r.bigote_sup, r.atipicos)
+        assert np.allclose(have, want, rtol=1e-9, atol=1e-9), (k, have, want)
+    assert got["small"].q3 == 2.5 and got["small"].bigote_sup == 2.5   # never inside the box
+
+
+def test_value_buckets_never_fall(spark):
+    vals = sorted([-1e308, -5.0, -1.0, -1e-9, -5e-324, 0.0, 5e-324, 1e-9, 0.999, 1.0, 1.001, 2.0, 120.0, 1.7e308,
+                   float("inf"), float("-inf")])
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = {r.v: r.b for r in df.select("v", value_bucket(F.col("v")).alias("b")).collect()}
+    b = [got[v] for v in vals]
+    assert b == sorted(b) and len(set(b)) > 10
 
 
 def test_argmin_ties_and_absent_class(spark):
@@ -98,17 +115,3 @@ def test_band_distribution_sums_to_100(spark):
                                "Nivel_Congestion string")
     rows = aggregate.band_distribution(df).collect()
     assert abs(sum(r.porcentaje for r in rows) - 100.0) < 0.2
-
-
-def test_box_stats_distributed_path_equals_percentile_path(spark, monkeypatch):
-    from fleetlake.operators import quantiles
-    rnd = random.Random(11)
-    rows = [("hot", rnd.gauss(30, 10)) for _ in range(2000)] + [(f"g{i % 4}", rnd.gauss(50, 5)) for i in range(400)]
-    df = spark.createDataFrame(rows, "k string, v double")
-    fast = {r.k: r for r in quantiles.box_stats(df, ["k"], "v").collect()}
-    monkeypatch.setattr(quantiles, "PERCENTILE_MAX_DISTINCT", 0)      # force the prefix-sum path
-    dist = {r.k: r for r in quantiles.box_stats(df, ["k"], "v").collect()}
-    assert fast.keys() == dist.keys()
-    for k in fast:
-        for c in ("n", "q1", "mediana", "q3", "bigote_inf", "bigote_sup", "atipicos"):
-            assert abs(fast[k][c] - dist[k][c]) < 1e-9, (k, c)

@@ -2,6 +2,8 @@ import glob
 import json
 import os
 
+import pytest
+
 from fleetlake.streaming import ingest
 
 
@@ -23,8 +25,6 @@ def test_fanout_sinks_and_concurrent_batch(spark, tmpdir_path):
 
     n = ingest.run_concurrently(spark, lambda: ingest.start_fanout(pos, rej, base), batch, timeout_s=300)
     assert n == 10
-    for q in spark.streams.active:
-        q.awaitTermination(120)
     lake = spark.read.json(os.path.join(base, "lake"))
     table = spark.read.parquet(os.path.join(base, "table"))
     assert lake.count() == 12 and table.count() == 12
@@ -33,6 +33,30 @@ def test_fanout_sinks_and_concurrent_batch(spark, tmpdir_path):
     assert [r.description for r in rejected] == ["validacion: velocidad fuera de rango (999.0)"]
 
 
+def test_a_failed_sink_retries_and_others_go_on(spark, tmpdir_path):
+    src, base = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "out")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write(json.dumps({"bus_id": "BUS_1", "ruta": "210", "velocidad_kmh": "20", "latitud": "-33.45",
+                            "longitud": "-70.66", "ts": "2024-01-05 10:00:00"}) + "\n")
+    os.makedirs(base)
+    block = os.path.join(base, "table")
+    open(block, "w").close()               # a file where the table's folder belongs
+
+    def start():
+        return ingest.start_fanout(*ingest.positions_stream(ingest.read_ping_events(spark, src)), base)
+
+    with pytest.raises(Exception):
+        ingest.run_available(start())
+    assert spark.read.json(os.path.join(base, "lake")).count() == 1
+    log = spark.read.parquet(os.path.join(base, "activity_log")).collect()
+    assert [(r.event_type, r.status) for r in log] == [("sink_error", "WARN")] and log[0].description.startswith("table: ")
+    os.remove(block)
+    ingest.run_available(start())          # the batch was not lost
+    assert spark.read.parquet(os.path.join(base, "table")).count() == 1
+    assert spark.read.json(os.path.join(base, "lake")).count() == 1
+
+
 def test_observed_counters_and_start_stop_log(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "in")
     os.makedirs(src)

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetlake.streaming import ingest, live
@@ -99,21 +100,104 @@ def test_outcome_stream_keeps_duplicates_across_batches(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "out")
 
     def run():
-        valid, rejected = ingest.outcomes_stream(ingest.read_ping_events(spark, src))
-        for name, df in (("valid", valid), ("rejected", rejected)):
-            q = (df.writeStream.format("parquet").option("path", f"{out}/{name}")
-                 .option("checkpointLocation", f"{out}/_ck_{name}").trigger(availableNow=True).start())
-            ingest.run_available(q, 300)
+        ingest.run_available(ingest.start_outcomes(ingest.read_ping_events(spark, src), out))
 
     run()
     put("b.json", [ev("B2", 50)])       # same bus and minute, later batch -> duplicate row
     run()
-    rows = spark.read.parquet(f"{out}/valid").collect()
-    got = sorted((r.bus_id, r.ts.second, r.outcome) for r in rows)
+    rows = spark.read.parquet(f"{out}/outcomes").collect()
+    got = sorted((r.bus_id, r.ts.second, r.outcome) for r in rows if r.outcome != "rechazado_validacion")
     assert got == [("B1", 10, "aceptado"), ("B1", 30, "rechazado_duplicado"),
                    ("B2", 5, "aceptado"), ("B2", 50, "rechazado_duplicado")]
-    rej = spark.read.parquet(f"{out}/rejected").collect()
-    assert [r.reason for r in rej] == ["velocidad fuera de rango (999.0)"]
+    assert [r.reason for r in rows if r.outcome == "rechazado_validacion"] == ["velocidad fuera de rango (999.0)"]
+
+
+def test_late_events_have_an_outcome_and_weather_is_read_per_batch(spark, tmpdir_path):
+    src, out = os.path.join(tmpdir_path, "in"), os.path.join(tmpdir_path, "out")
+    os.makedirs(src)
+    wet = os.path.join(tmpdir_path, "weather")
+
+    def put(name, evs):
+        with open(os.path.join(src, name), "w") as f:
+            for bus, t, speed in evs:
+                f.write(json.dumps({"bus_id": bus, "ruta": "210", "velocidad_kmh": speed, "latitud": "-33.45",
+                                    "longitud": "-70.66", "ts": f"2024-01-05 {t}"}) + "\n")
+
+    def rain(day):
+        spark.createDataFrame([(dt.date(2024, 1, day), "Lluvia", 9.0)],
+                              "fecha date, condicion string, temperatura_promedio double") \
+            .write.mode("append").parquet(wet)
+
+    def run():
+        ingest.run_available(ingest.start_outcomes(ingest.read_ping_events(spark, src), out,
+                                                   weather=lambda s: s.read.parquet(wet)))
+
+    rain(4)
+    put("a.json", [("B1", "10:30:00", "20"), ("B1", "10:30:09", "21"), ("B2", "10:00:00", "x"), ("", "10:00:00", "5")])
+    run()
+    assert [r.clima_condicion for r in spark.read.parquet(f"{out}/positions").collect()] == [None]
+    rain(5)                               # a day added while the stream is in use
+    put("b.json", [("B1", "10:05:00", "20"),       # 25 minutes late, its minute unclaimed: accepted
+                   ("B1", "10:30:40", "20"),       # claimed in the first batch: duplicate
+                   ("B3", "10:06:00", "999")])     # late and invalid
+    run()
+    rows = spark.read.parquet(f"{out}/outcomes").collect()
+    assert len(rows) == 7                 # one outcome per event
+    got = sorted((r.bus_id, r.ts.strftime("%H:%M:%S"), r.outcome) for r in rows)
+    assert ("B1", "10:05:00", "aceptado") in got and ("B1", "10:30:40", "rechazado_duplicado") in got
+    late = spark.read.parquet(f"{out}/positions").where("batch_id = 1").collect()
+    assert [(r.bus_id, r.clima_condicion) for r in late] == [("B1", "Lluvia")]
+    log = sorted((r.event_type, r.description) for r in spark.read.parquet(f"{out}/activity_log").collect())
+    assert [d for k, d in log if k == "posicion_duplicada"] == ["B1 en 2024-01-05T10:30"] * 2
+    texts = [d for k, d in log if k == "posicion_rechazada"]
+    assert "normalizacion: bus_id y ruta son obligatorios" in texts
+    assert "normalizacion: velocidad_kmh, latitud y longitud deben ser numéricos" in texts
+    assert "validacion: velocidad fuera de rango (999.0)" in texts
+    # a repeated batch gives the same rows
+    batch = spark.read.schema(ingest.PING_EVENT_SCHEMA).json(os.path.join(src, "b.json"))
+    before = sorted(map(str, spark.read.parquet(f"{out}/outcomes/batch_id=1").collect()))
+    ingest.judge_batch(batch, 1, out, weather=lambda s: s.read.parquet(wet))
+    assert sorted(map(str, spark.read.parquet(f"{out}/outcomes/batch_id=1").collect())) == before
+
+
+def test_a_reached_limit_raises(spark):
+    class Slow:
+        stopped = False
+
+        def awaitTermination(self, t=None):
+            return False
+
+        def stop(self):
+            self.stopped = True
+
+    q = Slow()
+    with pytest.raises(TimeoutError):
+        ingest.run_available(q, 0.1)
+    assert q.stopped
+
+
+def test_late_events_of_the_watermarked_stream_are_counted(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+
+    def put(name, times):
+        with open(os.path.join(src, name), "w") as f:
+            for t in times:
+                f.write(json.dumps({"bus_id": "B1", "ruta": "210", "velocidad_kmh": "20", "latitud": "-33.45",
+                                    "longitud": "-70.66", "ts": f"2024-01-05 {t}"}) + "\n")
+
+    def run():
+        pos, _ = ingest.positions_stream(ingest.read_ping_events(spark, src))
+        q = (pos.writeStream.format("noop").option("checkpointLocation", os.path.join(tmpdir_path, "ck"))
+             .trigger(availableNow=True).start())
+        ingest.run_available(q)
+        return ingest.batch_counters(q)
+
+    put("a.json", ["10:30:00", "10:30:20"])
+    run()
+    put("b.json", ["10:05:00", "10:40:00"])
+    c = [x for x in run() if x["validos"]]
+    assert [(x["validos"], x["aceptados"], x["tardios"], x["duplicados"]) for x in c] == [(2, 1, 1, 0)]
 
 
 def test_dedup_state_is_evicted_by_the_watermark(spark, tmpdir_path):
@@ -153,5 +237,5 @@ def test_reason_values_print_like_python_repr(spark):
     vals = [999.0, -5.0, 120.1, 12345678.9, 1e7, 99999999.0, -1e8, 1.5e15, 1e16, 2.5e20, 0.0001, 0.00015,
             -0.0002, 1.5e-05, 1e-07, 123.45, 0.001, float("nan"), float("inf"), float("-inf")]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = [r[0] for r in df.select(live._pytext(F.col("x"))).collect()]
-    assert got == [repr(v) for v in vals]
+    got = {repr(r.x): r._text for r in live._pytext_columns(df, "x").collect()}
+    assert got == {repr(v): repr(v) for v in vals}

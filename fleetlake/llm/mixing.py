@@ -103,8 +103,11 @@ def _cuts(rows: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFra
     inside = (F.col("source_size") > 0) & ((2 * start + F.col("words")).cast("double") < 2 * rest)
     cut = (run.where(inside).groupBy(F.col("source").alias("_s"))
            .agg(F.max(F.struct("_key", "_id")).alias("_cut")))
-    return (targets.join(cut, F.col("source").eqNullSafe(F.col("_s")), "left")
+    cuts = (targets.join(cut, F.col("source").eqNullSafe(F.col("_s")), "left")
             .select("source", "source_size", "target", "epochs", "_cut"))
+    # written, so the planner knows its size: few sources are broadcast and
+    # no text is shuffled, very many are joined by AQE
+    return written(cuts, "cuts")
 
 
 def _taken(rows: DataFrame, cuts: DataFrame) -> DataFrame:

@@ -170,4 +170,6 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     best = (rows.select("fp", F.struct(F.col(id_at).isNull().alias("z"), F.col(id_at).alias("i"), "_rid").alias("r"))
             .groupBy("fp").agg(F.min("r").alias("r")).join(groups, "fp")
             .groupBy("group").agg(F.min("r").alias("r")).select(F.col("r._rid").alias("_rid")))
-    return rows.join(best, "_rid", "left_semi").select(*plain.columns).toDF(*names)
+    # the rows that go are few as a rule: their ids travel, not the texts
+    gone = written(rows.select("_rid").join(best, "_rid", "left_anti"), "gone")
+    return rows.join(gone, "_rid", "left_anti").select(*plain.columns).toDF(*names)

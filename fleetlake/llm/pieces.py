@@ -19,6 +19,7 @@ chunk in NumPy, one merge per row and step. Long chunks take a heap instead.
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,7 +39,7 @@ SEED = 1
 #: Segmentations that a chunk can have under one seed.
 VARIANTS = 4
 #: Chunks remembered by a Python worker (about 40 MB).
-CACHE_CHUNKS = 150_000
+CACHE_CHUNKS = 200_000
 #: Longer chunks are segmented one by one with a heap.
 ROW_SYMBOLS = 32
 
@@ -258,12 +259,14 @@ class Encoder:
             new = dict(zip(todo, self.merges.segment([c for c, _ in todo], keys, self.cut), strict=True))
             for ids, k, c, v in holes:
                 ids[k] = new[c, v]
-            # frequent chunks come early; a full memory stays as it is
-            for (c, v), x in new.items():
-                if self.room <= 0:
-                    break
-                known[v][c] = x
-                self.room -= 1
+            # only chunks that come again are worth the memory; frequent ones
+            # come early, and a full memory stays as it is
+            if self.room > 0:
+                times = Counter([c for _, _, c, _ in holes])
+                again = [x for x in new.items() if times[x[0][0]] > 1][:self.room]
+                for (c, v), x in again:
+                    known[v][c] = x
+                self.room -= len(again)
         return [np.frombuffer(b"".join(x), "<i4") for x in found]
 
 

@@ -33,7 +33,7 @@ from .. import config as C
 from ..functions.text import rejection_text
 from ..operators.audit import activity_log_from_outcomes, log_event
 from ..session import checkpoint_dir
-from .live import ACCEPTED, REJECTED_DUPLICATE, REJECTED_INVALID, dedup_batch, enrich_positions, normalise_events
+from .live import ACCEPTED, REJECTED_DUPLICATE, REJECTED_INVALID, check_events, dedup_batch, enrich_positions, with_reason
 
 PING_EVENT_SCHEMA = ("bus_id string, ruta string, velocidad_kmh string, latitud string, longitud string, "
                      "ts string")
@@ -70,9 +70,9 @@ def with_event_time(events: DataFrame, ts: str = "ts") -> DataFrame:
 
 def split_stream(events: DataFrame, ts: str = "ts") -> tuple[DataFrame, DataFrame]:
     """(valid, rejected) normalised events of a stream (stateless)."""
-    norm = normalise_events(with_event_time(events, ts), ts)
-    return (norm.where(F.col("reason").isNull()).drop("reason"),
-            norm.where(F.col("reason").isNotNull()))
+    checked = check_events(with_event_time(events, ts), ts)
+    return (checked.where(F.col("_check").isNull()).drop("_check"),
+            with_reason(checked.where(F.col("_check").isNotNull())))
 
 
 def dedup_stream(valid: DataFrame, ts: str = "ts", delay: str = "2 minutes") -> DataFrame:
@@ -270,9 +270,10 @@ def judge_batch(events: DataFrame, batch_id: int, base: str, ts: str = "ts",
     spark = events.sparkSession
     place = lambda kind: os.path.join(base, kind, f"batch_id={batch_id}")
     # written once: the source is read once, and arrival times stay fixed
-    normalise_events(with_event_time(events, ts), ts).write.mode("overwrite").parquet(place("_events"))
-    norm = spark.read.parquet(place("_events"))
-    valid = norm.where("reason IS NULL").drop("reason")
+    check_events(with_event_time(events, ts), ts).write.mode("overwrite").parquet(place("_events"))
+    checked = spark.read.parquet(place("_events"))
+    valid = checked.where("_check IS NULL").drop("_check")
+    invalid = with_reason(checked.where("_check IS NOT NULL"))
     day = F.date_format("ts", "yyyyMMdd")
     days = [r.day for r in valid.select(day.alias("day")).distinct().collect()]  # the days of one micro-batch
     claims = os.path.join(base, "claims")
@@ -286,7 +287,7 @@ def judge_batch(events: DataFrame, batch_id: int, base: str, ts: str = "ts",
     (accepted.select("bus_id", "minuto", F.date_format("minuto", "yyyyMMdd").alias("day"), F.lit(batch_id).alias("batch_id"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(claims))
     cols = ["bus_id", "ruta", "ruta_raw", "velocidad_kmh", "latitud", "longitud", "ts"]
-    out = (norm.where("reason IS NOT NULL").select(*cols, F.lit(REJECTED_INVALID).alias("outcome"), "reason")
+    out = (invalid.select(*cols, F.lit(REJECTED_INVALID).alias("outcome"), "reason")
            .unionByName(later.unionByName(again, allowMissingColumns=True)
                         .select(*cols, F.lit(REJECTED_DUPLICATE).alias("outcome"), F.lit(C.REASON_DUPLICATE).alias("reason")))
            .unionByName(accepted.select(*cols, F.lit(ACCEPTED).alias("outcome"), F.lit("ok").alias("reason"))))

@@ -41,39 +41,52 @@ def _num(c: str, df: DataFrame) -> Column:
     return F.col(c).try_cast("double") if c in df.columns else F.lit(None).cast("double")
 
 
-def _pytext_columns(df: DataFrame, value: str, name: str = "_text") -> DataFrame:
-    """``df`` with the text of a number as the original service prints it
-    (Python ``repr`` of a float): ``nan``/``inf``/``-inf``, positional notation
-    for decimal exponents -4..15 (Spark switches to ``1.0E7`` at 1e7 and below
-    1e-3) and ``1.5e-05`` / ``1e+16`` style beyond. Spark's text already
-    carries the shortest digits; only their layout is changed, column by
-    column, so no part is computed twice."""
-    x = F.col(value)
-    plain = df.withColumn("_t", x.cast("string"))
-    sci = plain.withColumn("_at", F.instr("_t", "E"))
-    cut = sci.withColumn("_exp", F.when(F.col("_at") > 0, F.expr("substring(_t, _at + 1)").try_cast("int")))
-    cut = cut.withColumn("_sign", F.when(x < 0, "-").otherwise(""))
-    cut = cut.withColumn("_lead", F.expr("substring(_t, length(_sign) + 1, 1)"))
-    cut = cut.withColumn("_frac", F.expr("rtrim('0', substring(_t, length(_sign) + 3, _at - length(_sign) - 3))"))
-    cut = cut.withColumn("_digits", F.concat("_lead", "_frac"))
-    layout = (F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf")
-              .when(F.col("_exp").isNull(), F.col("_t"))
-              .when(F.col("_exp").between(0, 15), F.expr(
-                  "concat(_sign, rpad(substring(_digits, 1, _exp + 1), _exp + 1, '0'), '.', "
-                  "if(length(_digits) > _exp + 1, substring(_digits, _exp + 2), '0'))"))
-              .when(F.col("_exp") == -4, F.concat("_sign", F.lit("0.000"), "_digits"))
-              .otherwise(F.expr("concat(_sign, _lead, if(_frac = '', '', concat('.', _frac)), 'e', "
-                                "if(_exp < 0, '-', '+'), lpad(cast(abs(_exp) as string), 2, '0'))")))
-    return cut.withColumn(name, layout).drop("_t", "_at", "_exp", "_sign", "_lead", "_frac", "_digits")
-
-
-def normalise_events(events: DataFrame, ts: str = "ts") -> DataFrame:
-    """P3/P1/P4/P5 + V15/V16: typed, normalised events with the first
-    failing reason (NULL when the event is valid).
-
-    Order of checks: ids present, numbers parse, speed range, latitude,
-    longitude. The speed is rounded to 1 decimal (half-even) before the range
-    check. A NULL or missing id is rejected. NaN fails every range check.
+def python_text(x: Column) -> Column:
+    """A number's text as the original service prints it (Python ``repr`` of
+    a float): ``nan``/``inf``/``-inf``, positional notation for decimal
+    exponents -4..15 (Spark switches to ``1.0E7`` at 1e7 and below 1e-3) and
+    ``1.5e-05`` / ``1e+16`` style beyond. Spark's text already carries the
+    shortest digits; only their layout is changed. The parts are lambda
+    variables, so each is computed once and the expression stays small."""
+    def let(value: Column, body) -> Column:
+        return F.element_at(F.transform(F.array(value), body), 1)
+
+    def scientific(t: Column) -> Column:
+        sign = F.when(t.startswith("-"), "-").otherwise("")
+        parts = F.split(F.regexp_replace(t, "^-", ""), "[.E]")  # lead, fraction, exponent
+        whole = F.struct(sign.alias("sign"), parts[0].alias("lead"),
+                         F.regexp_replace(parts[1], "0+$", "").alias("frac"), parts[2].cast("int").alias("exp"))
+
+        def lay(p: Column) -> Column:
+            digits, exp = F.concat(p["lead"], p["frac"]), p["exp"]
+            width = exp + 1
+            positional = F.concat(
+                p["sign"], F.rpad(F.substring(digits, F.lit(1), width), width, "0"), F.lit("."),
+                F.when(F.length(digits) > width, F.substring(digits, width + 1, F.length(digits))).otherwise("0"))
+            mantissa = F.when(p["frac"] == "", p["lead"]).otherwise(F.concat(p["lead"], F.lit("."), p["frac"]))
+            return (F.when((exp >= 0) & (exp < 16), positional)
+                    .when(exp == -4, F.concat(p["sign"], F.lit("0.000"), digits))
+                    .otherwise(F.concat(p["sign"], mantissa, F.lit("e"), F.when(exp < 0, "-").otherwise("+"),
+                                        F.lpad(F.abs(exp).cast("string"), 2, "0"))))
+
+        return let(whole, lay)
+
+    def layout(v: Column) -> Column:
+        return (F.when(F.isnan(v), "nan").when(v == float("inf"), "inf").when(v == float("-inf"), "-inf")
+                .otherwise(let(v.cast("string"), lambda t: F.when(t.contains("E"), scientific(t)).otherwise(t))))
+
+    return let(x, layout)
+
+
+def check_events(events: DataFrame, ts: str = "ts") -> DataFrame:
+    """P3/P1/P4/P5 + V15/V16: typed, normalised events and ``_check``, the
+    number of the first check that fails (NULL when the event is valid): 1 ids
+    present, 2 numbers parse, 3 speed, 4 latitude, 5 longitude in range. The
+    speed is rounded to 1 decimal (half-even) before the range check. A NULL
+    or missing id is rejected. NaN fails every range check.
+
+    Rows are split on this small column; the reason's text is laid out for
+    rejected rows only (:func:`with_reason`), so no filter carries it.
     """
     b = DEFAULT_BOUNDS
     bus = clean_id(_text("bus_id", events))
@@ -91,21 +104,30 @@ def normalise_events(events: DataFrame, ts: str = "ts") -> DataFrame:
     def outside(x: Column, lo_: float, hi_: float) -> Column:
         return ~F.coalesce(x.between(lo_, hi_), F.lit(False))
 
-    check = (F.when((F.coalesce(F.col("bus_id"), F.lit("")) == "") | (F.coalesce(F.col("ruta_raw"), F.lit("")) == ""), 1)
-             .when(s.isNull() | la.isNull() | lo.isNull(), 2)
-             .when(outside(s, b.speed_min, b.speed_max), 3)
-             .when(outside(la, b.lat_min, b.lat_max), 4)
-             .when(outside(lo, b.lon_min, b.lon_max), 5))
-    # the offending value is one column and is laid out once
-    judged = typed.withColumn("_check", check)
-    judged = judged.withColumn("_value", F.when(F.col("_check") == 3, s).when(F.col("_check") == 4, la)
-                               .when(F.col("_check") == 5, lo))
-    text = _pytext_columns(judged, "_value")
-    before = F.when(F.col("_check") == 1, C.REASON_REQUIRED).when(F.col("_check") == 2, C.REASON_NUMERIC)
+    return typed.withColumn("_check", (
+        F.when((F.coalesce(F.col("bus_id"), F.lit("")) == "") | (F.coalesce(F.col("ruta_raw"), F.lit("")) == ""), 1)
+        .when(s.isNull() | la.isNull() | lo.isNull(), 2)
+        .when(outside(s, b.speed_min, b.speed_max), 3)
+        .when(outside(la, b.lat_min, b.lat_max), 4)
+        .when(outside(lo, b.lon_min, b.lon_max), 5)))
+
+
+def with_reason(checked: DataFrame) -> DataFrame:
+    """The reason's text in place of ``_check`` (NULL when valid). The
+    offending value is one column and is laid out once."""
+    value = (F.when(F.col("_check") == 3, F.col("velocidad_kmh")).when(F.col("_check") == 4, F.col("latitud"))
+             .when(F.col("_check") == 5, F.col("longitud")))
+    reason = F.when(F.col("_check") == 1, C.REASON_REQUIRED).when(F.col("_check") == 2, C.REASON_NUMERIC)
     for k, template in ((3, C.REASON_SPEED), (4, C.REASON_LAT), (5, C.REASON_LON)):
         prefix, suffix = template.split("{}")
-        before = before.when(F.col("_check") == k, F.concat(F.lit(prefix), F.col("_text"), F.lit(suffix)))
-    return text.select(*typed.columns, before.alias("reason"))
+        reason = reason.when(F.col("_check") == k, F.concat(F.lit(prefix), F.col("_text"), F.lit(suffix)))
+    columns = [c for c in checked.columns if c != "_check"]
+    return (checked.withColumn("_text", python_text(value)).select(*columns, reason.alias("reason")))
+
+
+def normalise_events(events: DataFrame, ts: str = "ts") -> DataFrame:
+    """Typed, normalised events with the first failing reason."""
+    return with_reason(check_events(events, ts))
 
 
 def with_minute(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -160,9 +182,9 @@ def process_batch(events: DataFrame, weather: DataFrame | None = None, ts: str =
     ``outcomes`` has one row per event with ``outcome`` and ``reason``;
     ``positions`` holds the accepted, enriched events.
     """
-    norm = normalise_events(events, ts)
-    invalid = norm.where(F.col("reason").isNotNull())
-    valid = norm.where(F.col("reason").isNull()).drop("reason")
+    checked = check_events(events, ts)
+    invalid = with_reason(checked.where(F.col("_check").isNotNull()))
+    valid = checked.where(F.col("_check").isNull()).drop("_check")
     kept, dups = dedup_batch(valid, ts)
     keep_cols = ["bus_id", "ruta", "ruta_raw", "velocidad_kmh", "latitud", "longitud", "ts"]
     outcomes = (invalid.select(*keep_cols, F.lit(REJECTED_INVALID).alias("outcome"), "reason")

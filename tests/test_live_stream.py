@@ -237,5 +237,5 @@ def test_reason_values_print_like_python_repr(spark):
     vals = [999.0, -5.0, 120.1, 12345678.9, 1e7, 99999999.0, -1e8, 1.5e15, 1e16, 2.5e20, 0.0001, 0.00015,
             -0.0002, 1.5e-05, 1e-07, 123.45, 0.001, float("nan"), float("inf"), float("-inf")]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = {repr(r.x): r._text for r in live._pytext_columns(df, "x").collect()}
+    got = {repr(r.x): r.t for r in df.select("x", live.python_text(F.col("x")).alias("t")).collect()}
     assert got == {repr(v): repr(v) for v in vals}

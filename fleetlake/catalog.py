@@ -517,7 +517,9 @@ def t3(spark, sf):
 
 @register("t4_preview")
 def t4(spark, sf):
-    return _enriched(spark, sf).limit(20)
+    """The first 20 enriched rows in time order (a top-k)."""
+    e = _enriched(spark, sf)
+    return e.orderBy(C.TS, *[c for c in e.columns if c != C.TS]).limit(20)
 
 
 @register("t5_recent_positions")
@@ -567,6 +569,12 @@ def d5(spark, sf):
                     F.col("clima_id").isNotNull().alias("con_clima"))
 
 
+@register("d5_fact_ids")
+def d5_ids(spark, sf):
+    """D5 + P14: rows and distinct trip ids of the fact table."""
+    return _fact(spark, sf).agg(F.count(F.lit(1)).alias("viajes"), F.countDistinct("viaje_id").alias("ids"))
+
+
 @register("d6_transformed")
 def d6(spark, sf):
     return starschema.transformed(_pings(spark, sf))
@@ -632,7 +640,9 @@ def r2_stream(spark, sf):
     q = (positions.writeStream.format("parquet").option("path", out + "/data")
          .option("checkpointLocation", out + "/_ckpt").trigger(availableNow=True).start())
     ingest.run_available(q)
-    return spark.read.parquet(out + "/data").drop("viaje_id")
+    # which ping of a minute is accepted depends on arrival; that one is, does not
+    p = spark.read.parquet(out + "/data")
+    return p.select("bus_id", F.date_trunc("minute", "ingest_timestamp").cast("timestamp_ntz").alias("minuto"))
 
 
 @register("r4_stream_rejections")
@@ -643,7 +653,7 @@ def r4_stream(spark, sf):
     q = (rejected.writeStream.format("parquet").option("path", out + "/data")
          .option("checkpointLocation", out + "/_ckpt").trigger(availableNow=True).start())
     ingest.run_available(q)
-    return spark.read.parquet(out + "/data")
+    return spark.read.parquet(out + "/data").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @register("k7_lake_sink")
@@ -654,7 +664,8 @@ def k7(spark, sf):
     out = scratch_path(spark, f"k7_{uuid.uuid4().hex}")
     ingest.run_available(ingest.start_lake_sink(positions, out + "/lake", name=None,
                                                 trigger={"availableNow": True}, checkpoint=out + "/_ckpt"))
-    return spark.read.json(out + "/lake").drop("viaje_id")
+    lake = spark.read.schema("bus_id string, ingest_timestamp timestamp, day string").json(out + "/lake")
+    return lake.select("bus_id", "day", F.date_trunc("minute", "ingest_timestamp").cast("timestamp_ntz").alias("minuto"))
 
 
 # ------------------------------------------------------------ more operators

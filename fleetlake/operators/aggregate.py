@@ -19,7 +19,7 @@ def route_hour(enriched: DataFrame, route: str = "Ruta", hour: str = "Hora", spe
                bus: str = C.BUS, digits: int = 2, count_rows: bool = True,
                drop_null_keys: bool = False) -> DataFrame:
     """A1: per route and hour: mean and sample std (rounded), min, max,
-    distinct buses and rows.
+    distinct buses and rows; in route and hour order.
 
     ``count_rows=False`` counts non-null bus ids (the pandas variant) and
     ``drop_null_keys=True`` drops NULL group keys (pandas ``groupby``).
@@ -35,7 +35,7 @@ def route_hour(enriched: DataFrame, route: str = "Ruta", hour: str = "Hora", spe
         F.max(speed).alias("Velocidad_Max"),
         F.countDistinct(bus).alias("Total_Buses"),
         rows.alias("Total_Registros"),
-    )
+    ).orderBy(route, hour)
 
 
 def post_clean_stats(enriched: DataFrame) -> DataFrame:
@@ -61,7 +61,8 @@ def band_distribution(enriched: DataFrame, band: str = "Nivel_Congestion") -> Da
     g = enriched.groupBy(F.col(band).alias("nivel_congestion")).agg(F.count(F.lit(1)).alias("registros"))
     total = g.agg(F.sum("registros").alias("_total"))
     return g.crossJoin(F.broadcast(total)).select(
-        "nivel_congestion", "registros", pct_expr(F.col("registros"), F.col("_total"), 1).alias("porcentaje"))
+        "nivel_congestion", "registros", pct_expr(F.col("registros"), F.col("_total"), 1).alias("porcentaje")).orderBy(
+            F.col("registros").desc(), "nivel_congestion")
 
 
 def live_view(positions: DataFrame) -> DataFrame:
@@ -90,10 +91,10 @@ def live_view_streaming(positions: DataFrame) -> DataFrame:
 
 
 def live_summary(positions: DataFrame) -> DataFrame:
-    """A5: pings and mean speed (1 decimal) per route and band."""
+    """A5: pings and mean speed (1 decimal) per route and band, in that order."""
     return positions.groupBy("ruta", "nivel_congestion").agg(
         F.count(F.lit(1)).alias("pings"),
-        round_half_up(F.avg("velocidad_kmh"), 1).alias("vel_promedio"))
+        round_half_up(F.avg("velocidad_kmh"), 1).alias("vel_promedio")).orderBy("ruta", "nivel_congestion")
 
 
 def totals(positions: DataFrame, bus: str = "bus_id") -> DataFrame:
@@ -103,10 +104,10 @@ def totals(positions: DataFrame, bus: str = "bus_id") -> DataFrame:
 
 
 def band_summary(positions: DataFrame) -> DataFrame:
-    """Pings and mean speed (1 decimal) per band."""
+    """Pings and mean speed (1 decimal) per band, most pings first."""
     return positions.groupBy("nivel_congestion").agg(
         F.count(F.lit(1)).alias("pings"),
-        round_half_up(F.avg("velocidad_kmh"), 1).alias("vel"))
+        round_half_up(F.avg("velocidad_kmh"), 1).alias("vel")).orderBy(F.col("pings").desc(), "nivel_congestion")
 
 
 def ingest_counters(outcomes: DataFrame, outcome: str = "outcome") -> DataFrame:

@@ -128,14 +128,15 @@ def box_by(detail: DataFrame, key: str = "Clima_Condicion", speed: str = C.SPEED
                     F.col("atipicos"))
 
 
-def band_counts_by_route(detail: DataFrame, route: str = "Ruta", band: str = "Nivel_Congestion") -> DataFrame:
-    """Rows per route and band as three fixed columns (a pivot that always
-    has every band, filled with 0): one conditional aggregation."""
-    b = F.col(band)
+def band_counts_by_route(detail: DataFrame, route: str = "Ruta", band: str = "Nivel_Congestion",
+                         bus: str = C.BUS) -> DataFrame:
+    """Rows with a bus id per route and band as three fixed columns (a pivot
+    that always has every band, filled with 0): one conditional aggregation."""
+    b, has_bus = F.col(band), F.col(bus).isNotNull()
     return _clean(detail, route).groupBy(route).agg(
-        F.count_if(b == C.BAND_FLUID).cast("long").alias("n_fluido"),
-        F.count_if(b == C.BAND_MODERATE).cast("long").alias("n_moderado"),
-        F.count_if(b == C.BAND_CONGESTED).cast("long").alias("n_congestionado"))
+        F.count_if((b == C.BAND_FLUID) & has_bus).cast("long").alias("n_fluido"),
+        F.count_if((b == C.BAND_MODERATE) & has_bus).cast("long").alias("n_moderado"),
+        F.count_if((b == C.BAND_CONGESTED) & has_bus).cast("long").alias("n_congestionado"))
 
 
 def band_shares(detail: DataFrame, route: str = "Ruta", band: str = "Nivel_Congestion") -> DataFrame:
@@ -149,7 +150,7 @@ def band_shares(detail: DataFrame, route: str = "Ruta", band: str = "Nivel_Conge
 
     return g.select(route, "n_fluido", "n_moderado", "n_congestionado",
                     share("n_fluido").alias("pct_fluido"), share("n_moderado").alias("pct_moderado"),
-                    share("n_congestionado").alias("pct_congestionado"))
+                    share("n_congestionado").alias("pct_congestionado")).orderBy("pct_congestionado", route)
 
 
 def kpis(detail: DataFrame, route: str = "Ruta", band: str = "Nivel_Congestion") -> DataFrame:

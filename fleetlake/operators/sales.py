@@ -57,11 +57,12 @@ def wide_mart(fact: DataFrame, users: DataFrame, regions: DataFrame, items: Data
 def sales_by_region(mart: DataFrame) -> DataFrame:
     """Sales count and total per region, largest total first."""
     return mart.groupBy("region_name").agg(F.count(F.lit(1)).alias("total_sales"),
-                                           round_half_up(F.sum("final_price_vp"), 2).alias("total_vp"))
+                                           round_half_up(F.sum("final_price_vp"), 2).alias("total_vp")) \
+        .orderBy(F.col("total_vp").desc(), "region_name")
 
 
 def share_of_total(df: DataFrame, key: str, count_name: str = "votes", digits: int = 1) -> DataFrame:
-    """W2 + P17: rows per key and their percentage of all rows.
+    """W2 + P17: rows per key and their percentage of all rows, most first.
 
     ``SUM(COUNT(*)) OVER ()`` would be a window over one partition holding a
     row per key (unbounded as keys grow); the grand total is instead a
@@ -69,13 +70,15 @@ def share_of_total(df: DataFrame, key: str, count_name: str = "votes", digits: i
     g = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
     total = g.agg(F.sum(count_name).alias("_total"))
     return g.crossJoin(F.broadcast(total)).select(
-        key, count_name, round_half_up(F.col(count_name) * 100.0 / F.col("_total"), digits).alias("percentage"))
+        key, count_name, round_half_up(F.col(count_name) * 100.0 / F.col("_total"), digits).alias("percentage")) \
+        .orderBy(F.col(count_name).desc(), key)
 
 
 def beneficiary_totals(donations: DataFrame) -> DataFrame:
-    """Donated total and purchases per beneficiary."""
+    """Donated total and purchases per beneficiary, largest total first."""
     return donations.groupBy("beneficiary").agg(round_half_up(F.sum("amount_vp"), 2).alias("total_donated"),
-                                                F.count(F.lit(1)).alias("purchases"))
+                                                F.count(F.lit(1)).alias("purchases")) \
+        .orderBy(F.col("total_donated").desc(), "beneficiary")
 
 
 def sales_report(mart: DataFrame) -> dict[str, DataFrame]:

@@ -37,4 +37,4 @@ def route_hour(detail: DataFrame) -> DataFrame:
         round_half_up(F.avg(s), 2).alias("velocidad_promedio"),
         round_half_up(F.stddev_samp(s), 2).alias("velocidad_std"),
         F.min(s).alias("velocidad_min"), F.max(s).alias("velocidad_max"),
-        F.countDistinct(C.BUS).alias("total_buses"), F.count(F.lit(1)).alias("total_registros"))
+        F.countDistinct(C.BUS).alias("total_buses"), F.count(F.lit(1)).alias("total_registros")).orderBy("ruta", "hora")

@@ -5,8 +5,8 @@ leftmost among equals; a candidate that a keyed hash selects (with
 probability ``dropout``) is skipped when its turn comes, so one text has many
 segmentations of merge type, all of which decode to the same text. The hash
 is keyed by the seed, a draw, the chunk and the place and piece of the
-candidate; each chunk of a document draws one of ``variants`` by a hash of
-seed, document and position. Reruns agree, and no order of tasks matters.
+candidate; each line of a document draws one of ``variants`` by a hash of
+seed, document and line. Reruns agree, and no order of tasks matters.
 
 Dropout 0 gives the tokenizer's own segmentation. A literal U+2581, which the
 tokenizer would turn into a space, is spelled in bytes, so decoding is
@@ -39,7 +39,7 @@ SEED = 1
 #: Segmentations that a chunk can have under one seed.
 VARIANTS = 4
 #: Chunks remembered by a Python worker (about 40 MB).
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 150_000
 #: Longer chunks are segmented one by one with a heap.
 ROW_SYMBOLS = 32
 
@@ -163,11 +163,14 @@ class _Merges:
         points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4")
         cols = np.arange(width + 2)
         sym[(cols > 0) & (cols <= live[:, None])] = self.by_point[points]
-        start = np.tile(np.arange(-1, width + 1, dtype=np.int32), (n, 1))
         made = np.full((n, width + 2), -1, np.int32)
         made[:, 1:-1] = self.join(sym[:, 1:-1].ravel(), sym[:, 2:].ravel()).reshape(n, width)
         score = np.where(made >= 0, self.scores[made], self.none)
         key = np.array(keys, np.uint64)
+        # symbols stay in their columns; merged ones are skipped by links
+        after = np.tile(np.arange(1, width + 3, dtype=np.int32), (n, 1))
+        before = np.tile(np.arange(-1, width + 1, dtype=np.int32), (n, 1))
+        gone = np.zeros((n, width + 3), bool)
         rows = np.arange(n)
         while len(rows):
             best = score[rows].argmax(axis=1)
@@ -177,7 +180,7 @@ class _Merges:
                 break
             m = made[rows, best]
             if cut:
-                h = _mix(key[rows] + start[rows, best].astype(np.uint64) * np.uint64(_A)
+                h = _mix(key[rows] + (best - 1).astype(np.uint64) * np.uint64(_A)
                          + m.astype(np.uint64) * np.uint64(_C)) >> np.uint64(32)
                 skip = h < np.uint64(cut)
                 score[rows[skip], best[skip]] = self.none
@@ -186,22 +189,26 @@ class _Merges:
                 go, at = rows, best
             if not len(go):
                 continue
-            # close the gap: everything right of the merged pair moves left
-            take = np.minimum(cols + (cols > at[:, None]), width + 1)
-            for grid in (sym, start, made, score):
-                grid[go] = np.take_along_axis(grid[go], take, axis=1)
+            right = after[go, at]
+            far = after[go, right]
             sym[go, at] = m
-            live[go] -= 1
-            for left in (at - 1, at):
-                new = self.join(sym[go, left], sym[go, left + 1])
-                made[go, left] = new
-                score[go, left] = np.where(new >= 0, self.scores[new], self.none)
-        used = (cols > 0) & (cols <= live[:, None])
+            gone[go, right] = True
+            score[go, right] = self.none
+            after[go, at] = far
+            before[go, np.minimum(far, width + 1)] = at
+            left = before[go, at]
+            for a, b in ((left, at), (at, far)):
+                new = self.join(sym[go, a], sym[go, np.minimum(b, width + 1)])
+                made[go, a] = new
+                score[go, a] = np.where(new >= 0, self.scores[new], self.none)
+        sym = np.concatenate([sym, np.full((n, 1), -1, np.int32)], axis=1)
+        cols = np.arange(width + 3)
+        used = (cols > 0) & (cols <= live[:, None]) & ~gone
         flat = sym[used].astype("<i4").tobytes()
-        ends = (4 * np.cumsum(live)).tolist()
+        ends = (4 * np.cumsum(used.sum(axis=1))).tolist()
         out = [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         for r in np.flatnonzero((used & (sym < 0)).any(axis=1)).tolist():  # characters to spell in bytes
-            out[r] = self.bytes_of(sym[r, 1:live[r] + 1], chunks[r])
+            out[r] = self.bytes_of(sym[r][used[r]], chunks[r])
         return out
 
     def segment(self, chunks: list[str], keys: list[int], cut: int) -> list[bytes]:
@@ -223,7 +230,12 @@ def _merges(model: bytes) -> _Merges:
 
 
 class Encoder:
-    """Encodes batches of texts; remembers the chunks it has met."""
+    """Encodes batches of texts; remembers the chunks it has met.
+
+    A line is cut at its spaces. A word with one space before it (by far the
+    most) is looked up without building the chunk; lines with other runs of
+    spaces are cut by the general rule.
+    """
 
     def __init__(self, model: bytes, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
         if not 0 <= dropout <= 1:
@@ -231,10 +243,14 @@ class Encoder:
         self.merges = _merges(model)
         self.cut = min(1 << 32, round(dropout * (1 << 32)))
         self.seed, self.variants = seed, variants if self.cut else 1
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        # by draw: words after one space, and any other chunk
+        self.spaced: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.other: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
         self.room = CACHE_CHUNKS
+        self.line_feed = self.merges.segment(["\n"], [0], 0)[0]
 
     def draws(self, doc: str, n: int) -> list[int]:
+        """The draw of each of a document's lines."""
         if self.variants == 1:
             return [0] * n
         base = np.uint64(xxhash.xxh64_intdigest(doc.encode("utf-8", "surrogatepass"), self.seed & _M))
@@ -242,16 +258,36 @@ class Encoder:
 
     def encode(self, texts: list[str | None], docs: list[str]) -> list[np.ndarray]:
         """Piece ids of each text; ``docs`` names the document of each."""
-        known = self.known
+        spaced, other = [d.get for d in self.spaced], [d.get for d in self.other]
         found: list[list[bytes | None]] = []
-        holes: list[tuple[list, int, str, int]] = []
+        holes: list[tuple[list, int, str, int]] = []  # where, which chunk, draw
         for text, doc in zip(texts, docs, strict=True):
-            chunks = CHUNK.findall(" " + text) if text else []
-            draws = self.draws(doc, len(chunks))
-            ids = [known[v].get(c) for c, v in zip(chunks, draws, strict=True)]
+            ids: list[bytes | None] = []
             found.append(ids)
-            if None in ids:
-                holes += [(ids, k, chunks[k], draws[k]) for k, x in enumerate(ids) if x is None]
+            if not text:
+                continue
+            lines = text.split("\n")
+            for k, (line, v) in enumerate(zip(lines, self.draws(doc, len(lines)), strict=True)):
+                if k:
+                    ids.append(self.line_feed)
+                elif not line:
+                    line = " "  # the space in front stands alone
+                if not line:
+                    continue
+                words = line.split(" ")
+                plain = "" not in words
+                if plain:
+                    got = list(map(spaced[v], words))
+                    if k:  # no space before a line's first word
+                        got[0] = other[v](words[0])
+                else:
+                    words = CHUNK.findall(line if k or line == " " and not lines[0] else " " + line)
+                    got = list(map(other[v], words))
+                at, j = len(ids), -1
+                for _ in range(got.count(None)):
+                    j = got.index(None, j + 1)
+                    holes.append((ids, at + j, " " + words[j] if plain and (j or not k) else words[j], v))
+                ids += got
         if holes:
             todo = list({(c, v) for _, _, c, v in holes})
             keys = [xxhash.xxh64_intdigest(c.encode("utf-8", "surrogatepass"), (self.seed * self.variants + v) & _M)
@@ -265,7 +301,9 @@ class Encoder:
                 times = Counter([c for _, _, c, _ in holes])
                 again = [x for x in new.items() if times[x[0][0]] > 1][:self.room]
                 for (c, v), x in again:
-                    known[v][c] = x
+                    self.other[v][c] = x
+                    if c[0] == " " and c[1:2] not in ("", " "):
+                        self.spaced[v][c[1:]] = x
                 self.room -= len(again)
         return [np.frombuffer(b"".join(x), "<i4") for x in found]
 

@@ -19,6 +19,10 @@ from ..sinks.files import write_csv, write_json_records
 from . import local, warehouse
 
 
+#: Name under which the runs are logged and registered.
+PROCESS = "limpieza"
+
+
 def _p(base: str, *parts: str) -> str:
     return os.path.join(base, *parts)
 
@@ -45,7 +49,7 @@ def run_warehouse_batch(spark: SparkSession, pings: DataFrame, weather: DataFram
         route_hour(enriched).write.mode("overwrite").parquet(_p(base, "datos_agregados"))
     snap = load_snapshot(raw, enriched)
     snap.write.mode("append").parquet(log + "_calidad")
-    audit.record_run(spark, "paso3_limpieza", "EXITOSO",
+    audit.record_run(spark, PROCESS, "EXITOSO",
                      f"Enriquecido: {stats['total_registros']}", stats["total_registros"],
                      path=_p(base, "ejecuciones"))
     return {"perfil": profile, "estadisticas": stats,
@@ -59,7 +63,7 @@ def run_local_batch(spark: SparkSession, pings: DataFrame, weather: DataFrame, b
     log = _p(base, "proceso_log")
     st = local.stages(pings, weather)
     written = {}
-    with audit.stage(spark, "paso3_limpieza", path=log):
+    with audit.stage(spark, PROCESS, path=log):
         written["duplicados"] = write_csv(st["duplicados"], _p(base, "staging", "duplicados_eliminados"),
                                           only_if_rows=True)
         written["velocidades"] = write_csv(st["velocidades_invalidas"],
@@ -73,7 +77,7 @@ def run_local_batch(spark: SparkSession, pings: DataFrame, weather: DataFrame, b
         agg = spark.read.parquet(_p(base, "curated", "agregado_parquet"))
         write_csv(agg, _p(base, "curated", "datos_agregados_ruta_hora"))
         written["json"] = write_json_records(agg, detail, _p(base, "curated", "datos_agregados_json"))
-    audit.record_run(spark, "paso3_limpieza", "EXITOSO", "", detail.count(), path=_p(base, "ejecuciones"))
+    audit.record_run(spark, PROCESS, "EXITOSO", "", detail.count(), path=_p(base, "ejecuciones"))
     return written
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import DEFAULT_BOUNDS
 from ..functions.bands import band_sql
-from ..functions.numeric import round_half_even
+from ..functions.numeric import round_half_even, try_double
 from ..functions.text import clean_id
 from ..functions.time import weekday_name
 from ..operators.dedup import split_duplicates
@@ -38,7 +38,7 @@ def _text(c: str, df: DataFrame) -> Column:
 
 
 def _num(c: str, df: DataFrame) -> Column:
-    return F.col(c).try_cast("double") if c in df.columns else F.lit(None).cast("double")
+    return try_double(c) if c in df.columns else F.lit(None).cast("double")
 
 
 def python_text(x: Column) -> Column:

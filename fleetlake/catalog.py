@@ -27,6 +27,7 @@ from .operators.dedup import split_duplicates
 from .operators.enrich import impute_temperature, mean_temperature
 from .plans import local, manual, warehouse
 from .session import scratch_path
+from .sinks.files import append_rows
 from .sources import testdata as td
 from .sources.files import ingest_raw
 from .streaming import ingest, live
@@ -750,3 +751,36 @@ def p6(spark, sf):
     return e.agg(F.count(F.lit(1)).alias("registros"),
                  F.count_if(back.isNull() | (back != F.date_trunc("second", "ts").cast("timestamp_ntz")))
                  .cast("long").alias("distintos"))
+
+
+# --------------------------------------------- variants and written outputs
+
+@register("a13_present_conditions")
+def a13_present(spark, sf):
+    """A13, warehouse form: only conditions that occur."""
+    return insights.condition_means(_enriched(spark, sf), only_present=True)
+
+
+@register("a14_rain_impact_filled")
+def a14_filled(spark, sf):
+    """A14, warehouse form: a missing class takes the extreme of the others."""
+    rows = _enriched(spark, sf).where(F.col("Clima_Condicion") != "Lluvia")
+    return insights.rain_impact(rows, fill_missing=True)
+
+
+@register("r4_stream_log")
+def r4_log(spark, sf):
+    """R4 + L3: the activity-log rows that the outcome stream writes."""
+    out = scratch_path(spark, f"r4log_{uuid.uuid4().hex}")
+    ingest.run_available(ingest.start_outcomes(_stream_events(spark, sf), out))
+    log = spark.read.parquet(f"{out}/activity_log").drop("batch_id")
+    return log.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+@register("k6_append_rows")
+def k6(spark, sf):
+    """K6: the weather appended twice to one table, read back."""
+    path = scratch_path(spark, f"k6_{uuid.uuid4().hex}")
+    for _ in range(2):
+        append_rows(_weather(spark, sf), path=path)
+    return spark.read.parquet(path).groupBy("fecha", "condicion").agg(F.count(F.lit(1)).alias("filas"))

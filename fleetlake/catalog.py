@@ -784,3 +784,52 @@ def k6(spark, sf):
     for _ in range(2):
         append_rows(_weather(spark, sf), path=path)
     return spark.read.parquet(path).groupBy("fecha", "condicion").agg(F.count(F.lit(1)).alias("filas"))
+
+
+@register("v12_route_values")
+def v12_routes(spark, sf):
+    return quality.value_list(_pings(spark, sf), C.ROUTE)
+
+
+@register("v13_condition_values")
+def v13_conditions(spark, sf):
+    return quality.value_list(_weather(spark, sf), "condicion")
+
+
+@register("v14_expected_weather")
+def v14_weather(spark, sf):
+    """The weather file is expected to have a row for each of 31 days."""
+    return quality.expect_rows(_weather(spark, sf), 31, "clima")
+
+
+@register("v18_raw_duplicates")
+def v18_raw(spark, sf):
+    """V18 on events that no dedup has seen: buses and minutes with more than
+    one ping of a route."""
+    events = live.events_from_pings(_pings(spark, sf)).withColumnRenamed("ts", "ingest_timestamp")
+    return quality.dq_duplicates(events)
+
+
+@register("v19_raw_anomalous_speed")
+def v19_raw(spark, sf):
+    return quality.dq_anomalous_speed(live.events_from_pings(_pings(spark, sf)))
+
+
+@register("v20_raw_outside_box")
+def v20_raw(spark, sf):
+    return quality.dq_outside_box(live.events_from_pings(_pings(spark, sf)))
+
+
+@register("v15_normalisation_log")
+def v15_log(spark, sf):
+    """V15 + L3: events without an id (route 104) or with a speed that is no
+    number (route 502) reach the log with the stage that refused them."""
+    events = live.events_from_pings(_pings(spark, sf))
+    broken = (events.withColumn("bus_id", F.when(F.col("ruta") == "104", "  ").otherwise(F.col("bus_id")))
+              .withColumn("velocidad_kmh", F.when(F.col("ruta") == "502", "n/a")
+                          .otherwise(F.col("velocidad_kmh").cast("string"))))
+    _, outcomes = live.process_batch(broken)
+    log = audit.activity_log_from_outcomes(outcomes).where(F.col("event_type") == C.EVENT_REJECTED)
+    stage = F.substring_index("description", ":", 1)
+    return log.groupBy(stage.alias("etapa"), (stage == C.STAGE_NORMALISE).alias("normalizacion")).agg(
+        F.count(F.lit(1)).alias("filas"))

@@ -240,6 +240,11 @@ def dataset_profile(raw: DataFrame) -> DataFrame:
     )
 
 
+def value_list(df: DataFrame, column: str) -> DataFrame:
+    """The values of a column with their rows, in order."""
+    return df.groupBy(F.col(column).alias("valor")).agg(F.count(F.lit(1)).alias("filas")).orderBy("valor")
+
+
 def column_types(df: DataFrame) -> DataFrame:
     """Schema listing (column, type) as a DataFrame (V12's dtypes)."""
     rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]

@@ -43,6 +43,8 @@ NOISE = 128
 BATCH = 2048
 #: A task that has few trigrams goes over them until it has made so many steps.
 LEAST_STEPS = 200
+#: A trigram with more than so many times the mean count is dealt in copies.
+SPLIT = 4
 RATE = 0.04
 SEED = 7
 
@@ -133,27 +135,42 @@ def _sum_rows(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def shares(weights: np.ndarray, batch: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of trigrams to deal into batches and what each counts there.
+
+    A count is divided evenly among the copies of its trigram, and the unit is
+    the tokens of a mean batch; over an epoch every trigram so weighs as many
+    tokens as it has, whichever batches it is dealt to. At most 1 + 1 / SPLIT
+    times as many places as trigrams."""
+    weights = weights.astype(np.float64)
+    copies = np.maximum(1, np.ceil(weights / (SPLIT * weights.mean()))).astype(np.int64)
+    at = np.repeat(np.arange(len(weights)), copies)
+    mean = weights.sum() / -(-len(at) // batch)
+    return at, (weights / copies / mean).astype(np.float32)[at]
+
+
 def train(model: Model, prior: np.ndarray, keys: np.ndarray, weights: np.ndarray, seed: int,
           noise: int = NOISE, batch: int = BATCH, least_steps: int = LEAST_STEPS, rate: float = RATE) -> Model:
     """Noise-contrastive estimation over class trigrams (two contexts and the
-    class, packed in one integer) with their numbers; AdaGrad. Each batch
-    shares its noise classes, so both sides are matrix products. The result is
-    the mean of the parameters over the second half of the steps."""
+    class, packed in one integer) with their numbers; AdaGrad. A trigram
+    weighs as its tokens (:func:`shares`). Each batch shares its noise classes,
+    so both sides are matrix products. The result is the mean of the parameters
+    over the second half of the steps."""
     n = len(prior)
     rng = np.random.default_rng(seed)
     r, q, c1, c2, b = (p.copy() for p in model.parts())
     squares = [np.full_like(p, 1e-8) for p in (r, q, c1, c2, b)]
     log_kq = np.log(noise * prior).astype(np.float32)
     cumulative = np.cumsum(prior)
-    steps = -(-len(keys) // batch)
+    at, share = shares(weights, batch)
+    steps = -(-len(at) // batch)
     turns = max(1, -(-least_steps // max(1, steps)))
     mean, done, averaged = [np.zeros_like(p) for p in (r, q, c1, c2, b)], 0, 0
     for _ in range(turns):
-        order = rng.permutation(len(keys))
+        order = rng.permutation(len(at))
         for k in range(0, len(order), batch):
             pick = order[k:k + batch]
-            key, g = keys[pick], weights[pick].astype(np.float32)
-            g /= g.sum()
+            key, g = keys[at[pick]], share[pick]
             h2, rest = np.divmod(key, n * n)
             h1, w = np.divmod(rest, n)
             fake = np.minimum(np.searchsorted(cumulative, rng.random(noise) * cumulative[-1]), n - 1)

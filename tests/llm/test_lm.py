@@ -79,6 +79,34 @@ def test_training_learns_a_rule():
     assert p > 3 * prior[5]
 
 
+@pytest.mark.parametrize("size", [3_000, 200_000])
+def test_an_epoch_weighs_trigrams_as_tokens(size):
+    rng = np.random.default_rng(size)
+    counts = np.minimum(rng.zipf(1.5, size), size)
+    counts[0] = counts.sum() // 4  # a hot trigram
+    at, share = lm.shares(counts, lm.BATCH)
+    steps = -(-len(at) // lm.BATCH)
+    assert len(at) <= len(counts) * (1 + 1 / lm.SPLIT)
+    assert np.allclose(np.bincount(at, share) / steps, counts / counts.sum(), rtol=1e-5)
+    order = rng.permutation(len(at))
+    mass = [share[order[k:k + lm.BATCH]].sum() for k in range(0, len(at) - lm.BATCH, lm.BATCH)]
+    assert steps < 3 or max(mass) < 1.5 * min(mass)
+
+
+@pytest.mark.parametrize("words", [64, 640])
+def test_training_keeps_the_counts(words):
+    """One trigram with half of the tokens gets half of the probability,
+    however many batches the others fill."""
+    n = words + 2
+    counts = np.full(words, 100)
+    counts[0] = 100 * (words - 1)
+    keys = (lm.END * n + lm.END) * n + 2 + np.arange(words)
+    prior = np.full(n, 1 / n)
+    m = lm.train(lm.Model.start(prior, 4, 0), prior, keys, counts, 0, noise=64, batch=16, least_steps=3000, rate=0.1)
+    e = np.array([lm.END])
+    assert 0.4 < np.exp(lm.Scorer(m)(e, e, np.array([2])))[0] < 0.6
+
+
 def test_trigrams_cross_no_texts():
     n = 10
     got = lm.trigrams([np.array([4, 5, 1]), np.array([1]), np.array([6, 1])], n)

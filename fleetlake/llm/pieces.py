@@ -4,16 +4,19 @@ Encoding processes an agenda of candidate merges, best score first and
 leftmost among equals; a candidate that a keyed hash selects (with
 probability ``dropout``) is skipped when its turn comes, so one text has many
 segmentations of merge type, all of which decode to the same text. The hash
-is keyed by the seed, a draw, the chunk and the place and piece of the
-candidate; each line of a document draws one of ``variants`` by a hash of
-seed, document and line. Reruns agree, and no order of tasks matters.
+is keyed by the seed, the document, the chunk's place in the document, and the
+place and piece of the candidate, so every occurrence of a word draws its own
+merges. Reruns agree, and no order of tasks matters.
 
 Dropout 0 gives the tokenizer's own segmentation. A literal U+2581, which the
 tokenizer would turn into a space, is spelled in bytes, so decoding is
 lossless for every text.
 
-Chunks that a task has not met are segmented together: one row of symbols per
-chunk in NumPy, one merge per row and step. Long chunks take a heap instead.
+A chunk is first segmented without dropout, and its merges are kept. An
+occurrence that skips none of them has just that segmentation; the others are
+segmented anew with their own draws. Chunks are segmented together: one row of
+symbols per chunk in NumPy, one merge per row and step. Long chunks take a heap
+instead.
 """
 
 from __future__ import annotations
@@ -36,12 +39,12 @@ from .vocabulary import CHUNK, PIECES_32K, SPACE, load, read_model
 
 DROPOUT = 0.1
 SEED = 1
-#: Segmentations that a chunk can have under one seed.
-VARIANTS = 4
 #: Chunks remembered by a Python worker (about 40 MB).
 CACHE_CHUNKS = 150_000
 #: Longer chunks are segmented one by one with a heap.
 ROW_SYMBOLS = 32
+#: Occurrences whose candidates are drawn at once.
+DRAWN = 1 << 16
 
 _M = (1 << 64) - 1
 _A, _B, _C = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
@@ -123,8 +126,9 @@ class _Merges:
         ids = self.pieces.ids
         return [-1 if c == SPACE else ids.get(c, -1) for c in chunk]
 
-    def long(self, chunk: str, key: int, cut: int) -> bytes:
-        """One chunk with a heap; the same result as :meth:`rows`."""
+    def long(self, chunk: str, key: int, cut: int, trace: list | None = None) -> bytes:
+        """One chunk with a heap; the same result as :meth:`rows`. ``trace``
+        takes what the hash adds to the key for each merge."""
         sym, scores, pairs = self.symbols(chunk), self.pieces.scores, self.pairs
         nxt, prv = list(range(1, len(sym) + 1)), list(range(-1, len(sym) - 1))
         heap: list = []
@@ -146,6 +150,8 @@ class _Merges:
                 continue
             if cut and _mix1((key + a * _A + m * _C) & _M) >> 32 < cut:
                 continue
+            if trace is not None:
+                trace.append((a * _A + m * _C) & _M)
             sym[a], gone[b], nxt[a] = m, True, nxt[b]
             if nxt[a] < len(sym):
                 prv[nxt[a]] = a
@@ -154,8 +160,9 @@ class _Merges:
             offer(a)
         return self.bytes_of(np.array([s for s, g in zip(sym, gone, strict=True) if not g], np.int32), chunk)
 
-    def rows(self, chunks: list[str], keys: list[int], cut: int) -> list[bytes]:
-        """Chunks of at most ROW_SYMBOLS characters, one merge per row and step."""
+    def rows(self, chunks: list[str], keys, cut: int, trace: list | None = None) -> list[bytes]:
+        """Chunks of at most ROW_SYMBOLS characters, one merge per row and step.
+        ``trace`` takes the rows of each step and what the hash adds to their keys."""
         n = len(chunks)
         live = np.fromiter(map(len, chunks), np.int64, n)
         width = int(live.max())
@@ -179,9 +186,12 @@ class _Merges:
             if not len(rows):
                 break
             m = made[rows, best]
+            if cut or trace is not None:
+                add = (best - 1).astype(np.uint64) * np.uint64(_A) + m.astype(np.uint64) * np.uint64(_C)
+            if trace is not None:
+                trace.append((rows, add))
             if cut:
-                h = _mix(key[rows] + (best - 1).astype(np.uint64) * np.uint64(_A)
-                         + m.astype(np.uint64) * np.uint64(_C)) >> np.uint64(32)
+                h = _mix(key[rows] + add) >> np.uint64(32)
                 skip = h < np.uint64(cut)
                 score[rows[skip], best[skip]] = self.none
                 go, at, m = rows[~skip], best[~skip], m[~skip]
@@ -211,18 +221,72 @@ class _Merges:
             out[r] = self.bytes_of(sym[r][used[r]], chunks[r])
         return out
 
-    def segment(self, chunks: list[str], keys: list[int], cut: int) -> list[bytes]:
+    def segment(self, chunks: list[str], keys, cut: int) -> list[bytes]:
+        """Segmentations of chunks with a key each."""
         out: list[bytes] = [b""] * len(chunks)
-        order = sorted(range(len(chunks)), key=lambda i: len(chunks[i]))
-        short = [i for i in order if len(chunks[i]) <= ROW_SYMBOLS]
-        for k in range(0, len(short), 8192):  # rows of about one length together
-            part = short[k:k + 8192]
-            for i, b in zip(part, self.rows([chunks[i] for i in part], [keys[i] for i in part], cut), strict=True):
+        for part in self._parts(chunks):
+            for i, b in zip(part, self.rows([chunks[i] for i in part], keys[part], cut), strict=True):
                 out[i] = b
-        for i in order[len(short):]:
-            out[i] = self.long(chunks[i], keys[i], cut)
+        for i, c in enumerate(chunks):
+            if len(c) > ROW_SYMBOLS:
+                out[i] = self.long(c, int(keys[i]), cut)
         return out
 
+    def traced(self, chunks: list[str]) -> tuple[list[bytes], list[np.ndarray]]:
+        """Segmentations without dropout, and what the hash adds to a key for
+        each of their merges."""
+        out: list[bytes] = [b""] * len(chunks)
+        adds = [np.empty(0, np.uint64)] * len(chunks)
+        for part in self._parts(chunks):
+            steps: list = []
+            got = self.rows([chunks[i] for i in part], np.zeros(len(part), np.uint64), 0, steps)
+            row = np.concatenate([r for r, _ in steps]) if steps else np.empty(0, np.int64)
+            add = np.concatenate([x for _, x in steps]) if steps else np.empty(0, np.uint64)
+            add = add[np.argsort(row, kind="stable")]
+            ends = np.cumsum(np.bincount(row, minlength=len(part))).tolist()
+            for i, b, x, y in zip(part, got, [0, *ends[:-1]], ends, strict=True):
+                out[i], adds[i] = b, add[x:y]
+        for i, c in enumerate(chunks):
+            if len(c) > ROW_SYMBOLS:
+                trace: list[int] = []
+                out[i] = self.long(c, 0, 0, trace)
+                adds[i] = np.array(trace, np.uint64)
+        return out, adds
+
+    @staticmethod
+    def _parts(chunks: list[str]) -> Iterator[list[int]]:
+        """Places of the short chunks, those of about one length together."""
+        size = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        order = np.argsort(size, kind="stable")
+        order = order[:int((size <= ROW_SYMBOLS).sum())]
+        for k in range(0, len(order), 8192):
+            yield order[k:k + 8192].tolist()
+
+
+class _Grown:
+    """A NumPy array that rows are added to and cut off from at its end."""
+
+    def __init__(self, dtype):
+        self.all, self.n = np.empty(1024, dtype), 0
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.n + len(values)
+        if end > len(self.all):
+            more = np.empty(max(end, 2 * len(self.all)), self.all.dtype)
+            more[:self.n] = self.all[:self.n]
+            self.all = more
+        self.all[self.n:end] = values
+        self.n = end
+
+    def get(self) -> np.ndarray:
+        return self.all[:self.n]
+
+
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each of several stretches."""
+    before = np.cumsum(lengths) - lengths
+    return np.arange(int(lengths.sum())) + np.repeat(starts - before, lengths)
+
 
 @lru_cache(maxsize=2)
 def _merges(model: bytes) -> _Merges:
@@ -230,46 +294,80 @@ def _merges(model: bytes) -> _Merges:
 
 
 class Encoder:
-    """Encodes batches of texts; remembers the chunks it has met.
+    """Encodes batches of texts; remembers the chunks it has met, with their
+    segmentations without dropout and the merges of those.
 
     A line is cut at its spaces. A word with one space before it (by far the
     most) is looked up without building the chunk; lines with other runs of
     spaces are cut by the general rule.
     """
 
-    def __init__(self, model: bytes, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
+    def __init__(self, model: bytes, dropout: float = DROPOUT, seed: int = SEED):
         if not 0 <= dropout <= 1:
             raise ValueError("dropout is a probability")
         self.merges = _merges(model)
         self.cut = min(1 << 32, round(dropout * (1 << 32)))
-        self.seed, self.variants = seed, variants if self.cut else 1
-        # by draw: words after one space, and any other chunk
-        self.spaced: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.other: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.seed = seed
+        # places in the lists below: of words after one space, and of any other chunk
+        self.spaced: dict[str, int] = {}
+        self.other: dict[str, int] = {}
+        self.chunks: list[str] = []
+        self.ids, self.ids_end = _Grown(np.int32), _Grown(np.int64)
+        self.adds, self.adds_end = _Grown(np.uint64), _Grown(np.int64)
+        self.ids_end.add(np.zeros(1))
+        self.adds_end.add(np.zeros(1))
         self.room = CACHE_CHUNKS
-        self.line_feed = self.merges.segment(["\n"], [0], 0)[0]
-
-    def draws(self, doc: str, n: int) -> list[int]:
-        """The draw of each of a document's lines."""
-        if self.variants == 1:
-            return [0] * n
-        base = np.uint64(xxhash.xxh64_intdigest(doc.encode("utf-8", "surrogatepass"), self.seed & _M))
-        return (_mix(base + np.arange(n, dtype=np.uint64) * np.uint64(_A)) % np.uint64(self.variants)).tolist()
+        self._learn(["\n"])
+
+    def _learn(self, chunks: list[str]) -> None:
+        got, adds = self.merges.traced(chunks)
+        self.chunks += chunks
+        self.ids_end.add(self.ids.n + np.cumsum([len(x) // 4 for x in got]))
+        self.ids.add(np.frombuffer(b"".join(got), "<i4"))
+        if self.cut:
+            self.adds_end.add(self.adds.n + np.cumsum([len(x) for x in adds]))
+            self.adds.add(np.concatenate(adds))
+
+    def _forget(self, n: int) -> None:
+        """Keep the first n chunks only."""
+        del self.chunks[n:]
+        self.ids_end.n = n + 1
+        self.ids.n = int(self.ids_end.all[n])
+        if self.cut:
+            self.adds_end.n = n + 1
+            self.adds.n = int(self.adds_end.all[n])
+
+    def _keys(self, docs: list[str], sizes: np.ndarray) -> np.ndarray:
+        """The key of every occurrence: seed, document, place in the document."""
+        base = np.array([xxhash.xxh64_intdigest(d.encode("utf-8", "surrogatepass"), self.seed & _M) for d in docs],
+                        np.uint64)
+        place = _spread(np.zeros(len(sizes), np.int64), sizes).astype(np.uint64)
+        return _mix(np.repeat(base, sizes) + place * np.uint64(_A))
+
+    def _skips(self, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Occurrences that skip a merge of their chunk's own segmentation."""
+        ends, adds, out = self.adds_end.get(), self.adds.get(), []
+        for k in range(0, len(at), DRAWN):
+            part = at[k:k + DRAWN]
+            n = ends[part + 1] - ends[part]
+            owner = np.repeat(np.arange(k, k + len(part)), n)
+            h = _mix(keys[owner] + adds[_spread(ends[part], n)]) >> np.uint64(32)
+            out.append(np.unique(owner[h < np.uint64(self.cut)]))
+        return np.concatenate(out) if out else np.empty(0, np.int64)
 
     def encode(self, texts: list[str | None], docs: list[str]) -> list[np.ndarray]:
         """Piece ids of each text; ``docs`` names the document of each."""
-        spaced, other = [d.get for d in self.spaced], [d.get for d in self.other]
-        found: list[list[bytes | None]] = []
-        holes: list[tuple[list, int, str, int]] = []  # where, which chunk, draw
-        for text, doc in zip(texts, docs, strict=True):
-            ids: list[bytes | None] = []
-            found.append(ids)
-            if not text:
-                continue
-            lines = text.split("\n")
-            for k, (line, v) in enumerate(zip(lines, self.draws(doc, len(lines)), strict=True)):
+        spaced, other = self.spaced.get, self.other.get
+        found: list[int | None] = []
+        ends = [0]
+        known = len(self.chunks)
+        fresh: dict[str, int] = {}
+        times: Counter = Counter()
+        for text in texts:
+            lines = text.split("\n") if text else []
+            for k, line in enumerate(lines):
                 if k:
-                    ids.append(self.line_feed)
+                    found.append(0)
                 elif not line:
                     line = " "  # the space in front stands alone
                 if not line:
@@ -277,35 +375,53 @@ class Encoder:
                 words = line.split(" ")
                 plain = "" not in words
                 if plain:
-                    got = list(map(spaced[v], words))
+                    got = list(map(spaced, words))
                     if k:  # no space before a line's first word
-                        got[0] = other[v](words[0])
+                        got[0] = other(words[0])
                 else:
                     words = CHUNK.findall(line if k or line == " " and not lines[0] else " " + line)
-                    got = list(map(other[v], words))
-                at, j = len(ids), -1
+                    got = list(map(other, words))
+                j = -1
                 for _ in range(got.count(None)):
                     j = got.index(None, j + 1)
-                    holes.append((ids, at + j, " " + words[j] if plain and (j or not k) else words[j], v))
-                ids += got
-        if holes:
-            todo = list({(c, v) for _, _, c, v in holes})
-            keys = [xxhash.xxh64_intdigest(c.encode("utf-8", "surrogatepass"), (self.seed * self.variants + v) & _M)
-                    for c, v in todo]
-            new = dict(zip(todo, self.merges.segment([c for c, _ in todo], keys, self.cut), strict=True))
-            for ids, k, c, v in holes:
-                ids[k] = new[c, v]
+                    c = " " + words[j] if plain and (j or not k) else words[j]
+                    got[j] = fresh.setdefault(c, known + len(fresh))
+                    times[c] += 1
+                found += got
+            ends.append(len(found))
+        at = np.array(found, np.int64)
+        if fresh:
             # only chunks that come again are worth the memory; frequent ones
             # come early, and a full memory stays as it is
-            if self.room > 0:
-                times = Counter([c for _, _, c, _ in holes])
-                again = [x for x in new.items() if times[x[0][0]] > 1][:self.room]
-                for (c, v), x in again:
-                    self.other[v][c] = x
-                    if c[0] == " " and c[1:2] not in ("", " "):
-                        self.spaced[v][c[1:]] = x
-                self.room -= len(again)
-        return [np.frombuffer(b"".join(x), "<i4") for x in found]
+            again = [c for c in fresh if times[c] > 1][:max(0, self.room)]
+            kept = set(again)
+            order = again + [c for c in fresh if c not in kept]
+            self._learn(order)
+            place = np.empty(len(order), np.int64)
+            place[[fresh[c] - known for c in order]] = np.arange(known, known + len(order))
+            new = at >= known
+            at[new] = place[at[new] - known]
+            for i, c in enumerate(again, known):
+                self.other[c] = i
+                if c[0] == " " and c[1:2] not in ("", " "):
+                    self.spaced[c[1:]] = i
+            self.room -= len(again)
+            known += len(again)
+        start = self.ids_end.get()[at]
+        size = self.ids_end.get()[at + 1] - start
+        pool = self.ids.get()
+        if self.cut:
+            keys = self._keys(docs, np.diff(ends))
+            skips = self._skips(at, keys)
+            if len(skips):
+                got = self.merges.segment([self.chunks[i] for i in at[skips].tolist()], keys[skips], self.cut)
+                size[skips] = [len(x) // 4 for x in got]
+                start[skips] = len(pool) + np.cumsum(size[skips]) - size[skips]
+                pool = np.concatenate([pool, np.frombuffer(b"".join(got), "<i4")])
+        flat = pool[_spread(start, size)]
+        self._forget(known)
+        cuts = np.concatenate(([0], np.cumsum(size)))[ends]
+        return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 class Decoder:
@@ -337,7 +453,7 @@ def decode(model: bytes, ids) -> str:
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = PIECES_32K,
-                     dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+                     dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """One row per document: id, ``ids`` (array of piece ids), ``n_pieces`` and
     ``round_trip`` (decoding gives the text back).
 
@@ -352,8 +468,7 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
                        F.col(text).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = worker_state("pieces", (model.value, dropout, seed, variants),
-                           lambda: Encoder(model.value, dropout, seed, variants))
+        enc = worker_state("pieces", (model.value, dropout, seed), lambda: Encoder(model.value, dropout, seed))
         back = _decoder(model.value)
         for whole in batches:
             for b in _by_size(whole):

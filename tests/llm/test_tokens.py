@@ -1,7 +1,9 @@
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
@@ -55,6 +57,25 @@ def test_rows_and_heap_agree():
         assert m.rows(chunks, keys, cut) == [m.long(c, k, cut) for c, k in zip(chunks, keys, strict=True)]
 
 
+def test_every_occurrence_draws_its_own_merges():
+    """A word's segmentations are as many in one line, in one text of many
+    lines and over documents, and those of a heap keyed by document and place."""
+    word, n = "international", 3000
+    enc = pieces.Encoder(MODEL, 0.3, seed=5)
+    line = enc.encode([" ".join([word] * n)], ["d"])[0]
+    lines = enc.encode([("\n" + word) * n], ["d"])[0]
+    over = enc.encode([word] * n, [f"d{i}" for i in range(n)])
+    m = pieces._merges(MODEL)
+    base = xxhash.xxh64_intdigest(b"d", 5)
+    key = [pieces._mix1((base + i * pieces._A) & pieces._M) for i in range(n)]
+    want = [m.long(" " + word, k, enc.cut) for k in key]
+    assert line.astype("<i4").tobytes() == b"".join(want) and len(set(want)) > 20
+    assert len({x.tobytes() for x in over}) > 20
+    feed = enc.encode(["\n"], ["d"])[0][-1]
+    cuts = [x.tobytes() for x in np.split(lines, np.flatnonzero(lines == feed))]
+    assert len(set(cuts[1:])) > 20
+
+
 def test_encode_table(spark, docs, corpus):
     df = docs([doc(i, t) for i, t in corpus[:80]] + [doc(1000 + i, t) for i, t in enumerate(ODD)] + [doc(None, "no id")] * 2)
     out = pieces.encode_documents(df)

@@ -9,7 +9,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, licenses, lm, mixing, near_vectors, pieces, quality, simhash, token_counts, url_lists
+from . import (
+    exact,
+    infill,
+    licenses,
+    lm,
+    main_text,
+    mixing,
+    near_vectors,
+    pieces,
+    quality,
+    simhash,
+    spelling,
+    token_counts,
+    url_lists,
+)
 from .runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,3 +236,51 @@ def op8_licenses(spark, sf):
     """Licences of all documents by header or nearest ancestor folder."""
     docs = table(spark, sf, "documents")
     return licenses.scan(docs, licenses.document_path(docs))
+
+
+@register("op11_spelling_variants")
+def op11_spelling_variants(spark, sf):
+    """Words of all documents, their near words and the chains of forms."""
+    return spelling.spelling_variants(table(spark, sf, "documents"))
+
+
+@register("op12_main_text")
+def op12_main_text(spark, sf):
+    """The main text of every page."""
+    return main_text.main_text(table(spark, sf, "pages"))
+
+
+@register("op13_fill_in_middle", sql=r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents),
+k AS (
+  SELECT *, len(units) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS k1,
+         ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS k2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+p AS (
+  SELECT *, array_to_string(units[1:least(k1, k2)], '') AS prefix,
+         array_to_string(units[least(k1, k2) + 1:greatest(k1, k2)], '') AS middle,
+         array_to_string(units[greatest(k1, k2) + 1:n], '') AS suffix
+  FROM k)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+""")
+def op13_fill_in_middle(spark, sf):
+    """Fill-in-middle outputs of all documents, with the digests of the output
+    and of the text rebuilt from it."""
+    rows = infill.fill_in_middle(table(spark, sf, "documents"))
+    cut = infill.pieces(F.col("output"), F.col("form"))
+    return rows.select(
+        "doc_id", "n", "form", F.length(cut["prefix"]).cast("long").alias("prefix_chars"),
+        F.length(cut["middle"]).cast("long").alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))

@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import config as C
-from .config import ImputePolicy, RouteMap
+from .config import DEFAULT_BOUNDS, ImputePolicy, RouteMap
 from .functions.bands import band_sql, band_table
 from .functions.numeric import round_half_up
 from .functions.text import canonical_route, composite_key, minute_bucket
@@ -27,10 +28,10 @@ from .operators.dedup import split_duplicates
 from .operators.enrich import impute_temperature, mean_temperature
 from .plans import local, manual, warehouse
 from .session import scratch_path
-from .sinks.files import append_rows
+from .sinks.files import append_rows, create_quality_views, replace_table
 from .sources import testdata as td
 from .sources.files import ingest_raw
-from .streaming import ingest, live
+from .streaming import ingest, live, views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -140,8 +141,10 @@ def v6_summary(spark, sf):
 def t7(spark, sf):
     st = local.stages(_pings(spark, sf), _weather(spark, sf))
     cols = [C.BUS, C.ROUTE, C.SPEED, C.LAT, C.LON, C.TS]
-    return quality.sample_invalid([(C.RULE_SPEED, st["velocidades_invalidas"].select(*cols)),
-                                   (C.RULE_COORDS, st["coordenadas_invalidas"].select(*cols))])
+    speed = C.TEXT_RANGE.format(int(DEFAULT_BOUNDS.speed_min), int(DEFAULT_BOUNDS.speed_max), C.SPEED)
+    return quality.sample_invalid([(C.RULE_DUPLICATES, C.TEXT_DUPLICATES, st["duplicados"].select(*cols)),
+                                   (C.RULE_SPEED, speed, st["velocidades_invalidas"].select(*cols)),
+                                   (C.RULE_COORDS, C.TEXT_COORDS, st["coordenadas_invalidas"].select(*cols))])
 
 
 @register("v7_valid_pings")
@@ -235,6 +238,20 @@ def j6(spark, sf):
 
 # ------------------------------------------------------- 2.4 projections
 
+@register("j6_orphans_of_solvent_users")
+def j6_solvent(spark, sf):
+    """J6 with real orphans: the user dimension holds only customers whose
+    balance is not negative, so the sales of all others have no parent."""
+    solvent = td.read_table(spark, sf, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("user_id"))
+    return sales.orphan_transactions(td.transactions(spark, sf), solvent)
+
+
+@register("v12_column_types")
+def v12_types(spark, sf):
+    """The columns of the raw pings, their types and non-null values."""
+    return quality.column_types(_pings(spark, sf))
+
+
 @register("p1_route_map")
 def p1(spark, sf):
     p = _pings(spark, sf)
@@ -661,12 +678,35 @@ def r4_stream(spark, sf):
 def k7(spark, sf):
     """K7: accepted positions written by the stream as NDJSON partitioned by
     ingest day, read back."""
-    positions, _ = ingest.positions_stream(_stream_events(spark, sf), impute_temperature(_weather(spark, sf)))
-    out = scratch_path(spark, f"k7_{uuid.uuid4().hex}")
-    ingest.run_available(ingest.start_lake_sink(positions, out + "/lake", name=None,
+    out = _streamed_positions(spark, sf, "k7")
+    ingest.run_available(ingest.start_lake_sink(_position_stream(spark, out), out + "/lake", name=None,
                                                 trigger={"availableNow": True}, checkpoint=out + "/_ckpt"))
-    lake = spark.read.schema("bus_id string, ingest_timestamp timestamp, day string").json(out + "/lake")
-    return lake.select("bus_id", "day", F.date_trunc("minute", "ingest_timestamp").cast("timestamp_ntz").alias("minuto"))
+    lake = spark.read.schema(ingest.POSITION_SCHEMA + ", day string").json(out + "/lake")
+    return lake.drop("viaje_id").withColumn("ingest_timestamp", F.col("ingest_timestamp").cast("timestamp_ntz"))
+
+
+def _streamed_positions(spark, sf, name):
+    """The folder of an outcome stream over all events, with positions."""
+    out = scratch_path(spark, f"{name}_{uuid.uuid4().hex}")
+    ingest.run_available(ingest.start_outcomes(
+        _stream_events(spark, sf), out, weather=lambda s: impute_temperature(_weather(s, sf))))
+    return out
+
+
+def _position_stream(spark, out, files=None):
+    r = spark.readStream.schema(ingest.POSITION_SCHEMA)
+    if files:
+        r = r.option("maxFilesPerTrigger", files)
+    return r.parquet(f"{out}/positions/batch_id=*")
+
+
+@register("r2_stream_positions")
+def r2_positions(spark, sf):
+    """R2 + J5: the whole positions that the outcome stream accepts, with the
+    band of the kept ping's speed and the weather of its day."""
+    rows = spark.read.schema(ingest.POSITION_SCHEMA).parquet(_streamed_positions(spark, sf, "r2p") + "/positions")
+    return rows.drop("viaje_id", "batch_id").withColumn(
+        "ingest_timestamp", F.col("ingest_timestamp").cast("timestamp_ntz"))
 
 
 # ------------------------------------------------------------ more operators
@@ -709,11 +749,43 @@ def r1_stream(spark, sf):
 
 @register("a4_live_view_stream")
 def a4_stream(spark, sf):
-    """A4 maintained by a streaming aggregation (approximate distinct buses)."""
-    positions, _ = ingest.positions_stream(_stream_events(spark, sf), impute_temperature(_weather(spark, sf)))
-    out = scratch_path(spark, f"a4_{uuid.uuid4().hex}")
-    ingest.run_available(ingest.start_live_view(positions, out + "/view", out + "/_ckpt"))
-    return spark.read.parquet(out + "/view")
+    """A4 kept up to date, batch by batch, from the positions that the outcome
+    stream accepts; exact."""
+    out = _streamed_positions(spark, sf, "a4")
+    ingest.run_available(views.start_live_view(_position_stream(spark, out, files=2), out + "/live"))
+    return views.read_live_view(spark, out + "/live")
+
+
+@register("a8_stream_counters")
+def a8_stream(spark, sf):
+    """The counters that the outcome stream keeps for its whole life."""
+    out = scratch_path(spark, f"a8_{uuid.uuid4().hex}")
+    ingest.run_available(ingest.start_outcomes(_stream_events(spark, sf), out))
+    return ingest.stream_counters(spark, out)
+
+
+@register("k4_live_view")
+def k4_live(spark, sf):
+    """K4: the stored positions, queried by the name of the live view."""
+    return spark.table(_named_views(spark, sf)[0])
+
+
+@register("k4_quality_views")
+def k4_quality(spark, sf):
+    """K4: the quality views by name, over raw pings stored as positions."""
+    names = _named_views(spark, sf, raw=True)[1:]
+    return reduce(DataFrame.unionByName, [
+        spark.table(n).agg(F.lit(k + 1).cast("long").alias("vista"), F.count(F.lit(1)).alias("filas"))
+        for k, n in enumerate(names)])
+
+
+def _named_views(spark, sf, raw=False):
+    name = f"posiciones_{uuid.uuid4().hex}"
+    rows = (live.events_from_pings(_pings(spark, sf)).withColumnRenamed("ts", "ingest_timestamp")
+            .withColumns({c: F.lit(None).cast("string") for c in ("hora", "nivel_congestion", "clima_condicion")})
+            if raw else _positions(spark, sf))
+    replace_table(rows, name, path=scratch_path(spark, name))
+    return create_quality_views(spark, name, prefix=f"{name}_")
 
 
 @register("v17_first_errors")
@@ -764,8 +836,7 @@ def a13_present(spark, sf):
 @register("a14_rain_impact_filled")
 def a14_filled(spark, sf):
     """A14, warehouse form: a missing class takes the extreme of the others."""
-    rows = _enriched(spark, sf).where(F.col("Clima_Condicion") != "Lluvia")
-    return insights.rain_impact(rows, fill_missing=True)
+    return insights.rain_impact(_enriched(spark, sf), fill_missing=True)
 
 
 @register("r4_stream_log")
@@ -773,7 +844,7 @@ def r4_log(spark, sf):
     """R4 + L3: the activity-log rows that the outcome stream writes."""
     out = scratch_path(spark, f"r4log_{uuid.uuid4().hex}")
     ingest.run_available(ingest.start_outcomes(_stream_events(spark, sf), out))
-    log = spark.read.parquet(f"{out}/activity_log").drop("batch_id")
+    log = spark.read.parquet(f"{out}/activity_log").drop("batch_id", "event_id")
     return log.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
 
 

@@ -77,19 +77,6 @@ def live_view(positions: DataFrame) -> DataFrame:
     )
 
 
-def live_view_streaming(positions: DataFrame) -> DataFrame:
-    """A4 for a streaming frame: exact COUNT(DISTINCT) is not supported on
-    streams, so the distinct bus count is approximate (HLL++, 1% rsd)."""
-    v = F.col("velocidad_kmh")
-    return positions.groupBy("ruta", "hora", "nivel_congestion", "clima_condicion").agg(
-        F.count(F.lit(1)).alias("total_pings"),
-        F.approx_count_distinct("bus_id", 0.01).alias("buses_unicos"),
-        F.avg(v).alias("velocidad_promedio"),
-        F.min(v).alias("velocidad_min"),
-        F.max(v).alias("velocidad_max"),
-    )
-
-
 def live_summary(positions: DataFrame) -> DataFrame:
     """A5: pings and mean speed (1 decimal) per route and band, in that order."""
     return positions.groupBy("ruta", "nivel_congestion").agg(

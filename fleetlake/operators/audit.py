@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import contextlib
 import datetime as _dt
+import json
 import traceback
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.numeric import round_half_up
 from ..functions.text import rejection_text
+from ..sinks import versioned
 
 PROCESS_LOG_SCHEMA = ("proceso string, tipo string, evento string, estado string, registros_leidos long, "
                       "registros_cargados long, nulos long, mensaje string, timestamp timestamp")
@@ -64,11 +66,34 @@ def record_run(spark: SparkSession, process: str, result: str, details: str = ""
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:
-    """L2: latest run per process (``max_by`` over the run time)."""
-    last = F.max_by(F.struct("resultado", "detalles", "registros", "timestamp"), F.col("timestamp"))
+    """L2: latest run per process: the greatest number of a registry with
+    numbers, else the latest time."""
+    last = F.max_by(F.struct("resultado", "detalles", "registros", "timestamp"),
+                    F.col("orden" if "orden" in runs.columns else "timestamp"))
     return runs.groupBy("proceso").agg(last.alias("r")).select("proceso", "r.*")
 
 
+def register_run(spark: SparkSession, process: str, result: str, details: str = "", records: int = 0, *,
+                 path: str) -> int:
+    """L2 with more than one writer: the run takes the next free number of its
+    process and is stored under it, if no other run has. The number is its
+    place in the process's history, whatever the writers' clocks say."""
+    folder = f"{path}/{process}"
+    while True:
+        used = versioned.names(spark, folder)
+        number = int(used[-1].split(".")[0]) + 1 if used else 1
+        row = {"proceso": process, "resultado": result, "detalles": details, "registros": records,
+               "timestamp": _now().isoformat(sep=" "), "orden": number}
+        if versioned.create_if_absent(spark, f"{folder}/{number:012d}.json", json.dumps(row)):
+            return number
+
+
+def registered_runs(spark: SparkSession, path: str) -> DataFrame:
+    """L2: the rows of :func:`register_run`, in order within a process."""
+    return (spark.read.schema(RUN_SCHEMA + ", orden long").option("recursiveFileLookup", True).json(path)
+            .orderBy("proceso", "orden"))
+
+
 def can_run(runs: DataFrame, process: str) -> tuple[bool, object]:
     """L2: an earlier run never blocks; returns (True, last run time or None).
     Reads one aggregated row for one process."""

@@ -132,18 +132,19 @@ def report_summary(report: DataFrame) -> DataFrame:
                       .alias("total_registros_invalidos"))
 
 
-def sample_invalid(named: list[tuple[str, DataFrame]], per_rule: int = 5, overall: int = 20,
+def sample_invalid(named: list[tuple[str, str, DataFrame]], per_rule: int = 5, overall: int = 20,
                    order_by: list[str] | None = None) -> DataFrame:
-    """The first ``per_rule`` invalid rows of each rule (at most
-    ``overall``). "First" is the sort order of ``order_by`` (all columns by
+    """The first ``per_rule`` invalid rows of each ``(rule, reason, rows)``
+    with the reason's text (at most ``overall``). "First" is the sort order of ``order_by`` (all columns by
     default): every branch is a top-k, which keeps ``k`` rows per task."""
     parts = []
-    for i, (rule, df) in enumerate(named):
+    for i, (rule, reason, df) in enumerate(named):
         keys = order_by or df.columns
         parts.append(df.orderBy(*keys).limit(per_rule)
-                     .select(F.lit(i + 1).cast("long").alias("orden"), F.lit(rule).alias("regla"), "*"))
+                     .select(F.lit(i + 1).cast("long").alias("orden"), F.lit(rule).alias("regla"),
+                             F.lit(reason).alias("razon"), "*"))
     out = reduce(DataFrame.unionByName, parts)
-    keys = order_by or named[0][1].columns
+    keys = order_by or named[0][2].columns
     return out.orderBy("orden", *keys).limit(overall)
 
 
@@ -246,9 +247,13 @@ def value_list(df: DataFrame, column: str) -> DataFrame:
 
 
 def column_types(df: DataFrame) -> DataFrame:
-    """Schema listing (column, type) as a DataFrame (V12's dtypes)."""
-    rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "posicion long, columna string, tipo string")
+    """V12's dtypes: position, name, type and number of non-null values of
+    every column, in one pass."""
+    fields = df.schema.fields
+    row = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
+    args = [x for i, f in enumerate(fields) for x in (F.lit(i + 1).cast("long"), F.lit(f.name),
+                                                      F.lit(f.dataType.simpleString()), F.col(f"c{i}"))]
+    return row.select(F.stack(F.lit(len(fields)), *args)).toDF("posicion", "columna", "tipo", "no_nulos")
 
 
 def weather_profile(weather: DataFrame) -> DataFrame:

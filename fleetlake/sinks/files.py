@@ -48,6 +48,34 @@ def replace_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+def create_quality_views(spark: SparkSession, table: str, prefix: str = "") -> list[str]:
+    """K4: the live aggregate and the three quality views over a stored
+    positions table, as catalog views (CREATE OR REPLACE VIEW). They hold a
+    query, not rows, so they follow what is appended. Returns their names."""
+    from ..config import DEFAULT_BOUNDS as b
+    body = {
+        # mean, least and greatest speed on the decimal text, as round_half_up
+        "analytics_congestion_stream": f"""
+            SELECT ruta, hora, nivel_congestion, clima_condicion, COUNT(*) AS total_pings,
+              COUNT(DISTINCT bus_id) AS buses_unicos,
+              CAST(ROUND(CAST(AVG(velocidad_kmh) AS DECIMAL(38,6)), 2) AS DOUBLE) AS velocidad_promedio,
+              CAST(ROUND(CAST(MIN(velocidad_kmh) AS DECIMAL(38,6)), 2) AS DOUBLE) AS velocidad_min,
+              CAST(ROUND(CAST(MAX(velocidad_kmh) AS DECIMAL(38,6)), 2) AS DOUBLE) AS velocidad_max
+            FROM {table} GROUP BY ruta, hora, nivel_congestion, clima_condicion""",
+        "v_dq_duplicados": f"""
+            SELECT bus_id, ruta, date_trunc('MINUTE', ingest_timestamp) AS minuto, COUNT(*) AS apariciones
+            FROM {table} GROUP BY bus_id, ruta, date_trunc('MINUTE', ingest_timestamp) HAVING COUNT(*) > 1""",
+        "v_dq_velocidad_anomala":
+            f"SELECT * FROM {table} WHERE NOT velocidad_kmh BETWEEN {b.speed_min}D AND {b.speed_max}D",
+        "v_dq_fuera_santiago":
+            f"SELECT * FROM {table} WHERE NOT (latitud BETWEEN {b.lat_min}D AND {b.lat_max}D "
+            f"AND longitud BETWEEN {b.lon_min}D AND {b.lon_max}D)",
+    }
+    for name, query in body.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {prefix}{name} AS {query}")
+    return [prefix + name for name in body]
+
+
 def create_table_if_absent(spark: SparkSession, name: str, schema: str, location: str | None = None) -> None:
     """K5: CREATE TABLE IF NOT EXISTS (parquet). NOT NULL columns are
     enforced on write by :func:`check_not_null`."""

@@ -3,10 +3,10 @@
 Two forms share the parsing and validation of :mod:`.live`:
 
 * :func:`start_outcomes` judges every event exactly once. Each micro-batch
-  meets a table of claims (one row per accepted bus and minute, in folders by
-  day, so a batch reads only the days it touches): the first valid event of an
-  unclaimed key is accepted, every other one is a duplicate, whenever it comes.
-  Built-in column functions only; no event is dropped, however late.
+  meets a table of claims (one row per accepted bus and minute, in folders
+  bounded by their minutes and merged as they grow): the first valid event of
+  an unclaimed key is accepted, every other one is a duplicate, whenever it
+  comes. Built-in column functions only; no event is dropped, however late.
 * :func:`positions_stream` is the plain streaming frame with Spark's
   watermarked dedup. State is evicted when the watermark passes, and events
   behind the watermark are dropped by Spark; their number is reported by
@@ -22,18 +22,30 @@ when that query is started again.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from .. import config as C
 from ..functions.text import rejection_text
+from ..operators.aggregate import ingest_counters
 from ..operators.audit import activity_log_from_outcomes, log_event
 from ..session import checkpoint_dir
-from .live import ACCEPTED, REJECTED_DUPLICATE, REJECTED_INVALID, check_events, dedup_batch, enrich_positions, with_reason
+from ..sinks import versioned
+from .live import (
+    ACCEPTED,
+    REJECTED_DUPLICATE,
+    REJECTED_INVALID,
+    check_events,
+    dedup_batch,
+    enrich_positions,
+    with_minute,
+    with_reason,
+)
 
 PING_EVENT_SCHEMA = ("bus_id string, ruta string, velocidad_kmh string, latitud string, longitud string, "
                      "ts string")
@@ -101,10 +113,8 @@ def positions_stream(events: DataFrame, weather: DataFrame | None = None, ts: st
     return enrich_positions(accepted, weather, ts), rejected
 
 
-def batch_counters(query: StreamingQuery) -> list[dict]:
-    """Per micro-batch counters from the query's progress: valid and
-    accepted events (observed metrics), late ones (dropped behind the
-    watermark, Spark's state metrics) and the rest, which are duplicates."""
+def _progress_counters(p) -> dict:
+    """The counters of one progress record (an object, or its dict form)."""
     def field(p, name):
         return p.get(name) if isinstance(p, dict) else getattr(p, name, None)
 
@@ -114,14 +124,51 @@ def batch_counters(query: StreamingQuery) -> list[dict]:
             return 0
         return r.get(name, 0) if isinstance(r, dict) else r[name]
 
-    out = []
-    for p in query.recentProgress:
-        m = field(p, "observedMetrics") or {}
-        v, a = metric(m, "validos"), metric(m, "aceptados")
-        late = sum(field(s, "numRowsDroppedByWatermark") or 0 for s in field(p, "stateOperators") or [])
-        out.append({"batch_id": field(p, "batchId"), "validos": v, "aceptados": a, "tardios": late,
-                    "duplicados": v - a - late})
-    return out
+    m = field(p, "observedMetrics") or {}
+    v, a = metric(m, "validos"), metric(m, "aceptados")
+    late = sum(field(s, "numRowsDroppedByWatermark") or 0 for s in field(p, "stateOperators") or [])
+    return {"batch_id": field(p, "batchId"), "validos": v, "aceptados": a, "tardios": late, "duplicados": v - a - late}
+
+
+def batch_counters(query: StreamingQuery) -> list[dict]:
+    """Per micro-batch counters from the query's progress: valid and
+    accepted events (observed metrics), late ones (dropped behind the
+    watermark, Spark's state metrics) and the rest, which are duplicates.
+    Spark keeps the last 100 records only; :class:`CounterRecorder` keeps all."""
+    return [_progress_counters(p) for p in query.recentProgress]
+
+
+class CounterRecorder(StreamingQueryListener):
+    """Keeps every micro-batch's counters of one query as a small file,
+    ``path/<query id>/<batch id>.json``, for the life of the stream. The query
+    id survives restarts, and a batch that reports twice counts once. Register
+    it with ``spark.streams.addListener`` before the query starts."""
+
+    def __init__(self, spark: SparkSession, path: str, query_name: str | None = None):
+        self._spark, self._path, self._name = spark, path, query_name
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        if self._name is None or p.name == self._name:
+            versioned.create_if_absent(self._spark, f"{self._path}/{p.id}/{p.batchId:012d}.json",
+                                       json.dumps(_progress_counters(p)))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+RECORD_SCHEMA = "batch_id long, validos long, aceptados long, tardios long, duplicados long"
+
+
+def recorded_counters(spark: SparkSession, path: str) -> DataFrame:
+    """The rows kept by :class:`CounterRecorder`, one per batch and query."""
+    return spark.read.schema(RECORD_SCHEMA).option("recursiveFileLookup", True).json(path)
 
 
 def start_logged(spark: SparkSession, start, log_path: str, name: str = "ingest") -> StreamingQuery:
@@ -141,13 +188,17 @@ def _ckpt(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), "streams", name)
 
 
+#: JSON writers cut times to milliseconds unless told otherwise.
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def start_lake_sink(positions: DataFrame, path: str, name: str | None = "positions_lake",
                     trigger: dict | None = None, checkpoint: str | None = None) -> StreamingQuery:
     """K7: NDJSON lake files partitioned by ingest day (yyyyMMdd), written
     by the file sink (exactly-once through its commit log)."""
     spark = positions.sparkSession
     out = positions.withColumn("day", F.date_format("ingest_timestamp", "yyyyMMdd"))
-    w = (out.writeStream.format("json").partitionBy("day").option("path", path)
+    w = (out.writeStream.format("json").partitionBy("day").option("path", path).option("timestampFormat", JSON_TIME)
          .option("checkpointLocation", checkpoint or _ckpt(spark, name or os.path.basename(path)))
          .outputMode("append"))
     if name:
@@ -156,6 +207,9 @@ def start_lake_sink(positions: DataFrame, path: str, name: str | None = "positio
 
 
 REQUIRED_POSITION_COLUMNS = ["viaje_id", "bus_id"]
+POSITION_SCHEMA = ("viaje_id string, bus_id string, ruta string, ruta_raw string, velocidad_kmh double, latitud double, "
+                   "longitud double, hora long, dia_semana string, nivel_congestion string, clima_condicion string, "
+                   "clima_temperatura double, ingest_timestamp timestamp")
 
 
 def start_table_sink(positions: DataFrame, path: str, name: str = "positions_table",
@@ -175,21 +229,22 @@ def start_fanout(positions: DataFrame, rejected: DataFrame, base: str, trigger:
     table (parquet), the rejected events to their log: three queries with a
     checkpoint each. A failing sink (or a NULL in a required column) writes a
     warning row to the activity log and fails its own query only; the batch is
-    not committed and is written when that query is started again. Writes go
-    to ``batch_id=<n>`` folders with overwrite, so a repeated batch replaces
-    its own output. Returns the queries by sink."""
+    not committed and is written when that query is started again. Lake and
+    table are committed batch by batch (:mod:`..sinks.versioned`): a reader of
+    :func:`read_positions` sees whole batches only, and a repeated batch
+    changes nothing. Returns the queries by sink."""
     from ..sinks.files import check_not_null
     spark = positions.sparkSession
     log_path = log_path or os.path.join(base, "activity_log")
 
     def lake(df: DataFrame, batch_id: int):
-        (check_not_null(df, REQUIRED_POSITION_COLUMNS)
-         .withColumn("day", F.date_format("ingest_timestamp", "yyyyMMdd")).write.mode("overwrite")
-         .partitionBy("day").json(os.path.join(base, "lake", f"batch_id={batch_id}")))
+        rows = check_not_null(df, REQUIRED_POSITION_COLUMNS)
+        versioned.commit(rows.withColumn("day", F.date_format("ingest_timestamp", "yyyyMMdd")),
+                         os.path.join(base, "lake"), batch_id, fmt="json", partition_by=["day"],
+                         options={"timestampFormat": JSON_TIME})
 
     def table(df: DataFrame, batch_id: int):
-        (check_not_null(df, REQUIRED_POSITION_COLUMNS).write.mode("overwrite")
-         .parquet(os.path.join(base, "table", f"batch_id={batch_id}")))
+        versioned.commit(check_not_null(df, REQUIRED_POSITION_COLUMNS), os.path.join(base, "table"), batch_id)
 
     def logged(kind, write):
         def run(df: DataFrame, batch_id: int):
@@ -207,7 +262,7 @@ def start_fanout(positions: DataFrame, rejected: DataFrame, base: str, trigger:
         return (writer.option("checkpointLocation", os.path.join(base, "_checkpoints", kind))
                 .trigger(**(trigger or {"availableNow": True})).start())
 
-    rej = rejected.select(F.lit(C.EVENT_REJECTED).alias("event_type"),
+    rej = rejected.select(F.expr("uuid()").alias("event_id"), F.lit(C.EVENT_REJECTED).alias("event_type"),
                           rejection_text(F.col("reason")).alias("description"),
                           F.lit("ERROR").alias("status"), F.col("ts").alias("created_at"),
                           "bus_id", "ruta_raw")
@@ -218,6 +273,11 @@ def start_fanout(positions: DataFrame, rejected: DataFrame, base: str, trigger:
     }
 
 
+def read_positions(spark: SparkSession, base: str) -> DataFrame:
+    """K9: the positions table of :func:`start_fanout`, whole batches only."""
+    return versioned.read_snapshot(spark, os.path.join(base, "table"), POSITION_SCHEMA)
+
+
 def run_available(query: StreamingQuery | dict[str, StreamingQuery], timeout_s: float | None = None) -> None:
     """Wait for ``availableNow`` queries to finish, however long they take. A
     limit that is given and reached stops the query and raises; so does a
@@ -249,43 +309,49 @@ def run_concurrently(spark: SparkSession, start_stream, batch_job, timeout_s: fl
 
 # -------------------------------------------------- every event's outcome
 
-def _present(spark: SparkSession, paths: list[str]) -> list[str]:
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        if path.getFileSystem(conf).exists(path):
-            out.append(p)
-    return out
+CLAIM_SCHEMA = "bus_id string, minuto timestamp, tramo long, batch_id long"
+COUNTER_SCHEMA = ("batch_id long, recibidos long, aceptados long, rechazados_validacion long, "
+                  "rechazados_duplicado long")
 
 
-CLAIM_SCHEMA = "bus_id string, minuto timestamp, day string, batch_id long"
+def _tramo(minute):
+    """The minute's number, the column by which claim folders are bounded."""
+    return (F.unix_seconds(minute) / 60).cast("long")
 
 
 def judge_batch(events: DataFrame, batch_id: int, base: str, ts: str = "ts",
                 weather: Callable[[SparkSession], DataFrame] | None = None) -> None:
-    """One micro-batch of :func:`start_outcomes`. Claims of this batch or a
-    later one are left out when it is repeated, so a repeat gives the same
-    rows; every folder of the batch is overwritten."""
+    """One micro-batch of :func:`start_outcomes`.
+
+    Claims are a committed table (:mod:`..sinks.versioned`) whose folders carry
+    the bounds of their minutes: a batch reads the folders that meet its own
+    minutes, and merging keeps their number at some ``8 log(batches)`` however
+    long the stream runs. A repeated batch reads the events it stored the first
+    time and leaves out its own claims, so it gives the same rows; every folder
+    of the batch is overwritten.
+    """
     spark = events.sparkSession
     place = lambda kind: os.path.join(base, kind, f"batch_id={batch_id}")
-    # written once: the source is read once, and arrival times stay fixed
-    check_events(with_event_time(events, ts), ts).write.mode("overwrite").parquet(place("_events"))
-    checked = spark.read.parquet(place("_events"))
+    # stored once, for this batch: the source is read once, and arrival times
+    # stay what they were when the batch is repeated
+    checked = check_events(with_event_time(events, ts), ts)
+    stored = os.path.join(base, "_events")
+    if not versioned.commit(checked.withColumn("_tramo", F.when(F.col("_check").isNull(), _tramo(F.col("ts")))),
+                            stored, batch_id, replace=True, bound="_tramo"):
+        if versioned.manifest(spark, stored)["batch_id"] > batch_id:
+            return  # a later batch has begun, so this one is complete
+    kept = versioned.manifest(spark, stored)["folders"]
+    checked = versioned.read_folders(spark, stored, kept, checked.schema)
+    lo, hi = kept[0]["lo"], kept[0]["hi"]
     valid = checked.where("_check IS NULL").drop("_check")
     invalid = with_reason(checked.where("_check IS NOT NULL"))
-    day = F.date_format("ts", "yyyyMMdd")
-    days = [r.day for r in valid.select(day.alias("day")).distinct().collect()]  # the days of one micro-batch
     claims = os.path.join(base, "claims")
-    paths = _present(spark, [os.path.join(claims, f"day={d}") for d in days])
-    known = (spark.read.schema(CLAIM_SCHEMA).option("basePath", claims).parquet(*paths) if paths
+    known = (versioned.read_snapshot(spark, claims, CLAIM_SCHEMA, lo, hi) if lo is not None
              else spark.createDataFrame([], CLAIM_SCHEMA))
-    known = known.where(F.col("batch_id") < batch_id).select("bus_id", "minuto")
+    known = known.where((F.col("batch_id") < batch_id) & F.col("tramo").between(lo, hi)).select("bus_id", "minuto")
     first, later = dedup_batch(valid)
     accepted = first.join(known, ["bus_id", "minuto"], "left_anti")
     again = first.join(known, ["bus_id", "minuto"], "left_semi")
-    (accepted.select("bus_id", "minuto", F.date_format("minuto", "yyyyMMdd").alias("day"), F.lit(batch_id).alias("batch_id"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch_id").parquet(claims))
     cols = ["bus_id", "ruta", "ruta_raw", "velocidad_kmh", "latitud", "longitud", "ts"]
     out = (invalid.select(*cols, F.lit(REJECTED_INVALID).alias("outcome"), "reason")
            .unionByName(later.unionByName(again, allowMissingColumns=True)
@@ -293,10 +359,25 @@ def judge_batch(events: DataFrame, batch_id: int, base: str, ts: str = "ts",
            .unionByName(accepted.select(*cols, F.lit(ACCEPTED).alias("outcome"), F.lit("ok").alias("reason"))))
     out.write.mode("overwrite").parquet(place("outcomes"))
     done = spark.read.parquet(place("outcomes"))
-    activity_log_from_outcomes(done).write.mode("overwrite").parquet(place("activity_log"))
+    new = with_minute(done.where(F.col("outcome") == ACCEPTED)).select(
+        "bus_id", "minuto", _tramo(F.col("minuto")).alias("tramo"), F.lit(batch_id).cast("long").alias("batch_id"))
+    versioned.commit(new, claims, batch_id, bound="tramo")
+    versioned.compact(spark, claims, CLAIM_SCHEMA, bound="tramo", order=["tramo", "bus_id"])
+    (activity_log_from_outcomes(done).select(F.expr("uuid()").alias("event_id"), "*")
+     .write.mode("overwrite").parquet(place("activity_log")))
     if weather is not None:
         kept = done.where(F.col("outcome") == ACCEPTED).select(*cols)
         enrich_positions(kept, weather(spark)).write.mode("overwrite").parquet(place("positions"))
+    counters = os.path.join(base, "counters")
+    versioned.commit(ingest_counters(done).select(F.lit(batch_id).cast("long").alias("batch_id"), "*"), counters, batch_id)
+    versioned.compact(spark, counters, COUNTER_SCHEMA)
+
+
+def stream_counters(spark: SparkSession, base: str) -> DataFrame:
+    """The counters of the whole life of an outcome stream, restarts
+    included: one row of sums over its batches."""
+    rows = versioned.read_snapshot(spark, os.path.join(base, "counters"), COUNTER_SCHEMA)
+    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in rows.columns if c != "batch_id"])
 
 
 def start_outcomes(events: DataFrame, base: str, ts: str = "ts", trigger: dict | None = None,
@@ -310,26 +391,3 @@ def start_outcomes(events: DataFrame, base: str, ts: str = "ts", trigger: dict |
     return (events.writeStream.foreachBatch(lambda df, n: judge_batch(df, n, base, ts, weather))
             .option("checkpointLocation", os.path.join(base, "_checkpoint"))
             .trigger(**(trigger or {"availableNow": True})).start())
-
-
-def start_live_view(positions: DataFrame, path: str, checkpoint: str | None = None,
-                    trigger: dict | None = None) -> StreamingQuery:
-    """A4 as a continuously maintained table: the streaming aggregate by
-    route, hour, band and weather in ``complete`` mode (its key space is
-    bounded by routes x 24 x bands x conditions), each micro-batch replacing
-    the table. Distinct buses are approximate (HLL++), the only distinct
-    count a stream supports."""
-    from ..functions.numeric import round_half_up
-    from ..operators.aggregate import live_view_streaming
-    spark = positions.sparkSession
-    agg = live_view_streaming(positions)
-    agg = agg.select("ruta", "hora", "nivel_congestion", "clima_condicion", "total_pings", "buses_unicos",
-                     *[round_half_up(F.col(c), 2).alias(c)
-                       for c in ("velocidad_promedio", "velocidad_min", "velocidad_max")])
-
-    def replace(df: DataFrame, batch_id: int):
-        df.write.mode("overwrite").parquet(path)
-
-    return (agg.writeStream.outputMode("complete").foreachBatch(replace)
-            .option("checkpointLocation", checkpoint or _ckpt(spark, "live_view"))
-            .trigger(**(trigger or {"availableNow": True})).start())

@@ -51,3 +51,22 @@ def test_composite_key_null_and_collision(spark):
     got = [r[0] for r in df.select(composite_key("a", "b")).collect()]
     assert got == ["123", "123", None]
     assert df.select(F.countDistinct(F.struct("a", "b"))).first()[0] == 3
+
+
+def test_half_even_rounds_the_binary_value_as_python_does(spark):
+    import random
+    import struct
+
+    from fleetlake.functions.numeric import round_half_even
+    rnd = random.Random(5)
+    vals = [-0.05, 0.15, 0.25, 0.35, -0.04, 0.05, 2.675, 1e15, 2.0 ** 49 + 0.25, 2.0 ** 48 + 0.25, 0.0, -0.0, 5e-324]
+    vals += [rnd.uniform(-200, 200) for _ in range(40_000)] + [k / 20 for k in range(-4000, 4000)]
+    vals += [round(rnd.uniform(-200, 200), 2) for _ in range(40_000)] + [k / 16 for k in range(-2000, 2000)]
+    vals += [rnd.uniform(-1, 1) * 10.0 ** rnd.randint(-12, 14) for _ in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for digits in (1, 2):
+        got = df.select("x", round_half_even("x", digits).alias("y")).collect()
+        for r in got:
+            assert struct.pack("d", r.y) == struct.pack("d", round(r.x, digits)), (r.x, r.y)
+    odd = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),), (float("-inf"),)], "x double")
+    assert [str(r.y) for r in odd.select(round_half_even("x", 1).alias("y")).collect()] == ["None", "nan", "inf", "-inf"]

@@ -3,10 +3,15 @@ checksums, first-available source, load statistics."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from .json_arrays import scan_json_array
+
 PING_SCHEMA = ("ID_Bus string, Ruta string, Velocidad_kmh double, Latitud double, Longitud double, "
                "Timestamp timestamp")
 WEATHER_SCHEMA = "fecha date, condicion string, temperatura_promedio double"
@@ -28,8 +33,8 @@ def load_pings(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFr
 
 
 def load_weather_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of weather objects (multi-line JSON)."""
-    return spark.read.schema(WEATHER_SCHEMA).option("multiLine", True).json(path)
+    """A JSON array of weather objects, read by several tasks."""
+    return scan_json_array(spark, path, WEATHER_SCHEMA)
 
 
 def scan_ndjson(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -42,21 +47,68 @@ def scan_ndjson(spark: SparkSession, path: str, schema: str | None = None) -> Da
 
 def json_array_to_ndjson(spark: SparkSession, src: str, dst: str, schema: str = WEATHER_SCHEMA) -> DataFrame:
     """Convert a JSON array file into NDJSON files (one object per line)."""
-    df = spark.read.schema(schema).option("multiLine", True).json(src)
+    df = scan_json_array(spark, src, schema)
     df.write.mode("overwrite").json(dst)
     return df
 
 
-def ingest_raw(spark: SparkSession, paths: list[str]) -> DataFrame:
+#: Larger files are not read as one value.
+WHOLE_FILE = 256 << 20
+BOM = b"\xef\xbb\xbf"
+
+
+def _running_md5(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per file whose lines come in order, one line held at a time.
+    The line reader drops a byte order mark and does not tell whether the last
+    line was closed; the file's size tells both."""
+    import hashlib
+
+    def finish(path, size, read, plain, marked):
+        left = size - read
+        if left not in (0, 1, len(BOM), len(BOM) + 1):
+            raise ValueError(f"{path}: {read} bytes in lines, {size} in the file")
+        md5 = marked if left >= len(BOM) else plain
+        if left in (1, len(BOM) + 1):
+            md5.update(b"\n")
+        return pa.RecordBatch.from_pydict({"path": [path], "bytes": [size], "md5": [md5.hexdigest()]})
+
+    file = None
+    for batch in batches:
+        for path, size, line in zip(*(batch.column(c).to_pylist() for c in ("path", "size", "line"))):
+            if file is None or path != file[0]:
+                if file is not None:
+                    yield finish(*file)
+                file = [path, size, 0, hashlib.md5(), hashlib.md5(BOM)]
+            else:
+                line = b"\n" + line
+            file[2] += len(line)
+            file[3].update(line)
+            file[4].update(line)
+    if file is not None:
+        yield finish(*file)
+
+
+def ingest_raw(spark: SparkSession, paths: list[str], whole_file: int = WHOLE_FILE) -> DataFrame:
     """Raw-zone manifest: path, size in bytes and MD5 of every file.
 
-    A missing input raises (as the original stage does). Each file's bytes
-    are hashed by the task that reads it, so the driver never holds them;
-    one very large file is one task (hashing is sequential by nature).
+    A missing input raises (as the original stage does); Spark lists no empty
+    files. Files of up to
+    ``whole_file`` bytes are hashed as one value by the task that reads them.
+    A larger one, of any size, is read line by line by several tasks, its lines
+    are put in order, and one task runs over them with a running MD5 (hashing is
+    sequential by nature) and the memory of one line.
     """
-    df = spark.read.format("binaryFile").load(paths)
-    return df.select(F.col("path"), F.col("length").alias("bytes"), F.md5(F.col("content")).alias("md5"),
-                     F.col("modificationTime").alias("modificado"))
+    files = spark.read.format("binaryFile").load(paths)
+    times = files.select("path", F.col("modificationTime").alias("modificado"))
+    small = (files.where(F.col("length") <= whole_file)
+             .select("path", F.col("length").alias("bytes"), F.md5(F.col("content")).alias("md5")))
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"),
+        F.col("value").cast("binary").alias("line")).where(F.col("size") > whole_file)
+    large = (lines.repartition("path").sortWithinPartitions("path", "start", "id").select("path", "size", "line")
+             .mapInArrow(_running_md5, "path string, bytes long, md5 string"))
+    return small.unionByName(large).join(times, "path")
 
 
 def first_available(spark: SparkSession, candidates: list[tuple[str, str]]) -> DataFrame:

@@ -8,7 +8,7 @@ task, and surplus copies are re-emitted in chunks spread over tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Surplus copies of one row are emitted by tasks of at most this many rows.
@@ -58,13 +58,14 @@ def split_duplicates(df: DataFrame, keys: list[str] | None = None,
     does not matter, so kept = one copy of each distinct row and surplus =
     ``n - 1`` copies of every row seen ``n > 1`` times.
 
-    With ``keys`` the first row is the minimum of ``order_by``, ties broken by
-    the remaining columns, so the choice is deterministic. The first row of a
-    key is an aggregate (the least struct of those columns), combined in every
-    task before the shuffle, and meets the rows by a join, which AQE splits
-    where a key is hot. No task ranks a key's rows, not even where a third of
-    all rows tie at one instant. Surplus copies are re-emitted by
-    :func:`replicate`, so a hot row's copies are spread over tasks.
+    With ``keys`` the first row is the minimum of ``order_by`` (its first
+    column a fixed-width type; ties broken by the remaining columns, so the
+    choice is deterministic). The smallest value per key is a hash aggregate
+    and meets the rows by a join, which AQE splits where a key is hot. Rows
+    that tie for it are ranked in two rounds: among the rows of their key and
+    salt, so a key with a third of all rows at one instant is spread over tasks,
+    and then the winners of the salts, at most one a task. Surplus copies are
+    re-emitted by :func:`replicate`, so a hot row's copies are spread over tasks.
     """
     cols = df.columns
     counted = row_counts(df, cols, "_n")
@@ -72,12 +73,19 @@ def split_duplicates(df: DataFrame, keys: list[str] | None = None,
         return counted.select(*cols), replicate(counted, 2, n_col="_n").select(*cols)
     order_by = list(order_by or [c for c in cols if c not in keys][:1])
     rest = [c for c in cols if c not in keys and c not in order_by]
-    place = F.struct(*order_by, *rest)
-    low = counted.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(place).alias("_low"))
+    low = counted.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.min(order_by[0]).alias("_low"))
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    rows = counted.join(low, same).select(*cols, "_n", place.eqNullSafe(F.col("_low")).alias("_first"))
-    kept = rows.where("_first").select(*cols)
-    left = rows.select(*cols, (F.col("_n") - F.col("_first").cast("int")).alias("_n"))
+    rows = counted.join(low, same).select(*cols, "_n", F.col(order_by[0]).eqNullSafe(F.col("_low")).alias("_tied"))
+    order = [*order_by[1:], *rest]
+    salt = F.pmod(F.xxhash64(*cols), F.lit(_partitions(df)))
+    salted = rows.where("_tied").withColumn("_salt", salt).select(
+        "*", F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order)).alias("_turn"))
+    best = salted.where("_turn = 1").select(
+        *cols, "_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).alias("_turn"))
+    kept = best.where("_turn = 1").select(*cols)
+    left = (rows.where("NOT _tied").select(*cols, "_n").unionByName(salted.where("_turn > 1").select(*cols, "_n"))
+            .unionByName(best.select(*cols, (F.col("_n") - (F.col("_turn") == 1).cast("int")).alias("_n"))))
     return kept, replicate(left, 1, n_col="_n", index="_rep").select(*cols)

@@ -8,7 +8,7 @@ from fleetlake.operators import aggregate, insights, sales, starschema
 from fleetlake.streaming import live
 
 SF = "/root/testdata/sf0.001"
-RUNS = ("stream", "k7_lake_sink", "k6_append_rows")  # queries that write something to read it back
+RUNS = ("stream", "k7_lake_sink", "k6_append_rows", "k4_")  # queries that write something to read it back
 
 
 def test_building_a_batch_query_runs_nothing(spark):

@@ -1,17 +1,24 @@
 """Language-model scores from a log-bilinear neural model.
 
-The classes of the model are the most frequent training words, the end of a
-text, and one class for every rarer word; a rare word's own probability
-within that class is its add-one share of the rare training tokens, with one
-more unit for all unseen words, so the probabilities of all words add up to
-one. The model predicts a class vector from the vectors of the two classes
+The output is factored by classes. Classes are cut by token coverage: a word
+with a share of ``SHARE`` of the training tokens is a class of its own; all
+others are grouped by their endings (the last byte, two or three bytes of the
+word, the longest one that still covers ``SHARE``), and the end of a text is a
+class. The model predicts a class vector from the vectors of the two classes
 before it (one matrix per position) and scores a class by the inner product
-plus a bias. It is trained in NumPy with noise-contrastive estimation on all
-training documents: every round, each task trains on the class trigrams of
-its part of the corpus, and Spark averages the parameters (weighted by
-tokens); the driver only ever holds one set of parameters. Scores are
-normalised exactly: products of the parameter matrices give the class scores
-of whole contexts at once.
+plus a bias; a word's own probability within its class is its add-one share of
+the class's training tokens, with one more unit for all unseen words of that
+ending. The probabilities of all words so add up to one.
+
+The model is trained in NumPy with noise-contrastive estimation on all
+training documents. It is a function of the corpus alone: documents are dealt
+by a hash of id and text to shards whose number follows from the number of
+tokens, a shard's trigrams are sorted before they are dealt into batches, the
+steps follow from the shard, and the shards' parameters are averaged (weighted
+by tokens) in whole numbers, so neither files, tasks nor order matter. The
+driver only ever holds one set of parameters. Scores are normalised exactly:
+products of the parameter matrices give the class scores of whole contexts at
+once.
 
 Counts of words come from all training documents. The driver collects at most
 ``FREQUENT`` words (a bound by a histogram of counts, not a sample); the
@@ -33,15 +40,17 @@ from pyspark.sql import types as T
 
 from .runtime import drop_written, ship, worker_state, written
 
-#: Words with a class of their own; with the end and the rare class 1,024.
-CLASS_WORDS = 1022
+#: Share of the training tokens that makes a class; at most 1.5 / SHARE + 2 classes.
+SHARE = 1 / 640
 #: Most words whose counts are sent to every task (about 40 MB there).
 FREQUENT = 1 << 18
 DIMENSIONS = 32
 ROUNDS = 2
 NOISE = 128
 BATCH = 2048
-#: A task that has few trigrams goes over them until it has made so many steps.
+#: Training tokens of a shard, about.
+SHARD_TOKENS = 4_000_000
+#: A shard with few trigrams goes over them until it has made so many steps.
 LEAST_STEPS = 200
 #: A trigram with more than so many times the mean count is dealt in copies.
 SPLIT = 4
@@ -49,8 +58,10 @@ RATE = 0.04
 SEED = 7
 
 RARE, END = 0, 1
-#: Distinct words, or tokens, that a task gathers before it hands them on.
-FLUSH_WORDS, FLUSH_TOKENS = 300_000, 4_000_000
+#: Distinct words that a task gathers before it hands them on.
+FLUSH_WORDS = 300_000
+#: Parameters are averaged as whole multiples of this.
+UNIT = 2.0 ** -40
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -243,32 +254,36 @@ def trigrams(classes: list[np.ndarray], n: int) -> np.ndarray:
 
 @dataclass
 class Vocabulary:
-    """Frequent words by falling count; the first ``class_words`` are classes."""
+    """Frequent words by falling count; the first ``singles`` are classes.
+    ``endings`` names the classes of the others: endings of three, two and one
+    bytes to class numbers, looked up in this order, else RARE."""
 
     words: list[bytes]
     counts: np.ndarray
-    class_words: int
+    singles: int
     tokens: int      # all training tokens, ends included
     types: int       # distinct training tokens, the end included
     ends: int
+    endings: list[dict[bytes, int]]
+    mass: np.ndarray     # training tokens of a class
+    members: np.ndarray  # their distinct words
     index: dict[bytes, int] = field(default_factory=dict)
 
     @property
     def classes(self) -> int:
-        return self.class_words + 2
-
-    @property
-    def rare_tokens(self) -> int:
-        return self.tokens - self.ends - int(self.counts[:self.class_words].sum())
-
-    @property
-    def rare_types(self) -> int:
-        return self.types - self.class_words - (self.ends > 0)
+        return len(self.mass)
 
     def prior(self) -> np.ndarray:
-        c = np.concatenate(([self.rare_tokens, self.ends], self.counts[:self.class_words])) + 1.0
+        c = self.mass + 1.0
         return c / c.sum()
 
+    def inside(self) -> np.ndarray:
+        """log10 of what a word's count + 1 is divided by within its class;
+        0 for single words and the end."""
+        out = np.log10(self.mass + self.members + 1.0)
+        out[END:self.singles + 2] = 0
+        return out
+
     def places(self, words: list[bytes]) -> np.ndarray:
         """Index among the frequent words, -1 elsewhere."""
         if not self.index:
@@ -276,91 +291,142 @@ class Vocabulary:
         get = self.index.get
         return np.fromiter([get(w, -1) for w in words], np.int64, len(words))
 
-    def class_of(self, places: np.ndarray) -> np.ndarray:
+    def by_ending(self, word: bytes) -> int:
+        three, two, one = self.endings
+        return three.get(word[-3:]) or two.get(word[-2:]) or one.get(word[-1:]) or RARE
+
+    def class_of(self, words: list[bytes], places: np.ndarray) -> np.ndarray:
         """Classes of a text's words, and the end."""
-        out = np.where((places >= 0) & (places < self.class_words), places + 2, RARE)
+        out = places + 2
+        for k in np.flatnonzero((places < 0) | (places >= self.singles)).tolist():
+            out[k] = self.by_ending(words[k])
         return np.append(out, END)
 
 
-def vocabulary(counts: DataFrame, class_words: int = CLASS_WORDS, frequent: int = FREQUENT) -> Vocabulary:
+def endings(words: DataFrame, least: float, first: int) -> tuple[list[dict], list[int], list[int]]:
+    """Classes of the endings of ``words`` (word, c) that cover ``least`` tokens.
+
+    The driver gets the tokens by two last bytes (65,536 rows at most) and by
+    three for the two-byte endings of ``2 * least`` tokens or more, of which
+    there are few. An ending of three bytes is cut off from one of two, and one
+    of two from one of one, where it covers ``least``; the rest stays together.
+    Numbers start at ``first``; the last two lists are tokens and distinct words
+    of RARE and of each class."""
+    byte = lambda n: F.expr(f"right(hex(cast(word as binary)), {2 * n})")
+    sums = (F.sum("c").alias("c"), F.count("*").alias("n"))
+    two = {r.e: (r.c, r.n) for r in words.groupBy(byte(2).alias("e")).agg(*sums).collect()}
+    heavy = [e for e, (c, _) in two.items() if c >= 2 * least]
+    three: dict[str, dict] = {}
+    if heavy:
+        for r in words.where(byte(2).isin(heavy)).groupBy(byte(2).alias("p"), byte(3).alias("e")).agg(*sums).collect():
+            three.setdefault(r.p, {})[r.e] = (r.c, r.n)
+    found, mass, members = [{}, {}, {}], [0], [0]
+
+    def add(level: int, ending: str, c: int, n: int):
+        found[level][bytes.fromhex(ending)] = first + len(mass) - 1
+        mass.append(c), members.append(n)
+
+    one: dict[str, list] = {}
+    for e, (c, n) in sorted(two.items()):
+        for t, (tc, tn) in sorted(three.get(e, {}).items()):
+            if tc >= least and t != e:
+                add(0, t, tc, tn)
+                c, n = c - tc, n - tn
+        if c >= least or (e in three and n):
+            add(1, e, c, n)
+        elif n:
+            rest = one.setdefault(e[-2:], [0, 0])
+            rest[0], rest[1] = rest[0] + c, rest[1] + n
+    for e, (c, n) in sorted(one.items()):
+        if c >= least:
+            add(2, e, c, n)
+        else:
+            mass[0], members[0] = mass[0] + c, members[0] + n
+    return found, mass, members
+
+
+def vocabulary(counts: DataFrame, share: float = SHARE, frequent: int = FREQUENT) -> Vocabulary:
     """``counts``: (word, c). The driver gets sums, a histogram of at most
-    some thousand bins, and at most ``frequent`` words."""
+    some thousand bins, sums by endings, and at most ``frequent`` words."""
     bin_ = F.floor(F.log2(F.col("c").cast("double")) * 32)
     bins = counts.where("word <> ''").groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"), F.sum("c").alias("c"))
     found = sorted(((r.bin, r.n, r.c) for r in bins.collect()), reverse=True)
     ends = counts.where("word = ''").agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    least, room = None, frequent
+    cut, room = None, frequent
     for b, n, _ in found:
         if n > room:
             break
-        least, room = b, room - n
+        cut, room = b, room - n
     rows = []
-    if least is not None:
-        t = counts.where("word <> ''").where(bin_ >= least).select("word", "c").toArrow()
+    if cut is not None:
+        t = counts.where("word <> ''").where(bin_ >= cut).select("word", "c").toArrow()
         rows = sorted(zip(t["c"].to_pylist(), t["word"].to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
-    return Vocabulary([w.encode() for _, w in rows], np.array([c for c, _ in rows], np.int64),
-                      min(class_words, len(rows)), ends + sum(c for _, _, c in found),
-                      (ends > 0) + sum(n for _, n, _ in found), ends)
-
-
-def _trigram_table(texts: DataFrame, vocab) -> DataFrame:
-    """(key, n): class trigrams of each task's texts; one row per trigram and
-    flush, not per token."""
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tokens = ends + sum(c for _, _, c in found)
+    least = max(2.0, tokens * share)
+    singles = sum(c >= least for c, _ in rows)
+    lowest = rows[singles - 1] if singles else None
+    # the words behind the last single one, in the same order
+    others = counts.where("word <> ''")
+    if lowest:
+        c, w = F.col("c"), F.col("word")
+        others = others.where((c < lowest[0]) | ((c == lowest[0]) & (w > lowest[1])))
+    names, mass, members = endings(others, least, singles + 2)
+    return Vocabulary([w.encode() for _, w in rows], np.array([c for c, _ in rows], np.int64), singles, tokens,
+                      (ends > 0) + sum(n for _, n, _ in found), ends, names,
+                      np.array([mass[0], ends, *[c for c, _ in rows[:singles]], *mass[1:]], np.int64),
+                      np.array([members[0], 0, *[0] * singles, *members[1:]], np.int64))
+
+
+def _sequences(texts: DataFrame, vocab, shards: int) -> DataFrame:
+    """(shard, seq): the classes of each text, two bytes a token, with the
+    shard that a hash of id and text deals it to."""
+    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocab.value
-        held: list[np.ndarray] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            keys, n = np.unique(trigrams(held, v.classes), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], names=["key", "n"])
-
         for b in batches:
-            for x in b.column(0):
-                held.append(v.class_of(v.places(words_of(x.as_py()))))
-                size += len(held[-1])
-                if size > FLUSH_TOKENS:
-                    yield out()
-                    size = 0
-        if held:
-            yield out()
+            seqs = []
+            for x in b.column(1):
+                words = words_of(x.as_py())
+                seqs.append(v.class_of(words, v.places(words)).astype(np.uint16).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(seqs, pa.binary())], names=["shard", "seq"])
 
-    return texts.select("_text").mapInArrow(gather, "key long, n long")
+    shard = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.col("_text")), F.lit(shards)).cast("int")
+    return texts.select(shard.alias("shard"), "_text").mapInArrow(classes, "shard int, seq binary")
 
 
 def fit(texts: DataFrame, vocab: Vocabulary, shared, dimensions: int = DIMENSIONS, rounds: int = ROUNDS,
-        seed: int = SEED) -> Model:
-    """Rounds of training on every trigram, the parameters averaged by Spark."""
+        seed: int = SEED, shard_tokens: int = SHARD_TOKENS) -> Model:
+    """Rounds of training on every trigram of ``texts`` (``_id``, ``_text``),
+    the shards' parameters averaged by Spark."""
     spark = texts.sparkSession
-    model = Model.start(vocab.prior(), dimensions, seed)
-    grams = written(_trigram_table(texts, shared), "trigrams")
+    prior, n = vocab.prior(), vocab.classes
+    model = Model.start(prior, dimensions, seed)
+    shards = max(1, -(-vocab.tokens // shard_tokens))
+    seqs = written(_sequences(texts, shared, shards), "sequences")
+
+    def step(now, turn):
+        def local(part):
+            shard = part["shard"][0].as_py()
+            classes = [np.frombuffer(x.as_py(), np.uint16).astype(np.int64) for x in part["seq"]]
+            keys, counts = np.unique(trigrams(classes, n), return_counts=True)
+            got = train(now.value, prior, keys, counts, seed + 1000 * (turn + 1) + shard).flat().astype(np.float64)
+            return pa.table({"at": np.arange(len(got), dtype=np.int32), "v": np.rint(got / UNIT).astype(np.int64),
+                             "w": np.full(len(got), counts.sum(), np.int64)})
+        return local
+
     for turn in range(rounds):
-        now = spark.sparkContext.broadcast(model)
-        prior, step = vocab.prior(), seed + 1000 * (turn + 1)
-
-        def local(batches: Iterator[pa.RecordBatch], now=now, step=step) -> Iterator[pa.RecordBatch]:
-            parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-            parts = [p for p in parts if len(p[0])]
-            if not parts:
-                return
-            keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-            got = train(now.value, prior, keys, n, step).flat().astype(np.float64)
-            w = np.full(len(got), float(n.sum()))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(got), dtype=np.int32)), pa.array(got * w),
-                                              pa.array(w)], names=["at", "vw", "w"])
-
-        mean = (grams.mapInArrow(local, "at int, vw double, w double").groupBy("at")
-                .agg((F.sum("vw") / F.sum("w")).alias("v")).toArrow())
+        local = step(spark.sparkContext.broadcast(model), turn)
+        whole = F.col("v").cast("decimal(20,0)") * F.col("w").cast("decimal(18,0)")
+        mean = (seqs.groupBy("shard").applyInArrow(local, "at int, v long, w long").groupBy("at")
+                .agg(F.sum(whole).cast("double").alias("vw"), F.sum("w").cast("double").alias("w")).toArrow())
         if mean.num_rows:
             flat = model.flat().astype(np.float64)
-            flat[mean["at"].to_numpy()] = mean["v"].to_numpy()
+            flat[mean["at"].to_numpy()] = mean["vw"].to_numpy() / mean["w"].to_numpy() * UNIT
             model = model.like(flat)
-    drop_written(grams)
+    drop_written(seqs)
     return model
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", class_words: int = CLASS_WORDS,
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", share: float = SHARE,
               frequent: int = FREQUENT, dimensions: int = DIMENSIONS, rounds: int = ROUNDS,
               seed: int = SEED) -> DataFrame:
     """One row per document: id, ``held_out``, ``n_tokens`` (words and the
@@ -376,9 +442,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", class
     ship(spark)
     rows = docs.select(F.col(id_col).alias("_id"), held_out(id_col).alias("_held"),
                        F.col(text).cast("string").alias("_text"))
-    learn = rows.where("not _held").select("_text")
+    learn = rows.where("not _held").select("_id", "_text")
     counts = written(word_counts(learn), "counts")
-    vocab = vocabulary(counts, class_words, frequent)
+    vocab = vocabulary(counts, share, frequent)
     shared = spark.sparkContext.broadcast(vocab)
     model = spark.sparkContext.broadcast(fit(learn, vocab, shared, dimensions, rounds, seed))
 
@@ -386,7 +452,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", class
         v, m = shared.value, model.value
         # normalisers stay between the tasks of a worker
         scorer = worker_state("lm", m.b.tobytes() + m.c1.tobytes(), lambda: Scorer(m))
-        log_c = np.log10(v.counts + 1.0)
+        log_c, inside = np.log10(v.counts + 1.0), v.inside()
         end = math.log10(v.ends + 1.0)
         for b in batches:
             texts = b.column(2)
@@ -397,13 +463,13 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", class
                     words = words_of(x.as_py())
                     at = v.places(words)
                     known = at >= 0
-                    classes.append(v.class_of(at))
+                    classes.append(v.class_of(words, at))
                     rest = Counter([words[i] for i in np.flatnonzero(~known).tolist()])
                     out[0].append(len(words) + 1)
                     out[1].append(int(known.sum()) + (v.ends > 0))
                     out[2].append(float(log_c[at[known]].sum()) + end)
-                    out[3].append(float(log_c[at[known & (at >= v.class_words)]].sum()))
-                    out[4].append(int((classes[-1] == RARE).sum()))
+                    out[3].append(float(log_c[at[known & (at >= v.singles)]].sum()))
+                    out[4].append(float(inside[classes[-1]].sum()))
                     out[5].append([{"word": w.decode(), "n": n} for w, n in rest.items()])
                 key = trigrams(classes, v.classes)
                 h2, low = np.divmod(key, v.classes ** 2)
@@ -413,13 +479,13 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", class
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(k, 512), b.column(1).slice(k, 512), pa.array(out[0], pa.int64()),
                      pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.float64()),
-                     pa.array(out[4], pa.int64()), pa.array(total.astype(np.float64)),
+                     pa.array(out[4], pa.float64()), pa.array(total.astype(np.float64)),
                      pa.array(out[5], pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))],
-                    names=["_id", "_held", "n_tokens", "known", "base", "rare", "n_rare", "classes", "rest"])
+                    names=["_id", "_held", "n_tokens", "known", "base", "rare", "inside", "classes", "rest"])
 
     schema = T.StructType([T.StructField("_id", rows.schema["_id"].dataType)]).add("_held", "boolean").add(
         "n_tokens", "long").add("known", "long").add("base", "double").add("rare", "double").add(
-        "n_rare", "long").add("classes", "double").add(
+        "inside", "double").add("classes", "double").add(
         "rest", T.ArrayType(T.StructType().add("word", "string").add("n", "long")))
     # the row id is fixed by the write; words that are not frequent meet their counts by a join
     part = written(rows.mapInArrow(score, schema).withColumn("_row", F.monotonically_increasing_id()), "scored")
@@ -428,12 +494,10 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", class
             .groupBy("_row").agg(F.sum("n").alias("more"),
                                  F.sum(F.col("n") * F.log10(F.col("c") + F.lit(1.0))).alias("more_log")))
     base_unit = math.log10(vocab.tokens + vocab.types + 1)
-    rare_unit = math.log10(vocab.rare_tokens + vocab.rare_types + 1)
     more = F.coalesce("more_log", F.lit(0.0))
     return part.drop("rest").join(logs, "_row", "left").select(
         F.col("_id").alias(id_col), F.col("_held").alias("held_out"), "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(vocab.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + more - F.col("n_tokens") * F.lit(base_unit)).alias("base_score"),
-        (F.col("classes") / F.lit(math.log(10)) + F.col("rare") + more
-         - F.col("n_rare") * F.lit(rare_unit)).alias("score"))
+        (F.col("classes") / F.lit(math.log(10)) + F.col("rare") + more - F.col("inside")).alias("score"))

@@ -35,7 +35,7 @@ def brute_base(rows):
 def test_base_scores_equal_brute_force(spark, frequent):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    out = lm.lm_scores(docs, frequent=frequent, class_words=40, rounds=1).collect()
+    out = lm.lm_scores(docs, frequent=frequent, share=1 / 60, rounds=1).collect()
     got = sorted([(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in out], key=str)
     assert got == brute_base(rows)
     assert all(math.isfinite(r.score) and r.score < 0 for r in out)
@@ -107,6 +107,67 @@ def test_training_keeps_the_counts(words):
     assert 0.4 < np.exp(lm.Scorer(m)(e, e, np.array([2])))[0] < 0.6
 
 
+def test_scores_follow_from_the_corpus_alone(spark):
+    """1, 4 and 16 input parts, rows in another order, small shards."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    got = {}
+    for parts in (1, 4, 16):
+        df = docs.orderBy(F.rand(parts)).repartition(parts)
+        for shard_tokens in (lm.SHARD_TOKENS, 20_000):
+            rows = df.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+            if shard_tokens != lm.SHARD_TOKENS:
+                learn = rows.where(~lm.held_out("_id"))
+                vocab = lm.vocabulary(lm.word_counts(learn))
+                shared = spark.sparkContext.broadcast(vocab)
+                got[parts, shard_tokens] = lm.fit(learn, vocab, shared, rounds=2, shard_tokens=shard_tokens).flat()
+            else:
+                got[parts, shard_tokens] = np.array(
+                    [r.score for r in lm.lm_scores(df).orderBy("doc_id").collect()])
+    for (parts, tokens), x in got.items():
+        assert np.abs(x - got[1, tokens]).max() < 1e-6, (parts, tokens)
+
+
+def test_score_equals_brute_force(spark, docs):
+    """Every probability of a small corpus by loops over the whole vocabulary."""
+    texts = ["the cat sat on the mat", "the dog sat on a log and the cat ran", "a cat and a dog", None, "mats cats dogs the the",
+             "unseen catkin on zebra"]
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2][:1]
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2][:5] + held
+    df = docs([doc(i, t) for i, t in zip(ids, texts)])
+    for frequent in (1 << 18, 4):
+        rows = df.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+        learn = rows.where(~lm.held_out("_id"))
+        vocab = lm.vocabulary(lm.word_counts(learn), share=1 / 12, frequent=frequent)
+        model = lm.fit(learn, vocab, spark.sparkContext.broadcast(vocab))
+        count = Counter(w for t in texts[:5] for w in tokens(t) if w)
+        assert vocab.mass.sum() == sum(count.values()) + 5 and vocab.members.sum() + vocab.singles == len(count)
+
+        def class_of(w, vocab=vocab):
+            if w is None:
+                return lm.END
+            w = w.encode()
+            return vocab.words.index(w) + 2 if w in vocab.words[:vocab.singles] else vocab.by_ending(w)
+
+        def log_p(h2, h1, w, vocab=vocab, model=model, class_of=class_of):
+            a = model.r[h1] @ model.c1 + model.r[h2] @ model.c2
+            s = [float(a @ model.q[c] + model.b[c]) for c in range(vocab.classes)]
+            c = class_of(w)
+            out = s[c] - math.log(sum(math.exp(x) for x in s))
+            if w is not None and not 1 < c < vocab.singles + 2:
+                same = [x for x in count if class_of(x) == c]
+                out += math.log((count[w] + 1) / (sum(count[x] for x in same) + len(same) + 1))
+            return out / math.log(10)
+
+        assert vocab.classes > vocab.singles + 3  # endings make classes
+        got = {r.doc_id: r.score for r in lm.lm_scores(df, share=1 / 12, frequent=frequent).collect()}
+        for i, t in zip(ids, texts):
+            h2, h1, total = lm.END, lm.END, 0.0
+            for w in tokens(t):
+                total += log_p(h2, h1, w)
+                h2, h1 = h1, class_of(w)
+            assert abs(total - got[i]) < 1e-3, (i, total, got[i])
+
+
 def test_trigrams_cross_no_texts():
     n = 10
     got = lm.trigrams([np.array([4, 5, 1]), np.array([1]), np.array([6, 1])], n)
@@ -119,7 +180,7 @@ def test_edges(spark, docs):
     rows = [doc(i, t) for i, t in enumerate([None, "", "a", "A b", long, "b " * 7, "unseen words", "\t"])]
     rows += [doc(None, "a b"), doc(3, "A b"), doc(3, "A b")]
     df = docs(rows)
-    got = lm.lm_scores(df, frequent=3, class_words=2, rounds=1).collect()
+    got = lm.lm_scores(df, frequent=3, share=1 / 4, rounds=1).collect()
     want = brute_base([(r[0], r[1]) for r in rows])
     assert sorted([(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got],
                   key=str) == want

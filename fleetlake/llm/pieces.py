@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -453,19 +453,27 @@ def decode(model: bytes, ids) -> str:
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = PIECES_32K,
-                     dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
+                     dropout: float = DROPOUT, seed: int = SEED, apart: bool = False) -> DataFrame:
     """One row per document: id, ``ids`` (array of piece ids), ``n_pieces`` and
     ``round_trip`` (decoding gives the text back).
 
     Null and empty texts have no pieces; a null text decodes to the empty one
     (``round_trip`` true). Rows that share an id and a text share their
-    segmentation. An empty table gives an empty result.
+    segmentation; with ``apart`` they are numbered (by the text's hash, so the
+    result does not depend on their order) and the k-th one after the first
+    draws under ``<id>#<k>``: the epochs of a mix then differ. An empty table
+    gives an empty result.
     """
     spark = docs.sparkSession
     ship(spark)
     model = spark.sparkContext.broadcast(read_model(spark, path))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(id_col).cast("string").alias("_doc"),
                        F.col(text).cast("string").alias("_text"))
+    if apart:
+        turn = Window.partitionBy("_id").orderBy(F.xxhash64("_text"))
+        rows = rows.withColumn("_k", F.row_number().over(turn) - 1).select(
+            "_id", F.when(F.col("_k") == 0, F.col("_doc")).otherwise(
+                F.concat(F.coalesce("_doc", F.lit("")), F.lit("#"), F.col("_k").cast("string"))).alias("_doc"), "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = worker_state("pieces", (model.value, dropout, seed), lambda: Encoder(model.value, dropout, seed))
@@ -491,7 +499,9 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
 
 def decode_documents(rows: DataFrame, ids: str = "ids", name: str = "text", path: str = PIECES_32K) -> DataFrame:
     """``rows`` with the decoded text of the ``ids`` column in ``name`` (null
-    ids: null). Other columns stay; one called ``name`` is replaced."""
+    ids: null, no ids: the empty text). Rows that repeat are decoded each, an
+    empty table stays empty, other columns stay; one called ``name`` is
+    replaced."""
     spark = rows.sparkSession
     ship(spark)
     model = spark.sparkContext.broadcast(read_model(spark, path))

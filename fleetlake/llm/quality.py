@@ -169,9 +169,10 @@ def text_score(words: _Words, text: str | None) -> float:
 
 def rated_sample(docs: DataFrame, ratings: DataFrame, id_col: str, text: str, grade: str, n_grades: int,
                  sample: int = SAMPLE) -> tuple[list, np.ndarray]:
-    """At most ``sample`` rated rows: those whose ids hash lowest. A row rated
-    more than once takes its lowest grade; ratings outside 0..n_grades-1 or
-    null are left out."""
+    """At most ``sample`` rated documents: those whose ids hash lowest. One
+    rated more than once takes its lowest grade; ratings outside 0..n_grades-1
+    or null are left out. Of documents that share an id the text that hashes
+    lowest is learnt from, in whatever order they come."""
     spark = docs.sparkSession
     chosen = (ratings.select(F.col(id_col).alias("_id"), F.col(grade).cast("int").alias("_grade"))
               .where(F.col("_id").isNotNull() & F.col("_grade").between(0, n_grades - 1))
@@ -179,6 +180,8 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, id_col: str, text: str, gr
               .orderBy(F.xxhash64("_id"), "_id").limit(sample))
     picked = spark.createDataFrame(chosen.toArrow(), schema=chosen.schema)  # bounded by ``sample``
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text).cast("string").alias("_text")).join(F.broadcast(picked), "_id")
+    rows = (rows.groupBy("_id").agg(F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).alias("_text"),
+                                    F.first("_grade").alias("_grade")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -189,7 +192,7 @@ def rated_sample(docs: DataFrame, ratings: DataFrame, id_col: str, text: str, gr
                 names=["id", "grade", "at", "value"])
 
     t = (rows.mapInArrow(run, "id string, grade int, at array<int>, value array<float>")
-         .dropDuplicates(["id"]).toArrow().sort_by("id"))
+         .toArrow().sort_by("id"))
     feats = [(np.array(a, np.int64), np.array(v)) for a, v in zip(t["at"].to_pylist(), t["value"].to_pylist(), strict=True)]
     return feats, np.array(t["grade"].to_pylist(), np.int64)
 
@@ -202,10 +205,10 @@ def train(docs: DataFrame, ratings: DataFrame, n_grades: int, id_col: str = "doc
     return fit(rows, grades, n_grades)
 
 
-def with_quality(docs: DataFrame, model: Ordinal, text: str = "text", least_grade: int = 1,
-                 names: tuple[str, str] = ("expected_grade", "p_good")) -> DataFrame:
-    """``docs`` with the expected grade and P(grade >= least_grade) of each
-    row. Null texts and texts without words have score 0 (the thresholds
+def with_quality(docs: DataFrame, model: Ordinal, text: str = "text", grades: tuple[int, ...] = (1,),
+                 names: tuple[str, ...] = ("expected_grade", "p_good")) -> DataFrame:
+    """``docs`` with the expected grade and P(grade >= g) of each row for each
+    g of ``grades``; ``names`` are the new columns. Null texts and texts without words have score 0 (the thresholds
     alone decide). Texts stay in their task."""
     ship(docs.sparkSession)
     at = docs.columns.index(text)
@@ -217,8 +220,8 @@ def with_quality(docs: DataFrame, model: Ordinal, text: str = "text", least_grad
                              lambda: _Words(m.weights))
         for b in batches:
             s = np.array([text_score(words, x.as_py()) for x in b.column(at)], np.float64)
-            good = 1 - m.at_most(s)[:, least_grade - 1] if len(s) else s
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(m.expected(s) if len(s) else s), pa.array(good)],
+            tails = [1 - m.at_most(s)[:, g - 1] if len(s) else s for g in grades]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(m.expected(s) if len(s) else s), *map(pa.array, tails)],
                                              names=[*b.schema.names, *names])
 
     schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
@@ -240,17 +243,27 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def quality_table(docs: DataFrame, labels: DataFrame, least_probability: float = LEAST_PROBABILITY) -> DataFrame:
-    """One row per document: id, expected grade, tail probability, selected."""
+    """One row per document: id, expected grade, ``p_good`` = P(grade >= 1),
+    ``p_clean`` = P(grade >= 2, good and not toxic), and ``selected`` by ``p_good``.
+
+    A null or empty text has score 0: its probabilities are those of the
+    thresholds. Rows that repeat get the same values each; documents that share
+    an id are judged each by its own text. Without ratings the thresholds are
+    even; an empty table gives an empty result; other columns are not read.
+    """
     model = train(docs, graded(labels), GRADES)
     rows = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").cast("string").alias("_text"))
-    out = with_quality(rows, model, "_text", LEAST_GRADE)
-    return out.select("doc_id", "expected_grade", "p_good", (F.col("p_good") >= least_probability).alias("selected"))
+    out = with_quality(rows, model, "_text", (LEAST_GRADE, GRADES - 1), ("expected_grade", "p_good", "p_clean"))
+    return out.select("doc_id", "expected_grade", "p_good", "p_clean", (F.col("p_good") >= least_probability).alias("selected"))
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, least_probability: float = LEAST_PROBABILITY) -> DataFrame:
-    """The rows of ``docs`` whose tail probability is high enough."""
+    """The rows of ``docs`` whose P(grade >= 1) is high enough, with their own
+    columns, whatever those are called. Null and empty texts are judged by the
+    thresholds alone, repeated rows each; an empty table stays empty. Toxic
+    documents of good quality stay: the stage judges quality."""
     model = train(docs, graded(labels), GRADES)
     names = docs.columns
     plain = docs.toDF(*[f"_c{i}" for i in range(len(names))])
-    out = with_quality(plain, model, f"_c{names.index('text')}", LEAST_GRADE, ("_expected", "_good"))
+    out = with_quality(plain, model, f"_c{names.index('text')}", (LEAST_GRADE,), ("_expected", "_good"))
     return out.where(F.col("_good") >= least_probability).select(*plain.columns).toDF(*names)

@@ -42,13 +42,13 @@ def entry_key(match: Column, pattern: Column) -> Column:
                     .otherwise(host))
 
 
-def candidate_keys(host: Column, segments: Column, depth: Column) -> Column:
-    """Keys that match a URL: its host, every parent domain (the host
-    included), and its path prefixes of at most ``depth`` segments."""
-    labels = F.split(host, r"\.")
-    n = F.size(labels)
-    domains = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(
-        F.lit("domain:"), F.array_join(F.slice(labels, i, n - i + 1), ".")))
+def candidate_keys(host: Column, segments: Column, depth: Column, labels: Column) -> Column:
+    """Keys that match a URL: its host, its domains (the host included) of at
+    most ``labels`` labels, and its path prefixes of at most ``depth`` segments."""
+    names = F.split(host, r"\.")
+    n = F.size(names)
+    domains = F.when(labels > 0, F.transform(F.sequence(F.greatest(n - labels + 1, F.lit(1)), n), lambda i: F.concat(
+        F.lit("domain:"), F.array_join(F.slice(names, i, n - i + 1), ".")))).otherwise(F.array().cast("array<string>"))
     most = F.least(F.size(segments), depth)
     prefixes = F.when(most > 0, F.transform(F.sequence(F.lit(1), F.greatest(most, F.lit(1))), lambda i: F.concat(
         F.lit("prefix:"), host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/")))).otherwise(
@@ -101,12 +101,13 @@ def judge(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url:
     caps = written(captures.select(
         F.col(id_col).alias("_id"), F.col(at).alias("_at"), url_host(F.col(url)).alias("_host"),
         url_segments(F.col(url)).alias("_segments")).withColumn("_cap", F.monotonically_increasing_id()), "captures")
-    # prefixes need be tried only as deep as some entry goes
-    deepest = intervals.agg(F.coalesce(F.max(F.when(F.col("key").startswith("prefix:"), F.size(F.split("key", "/")) - 1)),
-                                       F.lit(0)).alias("_depth"))
+    # prefixes and domains need be tried only as deep as some entry goes
+    deepest = intervals.agg(
+        F.coalesce(F.max(F.when(F.col("key").startswith("prefix:"), F.size(F.split("key", "/")) - 1)), F.lit(0)).alias("_depth"),
+        F.coalesce(F.max(F.when(F.col("key").startswith("domain:"), F.size(F.split("key", r"\.")))), F.lit(0)).alias("_labels"))
     probes = (caps.where("_host IS NOT NULL AND _at IS NOT NULL").join(F.broadcast(deepest))  # one row
               .select("_cap", F.col("_at").alias("at"),
-                      F.explode(candidate_keys(F.col("_host"), F.col("_segments"), F.col("_depth"))).alias("key")))
+                      F.explode(candidate_keys(F.col("_host"), F.col("_segments"), F.col("_depth"), F.col("_labels"))).alias("key")))
     known = intervals.select("list", "effect", "key").distinct()
     asked = probes.join(known, "key").select("list", "effect", "key", "at", F.lit(1).alias("turn"), "_cap",
                                              F.lit(None).cast(_entry_type(intervals)).alias("entry"))

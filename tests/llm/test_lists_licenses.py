@@ -111,3 +111,18 @@ def test_licenses_and_lists_are_native(spark):
     for df in (L.scan(d, L.document_path(d)), U.judge(U.page_captures(p), U.page_entries(p))):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct"))
+
+
+def test_a_host_of_very_many_labels(spark):
+    """Domains are tried as deep as the lists go, not as deep as a host goes."""
+    host = "a." * 20_000 + "bad.example.org"
+    t = dt.datetime(2024, 5, 1)
+    caps = spark.createDataFrame([(1, f"http://{host}/x", t), (2, "http://org/", t), (3, "http://x.bad.example.org/", t)],
+                                 "page_id long, url string, fetched_at timestamp")
+    ddl = "list string, effect string, match string, pattern string, action string, at timestamp"
+    one = [("l", "block", "domain", "bad.example.org", "add", dt.datetime(2024, 1, 1))]
+    got = {r.page_id: r.verdict for r in url_lists.judge(caps, spark.createDataFrame(one, ddl)).collect()}
+    assert got == {1: "blocked", 2: "allowed", 3: "blocked"}
+    only_host = [("l", "block", "host", "org", "add", dt.datetime(2024, 1, 1))]
+    got = {r.page_id: r.verdict for r in url_lists.judge(caps, spark.createDataFrame(only_host, ddl)).collect()}
+    assert got == {1: "allowed", 2: "blocked", 3: "allowed"}

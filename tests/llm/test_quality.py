@@ -64,3 +64,18 @@ def test_edges(spark, docs):
     kept = Q.quality_filter(extra, labels)
     assert kept.columns == extra.columns and {r.doc_id for r in kept.collect()} >= {0, 2, 4}
     assert Q.quality_table(extra, labels).count() == len(rows)
+
+
+def test_repeated_ids_and_tails(spark, docs):
+    """Documents that share an id with other texts, in any order."""
+    junk, fine = "OF!! THE!! AND!!", "the of and in to"
+    rows = [doc(i % 40, f"{junk if k else fine} w{i}") for k in (0, 1) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 3 > 0, i % 3 == 1) for i in range(40)], "doc_id long, quality boolean, toxic boolean")
+    labels = labels.selectExpr("doc_id", "int(quality) quality", "int(toxic) toxic")
+    want = None
+    for parts, order in ((1, rows), (5, rows[::-1]), (3, rows[::2] + rows[1::2])):
+        out = Q.quality_table(docs(order).repartition(parts), labels).collect()
+        got = sorted((r.doc_id, round(r.expected_grade, 9), round(r.p_good, 9), round(r.p_clean, 9)) for r in out)
+        assert want in (None, got)
+        want = got
+    assert all(0 <= c <= g <= 1 and abs(e - g - c) < 1e-6 for _, e, g, c in want)

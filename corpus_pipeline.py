@@ -39,8 +39,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of every document of the mix, 10 % merge-dropout."""
-    return pieces.encode_documents(docs, dropout=0.1, seed=1)
+    """Pieces of every document of the mix, 10 % merge-dropout; every epoch of a
+    document draws its own merges."""
+    return pieces.encode_documents(docs, dropout=0.1, seed=1, apart=True)
 
 
 STAGES = [

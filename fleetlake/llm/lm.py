@@ -268,6 +268,7 @@ class Vocabulary:
     mass: np.ndarray     # training tokens of a class
     members: np.ndarray  # their distinct words
     index: dict[bytes, int] = field(default_factory=dict)
+    known: np.ndarray | None = None  # classes of the frequent words
 
     @property
     def classes(self) -> int:
@@ -297,8 +298,10 @@ class Vocabulary:
 
     def class_of(self, words: list[bytes], places: np.ndarray) -> np.ndarray:
         """Classes of a text's words, and the end."""
-        out = places + 2
-        for k in np.flatnonzero((places < 0) | (places >= self.singles)).tolist():
+        if self.known is None:  # once a worker; the last entry is that of place -1
+            self.known = np.array([*range(2, self.singles + 2), *map(self.by_ending, self.words[self.singles:]), RARE])
+        out = self.known[places]
+        for k in np.flatnonzero(places < 0).tolist():
             out[k] = self.by_ending(words[k])
         return np.append(out, END)
 

@@ -121,8 +121,8 @@ def test_a_host_of_very_many_labels(spark):
                                  "page_id long, url string, fetched_at timestamp")
     ddl = "list string, effect string, match string, pattern string, action string, at timestamp"
     one = [("l", "block", "domain", "bad.example.org", "add", dt.datetime(2024, 1, 1))]
-    got = {r.page_id: r.verdict for r in url_lists.judge(caps, spark.createDataFrame(one, ddl)).collect()}
+    got = {r.page_id: r.verdict for r in U.judge(caps, spark.createDataFrame(one, ddl)).collect()}
     assert got == {1: "blocked", 2: "allowed", 3: "blocked"}
     only_host = [("l", "block", "host", "org", "add", dt.datetime(2024, 1, 1))]
-    got = {r.page_id: r.verdict for r in url_lists.judge(caps, spark.createDataFrame(only_host, ddl)).collect()}
+    got = {r.page_id: r.verdict for r in U.judge(caps, spark.createDataFrame(only_host, ddl)).collect()}
     assert got == {1: "allowed", 2: "blocked", 3: "allowed"}

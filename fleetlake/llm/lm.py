@@ -31,6 +31,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -189,9 +190,13 @@ def train(model: Model, prior: np.ndarray, keys: np.ndarray, weights: np.ndarray
             a = r1 @ c1 + r2 @ c2
             qw, qf = q[w], q[fake]
             real = 1 / (1 + np.exp(-((a * qw).sum(1) + b[w] - log_kq[w])))
-            made = 1 / (1 + np.exp(-(a @ qf.T + b[fake] - log_kq[fake])))
+            d_made = a @ qf.T  # the noise's probabilities, in place
+            d_made += b[fake] - log_kq[fake]
+            np.negative(d_made, out=d_made)
+            np.exp(d_made, out=d_made)
+            d_made += 1
+            np.divide(g[:, None], d_made, out=d_made)
             d_real = (real - 1) * g
-            d_made = made * g[:, None]
             d_a = d_real[:, None] * qw + d_made @ qf
             d_q = _sum_rows(w, d_real[:, None] * a, n)
             np.add.at(d_q, fake, d_made.T @ a)
@@ -224,7 +229,8 @@ class Scorer:
     def __call__(self, h2: np.ndarray, h1: np.ndarray, w: np.ndarray) -> np.ndarray:
         n = len(self.b)
         context = h2 * n + h1
-        new = context[np.isnan(self.log_z[context])]
+        z = self.log_z[context]
+        new = context[np.isnan(z)]
         if len(new):
             new = np.unique(new)
             for k in range(0, len(new), 2048):
@@ -232,12 +238,13 @@ class Scorer:
                 s = self.m2[part // n] + self.m1[part % n] + self.b
                 top = s.max(axis=1)
                 self.log_z[part] = top + np.log(np.exp(s - top[:, None]).sum(axis=1, dtype=np.float64))
-        return (self.m2[h2, w] + self.m1[h1, w] + self.b[w]) - self.log_z[context]
+            z = self.log_z[context]
+        return (self.m2[h2, w] + self.m1[h1, w] + self.b[w]) - z
 
 
-def trigrams(classes: list[np.ndarray], n: int) -> np.ndarray:
-    """Packed (class before last, last class, class) of whole texts; END
-    stands before the first word as well."""
+def contexts(classes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class before last, last class, class) of whole texts; END stands
+    before the first word as well."""
     w = np.concatenate(classes)
     starts = np.cumsum([0, *[len(c) for c in classes[:-1]]])
     h1 = np.empty_like(w)
@@ -247,9 +254,24 @@ def trigrams(classes: list[np.ndarray], n: int) -> np.ndarray:
     h2[starts] = END
     second = starts[np.array([len(c) for c in classes]) > 1] + 1
     h2[second] = END
+    return h2, h1, w
+
+
+def trigrams(classes: list[np.ndarray], n: int) -> np.ndarray:
+    """The contexts of whole texts, each packed in one integer."""
+    h2, h1, w = contexts(classes)
     return (h2 * n + h1) * n + w
 
 
+def counted(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys (below n ** 3) in order, and their numbers."""
+    if n ** 3 > 1 << 25:
+        return np.unique(keys, return_counts=True)
+    counts = np.bincount(keys, minlength=1)
+    distinct = np.flatnonzero(counts)
+    return distinct, counts[distinct]
+
+
 # ---------------------------------------------------------------- on Spark
 
 @dataclass
@@ -290,7 +312,7 @@ class Vocabulary:
         if not self.index:
             self.index.update(zip(self.words, range(len(self.words)), strict=True))
         get = self.index.get
-        return np.fromiter([get(w, -1) for w in words], np.int64, len(words))
+        return np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
 
     def by_ending(self, word: bytes) -> int:
         three, two, one = self.endings
@@ -410,7 +432,7 @@ def fit(texts: DataFrame, vocab: Vocabulary, shared, dimensions: int = DIMENSION
         def local(part):
             shard = part["shard"][0].as_py()
             classes = [np.frombuffer(x.as_py(), np.uint16).astype(np.int64) for x in part["seq"]]
-            keys, counts = np.unique(trigrams(classes, n), return_counts=True)
+            keys, counts = counted(trigrams(classes, n), n)
             got = train(now.value, prior, keys, counts, seed + 1000 * (turn + 1) + shard).flat().astype(np.float64)
             return pa.table({"at": np.arange(len(got), dtype=np.int32), "v": np.rint(got / UNIT).astype(np.int64),
                              "w": np.full(len(got), counts.sum(), np.int64)})
@@ -474,9 +496,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text: str = "text", share
                     out[3].append(float(log_c[at[known & (at >= v.singles)]].sum()))
                     out[4].append(float(inside[classes[-1]].sum()))
                     out[5].append([{"word": w.decode(), "n": n} for w, n in rest.items()])
-                key = trigrams(classes, v.classes)
-                h2, low = np.divmod(key, v.classes ** 2)
-                h1, w = np.divmod(low, v.classes)
+                h2, h1, w = contexts(classes)
                 starts = np.cumsum([0, *[len(c) for c in classes[:-1]]])
                 total = np.add.reduceat(scorer(h2, h1, w), starts)
                 yield pa.RecordBatch.from_arrays(

@@ -187,40 +187,59 @@ def op3_url_lists(spark, sf):
     return url_lists.judge(url_lists.page_captures(pages), url_lists.page_entries(pages))
 
 
-_TEMPLATES = ", ".join(f"('{name}', '{body}')" for name, body in sorted(licenses.TEMPLATES.items()))
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_FORMS = ", ".join(f"({i}, {_quoted(name)}, {whole}, {_quoted(body)})"
+                   for i, (name, whole, body) in enumerate(licenses.forms()))
+_PLAIN = (r"regexp_replace(lower({x}), 'spdx-license-identifier:[ \t]*([a-z0-9]+)[.-]?([a-z0-9]*)[.-]?([a-z0-9]*)"
+          r"[.-]?([a-z0-9]*)[.-]?([a-z0-9]*)', ' spdx\1\2\3\4\5 ', 'g')")
+_WINDOWS = " UNION ALL ".join(
+    f"SELECT doc_id, ((pos // {stride} - j) * {stride}) * 8 + {2 + k} AS unit, term "
+    f"FROM tp, range({m // stride}) r(j) WHERE pos // {stride} >= j" for k, (m, stride) in enumerate(licenses.WINDOWS))
 
 
 @register("op8_licenses", sql=rf"""
 WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS text,
-         concat_ws('/', source, lang, 'd' || (doc_id // 64)) AS folder FROM documents),
+  SELECT doc_id, {_PLAIN.format(x="coalesce(text, '')")} AS text, doc_id % 16 = 0 AS speaks,
+         concat_ws('/', source, lang, CASE WHEN doc_id % 256 = 0 THEN NULL ELSE 'p' || (doc_id // 1024) END,
+                   CASE WHEN doc_id % 16 = 0 THEN NULL ELSE 'd' || (doc_id // 64) END) AS folder FROM documents),
 n AS (SELECT count(*) AS n FROM d),
-df AS (
-  SELECT term, count(*) AS df FROM (
-    SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS term FROM d) GROUP BY term),
+tl0 AS (SELECT doc_id, regexp_extract_all(text, '[a-z0-9]+') AS t FROM d),
+tp AS (SELECT doc_id, unnest(t) AS term, unnest(range(len(t))) AS pos FROM tl0),
+df AS (SELECT term, count(DISTINCT doc_id) AS df FROM tp GROUP BY term),
 tt AS (
-  SELECT license, term, count(*) AS tf FROM (
-    SELECT license, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term
-    FROM (VALUES {_TEMPLATES}) t(license, body)) GROUP BY license, term),
+  SELECT form, license, whole, term, 1 + ln(count(*)) AS tf FROM (
+    SELECT form, license, whole, unnest(regexp_extract_all({_PLAIN.format(x="body")}, '[a-z0-9]+')) AS term
+    FROM (VALUES {_FORMS}) t(form, license, whole, body)) GROUP BY ALL),
 tw AS (
-  SELECT license, term, tf * (ln((1 + n)::DOUBLE / (1 + coalesce(df, 0))) + 1) AS w FROM tt LEFT JOIN df USING (term), n),
-tl AS (SELECT license, sqrt(sum(w * w)) AS l FROM tw GROUP BY license),
+  SELECT form, license, whole, term, tf * (ln((1 + n)::DOUBLE / (1 + coalesce(df, 0))) + 1) AS w
+  FROM tt LEFT JOIN df USING (term), n),
+tl AS (SELECT form, sqrt(sum(w * w)) AS l FROM tw GROUP BY form),
+parts AS (
+  SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) * 8 AS unit, unnest(string_split(text, chr(10))) AS body FROM d
+  UNION ALL
+  SELECT doc_id, unnest(range(len(regexp_split_to_array(text, '\n[^a-z0-9\n]*\n')))) * 8 + 1 AS unit,
+         unnest(regexp_split_to_array(text, '\n[^a-z0-9\n]*\n')) AS body FROM d),
 u AS (
-  SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS unit, unnest(string_split(text, chr(10))) AS body FROM d
-  UNION ALL SELECT doc_id, -1, text FROM d),
-ut AS (
-  SELECT doc_id, unit, term, count(*) AS tf FROM (
-    SELECT doc_id, unit, unnest(regexp_extract_all(lower(body), '[a-z0-9]+')) AS term FROM u) GROUP BY ALL),
+  SELECT doc_id, unit, unnest(regexp_extract_all(body, '[a-z0-9]+')) AS term FROM parts
+  UNION ALL {_WINDOWS}
+  UNION ALL SELECT doc_id, -1 AS unit, term FROM tp),
+ut AS (SELECT doc_id, unit, term, 1 + ln(count(*)) AS tf FROM u GROUP BY ALL),
 uw AS (SELECT doc_id, unit, term, tf * (ln((1 + n)::DOUBLE / (1 + df)) + 1) AS w FROM ut JOIN df USING (term), n),
 ul AS (SELECT doc_id, unit, sqrt(sum(w * w)) AS l FROM uw GROUP BY ALL),
 s AS (
   SELECT doc_id, unit, license, sum(uw.w * tw.w) / (any_value(ul.l) * any_value(tl.l)) AS s
-  FROM uw JOIN tw USING (term) JOIN ul USING (doc_id, unit) JOIN tl USING (license) GROUP BY ALL),
+  FROM uw JOIN tw USING (term) JOIN ul USING (doc_id, unit) JOIN tl USING (form)
+  WHERE unit < 0 OR NOT whole GROUP BY doc_id, unit, form, license),
 b AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, unit < 0 ORDER BY s DESC, license) AS place FROM s WHERE s >= 0.6),
+  SELECT *, row_number() OVER (PARTITION BY doc_id, unit < 0 ORDER BY license = 'Proprietary', s DESC, license) AS place
+  FROM s WHERE s >= 0.6),
 f AS (
-  SELECT folder, license, s, row_number() OVER (PARTITION BY folder ORDER BY s DESC, license) AS place
-  FROM b JOIN d USING (doc_id) WHERE unit < 0 AND b.place = 1),
+  SELECT folder, license, s,
+         row_number() OVER (PARTITION BY folder ORDER BY license = 'Proprietary', s DESC, license) AS place
+  FROM b JOIN d USING (doc_id) WHERE (unit < 0 OR speaks) AND b.place = 1),
 a AS (
   SELECT g.folder, f.folder AS at, f.license, f.s,
          row_number() OVER (PARTITION BY g.folder ORDER BY length(f.folder) DESC) AS place

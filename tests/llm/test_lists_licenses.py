@@ -126,3 +126,46 @@ def test_a_host_of_very_many_labels(spark):
     only_host = [("l", "block", "host", "org", "add", dt.datetime(2024, 1, 1))]
     got = {r.page_id: r.verdict for r in U.judge(caps, spark.createDataFrame(only_host, ddl)).collect()}
     assert got == {1: "allowed", 2: "blocked", 3: "allowed"}
+
+
+def test_licence_files_headers_and_notices(spark, docs):
+    """Full texts, source headers, SPDX lines and notices inside a paragraph."""
+    full = L.full_texts()
+    assert set(full) == {"Apache-2.0", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "MIT", "MPL-2.0"}
+    filler = [doc(1000 + i, f"the words of page {i} are about rivers and towns, and the roads of version {i % 7}", f"z/{i % 3}/f{i}.txt")
+              for i in range(80)]
+    rows, want = [], {}
+
+    def add(text, path, license):
+        i = len(rows)
+        rows.append(doc(i, text, path))
+        want[i] = license
+    for name, text in full.items():
+        owned = "Copyright (c) 2021 Some Person. All rights reserved.\n\n" + text
+        add(owned, f"full-{name}/COPYING", name)
+        add("print(1)", f"full-{name}/src/deep/x.py", name)
+        wrapped = "\n".join(" * " + line for line in L.HEADERS.get(name, L.TEMPLATES.get(name, "")).replace(", ", ",\n").split("\n"))
+        add("/*\n" + wrapped + "\n */\n\nint main() { return 0; }\n" * 3, f"head-{name}/a.c", name)
+        add(f"// SPDX-License-Identifier: {L.SPDX[name][0]}\nint f();\n" + "int g();\n" * 40, f"spdx-{name}/a.c", name)
+    for name in ("Apache-2.0", "MIT", "GPL-3.0", "CC-BY-4.0"):
+        around = "the river runs past many towns and roads here and there " * 4
+        add(around + L.TEMPLATES[name] + " " + around, f"para-{name}/a.txt", name)
+    add("// SPDX-License-Identifier: ISC\nint f();\n", "other/a.c", None)
+    add("a river of words " * 3000, "other/b.c", None)
+    got = {r.doc_id: r for r in L.scan(docs(rows + filler), F.col("source")).collect()}
+    assert {i: got[i].license for i in want} == want
+    deep = [r for r in got.values() if r.folder.endswith("/src/deep")]
+    assert len(deep) == len(full) and all(r.origin == "inherited" and r.from_folder == r.folder.split("/")[0] for r in deep)
+    assert all(got[i].license is None for i in range(1000, 1080))
+
+
+def test_readme_speaks_for_its_folder_and_long_texts_are_cut_everywhere(spark, docs):
+    mit = L.TEMPLATES["MIT"]
+    rows = [doc(1, "a town by the river " * 50 + mit + " and more words " * 50, "p/README.md"), doc(2, "code", "p/q/x.py"),
+            doc(3, "a town by the river " * 50 + mit + " and more words " * 50, "r/notes.md"), doc(4, "code", "r/q/x.py")]
+    rows += [doc(10 + k, "word " * (L.CHUNK - 6 + k) + mit + " word" * 7, f"c{k}/x.md") for k in range(12)]
+    got = {r.doc_id: (r.license, r.origin) for r in L.scan(docs(rows), F.col("source")).collect()}
+    assert got[1] == got[3] == ("MIT", "header") and got[2] == ("MIT", "inherited") and got[4] == (None, "none")
+    assert all(got[10 + k] == ("MIT", "header") for k in range(12))
+    one = L.scan(docs(rows), F.col("source"), templates={"X": "a town by the river"}).where("license = 'X' AND origin = 'header'")
+    assert {r.doc_id for r in one.collect()} == {1, 3}

@@ -20,7 +20,7 @@ from . import config as C
 from .config import DEFAULT_BOUNDS, ImputePolicy, RouteMap
 from .functions.bands import band_sql, band_table
 from .functions.numeric import round_half_up
-from .functions.text import canonical_route, composite_key, minute_bucket
+from .functions.text import canonical_route, minute_bucket
 from .functions.time import parse_iso_utc, parse_ts, with_date_parts
 from .operators import aggregate as agg
 from .operators import audit, insights, quality, sales, starschema
@@ -294,9 +294,7 @@ def p12(spark, sf):
 
 @register("p16_composite_key")
 def p16(spark, sf):
-    p = _pings(spark, sf)
-    return p.agg(F.countDistinct(composite_key(*C.PING_COLUMNS)).alias("claves_concat"),
-                 F.countDistinct(F.struct(*C.PING_COLUMNS)).alias("claves_struct"))
+    return quality.key_counts(_pings(spark, sf), list(C.PING_COLUMNS))
 
 
 # ------------------------------------------------------------- 2.5 joins
@@ -425,27 +423,27 @@ def a18_box(spark, sf):
 
 @register("a19_pings_by_route_band")
 def a19_a(spark, sf):
-    v = agg.live_view(_positions(spark, sf))
-    return v.groupBy("ruta", "nivel_congestion").agg(F.sum("total_pings").alias("total_pings"))
+    return insights.view_totals(agg.live_view(_positions(spark, sf)), ["ruta", "nivel_congestion"], "total_pings")
 
 
 @register("a19_speed_by_hour")
 def a19_b(spark, sf):
-    v = agg.live_view(_positions(spark, sf))
-    return v.groupBy("hora").agg(round_half_up(F.avg("velocidad_promedio"), 4).alias("velocidad_promedio"))
+    return insights.view_mean(agg.live_view(_positions(spark, sf)), ["hora"])
+
+
+@register("a19_speed_by_hour_weighted")
+def a19_b_weighted(spark, sf):
+    return insights.view_mean(agg.live_view(_positions(spark, sf)), ["hora"], weight="total_pings")
 
 
 @register("a19_buses_by_route")
 def a19_c(spark, sf):
-    v = agg.live_view(_positions(spark, sf))
-    return v.groupBy("ruta").agg(F.sum("buses_unicos").alias("buses_unicos"))
+    return insights.view_totals(agg.live_view(_positions(spark, sf)), ["ruta"], "buses_unicos")
 
 
 @register("a19_speed_by_condition")
 def a19_d(spark, sf):
-    v = agg.live_view(_positions(spark, sf))
-    return v.groupBy("clima_condicion").agg(round_half_up(F.avg("velocidad_promedio"), 4)
-                                            .alias("velocidad_promedio"))
+    return insights.view_mean(agg.live_view(_positions(spark, sf)), ["clima_condicion"])
 
 
 @register("a19_pings_per_coordinate")

@@ -7,7 +7,7 @@ so a hot group costs one partial row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -38,20 +38,42 @@ def route_hour(enriched: DataFrame, route: str = "Ruta", hour: str = "Hora", spe
     ).orderBy(route, hour)
 
 
+def distinct_and_folds(df: DataFrame, distinct: dict[str, str], folds: dict[str, tuple[Column, str]]) -> DataFrame:
+    """One row: the distinct non-null values of each column of ``distinct``
+    (alias -> column) and every fold (alias -> aggregate, and ``sum``, ``min``
+    or ``max``, which merges its parts).
+
+    Several ``countDistinct`` in one aggregate copy every row once per column
+    (Expand). Here rows are grouped by all the columns together first, with the
+    folds beside them, and only those groups are split by column.
+    """
+    columns = list(distinct.values())
+    groups = df.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(columns)]).agg(
+        *[e.alias(f"_f{j}") for j, (e, _) in enumerate(folds.values())])
+    names = [f"_f{j}" for j in range(len(folds))]
+    parts = [F.struct(F.lit(i).alias("column"), F.col(f"_k{i}").cast("string").alias("value"),
+                      *[F.when(F.lit(i == 0), F.col(f)).alias(f) for f in names]) for i in range(len(columns))]
+    merge = [getattr(F, how)(F.col(f)).alias(f) for f, (_, how) in zip(names, folds.values(), strict=True)]
+    values = groups.select(F.inline(F.array(*parts))).groupBy("column", "value").agg(*merge)
+    return values.agg(
+        *[F.count_if((F.col("column") == i) & F.col("value").isNotNull()).cast("long").alias(a) for i, a in enumerate(distinct)],
+        *merge).select(*distinct, *[F.col(f).alias(a) for f, a in zip(names, folds, strict=True)])
+
+
 def post_clean_stats(enriched: DataFrame) -> DataFrame:
     """A2: one row after cleaning: rows, routes, buses, mean speed, rows per
     band and distinct weather conditions."""
     band = F.col("Nivel_Congestion")
-    return enriched.agg(
-        F.count(F.lit(1)).alias("total_registros"),
-        F.countDistinct("Ruta").alias("rutas_unicas"),
-        F.countDistinct(C.BUS).alias("buses_unicos"),
-        round_half_up(F.avg(C.SPEED), 2).alias("vel_promedio"),
-        F.count_if(band == C.BAND_FLUID).cast("long").alias("n_fluido"),
-        F.count_if(band == C.BAND_MODERATE).cast("long").alias("n_moderado"),
-        F.count_if(band == C.BAND_CONGESTED).cast("long").alias("n_congestionado"),
-        F.countDistinct("Clima_Condicion").alias("condiciones_clima"),
-    )
+    counted = {"total_registros": F.count(F.lit(1)), "n_fluido": F.count_if(band == C.BAND_FLUID),
+               "n_moderado": F.count_if(band == C.BAND_MODERATE), "n_congestionado": F.count_if(band == C.BAND_CONGESTED)}
+    row = distinct_and_folds(
+        enriched, {"rutas_unicas": "Ruta", "buses_unicos": C.BUS, "condiciones_clima": "Clima_Condicion"},
+        {a: (e, "sum") for a, e in counted.items()}
+        | {"_speeds": (F.sum(C.SPEED), "sum"), "_with_speed": (F.count(C.SPEED), "sum")})
+    n = {a: F.coalesce(F.col(a), F.lit(0)).cast("long").alias(a) for a in counted}
+    mean = F.when(F.col("_with_speed") > 0, F.col("_speeds") / F.col("_with_speed"))
+    return row.select(n["total_registros"], "rutas_unicas", "buses_unicos", round_half_up(mean, 2).alias("vel_promedio"),
+                      n["n_fluido"], n["n_moderado"], n["n_congestionado"], "condiciones_clima")
 
 
 def band_distribution(enriched: DataFrame, band: str = "Nivel_Congestion") -> DataFrame:

@@ -169,6 +169,20 @@ def kpis(detail: DataFrame, route: str = "Ruta", band: str = "Nivel_Congestion")
     return glob.crossJoin(name)
 
 
+def view_totals(view: DataFrame, by: list[str], value: str) -> DataFrame:
+    """A count of the live view added up over some of its keys."""
+    return view.groupBy(*by).agg(F.sum(value).alias(value))
+
+
+def view_mean(view: DataFrame, by: list[str], value: str = "velocidad_promedio", weight: str | None = None) -> DataFrame:
+    """The mean of the live view's means over some of its keys, each row
+    alike or, with ``weight``, as often as it has pings (4 decimals). Rows
+    without a value carry no weight."""
+    v = F.col(value)
+    mean = F.avg(v) if weight is None else F.sum(v * F.col(weight)) / F.sum(F.when(v.isNotNull(), F.col(weight)))
+    return view.groupBy(*by).agg(round_half_up(mean, 4).alias(value))
+
+
 def route_table(fact: DataFrame, route: str = "ruta_id", speed: str = C.SPEED) -> DataFrame:
     """Per route: trips, mean and min speed."""
     return fact.groupBy(route).agg(F.count(F.lit(1)).alias("viajes"),

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import DEFAULT_BOUNDS, Bounds
+from ..functions.text import composite_key
 from ..functions.time import TS_FORMAT, parse_ts
+from .aggregate import distinct_and_folds
 from .dedup import replicate, row_counts
 
 
@@ -216,6 +218,13 @@ def weather_null_profile(weather: DataFrame) -> DataFrame:
     )
 
 
+def key_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Distinct text keys and distinct rows of some columns, from one
+    grouping of the rows and one of the groups (no Expand)."""
+    keys = row_counts(df, cols).groupBy(composite_key(*cols).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    return keys.agg(F.count("_key").alias("claves_concat"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("claves_struct"))
+
+
 def dataset_profile(raw: DataFrame) -> DataFrame:
     """The profile script's facts in one row (rows, columns, NULLs per
     column, speed min/max, negatives, distinct routes and buses, time range,
@@ -223,22 +232,19 @@ def dataset_profile(raw: DataFrame) -> DataFrame:
     cols = list(C.PING_COLUMNS)
     g = row_counts(raw, cols)
     n = F.col("n")
-    total = F.coalesce(F.sum(n), F.lit(0))
-    nulls = [F.coalesce(F.sum(F.when(F.col(c).isNull(), n)), F.lit(0)).cast("long").alias(f"nulos_{c}")
-             for c in cols]
-    return g.agg(
-        total.cast("long").alias("filas"),
-        F.lit(len(raw.columns)).cast("long").alias("columnas"),
-        *nulls,
-        F.min(C.SPEED).alias("velocidad_min"),
-        F.max(C.SPEED).alias("velocidad_max"),
-        F.coalesce(F.sum(F.when(F.col(C.SPEED) < 0, n)), F.lit(0)).cast("long").alias("velocidades_negativas"),
-        F.countDistinct(C.ROUTE).alias("rutas_unicas"),
-        F.countDistinct(C.BUS).alias("buses_unicos"),
-        F.min(C.TS).alias("fecha_min"),
-        F.max(C.TS).alias("fecha_max"),
-        (total - F.count(F.lit(1))).cast("long").alias("duplicados_exactos"),
-    )
+    counted = {"filas": F.sum(n)} | {f"nulos_{c}": F.sum(F.when(F.col(c).isNull(), n)) for c in cols} | {
+        "velocidades_negativas": F.sum(F.when(F.col(C.SPEED) < 0, n)), "_rows": F.count(F.lit(1))}
+    row = distinct_and_folds(
+        g, {"rutas_unicas": C.ROUTE, "buses_unicos": C.BUS},
+        {a: (e, "sum") for a, e in counted.items()}
+        | {"velocidad_min": (F.min(C.SPEED), "min"), "velocidad_max": (F.max(C.SPEED), "max"),
+           "fecha_min": (F.min(C.TS), "min"), "fecha_max": (F.max(C.TS), "max")})
+    v = {a: F.coalesce(F.col(a), F.lit(0)).cast("long") for a in counted}
+    return row.select(
+        v["filas"].alias("filas"), F.lit(len(raw.columns)).cast("long").alias("columnas"),
+        *[v[f"nulos_{c}"].alias(f"nulos_{c}") for c in cols], "velocidad_min", "velocidad_max",
+        v["velocidades_negativas"].alias("velocidades_negativas"), "rutas_unicas", "buses_unicos",
+        "fecha_min", "fecha_max", (v["filas"] - v["_rows"]).alias("duplicados_exactos"))
 
 
 def value_list(df: DataFrame, column: str) -> DataFrame:

@@ -67,9 +67,17 @@ def read_kafka_events(spark: SparkSession, servers: str, topic: str,
     on the classpath). The message timestamp is the arrival time."""
     raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
            .option("subscribe", topic).load())
+    return parse_messages(raw, schema)
+
+
+def parse_messages(raw: DataFrame, schema: str = PING_EVENT_SCHEMA) -> DataFrame:
+    """The events of Kafka messages (``value`` bytes, ``timestamp``): one row
+    per message. A missing time or one that does not parse is the arrival
+    time; a message that is no JSON object has NULL fields, which the
+    normaliser rejects."""
     parsed = raw.select(F.from_json(F.col("value").cast("string"), schema).alias("e"),
                         F.col("timestamp").alias("_arrival"))
-    return parsed.select("e.*", "_arrival").withColumn("ts", F.coalesce(F.col("ts").cast("timestamp"),
+    return parsed.select("e.*", "_arrival").withColumn("ts", F.coalesce(F.col("ts").try_cast("timestamp"),
                                                                          F.col("_arrival"))).drop("_arrival")
 
 

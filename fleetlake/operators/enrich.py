@@ -9,6 +9,7 @@ from ..config import ImputePolicy
 from ..functions.numeric import round_half_up
 from .joins import join_dimension
 
+
 def mean_temperature(weather: DataFrame, policy: ImputePolicy = ImputePolicy()) -> DataFrame:
     """One-row frame ``fill`` = mean of the non-null temperatures, rounded
     when the policy says so (J4's scalar subquery)."""
@@ -21,13 +22,12 @@ def mean_temperature(weather: DataFrame, policy: ImputePolicy = ImputePolicy())
 def impute_temperature(weather: DataFrame, policy: ImputePolicy = ImputePolicy()) -> DataFrame:
     """NULL temperatures replaced by the mean of the others.
 
-    The mean is a one-row aggregate joined to every row (a broadcast nested
-    loop join against exactly one row).
+    The mean is a scalar subquery: one value for all rows, and a query that
+    does not use the temperature does not compute it.
     """
-    fill = mean_temperature(weather, policy)
-    return (weather.crossJoin(F.broadcast(fill))
-            .select("fecha", "condicion",
-                    F.coalesce(F.col("temperatura_promedio"), F.col("_fill")).alias("temperatura_promedio")))
+    fill = mean_temperature(weather, policy).scalar()
+    return weather.select("fecha", "condicion",
+                          F.coalesce(F.col("temperatura_promedio"), fill).alias("temperatura_promedio"))
 
 
 def enrich_weather(pings: DataFrame, weather: DataFrame, date_col: str = "Fecha",

@@ -35,10 +35,12 @@ def value_frequencies(df: DataFrame, groups: list[str], value: str) -> DataFrame
 
 
 def value_bucket(v: Column) -> Column:
-    """A whole number that never falls as ``v`` rises (infinities included)."""
+    """A whole number that never falls as ``v`` rises (infinities included).
+    Never NULL: a join on it then adds no filter below the frequencies, whose
+    exchange all branches of the plan share."""
     size = F.least(F.abs(v.cast("double")), F.lit(1.7e308))
     step = F.floor(F.log2(F.when(size > 0, size)) * PER_OCTAVE) + _ZERO
-    return F.when(v > 0, step).when(v < 0, -step).otherwise(F.lit(0)).cast("long")
+    return F.coalesce(F.when(v > 0, step).when(v < 0, -step).cast("long"), F.lit(0).cast("long"))
 
 
 def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[float],
@@ -54,31 +56,24 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: list[fl
     all_ = Window.partitionBy(*groups)
     spans = buckets.select(*groups, "_b", F.sum("_bc").over(upto).alias("_end"), "_bc",
                            F.sum("_bc").over(all_).alias("_n"))
-    wanted = []
-    for i, p in enumerate(probs):
-        pos = F.lit(p) * (F.col("_n") - 1)
-        k = F.floor(pos).cast("long")
-        for side in (0, 1):
-            wanted.append(F.struct(F.lit(i).alias("q"), F.lit(side).alias("side"), (k + side).alias("rank"),
-                                   (pos - k).alias("frac")))
-    inside = F.filter(F.array(*wanted), lambda t: (t["rank"] < F.col("_end")) & (t["rank"] >= F.col("_end") - F.col("_bc")))
+    at = [f"{float(p)!r}D * (_n - 1)" for p in probs]
+    wanted = ", ".join(f"named_struct('q', {i}, 'rank', floor({pos}) + {side}, 'side', {side}, 'frac', {pos} - floor({pos}))"
+                       for i, pos in enumerate(at) for side in (0, 1))
+    inside = F.expr(f"filter(array({wanted}), t -> t.rank < _end AND t.rank >= _end - _bc)")
     targets = (spans.select(*groups, "_b", "_n", (F.col("_end") - F.col("_bc")).alias("_start"), inside.alias("_t"))
                .where(F.size("_t") > 0))
     near = rows.join(targets, [*groups, "_b"])
     run = Window.partitionBy(*groups, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     hi = F.col("_start") + F.sum("_c").over(run)
-    hits = (near.select(*groups, value, "_n", "_c", "_t", hi.alias("_hi"))
-            .select(*groups, value, "_n", "_c", "_hi", F.explode("_t").alias("t"))
-            .where((F.col("t.rank") < F.col("_hi")) & (F.col("t.rank") >= F.col("_hi") - F.col("_c"))))
+    hits = (near.select(*groups, F.col(value).alias("_v"), "_n", "_c", "_t", hi.alias("_hi"))
+            .selectExpr("*", "inline(filter(_t, t -> t.rank < _hi AND t.rank >= _hi - _c))"))
     picked = []
     for i in range(len(probs)):
-        for side in (0, 1):
-            picked.append(F.max(F.when((F.col("t.q") == i) & (F.col("t.side") == side), F.col(value))).alias(f"_v{i}{side}"))
-        picked.append(F.max(F.when(F.col("t.q") == i, F.col("t.frac"))).alias(f"_f{i}"))
-    out = hits.groupBy(*groups).agg(F.max("_n").alias("n"), *picked)
-    return out.select(*groups, "n", *[
-        F.when(F.col(f"_f{i}") > 0, F.col(f"_v{i}0") + F.col(f"_f{i}") * (F.col(f"_v{i}1") - F.col(f"_v{i}0")))
-        .otherwise(F.col(f"_v{i}0")).alias(n) for i, n in enumerate(names)])
+        picked += [f"max(_v) FILTER (WHERE q = {i} AND side = 0) AS _v{i}0",
+                   f"max(_v) FILTER (WHERE q = {i} AND side = 1) AS _v{i}1", f"max(frac) FILTER (WHERE q = {i}) AS _f{i}"]
+    out = hits.groupBy(*groups).agg(*[F.expr(e) for e in ("max(_n) AS n", *picked)])
+    return out.select(*groups, "n", *[F.expr(f"IF(_f{i} > 0, _v{i}0 + _f{i} * (_v{i}1 - _v{i}0), _v{i}0)").alias(n)
+                                      for i, n in enumerate(names)])
 
 
 def box_stats(df: DataFrame, groups: list[str], value: str, whisker: float = 1.5) -> DataFrame:

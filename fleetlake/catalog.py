@@ -26,11 +26,13 @@ from .operators import aggregate as agg
 from .operators import audit, insights, quality, sales, starschema
 from .operators.dedup import split_duplicates
 from .operators.enrich import impute_temperature, mean_temperature
-from .plans import local, manual, warehouse
+from .plans import jobs, local, manual, warehouse
 from .session import scratch_path
-from .sinks.files import append_rows, create_quality_views, replace_table
+from .sinks.files import (append_rows, check_not_null, create_quality_views, create_table_if_absent, replace_table,
+                          write_csv, write_json_records)
 from .sources import testdata as td
-from .sources.files import ingest_raw
+from .sources.files import (first_available, ingest_raw, json_array_to_ndjson, load_pings, load_weather_json,
+                            scan_csv, scan_ndjson, scan_table)
 from .streaming import ingest, live, views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -902,3 +904,177 @@ def v15_log(spark, sf):
     stage = F.substring_index("description", ":", 1)
     return log.groupBy(stage.alias("etapa"), (stage == C.STAGE_NORMALISE).alias("normalizacion")).agg(
         F.count(F.lit(1)).alias("filas"))
+
+
+# ------------------------------------------- files and tables, there and back
+
+def _unique(name):
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+def _ping_csv(spark, sf):
+    """K1: all pings as CSV, times to the second as in the original files."""
+    path = scratch_path(spark, _unique("pings_csv"))
+    write_csv(_pings(spark, sf).withColumn(C.TS, F.date_format(C.TS, "yyyy-MM-dd HH:mm:ss")), path)
+    return path
+
+
+def _weather_json(spark, sf):
+    """The weather as one JSON array (a row per calendar day bounds it)."""
+    path = scratch_path(spark, _unique("clima_json"))
+    day = F.struct("fecha", "condicion", "temperatura_promedio")
+    _weather(spark, sf).agg(F.to_json(F.collect_list(day)).alias("value")).write.text(path)
+    return path
+
+
+@register("s1_csv_scan")
+def s1(spark, sf):
+    """S1 / S3 + K1: pings written as CSV and read with inferred types."""
+    return scan_csv(spark, _ping_csv(spark, sf)).withColumn(C.TS, F.col(C.TS).cast("timestamp_ntz"))
+
+
+@register("s2_load_pings")
+def s2(spark, sf):
+    """The same files with the fixed schema; a malformed row would fail."""
+    return load_pings(spark, _ping_csv(spark, sf)).withColumn(C.TS, F.col(C.TS).cast("timestamp_ntz"))
+
+
+@register("s4_weather_array")
+def s4(spark, sf):
+    """The weather read from a JSON array."""
+    return load_weather_json(spark, _weather_json(spark, sf))
+
+
+@register("s6_weather_ndjson")
+def s6(spark, sf):
+    """S6 + S5: the JSON array turned into NDJSON, read with inferred types."""
+    out = scratch_path(spark, _unique("clima_ndjson"))
+    json_array_to_ndjson(spark, _weather_json(spark, sf), out)
+    return scan_ndjson(spark, out).withColumn("fecha", F.to_date("fecha"))
+
+
+@register("s8_first_available")
+def s8(spark, sf):
+    """Neither the table nor the first folder exists, the third does."""
+    found = first_available(spark, [("table", _unique("sin_tabla")), ("csv", f"{sf}/sin_archivo.csv"),
+                                    ("parquet", f"{sf}/events.parquet")])
+    return found.select("event_id", "event_type", "value")
+
+
+@register("k2_json_records")
+def k2(spark, sf):
+    """K2: the route-hour table as JSON records, read back with its types."""
+    detail = _enriched(spark, sf)
+    report, path = agg.route_hour(detail), scratch_path(spark, _unique("ruta_hora_json"))
+    if not write_json_records(report, detail, path):
+        return report.limit(0)
+    return spark.read.schema(report.schema).json(path)
+
+
+@register("k3_replaced_table")
+def k3(spark, sf):
+    """K3 + S7: the fact table stored twice under one name, bucketed by bus,
+    and scanned: the second replaces the first."""
+    name = _unique("hechos")
+    for _ in range(2):
+        replace_table(_fact(spark, sf), name, path=scratch_path(spark, name), bucket_by=(8, ["bus_id"]))
+    f = scan_table(spark, name)
+    return f.select(*[c for c in f.columns if c not in ("viaje_id", "clima_id")],
+                    F.col("clima_id").isNotNull().alias("con_clima"))
+
+
+@register("k5_guarded_table")
+def k5(spark, sf):
+    """K5: created if absent, filled through the NOT NULL guard; a second
+    creation leaves the rows alone."""
+    name, rows = _unique("posiciones"), _positions(spark, sf).select("bus_id", "ruta", "velocidad_kmh", "ingest_timestamp")
+    schema, place = "bus_id string, ruta string, velocidad_kmh double, ingest_timestamp timestamp_ntz", scratch_path(spark, name)
+    create_table_if_absent(spark, name, schema, place)
+    append_rows(check_not_null(rows.withColumn("ingest_timestamp", F.col("ingest_timestamp").cast("timestamp_ntz")),
+                               ["bus_id", "ruta", "ingest_timestamp"]), name)
+    create_table_if_absent(spark, name, schema, place)
+    return scan_table(spark, name)
+
+
+@register("k8_table_sink")
+def k8(spark, sf):
+    """K8: accepted positions appended to the guarded table by a stream."""
+    out = _streamed_positions(spark, sf, "k8")
+    ingest.run_available(ingest.start_table_sink(_position_stream(spark, out), out + "/tabla", name=_unique("k8")))
+    return _plain_positions(spark.read.schema(ingest.POSITION_SCHEMA).parquet(out + "/tabla"))
+
+
+@register("k9_fanout_table")
+def k9(spark, sf):
+    """K9: the table of the fan-out, whole batches only."""
+    return _plain_positions(ingest.read_positions(spark, _fanout(spark, sf)))
+
+
+@register("k9_fanout_rejected")
+def k9_rejected(spark, sf):
+    """K9 + R4: the rejected events that the fan-out logs."""
+    log = spark.read.parquet(_fanout(spark, sf) + "/rejected")
+    return log.drop("event_id").withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+def _fanout(spark, sf):
+    out = _streamed_positions(spark, sf, "k9")
+    _, rejected = ingest.positions_stream(_stream_events(spark, sf))
+    ingest.run_available(ingest.start_fanout(_position_stream(spark, out), rejected, out + "/salidas"))
+    return out + "/salidas"
+
+
+def _plain_positions(rows):
+    return rows.drop("viaje_id").withColumn("ingest_timestamp", F.col("ingest_timestamp").cast("timestamp_ntz"))
+
+
+@register("p18_default_weather")
+def p18(spark, sf):
+    """P18 + J5: positions of days without weather take fixed values."""
+    accepted = _outcomes(spark, sf).where(F.col("outcome") == live.ACCEPTED)
+    rows = live.enrich_positions(accepted, impute_temperature(_weather(spark, sf)), default_weather=("Despejado", 18.0))
+    return rows.drop("viaje_id")
+
+
+@register("r8_stream_and_batch")
+def r8(spark, sf):
+    """The lake stream and the batch report run in one session."""
+    out = _streamed_positions(spark, sf, "r8")
+
+    def report():
+        agg.route_hour(_enriched(spark, sf)).write.parquet(out + "/informe")
+
+    ingest.run_concurrently(spark, lambda: ingest.start_lake_sink(
+        _position_stream(spark, out), out + "/lake", name=None, trigger={"availableNow": True},
+        checkpoint=out + "/_ckpt"), report)
+    done = {"lago": spark.read.schema(ingest.POSITION_SCHEMA).json(out + "/lake"),
+            "informe": spark.read.parquet(out + "/informe")}
+    return reduce(DataFrame.unionByName, [df.agg(F.lit(k).alias("salida"), F.count(F.lit(1)).alias("filas"))
+                                          for k, df in done.items()])
+
+
+@register("l1_stage_log")
+def l1(spark, sf):
+    """L1 + L2: what the warehouse batch run writes to its stage log and to
+    the run registry."""
+    base = scratch_path(spark, _unique("l1"))
+    jobs.run_warehouse_batch(spark, _pings(spark, sf), _weather(spark, sf), base)
+    log = spark.read.parquet(base + "/proceso_log").select(
+        F.col("evento").alias("etapa"), "estado", F.lit(None).cast("long").alias("registros"))
+    runs = audit.latest_runs(spark.read.parquet(base + "/ejecuciones")).select(
+        F.col("proceso").alias("etapa"), F.col("resultado").alias("estado"), "registros")
+    return log.unionByName(runs)
+
+
+@register("f2_user_function")
+def f2(spark, sf):
+    """F2 + V17: a function of the user over all pings; rows it cannot take
+    keep their error."""
+    def metres_per_second(pdf):
+        if (pdf[C.SPEED] < 0).any():
+            raise ValueError("velocidad negativa")
+        return pdf[[C.BUS, C.TS]].assign(ms=pdf[C.SPEED] * 10)
+
+    done = audit.user_function(_pings(spark, sf).select(C.BUS, C.TS, C.SPEED), metres_per_second,
+                               f"{C.BUS} string, {C.TS} timestamp_ntz, ms double")
+    return done.groupBy(C.BUS, "error").agg(F.count(F.lit(1)).alias("filas"), F.max("ms").alias("ms_max"))

@@ -161,29 +161,30 @@ def first_errors(tagged: DataFrame, n: int = 10, error: str = "error",
 
 def user_function(df: DataFrame, fn, schema: str) -> DataFrame:
     """apply a user function to every pandas batch of rows; a batch
-    that raises is retried row by row and failing rows get their error
-    text (column ``error``) instead of output. Arrow-batched, no per-row
-    Python on the happy path."""
+    that raises is halved until only failing rows are left, which get their
+    error text (column ``error``) instead of output. A batch with f failing
+    rows of n takes some f log(n) calls, one without them a single call."""
     import pandas as pd
 
     out_cols = [c.strip().split(" ")[0] for c in schema.split(",")]
 
+    def attempt(pdf):
+        try:
+            res = fn(pdf)
+            res["error"] = None
+            yield res[out_cols + ["error"]]
+        except Exception as e:  # noqa: BLE001
+            if len(pdf) == 1:
+                yield pd.DataFrame({**{c: [None] for c in out_cols}, "error": [f"{type(e).__name__}: {e}"]})
+            else:
+                half = len(pdf) // 2
+                yield from attempt(pdf.iloc[:half])
+                yield from attempt(pdf.iloc[half:])
+
     def run(batches):
         for pdf in batches:
-            try:
-                res = fn(pdf)
-                res["error"] = None
-                yield res[out_cols + ["error"]]
-            except Exception:  # noqa: BLE001
-                rows = []
-                for i in range(len(pdf)):
-                    try:
-                        r = fn(pdf.iloc[i:i + 1])
-                        r["error"] = None
-                    except Exception as e:  # noqa: BLE001
-                        r = pd.DataFrame({c: [None] for c in out_cols})
-                        r["error"] = f"{type(e).__name__}: {e}"
-                    rows.append(r[out_cols + ["error"]])
-                yield pd.concat(rows, ignore_index=True) if rows else pd.DataFrame(columns=out_cols + ["error"])
+            if len(pdf):
+                parts = list(attempt(pdf))
+                yield parts[0] if len(parts) == 1 else pd.concat([p.astype(object) for p in parts], ignore_index=True)
 
     return df.mapInPandas(run, schema + ", error string")

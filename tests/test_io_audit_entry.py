@@ -104,6 +104,29 @@ def test_user_function_error_capture(spark):
     assert len(out) == 6 and len(errs) == 1 and "tres" in errs[0].error
 
 
+def test_user_function_halves_a_failing_batch(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def fn(pdf):
+        calls.add(1)
+        if (pdf["id"] % 1000 == 7).any():
+            raise ValueError("siete")
+        return pdf.assign(doble=pdf["id"] * 2)
+
+    out = audit.user_function(spark.range(0, 4000, 1, 1), fn, "id long, doble long").collect()
+    good = {r.id: r.doble for r in out if r.error is None}
+    assert len(out) == 4000 and good == {i: 2 * i for i in range(4000) if i % 1000 != 7}
+    assert [r.error for r in out if r.error] == ["ValueError: siete"] * 4
+    assert calls.value < 150
+    assert audit.user_function(spark.range(0), fn, "id long, doble long").collect() == []
+
+
+@pytest.mark.parametrize("name", ["s1_csv_scan", "s6_weather_ndjson", "k3_replaced_table", "k9_fanout_table",
+                                  "l1_stage_log", "f2_user_function"])
+def test_written_and_read_back(spark, name):
+    test_oracle_small(spark, name)
+
+
 def test_entry_and_oracle_contract(spark):
     import __spark_entry__ as E
     df = E.entry(spark)

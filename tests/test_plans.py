@@ -14,9 +14,16 @@ def _plan(df, mode="formatted"):
     return buf.getvalue()
 
 
-def test_a1_filter_below_dedup_and_broadcast_weather(spark):
+def test_a1_does_not_read_the_weather_it_does_not_show(spark):
     import __spark_entry__ as E
     plan = _plan(E.queries()["a1_route_hour"](spark, SF))
+    # a left join to at most one row a day, none of whose columns is used, goes
+    assert "Join" not in plan and plan.count("ReadSchema") == 1
+
+
+def test_filter_below_dedup_and_broadcast_weather(spark):
+    import __spark_entry__ as E
+    plan = _plan(E.queries()["j1_enriched"](spark, SF))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     # node ids are numbered bottom-up: the range/box filter runs before the
     # first (dedup) exchange, i.e. it was pushed below the distinct
@@ -98,3 +105,25 @@ def test_load_stats_counts_while_the_load_is_written(spark, tmp_path):
     df, seen = load_stats(spark.range(37).repartition(3), "load")
     df.write.parquet(str(tmp_path / "t"))
     assert seen.get == {"registros": 37}
+
+
+def test_box_statistics_share_their_frequencies(spark):
+    from fleetlake.catalog import QUERIES
+    df = QUERIES["a15_box_by_condition"](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # events are read once for the pings and once for the days with weather; the
+    # unused temperature costs nothing
+    assert plan.count("FileScan parquet") == 2 and "ReusedExchange" in plan
+
+
+def test_missing_temperatures_take_one_mean(spark):
+    from fleetlake.operators.enrich import impute_temperature
+    w = spark.createDataFrame([("a", "x", 10.0), ("b", "x", None), ("c", "x", 21.0)],
+                              "fecha string, condicion string, temperatura_promedio double")
+    got = {r.fecha: r.temperatura_promedio for r in impute_temperature(w).collect()}
+    assert got == {"a": 10.0, "b": 15.5, "c": 21.0}
+    assert impute_temperature(w.limit(0)).count() == 0
+    nothing = impute_temperature(w.where("fecha = 'b'")).first()
+    assert nothing.temperatura_promedio is None
+    assert "avg" not in impute_temperature(w).select("condicion")._jdf.queryExecution().optimizedPlan().toString()

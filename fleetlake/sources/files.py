@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -53,12 +54,16 @@ def json_array_to_ndjson(spark: SparkSession, src: str, dst: str, schema: str =
 
 
 #: Larger files are not read as one value.
-WHOLE_FILE = 256 << 20
+WHOLE_FILE = 16 << 20
+#: More than any file has: a file in one piece, and one file to a task.
+ONE_PIECE = 1 << 50
+#: Names by which the line reader unpacks a file. Such files are read as one value.
+PACKED = r"\.(gz|bz2|deflate|snappy|lz4|zst|passthrough)$"
 BOM = b"\xef\xbb\xbf"
 
 
 def _running_md5(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per file whose lines come in order, one line held at a time.
+    """One row per file whose lines come in order, one batch held at a time.
     The line reader drops a byte order mark and does not tell whether the last
     line was closed; the file's size tells both."""
     import hashlib
@@ -70,20 +75,23 @@ def _running_md5(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         md5 = marked if left >= len(BOM) else plain
         if left in (1, len(BOM) + 1):
             md5.update(b"\n")
-        return pa.RecordBatch.from_pydict({"path": [path], "bytes": [size], "md5": [md5.hexdigest()]})
+        return pa.RecordBatch.from_pydict({"_file": [path], "bytes": [size], "md5": [md5.hexdigest()]})
 
     file = None
     for batch in batches:
-        for path, size, line in zip(*(batch.column(c).to_pylist() for c in ("path", "size", "line"))):
+        runs, start = pc.run_end_encode(batch.column("_file")), 0
+        for path, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+            part = b"\n".join(batch.column("line").slice(start, end - start).to_pylist())
             if file is None or path != file[0]:
                 if file is not None:
                     yield finish(*file)
-                file = [path, size, 0, hashlib.md5(), hashlib.md5(BOM)]
+                file = [path, batch.column("size")[start].as_py(), 0, hashlib.md5(), hashlib.md5(BOM)]
             else:
-                line = b"\n" + line
-            file[2] += len(line)
-            file[3].update(line)
-            file[4].update(line)
+                part = b"\n" + part
+            file[2] += len(part)
+            file[3].update(part)
+            file[4].update(part)
+            start = end
     if file is not None:
         yield finish(*file)
 
@@ -92,23 +100,27 @@ def ingest_raw(spark: SparkSession, paths: list[str], whole_file: int = WHOLE_FI
     """Raw-zone manifest: path, size in bytes and MD5 of every file.
 
     A missing input raises (as the original stage does); Spark lists no empty
-    files. Files of up to
-    ``whole_file`` bytes are hashed as one value by the task that reads them.
-    A larger one, of any size, is read line by line by several tasks, its lines
-    are put in order, and one task runs over them with a running MD5 (hashing is
-    sequential by nature) and the memory of one line.
+    files. Files of up to ``whole_file`` bytes, and packed ones
+    (:data:`PACKED`, up to 2 GB), are hashed as one value by the task that
+    reads them. A larger one, of any size, is streamed line by line through one
+    task with a running MD5 (hashing is sequential by nature): no shuffle and
+    no sort, in the memory of a batch of lines (64 MB, or one longer line).
+    Files are hashed side by side, each in a task of its own.
     """
+    # filters on file metadata alone keep files out of a scan, unread
+    size, key = F.col("_metadata.file_size"), F.col("_metadata.file_path").alias("_file")
+    as_one = (size <= whole_file) | F.col("_metadata.file_name").rlike(PACKED)
     files = spark.read.format("binaryFile").load(paths)
-    times = files.select("path", F.col("modificationTime").alias("modificado"))
-    small = (files.where(F.col("length") <= whole_file)
-             .select("path", F.col("length").alias("bytes"), F.md5(F.col("content")).alias("md5")))
-    lines = spark.read.option("lineSep", "\n").text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
-        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"),
-        F.col("value").cast("binary").alias("line")).where(F.col("size") > whole_file)
-    large = (lines.repartition("path").sortWithinPartitions("path", "start", "id").select("path", "size", "line")
-             .mapInArrow(_running_md5, "path string, bytes long, md5 string"))
-    return small.unionByName(large).join(times, "path")
+    times = files.select(key, "path", F.col("modificationTime").alias("modificado"))
+    small = files.where(as_one).select(key, F.col("length").alias("bytes"), F.md5(F.col("content")).alias("md5"))
+    # the size of a read's pieces is a setting of its session
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", ONE_PIECE)
+    own.conf.set("spark.sql.files.openCostInBytes", ONE_PIECE)
+    lines = (own.read.option("lineSep", "\n").text(paths).where(~as_one)
+             .select(key, size.alias("size"), F.col("value").cast("binary").alias("line")))
+    large = lines.mapInArrow(_running_md5, "_file string, bytes long, md5 string")
+    return small.unionByName(large).join(times, "_file").select("path", "bytes", "md5", "modificado")
 
 
 def first_available(spark: SparkSession, candidates: list[tuple[str, str]]) -> DataFrame:

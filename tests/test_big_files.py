@@ -85,3 +85,32 @@ def test_a_file_above_the_limit_has_the_same_digest(spark, tmpdir_path, small_sp
     assert got == {n: (len(d), hashlib.md5(d).hexdigest()) for n, d in body.items()}
     with pytest.raises(Exception):
         files.ingest_raw(spark, [os.path.join(tmpdir_path, "absent")]).collect()
+
+
+def test_large_files_are_streamed_unsorted_whatever_their_names(spark, tmpdir_path, small_splits):
+    import gzip
+    rnd = random.Random(2)
+    body = {"a b.bin": rnd.randbytes(30_000), "c%20d.bin": rnd.randbytes(5000), "lines.txt": b"a\n" * 4000,
+            "packed.gz": gzip.compress(rnd.randbytes(3000)), "small": b"s", "small.gz": gzip.compress(b"s")}
+    for name, data in body.items():
+        with open(os.path.join(tmpdir_path, name), "wb") as f:
+            f.write(data)
+    out = files.ingest_raw(spark, [tmpdir_path], whole_file=1000)
+    got = {r.path.split("/")[-1]: (r.bytes, r.md5) for r in out.collect()}
+    assert got == {n: (len(d), hashlib.md5(d).hexdigest()) for n, d in body.items()}
+    # from the running digest down to the file: nothing is sorted or sent
+    lines = out._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[1].split("Relation")[0]
+    assert "Sort" not in lines and "Repartition" not in lines
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "700"
+
+
+def test_a_large_file_is_one_task_and_small_or_packed_ones_are_no_lines(spark, tmpdir_path, small_splits, monkeypatch):
+    for name, n in (("big1", 9000), ("big2", 5000), ("small", 10), ("packed.gz", 5000)):
+        with open(os.path.join(tmpdir_path, name), "wb") as f:
+            f.write(b"0123456789\n" * (n // 11 + 1))
+    seen, frame = [], type(spark.range(1))
+    keep = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow",
+                        lambda df, fn, schema: (seen.append(df.rdd.getNumPartitions()), keep(df, fn, schema))[1])
+    assert files.ingest_raw(spark, [tmpdir_path], whole_file=1000).count() == 4
+    assert seen == [2]

@@ -121,6 +121,43 @@ def test_user_function_halves_a_failing_batch(spark):
     assert audit.user_function(spark.range(0), fn, "id long, doble long").collect() == []
 
 
+def test_user_function_needs_few_calls_on_many_tasks(spark):
+    calls, tasks = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def fn(pdf):
+        calls.add(1)
+        if (pdf["id"] * 7919 % 17 == 0).any():
+            raise ValueError("diecisiete")
+        if (pdf["id"] % 2 == 0).all():  # nulls among integers
+            return pdf.assign(doble=None)
+        return pdf.assign(doble=pdf["id"] * 2 + (1 << 60))
+
+    n = 20_000
+    out = audit.user_function(spark.range(0, n, 1, 1), fn, "id long, doble long")
+    assert out.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    rows = out.collect()
+    good = {r.id: r.doble for r in rows if r.error is None}
+    assert set(good) == {i for i in range(n) if i * 7919 % 17} and len(rows) == n
+    assert all(v is None or v == 2 * i + (1 << 60) for i, v in good.items()) and None not in [good[i] for i in range(1, n, 2) if i in good]
+    assert {r.error for r in rows if r.id is None} == {"ValueError: diecisiete"}
+    assert calls.value < 0.42 * n  # 0.5 and more by halves
+
+
+def test_user_function_keeps_the_errors_of_single_rows(spark):
+    def fn(pdf):
+        if len(pdf) > 1 and (pdf["id"] == 5).any():
+            raise ValueError("never alone")  # no row by itself fails
+        if (pdf["id"] >= 90).any():
+            raise KeyError(int(pdf["id"].max()))
+        return pdf.assign(extra=1)[["extra", "id"]].assign(doble=pdf["id"])
+
+    rows = audit.user_function(spark.range(0, 100, 1, 1), fn, "id long, doble long", tasks=1).collect()
+    assert sorted(r.id for r in rows if r.error is None) == list(range(90))
+    assert sorted(r.error for r in rows if r.error) == [f"KeyError: {k}" for k in range(90, 100)]
+    gone = audit.user_function(spark.range(3), lambda pdf: pdf[["id"]], "id long, doble long").collect()
+    assert len(gone) == 3 and all("doble" in r.error for r in gone)
+
+
 @pytest.mark.parametrize("name", ["s1_csv_scan", "s6_weather_ndjson", "k3_replaced_table", "k9_fanout_table",
                                   "l1_stage_log", "f2_user_function"])
 def test_written_and_read_back(spark, name):

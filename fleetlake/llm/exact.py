@@ -60,22 +60,20 @@ def refine(docs: DataFrame, text: str = "text", mask_pairs: int = MASK_PAIRS) ->
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
     """One narrow row per input row: the id, ``keep_id`` (largest id among the
     rows with the same text; the row's own id where it is alone),
-    ``group_size`` and ``kept``. ``digest=True`` adds ``text_sha256`` of every
-    row. Then every text has to be read in full anyway, and length, prefix and
-    digest are taken and grouped in one pass over the texts.
+    ``group_size`` and ``kept``. Only rows that the refinement leaves are
+    hashed and grouped. ``digest=True`` adds ``text_sha256`` of every row: the
+    hash of the refinement where it took one; the other rows are hashed for
+    this column alone, as they are written, and are not grouped by it.
 
     Null ids: a group of nulls only keeps a null id. Rows that repeat id and
     text are one document given twice: both carry the same verdict. An empty
     table gives an empty result.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
+    rows = refine(docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")), "_text")
     if digest:
-        size, prefix = _measures("_text")
-        rows = rows.select("_id", size.alias("_len"), prefix.alias("_prefix"),
-                           F.sha2(text_or_empty("_text").cast("binary"), 256).alias("_sha"))
-        key = ["_len", "_prefix", "_sha"]
-    else:
-        rows, key = refine(rows, "_text").drop("_text"), ["_len", "_sha"]
+        own = F.when(F.col("_sha").isNull(), F.sha2(text_or_empty("_text").cast("binary"), 256))
+        rows = rows.withColumn("_rest", own)
+    rows, key = rows.drop("_text"), ["_len", "_sha"]
     # written: the texts are read once more only, and both sides of the join
     # are plain shuffles, which AQE splits where one text has very many copies
     rows = written(rows, "measures")
@@ -88,7 +86,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", di
         F.when(alone, F.col("_id")).otherwise(F.col("_keep")).alias("keep_id"),
         F.coalesce("_n", F.lit(1)).cast("long").alias("group_size"),
         (alone | F.col("_id").eqNullSafe(F.col("_keep"))).alias("kept"),
-        *([F.col("_sha").alias("text_sha256")] if digest else []))
+        *([F.coalesce("_sha", "_rest").alias("text_sha256")] if digest else []))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

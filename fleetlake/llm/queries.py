@@ -85,8 +85,8 @@ g AS (SELECT *, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(text) AS text_sha256 FROM g
 """)
 def op10_exact_dedup(spark, sf):
-    """Exact dedup of all documents; one row per document. The SHA-256 of rows
-    that the refinement never had to hash is added for the digest."""
+    """Exact dedup of all documents by refinement; one row per document. The
+    SHA-256 of rows that it never had to hash is added for the digest."""
     docs = table(spark, sf, "documents")
     return exact.exact_groups(docs, digest=True)
 

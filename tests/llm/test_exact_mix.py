@@ -56,6 +56,18 @@ def test_exact_edges(spark, docs):
     assert exact.exact_groups(extra).count() == len(rows)
 
 
+def test_the_table_hashes_and_groups_what_the_refinement_leaves(spark, docs, monkeypatch):
+    rows = [doc(1, "alone"), doc(2, "twice"), doc(3, "twice"), doc(4, None), doc(5, LONG + "?"), doc(6, LONG + "!"),
+            doc(7, "the same"), doc(8, "not same"), doc(None, "a row without id")]
+    seen, keep = {}, exact.written
+    monkeypatch.setattr(exact, "written", lambda df, name: seen.setdefault(name, keep(df, name)))
+    got = sorted(map(tuple, exact.exact_groups(docs(rows), digest=True).collect()), key=str)
+    assert got == brute_exact([(r[0], r[1]) for r in rows])
+    # full hashes for the grouping: the copies, and two texts of one length and prefix
+    assert {r._id for r in seen["measures"].where("_sha is not null").collect()} == {2, 3, 5, 6}
+    assert seen["pairs"].count() == 2 and seen["copies"].count() == 1
+
+
 def test_exact_is_native(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for df in (exact.exact_groups(docs, digest=True), exact.exact_dedup(docs), mixing.mix(docs), mixing.mixed_rows(docs)):

@@ -140,10 +140,14 @@ class Model:
 
 def _sum_rows(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """Sums of the rows of ``values`` by their place ``at`` (of n)."""
-    order = np.argsort(at, kind="stable")
-    places, first = np.unique(at[order], return_index=True)
+    if not len(at):
+        return np.zeros((n, *values.shape[1:]), np.float32)
+    # 16-bit numbers are sorted by radix, with the same order of equal ones
+    order = np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")
+    inner = at[order]
+    first = np.flatnonzero(np.append(True, inner[1:] != inner[:-1]))
     out = np.zeros((n, *values.shape[1:]), np.float32)
-    out[places] = np.add.reduceat(values[order], first, axis=0)
+    out[inner[first]] = np.add.reduceat(values[order], first, axis=0)
     return out
 
 
@@ -191,8 +195,7 @@ def train(model: Model, prior: np.ndarray, keys: np.ndarray, weights: np.ndarray
             qw, qf = q[w], q[fake]
             real = 1 / (1 + np.exp(-((a * qw).sum(1) + b[w] - log_kq[w])))
             d_made = a @ qf.T  # the noise's probabilities, in place
-            d_made += b[fake] - log_kq[fake]
-            np.negative(d_made, out=d_made)
+            np.subtract(log_kq[fake] - b[fake], d_made, out=d_made)
             np.exp(d_made, out=d_made)
             d_made += 1
             np.divide(g[:, None], d_made, out=d_made)
@@ -205,8 +208,12 @@ def train(model: Model, prior: np.ndarray, keys: np.ndarray, weights: np.ndarray
             d_r = _sum_rows(h1, d_a @ c1.T, n) + _sum_rows(h2, d_a @ c2.T, n)
             grads = (d_r, d_q, r1.T @ d_a, r2.T @ d_a, d_b)
             for p, s, d in zip((r, q, c1, c2, b), squares, grads, strict=True):
-                s += d * d
-                p -= rate * d / np.sqrt(s)
+                root = d * d
+                s += root
+                np.sqrt(s, out=root)
+                d *= rate
+                d /= root
+                p -= d
             done += 1
             if 2 * done > turns * steps:
                 averaged += 1

@@ -190,3 +190,13 @@ def test_edges(spark, docs):
     assert [(r.n_known, r.train_tokens, r.base_score) for r in none] == [(0, 0, 0.0)] * 3
     extra = df.withColumn("base", F.lit(1)).withColumn("_row", F.lit("x")).withColumn("known", F.lit(None).cast("int"))
     assert lm.lm_scores(extra, rounds=1).count() == len(rows)
+
+
+@pytest.mark.parametrize("n", [5, 300, 70_000])
+@pytest.mark.parametrize("rows", [0, 1, 2000])
+def test_sums_of_rows_by_place(n, rows):
+    rng = np.random.default_rng(n + rows)
+    at, values = rng.integers(0, n, rows), rng.integers(-9, 9, (rows, 3)).astype(np.float32)
+    want = np.zeros((n, 3), np.float32)
+    np.add.at(want, at, values)
+    assert (lm._sum_rows(at, values, n) == want).all()

@@ -2,36 +2,45 @@
 
 Each page is read once into blocks of text with a zone: ``article`` (inside a
 declared article), ``chrome`` (inside an element declared as something else:
-menu, footer, form, advert ...) and ``open`` (neither). Pages that declare no
-article have their boilerplate found by the host's suffix array: the token
-streams of a host's pages are concatenated, every suffix is named by its first
-``RUN`` tokens, and equal names are an interval of the suffix array. An
-interval with two distinct pages is a substring repeated across pages; the
-union of its places covers every such substring of ``RUN`` tokens or more.
-Covered tokens go, unique runs of the ``open`` blocks stay.
-
-The suffixes are grouped by Spark: an interval is a hash aggregate of its
-smallest and largest page, so a footer on a third of all pages is combined
-before the shuffle, and its places come back by a join that AQE splits.
-Streams hold what no declared article holds: a passage that articles share is
-content, whatever its repeats, and is never cut.
+menu, footer, form, advert ...) and ``open`` (neither). All blocks of all pages
+go into the suffix array of their host: the token streams of the host's pages
+are concatenated, every suffix is named by its first ``RUN`` tokens, and equal
+names are an interval of the array. An interval with two distinct pages is a
+substring repeated across pages; the union of its places covers every such
+substring of ``RUN`` tokens or more. Covered tokens go, unique runs stay. The
+markup then checks every page: what a declared article lost is put back, since
+a passage that articles share is content, whatever its repeats, and what is
+declared as something else goes even if no other page repeats it.
+
+The names are sorted in range buckets that hold pages of all hosts, so neither
+a large host nor a frequent passage makes a large group: pages are dealt into
+chunks of some ``CHUNK`` characters, a chunk sends each bucket its names (twice
+if two of its pages hold it), and a bucket answers with those that occur twice.
+A page's declared article is a stream of its own, so text outside articles is
+held against text outside articles only.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import ship, text_or_empty, written
+from .runtime import ship, text_or_empty
 
 #: Tokens (words and block breaks) of the shortest repeated run.
 RUN = 8
 BREAK = "\n"
+#: Characters of HTML in a chunk of pages, about, and the chunks whose names
+#: fill one bucket of the array: what a task holds at once.
+CHUNK = 1 << 22
+CHUNKS_A_BUCKET = 4
 
 # What an element is by its name. Fixed by HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -179,51 +188,111 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     article.append(text)
                 else:
                     free.append(zone == "open"), outside.append(text)
-            articles.append("\n\n".join(article)), frees.append(free), outsides.append(outside)
+            # blocks hold no line feed
+            articles.append("\n\n".join(article)), frees.append(free), outsides.append(BREAK.join(outside))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in ("row", "page_id", "url", "host")]
-            + [pa.array(articles, pa.string()), pa.array(frees, pa.list_(pa.bool_())), pa.array(outsides, pa.list_(pa.string()))],
-            ["row", "page_id", "url", "host", "article", "free", "outside"])
+            [batch.column(c) for c in ("chunk", "page_id", "url", "host")]
+            + [pa.array(articles, pa.string()), pa.array(frees, pa.list_(pa.bool_())), pa.array(outsides, pa.string())],
+            ["chunk", "page_id", "url", "host", "article", "free", "outside"])
 
 
-#: The tokens of a page's stream: the words of its outside blocks, each block
-#: closed by a break.
-_STREAM = f"flatten(transform(outside, b -> concat(split(b, ' '), array('{BREAK}'))))"
+class _Hashes(dict):
+    """64 bits of hash of every token seen."""
 
+    def __missing__(self, token: str) -> int:
+        self[token] = value = int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "little")
+        return value
 
-def _suffixes(parsed: DataFrame) -> DataFrame:
-    """``(row, place, name, name2)`` of every suffix of ``RUN`` tokens or more;
-    128 bits of hash name the first ``RUN`` tokens and the host."""
-    streams = parsed.select("row", "host", F.expr(_STREAM).alias("tokens")).where(F.size("tokens") >= RUN)
-    places = streams.select("row", "host", "tokens", F.explode(F.expr(f"sequence(0, size(tokens) - {RUN})")).alias("place"))
-    window = F.slice("tokens", F.col("place") + 1, RUN)
-    return places.select("row", "place", F.xxhash64("host", window).alias("name"),
-                         F.xxhash64(window, "host", F.lit(1)).alias("name2"))
 
-
-def repeated_places(parsed: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(row, places)``: where runs repeated on another page of the host start,
-    for the pages of ``wanted`` that have one."""
-    intervals = (_suffixes(parsed).groupBy("name", "name2").agg(F.min("row").alias("_lo"), F.max("row").alias("_hi"))
-                 .where("_lo < _hi").select("name", "name2"))
-    places = _suffixes(wanted).join(written(intervals, "intervals"), ["name", "name2"], "left_semi")
-    return places.groupBy("row").agg(F.sort_array(F.collect_list("place")).alias("places"))
-
-
-def cut(free: list[bool], outside: list[str], places: list[int]) -> tuple[str, int]:
+def suffixes(pages: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """``(names, places, streams, ends)`` of all suffixes of ``RUN`` tokens or
+    more of a chunk: the hash of the stream's host and kind and of the first
+    ``RUN`` tokens, where it starts in the concatenated streams, its stream.
+    Streams ``2 * k`` and ``2 * k + 1`` are what page ``k`` holds outside and
+    inside its declared article, each block closed by a break; ``ends`` are
+    the streams' ends."""
+    hashes, tokens, ends, salts = _Hashes(), [], [], []
+    for host, outside, article in zip(*(pages.column(c).to_pylist() for c in ("host", "outside", "article"))):
+        for kind, text, between in (("outside", outside, BREAK), ("article", article, "\n\n")):
+            if text:
+                tokens.extend(map(hashes.__getitem__, text.replace(between, f" {BREAK} ").split(" ")))
+                tokens.append(hashes[BREAK])
+            ends.append(len(tokens))
+            salts.append(hashes[f"{kind} {host}"])
+    tokens, n = np.array(tokens, np.uint64), max(len(tokens) - RUN + 1, 0)
+    stream = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    names = np.array(salts, np.uint64)[stream[:n]]
+    for k in range(RUN):
+        names = (names ^ tokens[k:n + k]) * np.uint64(0x9E3779B97F4A7C15)
+        names ^= names >> np.uint64(32)
+    places = np.flatnonzero(stream[:n] == stream[RUN - 1:])
+    return names[places], places, stream[places], ends
+
+
+def _pack(names: np.ndarray) -> bytes:
+    """Sorted names as steps, byte by byte of all: high bytes compress."""
+    return np.diff(names, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T)
+    return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _names(buckets: int):
+    def deal(key: tuple, pages: pa.Table) -> pa.Table:
+        """The names of a chunk by bucket, sorted: once, or twice if two pages
+        or more hold it."""
+        names, _, streams, _ = suffixes(pages)
+        order = np.lexsort((streams, names))
+        names, streams = names[order], streams[order]
+        # the two streams of a page share no name
+        names = names[np.append(True, (names[1:] != names[:-1]) | (streams[1:] != streams[:-1]))[:len(names)]]
+        names = names[np.append([True, True], names[2:] != names[:-2])[:len(names)]]
+        bucket = ((names >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        found, starts = np.unique(bucket, return_index=True)
+        packed = [_pack(part) for part in np.split(names, starts[1:])] if len(found) else []
+        return pa.table([pa.array(found, pa.int64()), pa.array([key[0].as_py()] * len(found), pa.int64()),
+                         pa.array(packed, pa.binary())], ["bucket", "chunk", "names"])
+    return deal
+
+
+def _intervals(bucket: pa.Table) -> pa.Table:
+    """Sort a bucket of the array; per chunk the names equal to a neighbour."""
+    parts = [_unpack(p) for p in bucket.column("names").to_pylist()]
+    names = np.concatenate(parts)
+    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    order = np.argsort(names, kind="stable")
+    names, owner = names[order], owner[order]
+    equal = names[1:] == names[:-1]
+    hit = np.append(equal, False) | np.append(False, equal)
+    names, owner = names[hit], owner[hit]
+    order = np.argsort(owner, kind="stable")  # names stay sorted within a chunk
+    found, starts = np.unique(owner[order], return_index=True)
+    packed = [_pack(np.unique(part)) for part in np.split(names[order], starts[1:])] if len(found) else []
+    return pa.table([bucket.column("chunk").take(pa.array(found, pa.int64())), pa.array(packed, pa.binary())],
+                    ["chunk", "names"])
+
+
+def repeated_names(parsed: DataFrame, chunks: int) -> DataFrame:
+    """``(chunk, names)``: the names of the chunk's suffixes whose first ``RUN``
+    tokens another page of the host repeats, in one row a bucket."""
+    buckets = -(-chunks // CHUNKS_A_BUCKET)
+    named = parsed.groupBy("chunk").applyInArrow(_names(buckets), "bucket long, chunk long, names binary")
+    return named.groupBy("bucket").applyInArrow(_intervals, "chunk long, names binary")
+
+
+def cut(free: list[bool], outside: list[str], covered: list[bool]) -> tuple[str, int]:
     """The text of the free blocks without covered words, and how many were
-    cut. A page that would keep nothing is a copy of another page, not
-    boilerplate: it stays whole."""
-    covered, end = set(), 0
-    for place in places:
-        covered.update(range(max(end, place), place + RUN))
-        end = place + RUN
+    cut; ``covered`` speaks of the words and breaks of all blocks. A page that
+    would keep nothing is a copy of another page, not boilerplate: it stays
+    whole."""
     kept, whole, at = [], [], 0
     for block, is_free in zip(outside, free):
         words = block.split(" ")
         if is_free:
             whole.append(block)
-            left = _uncovered(words, [at + k in covered for k in range(len(words))])
+            left = _uncovered(words, covered[at:at + len(words)])
             if left:
                 kept.append(" ".join(left))
         at += len(words) + 1
@@ -244,40 +313,67 @@ def _uncovered(words: list[str], hit: list[bool]) -> list[str]:
     return left
 
 
-def _unique_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        done = [cut(f, o, p or []) for f, o, p in zip(*(batch.column(c).to_pylist() for c in ("free", "outside", "places")))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("page_id"), batch.column("url"), pa.array([t for t, _ in done], pa.string()),
-             pa.array([n for _, n in done], pa.int64())], ["page_id", "url", "text", "n_cut"])
+def _covered_words(text: str, between: str, covered: np.ndarray) -> int:
+    """How many words, breaks apart, are covered."""
+    if not covered.any():
+        return 0
+    ends = np.cumsum([b.count(" ") + 2 for b in text.split(between)]) - 1
+    return int(covered.sum() - covered[ends].sum())
+
+
+def _unique_runs(pages: pa.Table, repeated: pa.Table) -> pa.Table:
+    """The pages of a chunk without the places of its repeated names, checked
+    by the markup."""
+    names, places, _, ends = suffixes(pages)
+    known = np.sort(np.concatenate([np.empty(0, np.uint64), *map(_unpack, repeated.column("names").to_pylist())]))
+    starts = np.zeros((ends[-1] if ends else 0) + RUN + 1, np.int64)
+    if len(known):
+        hit = places[known[np.minimum(np.searchsorted(known, names), len(known) - 1)] == names]
+        starts[hit] += 1
+        starts[hit + RUN] -= 1
+    covered = np.cumsum(starts) > 0
+    texts, n_cuts, n_repeated, n_restored, start = [], [], [], [], 0
+    for k, (free, outside, article) in enumerate(zip(*(pages.column(c).to_pylist() for c in ("free", "outside", "article")))):
+        out, inside = covered[start:ends[2 * k]], covered[ends[2 * k]:ends[2 * k + 1]]
+        start = ends[2 * k + 1]
+        restored = _covered_words(article, "\n\n", inside)
+        # the array alone would leave a declared article its unique runs
+        text, n_cut = (article, 0) if article else cut(free, outside.split(BREAK), out.tolist())
+        texts.append(text), n_cuts.append(n_cut), n_restored.append(restored)
+        n_repeated.append(restored + _covered_words(outside, BREAK, out))
+    return pa.table([pages.column("page_id"), pages.column("url"), pa.array(texts, pa.string()), pa.array(n_cuts, pa.int64()),
+                     pa.array(n_repeated, pa.int64()), pa.array(n_restored, pa.int64())],
+                    ["page_id", "url", "text", "n_cut", "n_repeated", "n_restored"])
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
     """One row per row of ``pages``: the id, the url, ``text``, ``n_chars``
-    (its code points) and ``n_cut`` (words cut because they lie in runs that
-    other pages of the host repeat; 0 where the article is declared).
-
-    ``text`` is the declared article, else the unique runs of the open blocks;
-    character references are decoded, white space inside a block is one space,
-    blocks are joined by two line feeds, and nothing is capped. A null or empty
-    page gives the empty text; pages without a host share the host of the empty
-    name; rows that repeat are pages of their own (equal pages without an
-    article are copies and stay whole). An empty table gives an empty result;
-    other columns are not read.
+    (its code points), ``n_cut`` (words cut because they lie in runs that
+    other pages of the host repeat; 0 where the article is declared),
+    ``n_repeated`` (words of the whole page in such runs) and ``n_restored``
+    (those of them that a declared article got back).
+
+    ``text`` is the unique runs of the open blocks, or the declared article,
+    whose repeated runs are put back; character references are decoded, white
+    space inside a block is one space, blocks are joined by two line feeds, and
+    nothing is capped. A null or empty page gives the empty text; pages without
+    a host share the host of the empty name; rows that repeat are pages of
+    their own (equal pages without an article are copies and stay whole). An
+    empty table gives an empty result; other columns are not read.
     """
     ship(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")),
-                                    r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*)", 1))
-    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("page_id"),
-                        F.col(url).alias("url"), host.alias("host"), text_or_empty(page).alias("html"))
+                                    r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    size = pages.agg(F.sum(F.length(text_or_empty(page)))).first()[0] or 0
+    chunks = size // CHUNK + 1
+    rows = pages.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).alias("chunk"),
+                        F.col(id_col).alias("page_id"), F.col(url).alias("url"), host.alias("host"),
+                        text_or_empty(page).alias("html"))
     kind = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("page_id", "url"))
-    parsed = written(rows.mapInArrow(
-        _parse, f"row long, {kind}, host string, article string, free array<boolean>, outside array<string>"), "pages")
-    searched = (F.col("article") == "") & F.exists("free", lambda x: x)
-    wanted = parsed.where(searched)
-    runs = (wanted.join(repeated_places(parsed, wanted), "row", "left").select("page_id", "url", "free", "outside", "places")
-            .mapInArrow(_unique_runs, f"{kind}, text string, n_cut long"))
-    # the articles stream from the scan to the result
-    out = runs.unionAll(parsed.where(~searched).select("page_id", "url", F.col("article").alias("text"), F.lit(0).cast("long")))
+    # shuffled by chunk once: both uses of the pages read the same exchange
+    parsed = rows.mapInArrow(
+        _parse, f"chunk long, {kind}, host string, article string, free array<boolean>, outside string")
+    out = parsed.groupBy("chunk").cogroup(repeated_names(parsed, chunks).groupBy("chunk")).applyInArrow(
+        _unique_runs, f"{kind}, text string, n_cut long, n_repeated long, n_restored long")
     return out.select(F.col("page_id").alias(id_col), F.col("url").alias(url), "text",
-                      F.length("text").cast("long").alias("n_chars"), "n_cut")
+                      F.length("text").cast("long").alias("n_chars"), "n_cut", "n_repeated", "n_restored")

@@ -2,6 +2,7 @@ import html
 import re
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetlake.llm import main_text, queries
@@ -115,3 +116,42 @@ def test_empty_null_and_repeats(spark):
     assert sorted((r.page_id or 0, r.text[:3], r.n_chars) for r in out.collect()) == [
         (0, "", 0), (1, "x", 1), (1, "x", 1), (2, "y y", 599_999)]
     assert main_text.main_text(spark.createDataFrame([], DDL)).count() == 0
+
+
+def test_the_array_runs_over_whole_pages(spark):
+    """Repeated words of all pages, declared articles too, by brute force."""
+    song = "and so the whole village sang until the lamps went out"
+    tail = [" ".join(f"u{k}y{j}" for j in range(20)) for k in range(14)]
+    pages = [(f"http://{host}.example.org/{k}", f"<nav>{' '.join(MENU)} and all the rest</nav><article><h1>T {k}</h1><p>{song} {t}"
+              f"<p>{t} {song if k % 2 else ''}</article><div>x{k} {FOOT}</div>")
+             for host, ks in (("a", range(10)), ("b", range(10, 13))) for k, t in zip(ks, tail[ks[0]:])]
+    pages += [("http://c.example.org/1", f"<article>{song} alone on its host</article>"),
+              ("http://a.example.org/n", f"<p>{song} told without an article</p><p>{FOOT}</p>"), (None, None)]
+    streams, seen = [], defaultdict(set)
+    for k, (url, page) in enumerate(pages):
+        host, bs = (re.search(r"://([^/]*)", url or "") or ["", ""])[1], list(main_text.blocks(page or ""))
+        for article in (False, True):
+            words = [w for z, t in bs if (z == "article") == article for w in (*t.split(), "\n")]
+            runs = [(host, article, *words[p:p + main_text.RUN]) for p in range(len(words) - main_text.RUN + 1)]
+            streams.append((words, runs))
+            for run in runs:
+                seen[run].add(k)
+    counts = [len({j for p, run in enumerate(runs) if len(seen[run]) > 1
+                   for j in range(p, p + main_text.RUN) if words[j] != "\n"}) for words, runs in streams]
+    want = [(k, a + b, b) for k, (a, b) in enumerate(zip(counts[::2], counts[1::2]))]
+    for parts in (1, 5):
+        df = spark.createDataFrame([(k, *p) for k, p in enumerate(pages)], DDL).repartition(parts)
+        out = sorted(main_text.main_text(df).collect())
+        assert [(r.page_id, r.n_repeated, r.n_restored) for r in out] == want
+        assert all(r.n_cut == 0 and song in r.text for r in out[:14])
+    assert out[0].n_restored == 11 and out[13].n_repeated == 0 and out[14].text.startswith(song)
+
+
+@pytest.mark.parametrize("chunk", [500, 4000])
+def test_any_chunks_give_the_same_rows(spark, monkeypatch, chunk):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    want = sorted(main_text.main_text(pages).collect())
+    assert sum(r.n_repeated for r in want) > sum(r.n_restored for r in want) > 0
+    monkeypatch.setattr(main_text, "CHUNK", chunk * 10)
+    monkeypatch.setattr(main_text, "CHUNKS_A_BUCKET", 1)
+    assert sorted(main_text.main_text(pages).collect()) == want

@@ -13,22 +13,26 @@ a passage that articles share is content, whatever its repeats, and what is
 declared as something else goes even if no other page repeats it.
 
 The names are sorted in range buckets that hold pages of all hosts, so neither
-a large host nor a frequent passage makes a large group: pages are dealt into
-chunks of some ``CHUNK`` characters, a chunk sends each bucket its names (twice
-if two of its pages hold it), and a bucket answers with those that occur twice.
+a large host nor a frequent passage makes a large group. Pages travel in chunks
+of some ``CHUNK`` characters. A chunk sends each bucket its names (twice if two
+of its pages hold it), and a bucket answers with those that occur twice: first
+the leading bits of all names, which tells the suffixes that can be repeated,
+then the whole names of these.
 A page's declared article is a stream of its own, so text outside articles is
 held against text outside articles only.
 """
 
 from __future__ import annotations
 
-import hashlib
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +45,9 @@ BREAK = "\n"
 #: fill one bucket of the array: what a task holds at once.
 CHUNK = 1 << 22
 CHUNKS_A_BUCKET = 4
+#: Of the suffixes that nothing repeats, one in 2 ** SPARE_BITS, about, shares
+#: its leading bits with another one and sends its whole name.
+SPARE_BITS = 7
 
 # What an element is by its name. Fixed by HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -178,50 +185,65 @@ def _zone(name: str, attrs: str, zone: str) -> str:
     return "hull" if name == "header" or words & OUTSIDE else zone
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        articles, frees, outsides = [], [], []
-        for page in batch.column("html").to_pylist():
-            article, free, outside = [], [], []
-            for zone, text in blocks(page):
-                if zone == "article":
-                    article.append(text)
-                else:
-                    free.append(zone == "open"), outside.append(text)
-            # blocks hold no line feed
-            articles.append("\n\n".join(article)), frees.append(free), outsides.append(BREAK.join(outside))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in ("chunk", "page_id", "url", "host")]
-            + [pa.array(articles, pa.string()), pa.array(frees, pa.list_(pa.bool_())), pa.array(outsides, pa.string())],
-            ["chunk", "page_id", "url", "host", "article", "free", "outside"])
-
-
-class _Hashes(dict):
-    """64 bits of hash of every token seen."""
-
-    def __missing__(self, token: str) -> int:
-        self[token] = value = int.from_bytes(hashlib.blake2b(token.encode(), digest_size=8).digest(), "little")
-        return value
-
-
-def suffixes(pages: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+def _packed(chunk: int, columns: list[list], schema: pa.Schema) -> pa.RecordBatch:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as stream:
+        stream.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema))
+    return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                      ["chunk", "pages"])
+
+
+def _parse(chunk_chars: int):
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Chunks of parsed pages, one row each, named by their first page's row."""
+        chunk, size, columns, schema = None, 0, [], None
+        for batch in batches:
+            schema = pa.schema([*(batch.schema.field(c) for c in ("page_id", "url", "host")), ("article", pa.string()),
+                                ("free", pa.list_(pa.bool_())), ("outside", pa.string())])
+            for row, page, *known in zip(*(batch.column(c).to_pylist() for c in ("row", "html", "page_id", "url", "host"))):
+                if not size:
+                    chunk, columns = row, [[] for _ in schema]
+                article, free, outside = [], [], []
+                for zone, text in blocks(page):
+                    if zone == "article":
+                        article.append(text)
+                    else:
+                        free.append(zone == "open"), outside.append(text)
+                # blocks hold no line feed
+                for column, value in zip(columns, (*known, "\n\n".join(article), free, BREAK.join(outside))):
+                    column.append(value)
+                size += len(page) + 1
+                if size >= chunk_chars:
+                    yield _packed(chunk, columns, schema)
+                    size = 0
+        if size:
+            yield _packed(chunk, columns, schema)
+    return parse
+
+
+def _pages(chunk: pa.Table) -> pa.Table:
+    return pa.ipc.open_stream(chunk.column("pages")[0].as_buffer()).read_all()
+
+
+def suffixes(pages: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(names, places, streams, ends)`` of all suffixes of ``RUN`` tokens or
     more of a chunk: the hash of the stream's host and kind and of the first
     ``RUN`` tokens, where it starts in the concatenated streams, its stream.
     Streams ``2 * k`` and ``2 * k + 1`` are what page ``k`` holds outside and
     inside its declared article, each block closed by a break; ``ends`` are
     the streams' ends."""
-    hashes, tokens, ends, salts = _Hashes(), [], [], []
-    for host, outside, article in zip(*(pages.column(c).to_pylist() for c in ("host", "outside", "article"))):
-        for kind, text, between in (("outside", outside, BREAK), ("article", article, "\n\n")):
-            if text:
-                tokens.extend(map(hashes.__getitem__, text.replace(between, f" {BREAK} ").split(" ")))
-                tokens.append(hashes[BREAK])
-            ends.append(len(tokens))
-            salts.append(hashes[f"{kind} {host}"])
-    tokens, n = np.array(tokens, np.uint64), max(len(tokens) - RUN + 1, 0)
+    host, outside, article = (pages.column(c).combine_chunks() for c in ("host", "outside", "article"))
+    both = pa.concat_arrays([outside, pc.replace_substring(article, "\n\n", BREAK)])
+    both = both.take(pa.array(np.arange(len(both)).reshape(2, -1).T.ravel()))
+    both = pc.binary_join_element_wise(pc.replace_substring(both, BREAK, f" {BREAK} "), BREAK, " ")
+    split = pc.split_pattern(both, " ")
+    ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    words = split.flatten().dictionary_encode()
+    tokens = _hashes(words.dictionary)[words.indices.to_numpy()]
+    salts = np.stack([_hashes(host), ~_hashes(host)], axis=1).ravel()
+    n = max(len(tokens) - RUN + 1, 0)
     stream = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-    names = np.array(salts, np.uint64)[stream[:n]]
+    names = salts[stream[:n]]
     for k in range(RUN):
         names = (names ^ tokens[k:n + k]) * np.uint64(0x9E3779B97F4A7C15)
         names ^= names >> np.uint64(32)
@@ -229,57 +251,102 @@ def suffixes(pages: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[
     return names[places], places, stream[places], ends
 
 
+def _hashes(texts: pa.Array) -> np.ndarray:
+    return pd.util.hash_array(texts.to_numpy(zero_copy_only=False).astype(object), categorize=False)
+
+
+def _once_or_twice(names: np.ndarray, streams: np.ndarray) -> np.ndarray:
+    """The names of a chunk, sorted: once, or twice if two pages hold it."""
+    pages = streams >> 1
+    order = np.lexsort((pages, names))
+    names, pages = names[order], pages[order]
+    names = names[np.append(True, (names[1:] != names[:-1]) | (pages[1:] != pages[:-1]))[:len(names)]]
+    return names[np.append([True, True], names[2:] != names[:-2])[:len(names)]]
+
+
+def _among(names: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which names are in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(names), bool)
+    return known[np.minimum(np.searchsorted(known, names), len(known) - 1)] == names
+
+
 def _pack(names: np.ndarray) -> bytes:
     """Sorted names as steps, byte by byte of all: high bytes compress."""
-    return np.diff(names, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return zlib.compress(np.diff(names, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
 
 def _unpack(packed: bytes) -> np.ndarray:
-    steps = np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(8, -1).T)
+    steps = np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1).T)
     return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _names(buckets: int):
-    def deal(key: tuple, pages: pa.Table) -> pa.Table:
-        """The names of a chunk by bucket, sorted: once, or twice if two pages
-        or more hold it."""
-        names, _, streams, _ = suffixes(pages)
-        order = np.lexsort((streams, names))
-        names, streams = names[order], streams[order]
-        # the two streams of a page share no name
-        names = names[np.append(True, (names[1:] != names[:-1]) | (streams[1:] != streams[:-1]))[:len(names)]]
-        names = names[np.append([True, True], names[2:] != names[:-2])[:len(names)]]
-        bucket = ((names >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        found, starts = np.unique(bucket, return_index=True)
-        packed = [_pack(part) for part in np.split(names, starts[1:])] if len(found) else []
-        return pa.table([pa.array(found, pa.int64()), pa.array([key[0].as_py()] * len(found), pa.int64()),
-                         pa.array(packed, pa.binary())], ["bucket", "chunk", "names"])
+def _dealt(chunk: int, names: np.ndarray, bits: int, buckets: int) -> pa.Table:
+    """Sorted names of ``bits`` bits by range bucket."""
+    top = names >> np.uint64(bits - 32) if bits > 32 else names << np.uint64(32 - bits)
+    found, starts = np.unique((top * np.uint64(buckets) >> np.uint64(32)).astype(np.int64), return_index=True)
+    packed = [_pack(part) for part in np.split(names, starts[1:])] if len(found) else []
+    return pa.table([pa.array(found, pa.int64()), pa.array([chunk] * len(found), pa.int64()), pa.array(packed, pa.binary())],
+                    ["bucket", "chunk", "names"])
+
+
+def _leading_bits(bits: int, buckets: int):
+    def deal(chunk: pa.Table) -> pa.Table:
+        names, _, streams, _ = suffixes(_pages(chunk))
+        return _dealt(chunk.column("chunk")[0].as_py(), _once_or_twice(names >> np.uint64(64 - bits), streams), bits, buckets)
+    return deal
+
+
+def _whole_names(bits: int, buckets: int):
+    def deal(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        names, _, streams, _ = suffixes(_pages(chunk))
+        short = names >> np.uint64(64 - bits)
+        asked = _once_or_twice(short, streams)
+        # the answers, bucket after bucket, are as long as what was asked
+        masks = [np.unpackbits(np.frombuffer(zlib.decompress(m), np.uint8), count=n) for _, n, m in sorted(
+            zip(*(answers.column(c).to_pylist() for c in ("bucket", "n", "found"))))]
+        hit = _among(short, asked[np.concatenate(masks).astype(bool)]) if masks else np.zeros(len(names), bool)
+        return _dealt(chunk.column("chunk")[0].as_py(), _once_or_twice(names[hit], streams[hit]), 64, buckets)
     return deal
 
 
-def _intervals(bucket: pa.Table) -> pa.Table:
-    """Sort a bucket of the array; per chunk the names equal to a neighbour."""
+def _neighbours(bucket: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Sort a bucket of the array: the names of each chunk, and which of them
+    are equal to a neighbour."""
     parts = [_unpack(p) for p in bucket.column("names").to_pylist()]
     names = np.concatenate(parts)
-    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     order = np.argsort(names, kind="stable")
-    names, owner = names[order], owner[order]
-    equal = names[1:] == names[:-1]
-    hit = np.append(equal, False) | np.append(False, equal)
-    names, owner = names[hit], owner[hit]
-    order = np.argsort(owner, kind="stable")  # names stay sorted within a chunk
-    found, starts = np.unique(owner[order], return_index=True)
-    packed = [_pack(np.unique(part)) for part in np.split(names[order], starts[1:])] if len(found) else []
-    return pa.table([bucket.column("chunk").take(pa.array(found, pa.int64())), pa.array(packed, pa.binary())],
+    equal = names[order[1:]] == names[order[:-1]]
+    hit = np.empty(len(names), bool)
+    hit[order] = np.append(equal, False) | np.append(False, equal)
+    return parts, np.split(hit, np.cumsum([len(p) for p in parts])[:-1])
+
+
+def _found_bits(bucket: pa.Table) -> pa.Table:
+    parts, hits = _neighbours(bucket)
+    masks = [zlib.compress(np.packbits(h).tobytes(), 1) for h in hits]
+    return pa.table([bucket.column("chunk"), bucket.column("bucket"), pa.array([len(p) for p in parts], pa.int64()),
+                     pa.array(masks, pa.binary())], ["chunk", "bucket", "n", "found"])
+
+
+def _found_names(bucket: pa.Table) -> pa.Table:
+    found = [(c, _pack(np.unique(p[h]))) for c, p, h in zip(bucket.column("chunk").to_pylist(), *_neighbours(bucket)) if h.any()]
+    return pa.table([pa.array([c for c, _ in found], pa.int64()), pa.array([n for _, n in found], pa.binary())],
                     ["chunk", "names"])
 
 
-def repeated_names(parsed: DataFrame, chunks: int) -> DataFrame:
+def repeated_names(chunks: DataFrame, size: int) -> DataFrame:
     """``(chunk, names)``: the names of the chunk's suffixes whose first ``RUN``
-    tokens another page of the host repeats, in one row a bucket."""
-    buckets = -(-chunks // CHUNKS_A_BUCKET)
-    named = parsed.groupBy("chunk").applyInArrow(_names(buckets), "bucket long, chunk long, names binary")
-    return named.groupBy("bucket").applyInArrow(_intervals, "chunk long, names binary")
+    tokens another page of the host repeats, in one row a bucket. ``size``
+    is the number of characters of all pages."""
+    buckets = size // (CHUNK * CHUNKS_A_BUCKET) + 1
+    # a token has more than four characters of HTML, mostly
+    bits = min(64, (size // 4 + 1).bit_length() + SPARE_BITS)
+    dealt = "bucket long, chunk long, names binary"
+    can = (chunks.groupBy("chunk").applyInArrow(_leading_bits(bits, buckets), dealt)
+           .groupBy("bucket").applyInArrow(_found_bits, "chunk long, bucket long, n long, found binary"))
+    return (chunks.groupBy("chunk").cogroup(can.groupBy("chunk")).applyInArrow(_whole_names(bits, buckets), dealt)
+            .groupBy("bucket").applyInArrow(_found_names, "chunk long, names binary"))
 
 
 def cut(free: list[bool], outside: list[str], covered: list[bool]) -> tuple[str, int]:
@@ -321,16 +388,16 @@ def _covered_words(text: str, between: str, covered: np.ndarray) -> int:
     return int(covered.sum() - covered[ends].sum())
 
 
-def _unique_runs(pages: pa.Table, repeated: pa.Table) -> pa.Table:
+def _unique_runs(chunk: pa.Table, repeated: pa.Table) -> pa.Table:
     """The pages of a chunk without the places of its repeated names, checked
     by the markup."""
+    pages = _pages(chunk)
     names, places, _, ends = suffixes(pages)
     known = np.sort(np.concatenate([np.empty(0, np.uint64), *map(_unpack, repeated.column("names").to_pylist())]))
-    starts = np.zeros((ends[-1] if ends else 0) + RUN + 1, np.int64)
-    if len(known):
-        hit = places[known[np.minimum(np.searchsorted(known, names), len(known) - 1)] == names]
-        starts[hit] += 1
-        starts[hit + RUN] -= 1
+    starts = np.zeros(ends[-1] + RUN + 1, np.int64)
+    hit = places[_among(names, known)]
+    starts[hit] += 1
+    starts[hit + RUN] -= 1
     covered = np.cumsum(starts) > 0
     texts, n_cuts, n_repeated, n_restored, start = [], [], [], [], 0
     for k, (free, outside, article) in enumerate(zip(*(pages.column(c).to_pylist() for c in ("free", "outside", "article")))):
@@ -365,15 +432,12 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url: str = "url", page:
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")),
                                     r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     size = pages.agg(F.sum(F.length(text_or_empty(page)))).first()[0] or 0
-    chunks = size // CHUNK + 1
-    rows = pages.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).alias("chunk"),
-                        F.col(id_col).alias("page_id"), F.col(url).alias("url"), host.alias("host"),
-                        text_or_empty(page).alias("html"))
+    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("page_id"),
+                        F.col(url).alias("url"), host.alias("host"), text_or_empty(page).alias("html"))
     kind = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in ("page_id", "url"))
-    # shuffled by chunk once: both uses of the pages read the same exchange
-    parsed = rows.mapInArrow(
-        _parse, f"chunk long, {kind}, host string, article string, free array<boolean>, outside string")
-    out = parsed.groupBy("chunk").cogroup(repeated_names(parsed, chunks).groupBy("chunk")).applyInArrow(
+    # shuffled once: all three uses of the chunks read the same exchange
+    chunks = rows.mapInArrow(_parse(CHUNK), "chunk long, pages binary")
+    out = chunks.groupBy("chunk").cogroup(repeated_names(chunks, size).groupBy("chunk")).applyInArrow(
         _unique_runs, f"{kind}, text string, n_cut long, n_repeated long, n_restored long")
     return out.select(F.col("page_id").alias(id_col), F.col("url").alias(url), "text",
                       F.length("text").cast("long").alias("n_chars"), "n_cut", "n_repeated", "n_restored")

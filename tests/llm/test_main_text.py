@@ -147,11 +147,12 @@ def test_the_array_runs_over_whole_pages(spark):
     assert out[0].n_restored == 11 and out[13].n_repeated == 0 and out[14].text.startswith(song)
 
 
-@pytest.mark.parametrize("chunk", [500, 4000])
-def test_any_chunks_give_the_same_rows(spark, monkeypatch, chunk):
+@pytest.mark.parametrize(("chunk", "spare"), [(5_000, 7), (40_000, -8)])
+def test_any_chunks_and_bits_give_the_same_rows(spark, monkeypatch, chunk, spare):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     want = sorted(main_text.main_text(pages).collect())
     assert sum(r.n_repeated for r in want) > sum(r.n_restored for r in want) > 0
-    monkeypatch.setattr(main_text, "CHUNK", chunk * 10)
+    monkeypatch.setattr(main_text, "CHUNK", chunk)
     monkeypatch.setattr(main_text, "CHUNKS_A_BUCKET", 1)
+    monkeypatch.setattr(main_text, "SPARE_BITS", spare)
     assert sorted(main_text.main_text(pages).collect()) == want

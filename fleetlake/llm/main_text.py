@@ -240,7 +240,8 @@ def suffixes(pages: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
     words = split.flatten().dictionary_encode()
     tokens = _hashes(words.dictionary)[words.indices.to_numpy()]
-    salts = np.stack([_hashes(host), ~_hashes(host)], axis=1).ravel()
+    # by other keys than the tokens, of which the host may be one
+    salts = np.stack([_hashes(host, "outside articles"), _hashes(host, "inside  articles")], axis=1).ravel()
     n = max(len(tokens) - RUN + 1, 0)
     stream = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
     names = salts[stream[:n]]
@@ -251,8 +252,8 @@ def suffixes(pages: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return names[places], places, stream[places], ends
 
 
-def _hashes(texts: pa.Array) -> np.ndarray:
-    return pd.util.hash_array(texts.to_numpy(zero_copy_only=False).astype(object), categorize=False)
+def _hashes(texts: pa.Array, key: str = "tokens of a page") -> np.ndarray:
+    return pd.util.hash_array(texts.to_numpy(zero_copy_only=False).astype(object), hash_key=key, categorize=False)
 
 
 def _once_or_twice(names: np.ndarray, streams: np.ndarray) -> np.ndarray:

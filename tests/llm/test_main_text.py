@@ -147,6 +147,14 @@ def test_the_array_runs_over_whole_pages(spark):
     assert out[0].n_restored == 11 and out[13].n_repeated == 0 and out[14].text.startswith(song)
 
 
+def test_runs_that_begin_with_their_host(spark):
+    pages = [(f"http://h{k}.org/", f"<p>page {k}</p><p>h{k}.org tells the same seven words on hosts</p>") for k in range(30)]
+    pages += [(f"http://h.org/{k}", f"<p>page {k}</p><p>h.org tells the same seven words on hosts</p>") for k in range(2)]
+    out = sorted(main_text.main_text(spark.createDataFrame([(k, *p) for k, p in enumerate(pages)], DDL)).collect())
+    assert [r.text for r in out] == brute(pages)
+    assert [r.n_cut for r in out] == [0] * 30 + [8] * 2
+
+
 @pytest.mark.parametrize(("chunk", "spare"), [(5_000, 7), (40_000, -8)])
 def test_any_chunks_and_bits_give_the_same_rows(spark, monkeypatch, chunk, spare):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
